@@ -249,3 +249,13 @@ def dense_daily(facts: DataFrame, spec: AggregateSpec, entities: DataFrame,
                           granularity=spec.granularity)
     return aggregate_features(facts, dense, mode="grid", entities=entities,
                               start_col=start_col, bucket_width=bucket_width)
+
+
+def daily_totals(facts: DataFrame, key: str | Sequence[str], time: str, amount: str) -> DataFrame:
+    """Daily SUM and activity flag per (key, day) (A1, F7): ``daily_total`` as
+    double, ``transaction_occurred`` = 1 when the day holds a positive amount."""
+    keys = [key] if isinstance(key, str) else list(key)
+    day = F.to_date(F.col(time))
+    return facts.groupBy(*keys, day.alias(time)).agg(
+        F.sum(amount).cast("double").alias("daily_total"),
+        F.max(F.when(F.col(amount) > 0, 1).otherwise(0)).cast("bigint").alias("transaction_occurred"))

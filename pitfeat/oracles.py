@@ -35,3 +35,98 @@ def with_(*ctes: str) -> str:
 ORACLES: dict[str, str] = {}
 
 ORACLES["rolling_7_14"] = with_(TXN_ORDERS, ROLLUPS) + "SELECT * FROM rollups"
+
+TXN_LINES = """txn_lines AS (
+  SELECT l_orderkey * 10 + l_linenumber AS transaction_id, o_custkey AS account_id,
+         l_suppkey AS merchant_id, CAST(o_orderdate AS DATE) AS txn_date,
+         CAST(l_shipdate AS DATE) AS ship_date,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, l_linenumber AS pos_entry_mode,
+         l_returnflag = 'R' AS label, l_linestatus = 'F' AS card_present
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+EOL = """eol AS (
+  SELECT transaction_id, CAST(account_id AS BIGINT) AS primary_account_number,
+         CAST(merchant_id AS BIGINT) AS merchant_id, txn_date AS observation_date,
+         label, CAST(amount AS DOUBLE) AS amount
+  FROM txn_lines WHERE card_present)"""
+
+MERCHANTS = """merchants AS (
+  SELECT s_suppkey AS merchant_id, s_name AS merchant_name,
+         CAST(s_nationkey AS BIGINT) AS merchant_zone
+  FROM supplier WHERE s_suppkey % 10 <> 0)"""
+
+ACCOUNTS = """accounts AS (
+  SELECT account_id, account_name, version,
+         CAST((c_nationkey + 7 * version) % 25 AS BIGINT) AS zone,
+         DATE '1995-01-01' + CAST(CASE WHEN version = 0 THEN 0
+                                       ELSE version * 700 + account_id % 97 END AS INTEGER) AS valid_from,
+         CASE WHEN version < account_id % 3
+              THEN DATE '1995-01-01' + CAST((version + 1) * 700 + account_id % 97 AS INTEGER) END AS valid_to,
+         CAST(version = account_id % 3 AS BIGINT) AS is_current
+  FROM (SELECT c_custkey AS account_id, c_name AS account_name, c_nationkey,
+               UNNEST(generate_series(0, c_custkey % 3)) AS version FROM customer))"""
+
+REQUESTS = """requests AS (
+  SELECT primary_account_number, merchant_id, DATE '2000-06-15' AS observation_date, amount
+  FROM eol WHERE observation_date = '2000-06-15')"""
+
+DIST = "CAST(1 + ((7919 * {a} + 104729 * {b}) % 250) AS DOUBLE)"
+
+
+def asof_rollups(spine: str, out: str) -> str:
+    """As-of join of a spine CTE with rollups on (primary_account_number, observation_date)."""
+    return f"""{out} AS (
+  SELECT * EXCLUDE (__rid, __rn) FROM (
+    SELECT s.*, r."14_day_total", r."7_day_total", r."7_day_transaction_count",
+           row_number() OVER (PARTITION BY s.__rid ORDER BY r.date DESC NULLS LAST) AS __rn
+    FROM (SELECT *, row_number() OVER () AS __rid FROM {spine}) s
+    LEFT JOIN rollups r ON r.account_id = s.primary_account_number AND r.date <= s.observation_date)
+  WHERE __rn = 1)"""
+
+
+def asof_accounts(spine: str, out: str, cols: str = "a.zone, a.account_name") -> str:
+    return f"""{out} AS (
+  SELECT * EXCLUDE (__rid, __rn) FROM (
+    SELECT s.*, {cols},
+           row_number() OVER (PARTITION BY s.__rid ORDER BY a.valid_from DESC NULLS LAST,
+                              (a.valid_to IS NULL) DESC, a.valid_to DESC) AS __rn
+    FROM (SELECT *, row_number() OVER () AS __rid FROM {spine}) s
+    LEFT JOIN accounts a ON a.account_id = s.primary_account_number AND a.valid_from <= s.observation_date)
+  WHERE __rn = 1)"""
+
+
+ORACLES["spine_view"] = with_(TXN_LINES, EOL) + "SELECT * FROM eol"
+ORACLES["request_day"] = with_(TXN_LINES, EOL, REQUESTS) + "SELECT * FROM requests"
+ORACLES["date_bounds"] = with_(TXN_LINES) + "SELECT max(txn_date) AS max, min(txn_date) AS min FROM txn_lines"
+ORACLES["daily_totals"] = with_(TXN_LINES) + """SELECT account_id, txn_date,
+  CAST(SUM(amount) AS DOUBLE) AS daily_total,
+  CAST(MAX(CASE WHEN amount > 0 THEN 1 ELSE 0 END) AS BIGINT) AS transaction_occurred
+FROM txn_lines GROUP BY account_id, txn_date"""
+ORACLES["lookup_exact"] = with_(TXN_LINES, EOL, MERCHANTS) + """SELECT e.*, m.merchant_name, m.merchant_zone
+FROM eol e LEFT JOIN merchants m ON e.merchant_id = m.merchant_id"""
+ORACLES["lookup_asof_features"] = with_(
+    TXN_ORDERS, ROLLUPS, TXN_LINES,
+    """ship AS (SELECT transaction_id, account_id AS primary_account_number,
+                ship_date AS observation_date FROM txn_lines)""",
+    asof_rollups("ship", "out")) + "SELECT * FROM out"
+ORACLES["lookup_asof_scd2"] = with_(TXN_LINES, EOL, ACCOUNTS, asof_accounts("eol", "out")) + "SELECT * FROM out"
+ORACLES["lookup_asof_scd2_broadcast"] = ORACLES["lookup_asof_scd2"]
+ORACLES["lookup_interval"] = with_(TXN_LINES, EOL, ACCOUNTS) + """SELECT e.*, a.zone, a.account_name
+FROM eol e LEFT JOIN accounts a ON a.account_id = e.primary_account_number
+  AND a.valid_from <= e.observation_date AND (a.valid_to IS NULL OR e.observation_date < a.valid_to)"""
+
+FRAUD = [TXN_ORDERS, ROLLUPS, TXN_LINES, EOL, MERCHANTS, ACCOUNTS,
+         asof_rollups("eol", "f1"),
+         """f2 AS (SELECT f1.*, m.merchant_zone FROM f1 LEFT JOIN merchants m ON f1.merchant_id = m.merchant_id)""",
+         asof_accounts("f2", "f3", "a.zone"),
+         f"""f4 AS (SELECT *, {DIST.format(a='zone', b='merchant_zone')} AS merchant_distance_from_home FROM f3)"""]
+
+ORACLES["function_feature"] = with_(
+    TXN_LINES, EOL, MERCHANTS, ACCOUNTS,
+    """g2 AS (SELECT e.*, m.merchant_zone FROM eol e LEFT JOIN merchants m ON e.merchant_id = m.merchant_id)""",
+    asof_accounts("g2", "g3", "a.zone")) + f"""SELECT *, {DIST.format(a='zone', b='merchant_zone')}
+  AS merchant_distance_from_home FROM g3"""
+ORACLES["training_set"] = with_(*FRAUD) + """SELECT primary_account_number, amount, "14_day_total", "7_day_total",
+  "7_day_transaction_count", merchant_distance_from_home, CAST(label AS DOUBLE) AS label FROM f4"""
+ORACLES["inference_set"] = with_(*FRAUD) + """SELECT primary_account_number, merchant_id, amount, "14_day_total",
+  "7_day_total", "7_day_transaction_count", merchant_distance_from_home, CAST(label AS DOUBLE) AS label FROM f4"""

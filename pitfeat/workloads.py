@@ -34,3 +34,157 @@ def rollups(t: Tables) -> DataFrame:
 def rolling_7_14(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship (W1-W3, F6): rollups per account at every day it transacts."""
     return rollups(Tables(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# shared building blocks
+# ---------------------------------------------------------------------------
+from .functions.scalar import register_distance  # noqa: E402
+from .operators import lookup as L  # noqa: E402
+from .plans import training as T  # noqa: E402
+from .specs import FeatureFunction, FeatureLookup, TableSpec  # noqa: E402
+
+REQUEST_DAY = "2000-06-15"
+
+
+def feature_tables(t: Tables) -> dict[str, T.FeatureTable]:
+    """The reference's three feature tables, re-derived from the driver tables."""
+    return {
+        "rollups": T.FeatureTable(rollups(t), TableSpec("account_id", time_key="date")),
+        "merchants": T.FeatureTable(t.merchants(), TableSpec("merchant_id")),
+        "accounts": T.FeatureTable(t.accounts_scd2(), TableSpec("account_id", time_key="valid_from"),
+                                   valid_to="valid_to"),
+    }
+
+
+def fraud_features(spark: SparkSession) -> list:
+    """Lookups of notebook 02 (rollups as-of, merchant exact, account as-of, distance)."""
+    register_distance(spark)
+    return [
+        FeatureLookup("rollups", ["14_day_total", "7_day_total", "7_day_transaction_count"],
+                      "primary_account_number", time_key="observation_date"),
+        FeatureLookup("merchants", ["merchant_zone"], "merchant_id"),
+        FeatureLookup("accounts", ["zone"], "primary_account_number", time_key="observation_date"),
+        FeatureFunction("distance", {"from_zone": "zone", "to_zone": "merchant_zone"},
+                        "merchant_distance_from_home"),
+    ]
+
+
+def request_spine(t: Tables, day: str = REQUEST_DAY) -> DataFrame:
+    """Requests of one day (T4, P8, P9): the date literal is compared as a string."""
+    e = t.eol()
+    return e.where(F.col("observation_date") == F.lit(day)).select(
+        "primary_account_number", "merchant_id", F.to_date(F.lit(day)).alias("observation_date"), "amount")
+
+
+# ---------------------------------------------------------------------------
+# scans, views, simple aggregates
+# ---------------------------------------------------------------------------
+@query
+def spine_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EOL view: card-present transactions with casts."""
+    return Tables(spark, sf_dir).eol()
+
+
+@query
+def request_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return request_spine(Tables(spark, sf_dir))
+
+
+@query
+def date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Global min / max transaction date (A2)."""
+    x = Tables(spark, sf_dir).txn_lines()
+    return x.agg(F.max("txn_date").alias("max"), F.min("txn_date").alias("min"))
+
+
+@query
+def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sum and activity flag per (account, day)."""
+    return R.daily_totals(Tables(spark, sf_dir).txn_lines(), "account_id", "txn_date", "amount")
+
+
+# ---------------------------------------------------------------------------
+# lookups
+# ---------------------------------------------------------------------------
+@query
+def lookup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type-1 merchant lookup; dangling merchants give NULL."""
+    t = Tables(spark, sf_dir)
+    return L.lookup_exact(t.eol(), t.merchants(), "merchant_id", "merchant_id",
+                          ["merchant_name", "merchant_zone"])
+
+
+def ship_spine(t: Tables) -> DataFrame:
+    return t.txn_lines().select("transaction_id", F.col("account_id").alias("primary_account_number"),
+                                F.col("ship_date").alias("observation_date"))
+
+
+@query
+def lookup_asof_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As-of the ship date, the latest rollup row of the account."""
+    t = Tables(spark, sf_dir)
+    r = L.AsOfRight(rollups(t), ["account_id"], "date",
+                    ["14_day_total", "7_day_total", "7_day_transaction_count"])
+    return L.lookup_asof(ship_spine(t), [r], "primary_account_number", "observation_date")
+
+
+def _scd2_right(t: Tables) -> L.AsOfRight:
+    return L.AsOfRight(t.accounts_scd2(), ["account_id"], "valid_from", ["zone", "account_name"],
+                       valid_to="valid_to")
+
+
+@query
+def lookup_asof_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account version valid at the observation date, by valid_from."""
+    t = Tables(spark, sf_dir)
+    return L.lookup_asof(t.eol(), [_scd2_right(t)], "primary_account_number", "observation_date")
+
+
+@query
+def lookup_asof_scd2_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same answer through the size-checked broadcast plan."""
+    t = Tables(spark, sf_dir)
+    return L.lookup_asof(t.eol(), [_scd2_right(t)], "primary_account_number", "observation_date",
+                         strategy="broadcast")
+
+
+@query
+def lookup_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """valid_from <= t < valid_to; equals the as-of answer here."""
+    t = Tables(spark, sf_dir)
+    return L.lookup_interval(t.eol(), t.accounts_scd2(), "primary_account_number", "account_id",
+                             "observation_date", "valid_from", "valid_to", ["zone", "account_name"])
+
+
+@query
+def function_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bound SQL function over two looked-up zones."""
+    t = Tables(spark, sf_dir)
+    feats = fraud_features(spark)[1:]
+    df, _ = T.compile_features(t.eol(), feats, feature_tables(t))
+    return df
+
+
+# ---------------------------------------------------------------------------
+# training / inference sets
+# ---------------------------------------------------------------------------
+TRAIN_EXCLUDE = ["transaction_id", "customer_id", "observation_date", "merchant_id",
+                 "merchant_zone", "zone"]
+INFER_EXCLUDE = ["transaction_id", "customer_id", "observation_date", "merchant_zone", "zone"]
+
+
+@query
+def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spine + lookups + function, label kept, exclusions."""
+    t = Tables(spark, sf_dir)
+    return T.training_set(t.eol(), fraud_features(spark), feature_tables(t), label="label",
+                          exclude=TRAIN_EXCLUDE)
+
+
+@query
+def inference_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same lookups, keys kept by a different exclusion list."""
+    t = Tables(spark, sf_dir)
+    return T.training_set(t.eol(), fraud_features(spark), feature_tables(t), label="label",
+                          exclude=INFER_EXCLUDE)
