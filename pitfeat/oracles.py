@@ -130,3 +130,140 @@ ORACLES["training_set"] = with_(*FRAUD) + """SELECT primary_account_number, amou
   "7_day_transaction_count", merchant_distance_from_home, CAST(label AS DOUBLE) AS label FROM f4"""
 ORACLES["inference_set"] = with_(*FRAUD) + """SELECT primary_account_number, merchant_id, amount, "14_day_total",
   "7_day_total", "7_day_transaction_count", merchant_distance_from_home, CAST(label AS DOUBLE) AS label FROM f4"""
+
+# -- windowed aggregates: a range join of points with daily partials ---------
+TXN_EVENTS = """txn_events AS (
+  SELECT event_id AS transaction_id, user_id AS account_id, ts, CAST(ts AS DATE) AS txn_date,
+         CAST(value AS DECIMAL(18,2)) AS amount
+  FROM events WHERE event_type = 'purchase')"""
+
+
+def daily_sql(name: str, src: str, col: str = "amount") -> str:
+    return f"""{name} AS (
+  SELECT account_id AS k, datediff('day', DATE '1970-01-01', txn_date) AS g,
+         SUM({col}) AS s, COUNT({col}) AS c, MIN({col}) AS mn, MAX({col}) AS mx,
+         MAX(CASE WHEN {col} > 0 THEN 1 ELSE 0 END) AS a
+  FROM {src} WHERE account_id IS NOT NULL AND txn_date IS NOT NULL GROUP BY 1, 2)"""
+
+
+def frame(d: int, o: int = 0, closed: str = "right") -> tuple[int, int]:
+    """Days back (lo, hi) covered: closed right is [p-o-d+1, p-o], closed left [p-o-d, p-o-1]."""
+    return (o + d - 1, o) if closed == "right" else (o + d, o + 1)
+
+
+def feat_expr(name: str, fn: str, d: int, o: int = 0, closed: str = "right") -> str:
+    lo, hi = frame(d, o, closed)
+    inside = f"x.g BETWEEN p.p - {lo} AND p.p - {hi}"
+    if fn == "sum":
+        return f'CAST(SUM(CASE WHEN {inside} THEN x.s END) AS DOUBLE) AS "{name}"'
+    if fn == "count":
+        return f'CAST(COALESCE(SUM(CASE WHEN {inside} THEN x.c END), 0) AS BIGINT) AS "{name}"'
+    if fn == "active_days":
+        return f'CAST(COALESCE(SUM(CASE WHEN {inside} THEN x.a END), 0) AS BIGINT) AS "{name}"'
+    if fn == "min":
+        return f'CAST(MIN(CASE WHEN {inside} THEN x.mn END) AS DOUBLE) AS "{name}"'
+    if fn == "max":
+        return f'CAST(MAX(CASE WHEN {inside} THEN x.mx END) AS DOUBLE) AS "{name}"'
+    if fn == "avg":
+        s = f"CAST(SUM(CASE WHEN {inside} THEN x.s END) AS DOUBLE)"
+        c = f"CAST(SUM(CASE WHEN {inside} THEN x.c END) AS DOUBLE)"
+        return f'CASE WHEN {c} > 0 THEN {s} / {c} END AS "{name}"'
+    raise ValueError(fn)
+
+
+def feats_sql(name: str, points: str, daily: str, feats: list[tuple]) -> str:
+    """``points`` has (k, d); output (k, d, features...) for each distinct point."""
+    reach = max(frame(*f[2:])[0] for f in feats)
+    exprs = ",\n    ".join(feat_expr(*f) for f in feats)
+    return f"""{name} AS (
+  SELECT p.k, p.d, {exprs}
+  FROM (SELECT DISTINCT k, d, datediff('day', DATE '1970-01-01', d) AS p FROM {points}
+        WHERE k IS NOT NULL AND d IS NOT NULL) p
+  LEFT JOIN {daily} x ON x.k = p.k AND x.g BETWEEN p.p - {reach} AND p.p
+  GROUP BY p.k, p.d)"""
+
+
+def names(feats: list[tuple]) -> str:
+    return ", ".join(f'f."{f[0]}"' for f in feats)
+
+
+def spine_feats(spine: str, feats: list[tuple], daily: str, out: str) -> str:
+    return (feats_sql("__fx", f"(SELECT primary_account_number AS k, observation_date AS d FROM {spine})",
+                      daily, feats)
+            + f""",
+{out} AS (SELECT s.*, {names(feats).replace('f.', 'fx.')} FROM {spine} s
+  LEFT JOIN __fx fx ON fx.k = s.primary_account_number AND fx.d = s.observation_date)""")
+
+
+def facts_feats(src: str, daily: str, feats: list[tuple], key: str = "account_id",
+                time: str = "txn_date") -> str:
+    return (feats_sql("__fx", f"(SELECT account_id AS k, txn_date AS d FROM {src})", daily, feats)
+            + f'\nSELECT f.k AS {key}, f.d AS {time}, {names(feats)} FROM __fx f')
+
+
+SEARCH_FEATS = [
+    ("amount_avg_15d", "avg", 15), ("amount_sum_15d", "sum", 15),
+    ("amount_avg_30d", "avg", 30), ("amount_sum_30d", "sum", 30),
+    ("amount_avg_5d_offset_5d", "avg", 5, 5), ("amount_sum_5d_offset_5d", "sum", 5, 5),
+    ("amount_avg_5d_offset_10d", "avg", 5, 10), ("amount_sum_5d_offset_10d", "sum", 5, 10),
+    ("amount_avg_10d_offset_5d", "avg", 10, 5), ("amount_sum_10d_offset_5d", "sum", 10, 5),
+    ("amount_avg_10d_offset_10d", "avg", 10, 10), ("amount_sum_10d_offset_10d", "sum", 10, 10),
+]
+
+SEARCH_CTES = [TXN_LINES, EOL, daily_sql("dl", "txn_lines"), spine_feats("eol", SEARCH_FEATS, "dl", "ss")]
+ORACLES["search_space_12"] = with_(*SEARCH_CTES) + "SELECT * FROM ss"
+
+ORACLES["window_avg_sum"] = "WITH " + ",\n".join([TXN_EVENTS, daily_sql("de", "txn_events")]) + ",\n" + \
+    facts_feats("txn_events", "de", [("amount_avg_30d", "avg", 30), ("amount_sum_30d", "sum", 30)])
+ORACLES["window_offset_sum"] = "WITH " + ",\n".join([TXN_EVENTS, daily_sql("de", "txn_events")]) + ",\n" + \
+    facts_feats("txn_events", "de", [("amount_sum_5d_offset_2d", "sum", 5, 2)])
+ORACLES["window_count"] = "WITH " + ",\n".join([TXN_EVENTS, daily_sql("de", "txn_events")]) + ",\n" + \
+    facts_feats("txn_events", "de", [("amount_count_7d", "count", 7), ("amount_active_days_7d", "active_days", 7),
+                                     ("amount_min_7d", "min", 7), ("amount_max_7d", "max", 7)])
+ORACLES["window_closed_left"] = with_(
+    TXN_LINES, EOL, daily_sql("dl", "txn_lines"),
+    spine_feats("eol", [("amount_sum_7d", "sum", 7), ("amount_sum_7d_excl", "sum", 7, 0, "left"),
+                        ("amount_count_7d", "count", 7), ("amount_count_7d_excl", "count", 7, 0, "left")],
+                "dl", "out")) + "SELECT * FROM out"
+
+ORACLES["aggregate_grid"] = "WITH " + ",\n".join([
+    TXN_EVENTS, daily_sql("de", "txn_events"),
+    """grid AS (SELECT k, CAST(unnest(generate_series(TIMESTAMP '2023-01-01',
+                 (SELECT CAST(max(txn_date) AS TIMESTAMP) FROM txn_events), INTERVAL 1 DAY)) AS DATE) AS d
+               FROM (SELECT DISTINCT account_id AS k FROM txn_events WHERE account_id IS NOT NULL
+                     AND txn_date IS NOT NULL))""",
+    feats_sql("__fx", "grid", "de", [("amount_avg_30d", "avg", 30), ("amount_sum_5d_offset_2d", "sum", 5, 2)]),
+]) + '\nSELECT k AS account_id, d AS txn_date, "amount_avg_30d", "amount_sum_5d_offset_2d" FROM __fx'
+
+ORACLES["attach_aggregates"] = with_(
+    TXN_LINES, EOL, daily_sql("dl", "txn_lines"),
+    feats_sql("agg", "(SELECT account_id AS k, txn_date AS d FROM txn_lines)", "dl",
+              [("amount_avg_15d", "avg", 15), ("amount_sum_15d", "sum", 15)])) + """SELECT e.*,
+  agg.amount_avg_15d, agg.amount_sum_15d FROM eol e
+  LEFT JOIN agg ON e.primary_account_number = agg.k AND e.observation_date = agg.d"""
+
+ORACLES["dense_rollups"] = "WITH " + ",\n".join([
+    TXN_ORDERS, ACCOUNTS, daily_sql("do_", "txn_orders"),
+    """grid AS (SELECT k, CAST(unnest(generate_series(CAST(s AS TIMESTAMP),
+                 (SELECT CAST(max(txn_date) AS TIMESTAMP) FROM txn_orders), INTERVAL 1 DAY)) AS DATE) AS d
+               FROM (SELECT account_id AS k, min(valid_from) AS s FROM accounts GROUP BY 1))""",
+    feats_sql("__fx", "grid", "do_", [("14_day_total", "sum", 14), ("7_day_total", "sum", 7),
+                                      ("7_day_transaction_count", "active_days", 7)]),
+]) + """
+SELECT k AS customer_id, d AS date, COALESCE("14_day_total", 0.0) AS "14_day_total",
+  COALESCE("7_day_total", 0.0) AS "7_day_total", "7_day_transaction_count" FROM __fx"""
+
+WIDE = [TXN_ORDERS, *SEARCH_CTES, MERCHANTS, ACCOUNTS,
+        """w2 AS (SELECT ss.*, m.merchant_zone FROM ss LEFT JOIN merchants m ON ss.merchant_id = m.merchant_id)""",
+        asof_accounts("w2", "w3", "a.zone"),
+        f"""w4 AS (SELECT *, {DIST.format(a='zone', b='merchant_zone')} AS merchant_distance_from_home FROM w3)"""]
+WIDE_COLS = ", ".join(f'"{f[0]}"' for f in SEARCH_FEATS)
+ORACLES["training_set_wide"] = with_(*WIDE) + f"""SELECT primary_account_number, amount, {WIDE_COLS},
+  merchant_distance_from_home, CAST(label AS DOUBLE) AS label FROM w4
+WHERE {' AND '.join(f'"{f[0]}" IS NOT NULL' for f in SEARCH_FEATS)}
+  AND merchant_distance_from_home IS NOT NULL AND primary_account_number IS NOT NULL
+  AND amount IS NOT NULL AND label IS NOT NULL"""
+ORACLES["training_set_defaults"] = with_(*WIDE) + "SELECT primary_account_number, amount, " + ", ".join(
+    f'COALESCE("{f[0]}", 0.0) AS "{f[0]}"' for f in SEARCH_FEATS) + """,
+  COALESCE(merchant_distance_from_home, -1.0) AS merchant_distance_from_home,
+  CAST(label AS DOUBLE) AS label FROM w4"""

@@ -118,8 +118,8 @@ def training_set(spine: DataFrame, features: Sequence[Feature], tables: Mapping[
                  asof_strategy: str = "union", override: bool = False) -> DataFrame:
     """Spine + features + label, minus ``exclude`` (P10, names absent are ignored).
 
-    ``defaults`` fills missing feature values (P13); ``nulls="drop"`` then drops
-    rows with any remaining NULL feature (P12). The label is cast to
+    ``defaults`` fills missing values per column (P13); ``nulls="drop"`` then
+    drops rows with any remaining NULL in the kept columns (P12). The label is cast to
     ``label_type`` (P6) and placed last.
     """
     if label is not None and label not in spine.columns:
@@ -127,13 +127,11 @@ def training_set(spine: DataFrame, features: Sequence[Feature], tables: Mapping[
     df, names = compile_features(spine, features, tables, override=override,
                                  asof_strategy=asof_strategy)
     if defaults:
-        unknown = [k for k in defaults if k not in names]
+        unknown = [k for k in defaults if k not in df.columns]
         if unknown:
-            warnings.warn(f"defaults for unknown features ignored: {unknown}", stacklevel=2)
-        df = df.fillna({k: v for k, v in defaults.items() if k in names})
-    if nulls == "drop":
-        df = df.dropna(how="any", subset=names)
-    elif nulls != "keep":
+            warnings.warn(f"defaults for unknown columns ignored: {unknown}", stacklevel=2)
+        df = df.fillna({k: v for k, v in defaults.items() if k in df.columns})
+    if nulls not in ("keep", "drop"):
         raise ValueError("nulls must be 'keep' or 'drop'")
     keep_spine = [c for c in spine.columns if c != label and c not in names]
     cols = keep_spine + [n for n in names if n not in keep_spine]
@@ -141,7 +139,9 @@ def training_set(spine: DataFrame, features: Sequence[Feature], tables: Mapping[
     out = [F.col(c) for c in cols if c not in drop]
     if label is not None and label not in drop:
         out.append(F.col(label).cast(label_type).alias(label) if label_type else F.col(label))
-    return df.select(*out)
+    res = df.select(*out)
+    # like a dropna() of the finished frame: any NULL in any kept column drops the row
+    return res.dropna(how="any") if nulls == "drop" else res
 
 
 def apply_spec(spec: FeatureSpec, df: DataFrame, tables: Mapping[str, object],

@@ -188,3 +188,137 @@ def inference_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return T.training_set(t.eol(), fraud_features(spark), feature_tables(t), label="label",
                           exclude=INFER_EXCLUDE)
+
+
+# ---------------------------------------------------------------------------
+# windowed aggregates: spine, facts and grid evaluation
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from .specs import Agg, AggregateSpec, Lookback, expand_search_space  # noqa: E402
+
+# the reference's search space: 2x2 plain windows + 2x2x2 offset windows
+SEARCH_SPACE = [
+    {"column": "amount", "window": [15, 30], "function": ["avg", "sum"]},
+    {"column": "amount", "window": [5, 10], "offset": [5, 10], "function": ["avg", "sum"]},
+]
+EOL_ON = {"primary_account_number": "account_id", "observation_date": "txn_date"}
+GRID_START = _dt.datetime(2023, 1, 1)
+
+
+def search_space_spec() -> AggregateSpec:
+    return AggregateSpec("account_id", "txn_date", expand_search_space(SEARCH_SPACE))
+
+
+def search_space_features(t: Tables) -> DataFrame:
+    """EOL spine with the 12 search-space aggregates of all lines."""
+    return R.aggregate_features(t.txn_lines(), search_space_spec(), spine=t.eol(), on=EOL_ON)
+
+
+@query
+def search_space_12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_space_features(Tables(spark, sf_dir))
+
+
+@query
+def window_avg_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """30-day AVG and SUM at every active (user, day) of dense purchase events."""
+    spec = AggregateSpec("account_id", "txn_date", [Agg("amount", "avg", Lookback(30)),
+                                                    Agg("amount", "sum", Lookback(30))])
+    return R.aggregate_features(Tables(spark, sf_dir).txn_events(), spec, mode="facts")
+
+
+@query
+def window_offset_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5-day SUM shifted back 2 days (W5): the reference's offset=-2 days."""
+    spec = AggregateSpec("account_id", "txn_date",
+                         [Agg("amount", "sum", Lookback(5, offset=_dt.timedelta(days=-2)))])
+    return R.aggregate_features(Tables(spark, sf_dir).txn_events(), spec, mode="facts")
+
+
+@query
+def window_closed_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same-day leakage (H3): 7-day sums including and excluding the scored day."""
+    t = Tables(spark, sf_dir)
+    spec = AggregateSpec("account_id", "txn_date", [
+        Agg("amount", "sum", Lookback(7)), Agg("amount", "sum", Lookback(7, closed="left")),
+        Agg("amount", "count", Lookback(7)), Agg("amount", "count", Lookback(7, closed="left"))])
+    return R.aggregate_features(t.txn_lines(), spec, spine=t.eol(), on=EOL_ON)
+
+
+@query
+def window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """7-day COUNT of purchases and active days per (user, day)."""
+    spec = AggregateSpec("account_id", "txn_date", [Agg("amount", "count", Lookback(7)),
+                                                    Agg("amount", "active_days", Lookback(7)),
+                                                    Agg("amount", "min", Lookback(7)),
+                                                    Agg("amount", "max", Lookback(7))])
+    return R.aggregate_features(Tables(spark, sf_dir).txn_events(), spec, mode="facts")
+
+
+@query
+def window_approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate distinct merchants in 30 days, mergeable HLL sketches (A5)."""
+    t = Tables(spark, sf_dir)
+    spec = AggregateSpec("account_id", "txn_date",
+                         [Agg("merchant_id", "approx_count_distinct", Lookback(30))])
+    return R.aggregate_features(t.txn_lines(), spec, spine=t.eol(), on=EOL_ON)
+
+
+@query
+def aggregate_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily grid from 2023-01-01 to the last event (A9): the minimal notebook's two aggregates."""
+    spec = AggregateSpec("account_id", "txn_date", [
+        Agg("amount", "avg", Lookback(30)),
+        Agg("amount", "sum", Lookback(5, offset=_dt.timedelta(days=-2)))], start=GRID_START, end=None)
+    return R.aggregate_features(Tables(spark, sf_dir).txn_events(), spec, mode="grid")
+
+
+@query
+def attach_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spine LEFT JOIN a precomputed aggregate table, key renamed and dropped."""
+    t = Tables(spark, sf_dir)
+    spec = AggregateSpec("account_id", "txn_date", [Agg("amount", "avg", Lookback(15)),
+                                                    Agg("amount", "sum", Lookback(15))])
+    aggs = R.aggregate_features(t.txn_lines(), spec, mode="facts")
+    return T.attach(t.eol(), aggs, on={"primary_account_number": "account_id",
+                                       "observation_date": "txn_date"})
+
+
+@query
+def dense_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense daily rollups from each account's first version to the last order.
+
+    Entities are the SCD-2 rows (several per account): deduplicated before the
+    calendar is built, so sums are not multiplied by the version count (H1).
+    """
+    t = Tables(spark, sf_dir)
+    spec = R.rolling_7_14_spec("account_id", "txn_date", "amount")
+    out = R.dense_daily(t.txn_orders(), spec, entities=t.accounts_scd2(), start_col="valid_from")
+    return out.withColumnRenamed("account_id", "customer_id").withColumnRenamed("txn_date", "date")
+
+
+TRAIN_WIDE_EXCLUDE = ["transaction_id", "customer_id", "observation_date", "transaction_date",
+                      "merchant_id", "merchant_zone", "zone"]
+
+
+def wide_training(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return T.training_set(search_space_features(t), fraud_features(spark)[1:], feature_tables(t),
+                          label="label", exclude=TRAIN_WIDE_EXCLUDE, **kw)
+
+
+@query
+def training_set_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aggregates attached first, then lookups; rows with any NULL feature dropped."""
+    return wide_training(spark, sf_dir, nulls="drop")
+
+
+SEARCH_NAMES = search_space_spec().names
+WIDE_DEFAULTS = {**{n: 0.0 for n in SEARCH_NAMES}, "merchant_distance_from_home": -1.0}
+
+
+@query
+def training_set_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing features filled with defaults instead of dropping rows."""
+    return wide_training(spark, sf_dir, defaults=WIDE_DEFAULTS)
