@@ -267,3 +267,45 @@ ORACLES["training_set_defaults"] = with_(*WIDE) + "SELECT primary_account_number
     f'COALESCE("{f[0]}", 0.0) AS "{f[0]}"' for f in SEARCH_FEATS) + """,
   COALESCE(merchant_distance_from_home, -1.0) AS merchant_distance_from_home,
   CAST(label AS DOUBLE) AS label FROM w4"""
+
+ORACLES["build_scd2"] = """SELECT user_id AS account_id, event_id AS change_id,
+  CAST(json_extract_string(props, '$.k') AS BIGINT) AS zip, ts AS valid_from,
+  lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to,
+  CAST(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) IS NULL AS BIGINT) AS is_current
+FROM events WHERE event_type = 'signup' AND user_id IS NOT NULL AND ts IS NOT NULL"""
+ORACLES["latest_snapshot"] = with_(TXN_ORDERS, ROLLUPS) + """SELECT * EXCLUDE (__rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY date DESC) AS __rn FROM rollups) WHERE __rn = 1"""
+ORACLES["violations_unique"] = with_(TXN_LINES) + """SELECT transaction_id, COUNT(*) AS n FROM txn_lines
+GROUP BY transaction_id HAVING COUNT(*) > 1"""
+ORACLES["violations_not_null"] = with_(ACCOUNTS) + """
+SELECT 'account_id' AS column_name, CAST(COUNT(*) - COUNT(account_id) AS BIGINT) AS null_rows, COUNT(*) AS total_rows FROM accounts
+UNION ALL SELECT 'valid_from', CAST(COUNT(*) - COUNT(valid_from) AS BIGINT), COUNT(*) FROM accounts
+UNION ALL SELECT 'valid_to', CAST(COUNT(*) - COUNT(valid_to) AS BIGINT), COUNT(*) FROM accounts"""
+ORACLES["orphans"] = with_(TXN_LINES, MERCHANTS) + """SELECT transaction_id, account_id, merchant_id, txn_date
+FROM txn_lines t WHERE merchant_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM merchants m WHERE m.merchant_id = t.merchant_id)"""
+ORACLES["flatten_array"] = with_(ACCOUNTS) + "SELECT * FROM accounts"
+ORACLES["account_age_365"] = with_(TXN_ORDERS) + """, m AS (
+  SELECT account_id, min(txn_date) AS member_since, (SELECT max(txn_date) FROM txn_orders) AS as_of
+  FROM txn_orders GROUP BY account_id),
+y AS (SELECT *, CAST(floor(datediff('day', member_since, as_of) / 365.0) AS BIGINT) AS member_years FROM m)
+SELECT account_id, member_since, as_of, member_years,
+  member_since + CAST(member_years * 365 AS INTEGER) AS last_anniversary,
+  as_of - CAST(member_years * 365 AS INTEGER) AS window_start,
+  member_years * 50 AS expected_transactions FROM y"""
+ORACLES["request_struct"] = ORACLES["request_day"]
+PMOD = "((({x}) % {n}) + {n}) % {n}"
+SPLIT_BUCKET = PMOD.format(x=PMOD.format(x=PMOD.format(x="primary_account_number + 0", n=2147483647)
+                                         + " * 48271", n=2147483647), n=10000)
+ORACLES["split_hash"] = with_(TXN_LINES, EOL) + f"""SELECT *,
+  CASE WHEN {SPLIT_BUCKET} < 8000 THEN 'train' ELSE 'test' END AS split FROM eol"""
+ORACLES["spec_override"] = with_(
+    TXN_LINES, MERCHANTS, ACCOUNTS,
+    """req AS (SELECT CAST(account_id AS BIGINT) AS primary_account_number, merchant_id, txn_date AS observation_date,
+         CAST(amount AS DOUBLE) AS amount,
+         CAST(CASE WHEN pos_entry_mode = 1 THEN merchant_id % 25 END AS BIGINT) AS merchant_zone
+       FROM txn_lines WHERE card_present)""",
+    """r2 AS (SELECT r.* EXCLUDE (merchant_zone), COALESCE(r.merchant_zone, m.merchant_zone) AS merchant_zone
+       FROM req r LEFT JOIN merchants m ON r.merchant_id = m.merchant_id)""",
+    asof_accounts("r2", "r3", "a.zone")) + f"""SELECT *, {DIST.format(a='zone', b='merchant_zone')}
+  AS merchant_distance_from_home FROM r3"""

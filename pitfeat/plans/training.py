@@ -61,15 +61,22 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
                      override: bool = False, asof_strategy: str = "union") -> tuple[DataFrame, list[str]]:
     """Attach ``features`` to ``spine``; returns (frame, output names in listed order).
 
-    With ``override`` a feature already present in the spine is kept: a
-    column present as a whole skips its lookup, and NULL cells are filled from
-    the lookup (T8).
+    With ``override`` a feature already present in the spine is kept and only
+    its NULL cells are filled from the lookup (T8); a lookup whose outputs are
+    all present as non-nullable columns is skipped, no join at all.
     """
     df = spine
     names: list[str] = []
     pending: list[tuple[FeatureLookup, FeatureTable]] = []
     fill: dict[str, str] = {}
 
+    def apply_fills():
+        nonlocal df
+        for n, tmp in list(fill.items()):
+            if tmp in df.columns:
+                df = df.withColumn(n, F.coalesce(F.col(n), F.col(tmp))).drop(tmp)
+                del fill[n]
+
     def flush():
         nonlocal df, pending
         groups: dict[tuple, list[AsOfRight]] = {}
@@ -78,6 +85,7 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
         for (key, time), rights in groups.items():
             df = lookup_asof(df, rights, list(key), time, strategy=asof_strategy)
         pending = []
+        apply_fills()
 
     for f in features:
         if isinstance(f, FeatureFunction):
@@ -92,8 +100,9 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
         names += out
         if override:
             present = [n for n in out if n in spine.columns]
-            if len(present) == len(out):
-                continue  # wholly supplied: no join at all
+            complete = {fld.name for fld in spine.schema.fields if not fld.nullable}
+            if all(n in complete for n in out):
+                continue  # supplied and non-nullable in the schema: no join at all
             if present:
                 rename = dict(f.rename)
                 for feat, n in zip(f.features, out):
@@ -106,9 +115,8 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
         else:
             df = lookup_exact(df, t.df, list(f.lookup_key), list(t.spec.key), list(f.features),
                               rename=dict(f.rename))
+            apply_fills()
     flush()
-    for n, tmp in fill.items():
-        df = df.withColumn(n, F.coalesce(F.col(n), F.col(tmp))).drop(tmp)
     return df, names
 
 

@@ -322,3 +322,101 @@ WIDE_DEFAULTS = {**{n: 0.0 for n in SEARCH_NAMES}, "merchant_distance_from_home"
 def training_set_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing features filled with defaults instead of dropping rows."""
     return wide_training(spark, sf_dir, defaults=WIDE_DEFAULTS)
+
+
+# ---------------------------------------------------------------------------
+# SCD-2, snapshots, validation, reshaping, splitting
+# ---------------------------------------------------------------------------
+from .functions.scalar import split_bucket, years_365  # noqa: E402
+from .operators import quality as Q  # noqa: E402
+from .operators import reshape as X  # noqa: E402
+from .operators import scd as S  # noqa: E402
+from .specs import FeatureSpec  # noqa: E402
+
+
+@query
+def build_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chain signup changes into zip versions per account."""
+    ch = Tables(spark, sf_dir).profile_changes()
+    return S.build_scd2(ch, "account_id", "changed_at", ["change_id", "zip"], order_by=["change_id"])
+
+
+@query
+def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest rollup row per account: what an online table keyed by account serves."""
+    return S.latest_snapshot(rollups(Tables(spark, sf_dir)), "account_id", "date")
+
+
+@query
+def violations_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared-unique transaction ids that repeat."""
+    return Q.validate_unique(Tables(spark, sf_dir).txn_lines(), "transaction_id")
+
+
+@query
+def violations_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULL counts of the SCD-2 key columns; valid_to is NULL on open versions."""
+    return Q.null_counts(Tables(spark, sf_dir).accounts_scd2(), ["account_id", "valid_from", "valid_to"])
+
+
+@query
+def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose merchant is absent from the merchant dimension."""
+    t = Tables(spark, sf_dir)
+    facts = t.txn_lines().select("transaction_id", "account_id", "merchant_id", "txn_date")
+    return Q.orphans(facts, "merchant_id", t.merchants(), "merchant_id")
+
+
+@query
+def flatten_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions built as array<struct> per customer, exploded and flattened."""
+    return Tables(spark, sf_dir).accounts_scd2()
+
+
+@query
+def account_age_365(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole 365-day membership years up to the last order, and day shifts."""
+    o = Tables(spark, sf_dir).txn_orders()
+    as_of = o.select(F.max("txn_date")).scalar()
+    m = o.groupBy("account_id").agg(F.min("txn_date").alias("member_since"))
+    yrs = years_365(F.col("member_since"), as_of)
+    return m.select("account_id", "member_since", as_of.alias("as_of"), yrs.alias("member_years"),
+                    F.date_add("member_since", (yrs * 365).cast("int")).alias("last_anniversary"),
+                    F.date_sub(as_of, (yrs * 365).cast("int")).alias("window_start"),
+                    (yrs * 50).alias("expected_transactions"))
+
+
+@query
+def request_struct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests packed with struct(*) and read back field by field."""
+    packed = X.request_struct(request_spine(Tables(spark, sf_dir)))
+    return X.unpack_struct(packed)
+
+
+SPLIT_SEED = 0
+
+
+@query
+def split_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """80/20 split on the account key, stable across partitionings (M2)."""
+    e = Tables(spark, sf_dir).eol()
+    b = split_bucket("primary_account_number", seed=SPLIT_SEED)
+    return e.withColumn("split", F.when(b < 8000, F.lit("train")).otherwise(F.lit("test")))
+
+
+def override_requests(t: Tables) -> DataFrame:
+    """Requests that supply the merchant zone on first lines only (T8 fixture)."""
+    x = t.txn_lines().where(F.col("card_present"))
+    return x.select(F.col("account_id").alias("primary_account_number"), "merchant_id",
+                    F.col("txn_date").alias("observation_date"), F.col("amount").cast("double").alias("amount"),
+                    F.when(F.col("pos_entry_mode") == 1, F.pmod(F.col("merchant_id"), F.lit(25)))
+                    .cast("bigint").alias("merchant_zone"))
+
+
+@query
+def spec_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored feature spec applied to requests; supplied values win."""
+    t = Tables(spark, sf_dir)
+    spec = FeatureSpec("fraud_features", fraud_features(spark)[1:])
+    spec = FeatureSpec.from_json(spec.to_json())
+    return T.apply_spec(spec, override_requests(t), feature_tables(t), override=True)
