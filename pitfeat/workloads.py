@@ -420,3 +420,40 @@ def spec_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = FeatureSpec("fraud_features", fraud_features(spark)[1:])
     spec = FeatureSpec.from_json(spec.to_json())
     return T.apply_spec(spec, override_requests(t), feature_tables(t), override=True)
+
+
+# ---------------------------------------------------------------------------
+# model fitting and scoring (rows-only checks: no SQL equivalent)
+# ---------------------------------------------------------------------------
+from .plans import ml as M  # noqa: E402
+
+
+def fitted_tree(spark: SparkSession, sf_dir: str):
+    ts = QUERIES["training_set"](spark, sf_dir)
+    return M.fit_tree(ts, "label", max_depth=5)
+
+
+@query
+def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tree fitted on the training set; one day's requests get features looked up, then scored."""
+    t = Tables(spark, sf_dir)
+    model, feats = fitted_tree(spark, sf_dir)
+    spec = FeatureSpec("fraud_features", fraud_features(spark))
+    return M.score_batch(request_spine(t), spec, feature_tables(t), model, feats)
+
+
+@query
+def score_supplied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inference set already carries every feature: transform only."""
+    model, feats = fitted_tree(spark, sf_dir)
+    return M.score_supplied(QUERIES["inference_set"](spark, sf_dir), model, feats)
+
+
+@query
+def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 of the 12 search-space aggregates by boosted-tree elimination, 80/20 split (M2, M3)."""
+    ts = QUERIES["training_set_defaults"](spark, sf_dir)
+    train, test = M.split(ts, "primary_account_number", 0.8)
+    always = [c for c in ts.columns if c not in SEARCH_NAMES and c != "label"]
+    return M.select_features(train, test, "label", SEARCH_NAMES, always=always, k=5,
+                             max_iter=300, step_size=0.1, seed=123)
