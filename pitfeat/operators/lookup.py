@@ -179,7 +179,7 @@ def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine
         if all(_fits(r.df, max_broadcast_rows) for r in rights):
             out = spine
             for i, r in enumerate(rights):
-                out = _asof_broadcast(out, r, lk, spine_time, i)
+                out = _asof_packed(out, r, lk, spine_time, i)
             return out
         strategy = "union"
     if strategy != "union":
@@ -192,14 +192,16 @@ def _fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def _asof_broadcast(spine: DataFrame, r: AsOfRight, lk: list[str], spine_time: str, i: int) -> DataFrame:
+def _asof_packed(spine: DataFrame, r: AsOfRight, lk: list[str], spine_time: str, i: int,
+                 broadcast: bool = True) -> DataFrame:
+    """Join each spine row to its key's packed rows; keep the latest at or before t."""
     v = _value_struct(r, i)
     keyed = r.df.where(_and([F.col(k).isNotNull() for k in r.key] + [F.col(r.time).isNotNull()]))
     packed = keyed.groupBy(*[F.col(k).alias(f"__rk{j}") for j, k in enumerate(r.key)]).agg(
         F.collect_list(v).alias("__arr"))
     t = spine[spine_time]
     cond = _and([spine[k] == packed[f"__rk{j}"] for j, k in enumerate(lk)])
-    j = spine.join(F.broadcast(packed), cond, "left")
+    j = spine.join(F.broadcast(packed) if broadcast else packed, cond, "left")
     pick = F.array_max(F.filter(F.col("__arr"), lambda x: x["t"] <= t))
     return j.select(*[spine[c] for c in spine.columns],
                     *[pick["f"][n].alias(n) for n in r.names()])

@@ -309,3 +309,26 @@ ORACLES["spec_override"] = with_(
        FROM req r LEFT JOIN merchants m ON r.merchant_id = m.merchant_id)""",
     asof_accounts("r2", "r3", "a.zone")) + f"""SELECT *, {DIST.format(a='zone', b='merchant_zone')}
   AS merchant_distance_from_home FROM r3"""
+
+ORACLES["stream_publish_latest"] = ORACLES["latest_snapshot"]
+ORACLES["stream_enrich"] = """WITH p AS (
+  SELECT event_id AS transaction_id, user_id AS account_id, ts, CAST(value AS DECIMAL(18,2)) AS amount,
+         row_number() OVER () AS __rid
+  FROM events WHERE event_type = 'purchase'),
+s AS (SELECT user_id AS account_id, event_id AS change_id, ts AS valid_from,
+             CAST(json_extract_string(props, '$.k') AS BIGINT) AS zip
+      FROM events WHERE event_type = 'signup' AND user_id IS NOT NULL AND ts IS NOT NULL)
+SELECT transaction_id, account_id, ts, amount, zip FROM (
+  SELECT p.*, s.zip, row_number() OVER (PARTITION BY p.__rid ORDER BY s.valid_from DESC NULLS LAST,
+                                        s.change_id DESC NULLS LAST) AS __rn
+  FROM p LEFT JOIN s ON s.account_id = p.account_id AND s.valid_from <= p.ts)
+WHERE __rn = 1"""
+ORACLES["stream_rolling"] = """WITH p AS (
+  SELECT user_id AS account_id, ts, CAST(value AS DECIMAL(18,2)) AS amount
+  FROM events WHERE event_type = 'purchase'),
+w AS (SELECT account_id, date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) AS window_start, amount
+      FROM p, range(0, 7) r(k))
+SELECT account_id, window_start, window_start + INTERVAL 7 DAY AS window_end,
+       CAST(SUM(amount) AS DOUBLE) AS amount_sum, COUNT(amount) AS amount_count
+FROM w GROUP BY account_id, window_start
+HAVING window_start + INTERVAL 7 DAY <= (SELECT max(ts) FROM p) - INTERVAL 1 DAY"""

@@ -457,3 +457,69 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     always = [c for c in ts.columns if c not in SEARCH_NAMES and c != "label"]
     return M.select_features(train, test, "label", SEARCH_NAMES, always=always, k=5,
                              max_iter=300, step_size=0.1, seed=123)
+
+
+# ---------------------------------------------------------------------------
+# streaming (run over all available input, then read the sink back)
+# ---------------------------------------------------------------------------
+from .session import materialize, scratch_path  # noqa: E402
+from .streaming import jobs as ST  # noqa: E402
+
+
+def _utc(spark: SparkSession) -> None:
+    # event-time windows are aligned on UTC days; timestamps here are UTC wall clocks
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@query
+def stream_publish_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollups streamed two files per batch into a keyed latest-row snapshot.
+
+    Equals ``latest_snapshot``: replaying in several batches gives the answer
+    of one batch.
+    """
+    src = materialize(rollups(Tables(spark, sf_dir)), name="rollups-src")
+    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 2).parquet(
+        src.inputFiles()[0].rsplit("/", 1)[0])
+    out, ckpt = scratch_path(spark, "published"), scratch_path(spark, "published-ckpt")
+    ST.publish_latest(stream, "account_id", "date", out, ckpt).awaitTermination()
+    return ST.read_published(spark, out)
+
+
+def _purchase_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = Tables(spark, sf_dir).raw("events").schema
+    # the folder holds every table: the glob keeps the stream on the events file
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return ev.where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("transaction_id"), F.col("user_id").alias("account_id"), "ts",
+        F.col("value").cast("decimal(18,2)").alias("amount"))
+
+
+@query
+def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase requests enriched with the zip valid at request time (R2).
+
+    The static side is the SCD-2 built from signup changes; equals the batch
+    as-of join.
+    """
+    _utc(spark)
+    t = Tables(spark, sf_dir)
+    scd = S.build_scd2(t.profile_changes(), "account_id", "changed_at", ["change_id", "zip"],
+                       order_by=["change_id"])
+    right = L.AsOfRight(scd, ["account_id"], "valid_from", ["zip"], valid_to="valid_to")
+    enriched = ST.enrich_stream(_purchase_stream(spark, sf_dir), [right], "account_id", "ts",
+                                broadcast=L._fits(scd, L.DEFAULT_BROADCAST_ROWS))
+    out = scratch_path(spark, "enriched")
+    ST.run_to_files(enriched, out, scratch_path(spark, "enriched-ckpt"))
+    return spark.read.parquet(out)
+
+
+@query
+def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """7-day windows sliding by a day, per user, emitted once the watermark passes."""
+    _utc(spark)
+    agg = ST.stream_rolling(_purchase_stream(spark, sf_dir), "account_id", "ts", "amount",
+                            duration="7 days", slide="1 day", watermark="1 day")
+    out = scratch_path(spark, "stream-rolling")
+    ST.run_to_files(agg, out, scratch_path(spark, "stream-rolling-ckpt"))
+    return spark.read.parquet(out)
