@@ -6,18 +6,23 @@ NULL features (H8).
 
 As-of plan (``strategy="union"``, the default; SURVEY 4.3.3 made skew-proof):
 
-1. the distinct (key, time) points of the spine are taken (map-side combined);
-2. right rows and points are cut into (key, time bucket) groups; each bucket
-   gets a "carry-in" row: the latest right row of all earlier buckets, found
-   with a small per-(key, bucket) aggregate and a window over buckets;
-3. one window per (key, bucket) ordered by (time, side) takes the running max
-   of ``struct(time, tie-breakers, features)``: the latest right row at or
-   before each point. Taking the max of the whole struct makes ties
-   deterministic, and a NULL feature in the latest row stays NULL;
-4. the spine rows are re-attached by an equi-join on (key, time), which AQE's
+1. spine points and the rows of every right table are folded into ONE
+   aggregation per (key, time), map-side combined: per right table the max of
+   ``struct(time, tie-breakers, features)`` (the latest row, ties broken
+   deterministically, a NULL feature kept as NULL), plus a point flag. After it
+   a key holds one row per distinct time, however many facts or spine rows
+   share that time;
+2. a window per key ordered by time takes the running max of each struct: the
+   latest right row at or before each point. With DATE times a key's group is
+   bounded by its calendar days. Finer times (``bucket`` given, or ``"auto"``
+   with timestamps) cut keys into (key, time bucket) groups, each seeded with a
+   "carry-in" row (the latest right row of all earlier buckets, from a
+   per-(key, bucket) aggregate and a window over buckets), so one key with a
+   huge history spreads over many tasks;
+3. the spine rows are re-attached by an equi-join on (key, time), which AQE's
    skew join can split when one point is hot; duplicate spine rows survive.
 
-Several as-of lookups on the same spine key and time share steps 1-4 (one
+Several as-of lookups on the same spine key and time share steps 1-3 (one
 window pass, one join back), however many right tables there are.
 
 ``strategy="broadcast"`` packs each right key's rows into an array, broadcasts
@@ -161,7 +166,7 @@ def _value_struct(r: AsOfRight, idx: int) -> Column:
 
 
 def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine_time: str,
-                strategy: str = "union", bucket: _dt.timedelta = DEFAULT_BUCKET,
+                strategy: str = "union", bucket: _dt.timedelta | str | None = "auto",
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Latest right row with ``time <= spine_time`` per spine row, for each right table."""
     lk = _ls(lookup_key)
@@ -207,56 +212,53 @@ def _asof_packed(spine: DataFrame, r: AsOfRight, lk: list[str], spine_time: str,
                     *[pick["f"][n].alias(n) for n in r.names()])
 
 
+def _time_type(df: DataFrame, col: str) -> str:
+    return dict(df.dtypes)[col]
+
+
 def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_time: str,
-                bucket: _dt.timedelta) -> DataFrame:
+                bucket) -> DataFrame:
     n = len(rights)
     ks = [f"__k{i}" for i in range(len(lk))]
     vcols = [f"__v{i}" for i in range(n)]
-    bk = granule(F.col("__t"), bucket)
-
-    pts = (spine.select(*[F.col(k).alias(kk) for k, kk in zip(lk, ks)], F.col(spine_time).alias("__t"))
-           .where(_and([F.col(c).isNotNull() for c in ks + ["__t"]])).distinct()
-           .withColumn("__b", bk))
-
-    def right_rows(i: int, r: AsOfRight) -> DataFrame:
-        df = r.df.select(*[F.col(k).alias(kk) for k, kk in zip(r.key, ks)],
-                         F.col(r.time).alias("__t"), _value_struct(r, i))
-        return df.where(_and([F.col(c).isNotNull() for c in ks + ["__t"]])).withColumn("__b", bk)
-
-    def typed_null(df: DataFrame, c: str) -> Column:
-        return F.lit(None).cast(dict(df.dtypes)[c]).alias(c)
-
-    rrows = [right_rows(i, r) for i, r in enumerate(rights)]
-    vtypes = {f"__v{i}": dict(rr.dtypes)[f"__v{i}"] for i, rr in enumerate(rrows)}
-
-    def widen(df: DataFrame, side: int) -> DataFrame:
-        cols = [F.col(c) for c in ks + ["__t", "__b"]] + [F.lit(side).alias("__side")]
-        for v in vcols:
-            cols.append(F.col(v) if v in df.columns else F.lit(None).cast(vtypes[v]).alias(v))
-        return df.select(*cols)
-
-    # carry-in: latest right row of every earlier bucket, per point bucket
-    lasts = [rr.groupBy(*ks, "__b").agg(F.max(f"__v{i}").alias(f"__v{i}")) for i, rr in enumerate(rrows)]
-    pbk = pts.select(*ks, "__b").distinct()
-    cin = pbk.withColumn("__side", F.lit(1))
-    for v in vcols:
-        cin = cin.withColumn(v, F.lit(None).cast(vtypes[v]))
-    for i, l in enumerate(lasts):
-        cin = cin.unionByName(widen(l.withColumn("__t", F.lit(None).cast(dict(pts.dtypes)["__t"])), 0)
-                              .drop("__t"), allowMissingColumns=False)
-    wb = Window.partitionBy(*ks).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
-    carry = (cin.select(*ks, "__b", "__side", *[F.max(v).over(wb).alias(v) for v in vcols])
-             .where(F.col("__side") == 1)
-             .select(*ks, F.lit(None).cast(dict(pts.dtypes)["__t"]).alias("__t"), "__b",
-                     F.lit(0).alias("__side"), *vcols))
-
-    rows = widen(pts, 1)
-    for rr in rrows:
-        rows = rows.unionByName(widen(rr, 0))
-    rows = rows.unionByName(carry)
-    w = Window.partitionBy(*ks, "__b").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    got = rows.select(*ks, "__t", "__side", *[F.max(v).over(w).alias(v) for v in vcols]) \
-        .where(F.col("__side") == 1).drop("__side")
+    if bucket == "auto":
+        # DATE times bound every key's group by its calendar days; finer times need buckets
+        dates = _time_type(spine, spine_time) == "date" and all(_time_type(r.df, r.time) == "date" for r in rights)
+        bucket = None if dates else DEFAULT_BUCKET
+
+    vals = [_value_struct(r, i) for i, r in enumerate(rights)]
+    vtypes = {f"__v{i}": dict(r.df.select(v).dtypes)[f"__v{i}"] for i, (r, v) in enumerate(zip(rights, vals))}
+
+    def nonnull(df: DataFrame) -> DataFrame:
+        return df.where(_and([F.col(c).isNotNull() for c in ks + ["__t"]]))
+
+    def shaped(df: DataFrame, keys: list[str], time: str, pt: int, own: int | None) -> DataFrame:
+        cols = [F.col(k).alias(kk) for k, kk in zip(keys, ks)] + [F.col(time).alias("__t"), F.lit(pt).alias("__pt")]
+        for i, v in enumerate(vcols):
+            cols.append(vals[i] if i == own else F.lit(None).cast(vtypes[v]).alias(v))
+        return nonnull(df.select(*cols))
+
+    # one map-side-combined aggregation per (key, time) over the points and every right table
+    rows = shaped(spine, lk, spine_time, 1, None)
+    for i, r in enumerate(rights):
+        rows = rows.unionByName(shaped(r.df, r.key, r.time, 0, i))
+    agg = rows.groupBy(*ks, "__t").agg(F.max("__pt").alias("__pt"), *[F.max(v).alias(v) for v in vcols])
+
+    if bucket is None:
+        w = Window.partitionBy(*ks).orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
+        got = agg.select(*ks, "__t", "__pt", *[F.max(v).over(w).alias(v) for v in vcols])
+    else:
+        agg = agg.withColumn("__b", granule(F.col("__t"), bucket))
+        # carry-in: the latest right row of all earlier buckets, for buckets holding points
+        per_bucket = agg.groupBy(*ks, "__b").agg(F.max("__pt").alias("__pt"), *[F.max(v).alias(v) for v in vcols])
+        wb = Window.partitionBy(*ks).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
+        carry = (per_bucket.select(*ks, "__b", "__pt", *[F.max(v).over(wb).alias(v) for v in vcols])
+                 .where(F.col("__pt") == 1)
+                 .select(*ks, F.lit(None).cast(dict(agg.dtypes)["__t"]).alias("__t"), F.lit(0).alias("__pt"),
+                         *vcols, "__b"))
+        w = Window.partitionBy(*ks, "__b").orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
+        got = agg.unionByName(carry).select(*ks, "__t", "__pt", *[F.max(v).over(w).alias(v) for v in vcols])
+    got = got.where(F.col("__pt") == 1).drop("__pt")
 
     cond = _and([spine[k] == got[kk] for k, kk in zip(lk, ks)] + [spine[spine_time] == got["__t"]])
     j = spine.join(got, cond, "left")

@@ -191,8 +191,7 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     res = _evaluate(daily_partials(facts, spec, points=pts), spec, bucket_width)
     res = res.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(spec.key)], G,
                      *[cast_out[n](F.col(n)).alias(n) for n in spec.names])
-    cond = [F.col(sk).cast(key_types[k]).eqNullSafe(F.col(f"__k{i}")) & F.col(sk).isNotNull()
-            for i, (sk, k) in enumerate(zip(spine_keys, spec.key))]
+    cond = [F.col(sk).cast(key_types[k]) == F.col(f"__k{i}") for i, (sk, k) in enumerate(zip(spine_keys, spec.key))]
     joined = sp.alias("s").join(res.alias("r"), on=_and(cond + [F.col(f"s.{G}") == F.col(f"r.{G}")]),
                                 how="left")
     return joined.select(*[F.col(f"s.{c}") for c in spine.columns],

@@ -22,11 +22,11 @@ def both(spark, sp, rt, **kw):
     r = spark.createDataFrame([(k, day(a), day(b), z) for k, a, b, z in rt], RIGHT)
     right = L.AsOfRight(r, ["k"], "vf", ["zone"], valid_to="vt", **kw)
     outs = []
-    for strat, bucket in (("union", L.DEFAULT_BUCKET), ("union", dt.timedelta(days=2)),
-                          ("broadcast", L.DEFAULT_BUCKET)):
+    for strat, bucket in (("union", "auto"), ("union", L.DEFAULT_BUCKET), ("union", dt.timedelta(days=2)),
+                          ("broadcast", "auto")):
         out = L.lookup_asof(s, [right], "k", "t", strategy=strat, bucket=bucket)
         outs.append(sorted((x["id"], x["zone"]) for x in out.collect()))
-    assert outs[0] == outs[1] == outs[2]
+    assert outs[0] == outs[1] == outs[2] == outs[3]
     return dict(outs[0]), outs[0]
 
 
