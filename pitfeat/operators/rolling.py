@@ -143,10 +143,19 @@ def grid_points(facts: DataFrame, spec: AggregateSpec,
     return pts
 
 
+def grid_size(facts: DataFrame, spec: AggregateSpec, entities: DataFrame | None = None,
+              start_col: str | None = None, end_col: str | None = None) -> int:
+    """Number of grid cells, summed per key without building the grid."""
+    pts = grid_points(facts, spec, entities, start_col, end_col)
+    # the optimizer keeps the explode; count without materialising rows
+    return pts.agg(F.count(F.lit(1))).first()[0]
+
+
 def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame | None = None,
                        mode: str = "spine", on: dict[str, str] | None = None,
                        entities: DataFrame | None = None, start_col: str | None = None,
-                       end_col: str | None = None, bucket_width: int | None = None) -> DataFrame:
+                       end_col: str | None = None, bucket_width: int | None = None,
+                       max_cells: int | None = None) -> DataFrame:
     """Evaluate ``spec`` over ``facts``.
 
     * ``mode="spine"``: at each row of ``spine`` (all spine columns kept, same
@@ -157,6 +166,8 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     * ``mode="grid"``: at every granule from start to end for every key.
 
     Sums and averages of money come out as double, counts as bigint.
+    ``max_cells`` guards grid mode: the grid size (keys x granules) is counted
+    first, by one aggregate over the keys, and a larger grid is refused.
     """
     cast_out = _output_casts(spec)
     if mode == "facts":
@@ -164,6 +175,11 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
         return _finish(res, spec, cast_out)
     if mode == "grid":
         pts = grid_points(facts, spec, entities, start_col, end_col)
+        if max_cells is not None:
+            cells = grid_size(facts, spec, entities, start_col, end_col)
+            if cells > max_cells:
+                raise ValueError(f"grid of {cells} cells exceeds max_cells={max_cells}; "
+                                 "use spine mode or narrow start/end")
         part = daily_partials(facts, spec).withColumn(PT, F.lit(0))
         rows = part.unionByName(pts.select(*spec.key, G, *[F.lit(None).cast(t).alias(c)
                                                             for c, t in part.dtypes

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.reshape import flatten_array
 from ..specs import TableSpec
 
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -139,10 +140,10 @@ def accounts_scd2(customer: DataFrame) -> DataFrame:
             F.pmod(F.col("c_nationkey") + 7 * v, F.lit(25)).cast("bigint").alias("zone"),
         ),
     )
-    x = customer.select(F.col("c_custkey").alias("account_id"), F.col("c_name").alias("account_name"),
-                        F.explode(versions).alias("v"))
-    return x.select("account_id", "account_name", "v.version", "v.zone", "v.valid_from", "v.valid_to",
-                    F.col("v.valid_to").isNull().cast("bigint").alias("is_current"))
+    rows = customer.select(F.col("c_custkey").alias("account_id"), F.col("c_name").alias("account_name"),
+                           versions.alias("versions"))
+    flat = flatten_array(rows, "versions", keep=["account_id", "account_name"])
+    return flat.withColumn("is_current", F.col("valid_to").isNull().cast("bigint"))
 
 
 def eol_spine(txn: DataFrame) -> DataFrame:

@@ -116,3 +116,35 @@ def test_fit_tree_and_score(spark):
     scored = M.score_supplied(df, model, feats)
     acc = scored.where("prediction = label").count() / 300
     assert acc > 0.95
+
+
+def test_catalog_helpers_and_sinks(spark):
+    from pitfeat.session import scratch_path
+    from pitfeat.sources import catalog as C
+    df = C.local_frame(spark, [(2, "b"), (1, "a"), (3, None)], "k bigint, v string")
+    assert [tuple(r) for r in C.input_example(df, 2, ["k"]).collect()] == [(1, "a"), (2, "b")]
+    path = scratch_path(spark, "sink")
+    C.save_table(df, "ignored", path=path)
+    C.save_table(df.withColumn("w", df.k * 2), "ignored", path=path)  # overwrite replaces the schema
+    assert spark.read.parquet(path).columns == ["k", "v", "w"]
+    C.create_view(df, "tiny_view")
+    assert "tiny_view" in C.list_tables(spark)
+
+
+def test_grid_guard(spark):
+    from pitfeat.operators import rolling as R
+    from pitfeat.specs import Agg, AggregateSpec, Lookback
+    f = spark.createDataFrame([(1, day(0), 1.0), (2, day(9), 2.0)], "k bigint, t date, a double")
+    spec = AggregateSpec("k", "t", [Agg("a", "sum", Lookback(3))])
+    assert R.grid_size(f, spec) == 20
+    with pytest.raises(ValueError):
+        R.aggregate_features(f, spec, mode="grid", max_cells=19)
+    assert R.aggregate_features(f, spec, mode="grid", max_cells=20).count() == 20
+
+
+def test_weighted_tree(spark):
+    rows = [(float(i % 5), float(i % 50 == 0), 1.0 if i % 50 else 30.0) for i in range(500)]
+    df = spark.createDataFrame(rows, "x double, label double, w double")
+    model, feats = M.fit_tree(df, "label", features=["x"], weight_col="w")
+    assert feats == ["x"]
+    assert M.score_supplied(df, model, feats).count() == 500
