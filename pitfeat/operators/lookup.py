@@ -44,6 +44,7 @@ from ..functions.scalar import granule
 
 DEFAULT_BUCKET = _dt.timedelta(days=512)
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_PER_KEY = 1_000
 
 
 def _ls(v) -> list[str]:
@@ -105,18 +106,36 @@ def lookup_exact(spine: DataFrame, right: DataFrame, lookup_key, right_key, feat
 # interval lookup
 # --------------------------------------------------------------------------
 def lookup_interval(spine: DataFrame, right: DataFrame, lookup_key, right_key, spine_time: str,
-                    valid_from: str, valid_to: str, features, rename: dict | None = None) -> DataFrame:
+                    valid_from: str, valid_to: str, features, rename: dict | None = None,
+                    strategy: str = "asof") -> DataFrame:
     """Version valid at the observation: ``valid_from <= t < valid_to`` (NULL = open).
 
-    An equi-join on the key with the range kept as a residual condition; on a
-    gap-free history it answers like the as-of lookup. Zero-length versions
-    never match; overlapping versions would each match (validate first).
+    ``strategy="asof"`` (default) picks the latest version starting at or
+    before ``t`` with the as-of plan and keeps it only if it is still valid at
+    ``t``: linear in the data, one row per spine row, and the same answer as
+    the interval join whenever versions of a key do not overlap (what
+    ``build_scd2`` produces). Zero-length versions never match.
+
+    ``strategy="join"`` is the literal equi-join with the range as a residual
+    condition: every version overlapping ``t`` matches (a spine row may
+    repeat). It compares each spine row with all versions of its key, so keep
+    it for keys with few versions.
     """
     lk, rk, feats = _ls(lookup_key), _ls(right_key), _ls(features)
     _check(spine, lk + [spine_time], "spine")
     _check(right, rk + [valid_from, valid_to] + feats, "right")
     names = _out_names(feats, rename)
     _clash(spine, names)
+    if strategy == "asof":
+        r = right.withColumn("__vt_chk", F.col(valid_to))
+        pick = AsOfRight(r, rk, valid_from, feats + ["__vt_chk"], rename=dict(rename or {}), valid_to=valid_to)
+        out = lookup_asof(spine, [pick], lk, spine_time)
+        t = F.col(spine_time)
+        ok = F.col("__vt_chk").isNull() | (t < F.col("__vt_chk"))
+        return out.select(*[F.col(c) for c in spine.columns],
+                          *[F.when(ok, F.col(n)).alias(n) for n in names])
+    if strategy != "join":
+        raise ValueError("strategy must be 'asof' or 'join'")
     r = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rk)],
                      F.col(valid_from).alias("__vf"), F.col(valid_to).alias("__vt"),
                      *[F.col(f).alias(n) for f, n in zip(feats, names)])
@@ -167,8 +186,14 @@ def _value_struct(r: AsOfRight, idx: int) -> Column:
 
 def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine_time: str,
                 strategy: str = "union", bucket: _dt.timedelta | str | None = "auto",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Latest right row with ``time <= spine_time`` per spine row, for each right table."""
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                max_per_key: int = DEFAULT_MAX_PER_KEY) -> DataFrame:
+    """Latest right row with ``time <= spine_time`` per spine row, for each right table.
+
+    ``strategy="broadcast"`` is taken only when every right table has at most
+    ``max_broadcast_rows`` rows and at most ``max_per_key`` rows per key (each
+    spine row scans its key's array); otherwise the union plan runs.
+    """
     lk = _ls(lookup_key)
     _check(spine, lk + [spine_time], "spine")
     names: list[str] = []
@@ -181,7 +206,7 @@ def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine
     if len(set(names)) != len(names):
         raise ValueError(f"duplicate feature names across lookups: {names}")
     if strategy == "broadcast":
-        if all(_fits(r.df, max_broadcast_rows) for r in rights):
+        if all(_fits(r.df, max_broadcast_rows, r.key, max_per_key) for r in rights):
             out = spine
             for i, r in enumerate(rights):
                 out = _asof_packed(out, r, lk, spine_time, i)
@@ -192,9 +217,16 @@ def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine
     return _asof_union(spine, list(rights), lk, spine_time, bucket)
 
 
-def _fits(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _fits(df: DataFrame, max_rows: int, key: Sequence[str] | None = None,
+          max_per_key: int | None = None) -> bool:
+    """Bounded size check: reads at most ``max_rows + 1`` rows; then, on that
+    small input only, the largest number of rows of one key."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        return False
+    if key and max_per_key:
+        top = df.groupBy(*key).count().agg(F.max("count")).first()[0]
+        return (top or 0) <= max_per_key
+    return True
 
 
 def _asof_packed(spine: DataFrame, r: AsOfRight, lk: list[str], spine_time: str, i: int,

@@ -107,3 +107,24 @@ def test_feature_name_clash_is_an_error(spark):
     r = spark.createDataFrame([(1, day(1), None, 11)], RIGHT)
     with pytest.raises(ValueError):
         L.lookup_asof(sp, [L.AsOfRight(r, ["k"], "vf", ["zone"])], "k", "t")
+
+
+def test_interval_gap_and_zero_length(spark):
+    sp = spark.createDataFrame([(i, 1, day(t)) for i, t in enumerate([0, 3, 6, 8, 10, 12])], SPINE)
+    # gap between day 5 and day 8; zero-length version on day 10 next to an open one
+    r = spark.createDataFrame([(1, day(0), day(5), 1), (1, day(8), day(10), 2), (1, day(10), day(10), 3),
+                               (1, day(10), None, 4)], RIGHT)
+    a = {x["id"]: x["zone"] for x in L.lookup_interval(sp, r, "k", "k", "t", "vf", "vt", ["zone"]).collect()}
+    b = {x["id"]: x["zone"] for x in L.lookup_interval(sp, r, "k", "k", "t", "vf", "vt", ["zone"],
+                                                       strategy="join").collect()}
+    assert a == b == {0: 1, 1: 1, 2: None, 3: 2, 4: 4, 5: 4}
+
+
+def test_broadcast_falls_back_when_a_key_is_hot(spark):
+    sp = spark.createDataFrame([(0, 1, day(50))], SPINE)
+    r = spark.createDataFrame([(1, day(d), None, d) for d in range(30)], RIGHT)
+    right = L.AsOfRight(r, ["k"], "vf", ["zone"])
+    out = L.lookup_asof(sp, [right], "k", "t", strategy="broadcast", max_per_key=10)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    assert out.collect()[0]["zone"] == 29
