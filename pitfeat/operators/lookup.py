@@ -79,13 +79,15 @@ def _clash(spine: DataFrame, names: Sequence[str]) -> None:
 # exact-key lookup
 # --------------------------------------------------------------------------
 def lookup_exact(spine: DataFrame, right: DataFrame, lookup_key, right_key, features,
-                 rename: dict | None = None) -> DataFrame:
+                 rename: dict | None = None, unique: str = "trust") -> DataFrame:
     """LEFT equi-join of ``features`` of a type-1 table keyed by ``right_key``.
 
     Keys are matched by position (H10) and compared in their common type (H9).
     The right key is declared unique (``TableSpec``); ``quality.validate_unique``
-    checks it. Whether the right side is broadcast is left to AQE, which
-    measures its actual size at run time against
+    checks it; ``unique="enforce"`` instead keeps one row per key (the max of
+    the feature struct: deterministic) with a map-side combined aggregate, so
+    the spine can never fan out. Whether the right side is broadcast is left to
+    AQE, which measures its actual size at run time against
     ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise shuffles.
     """
     lk, rk, feats = _ls(lookup_key), _ls(right_key), _ls(features)
@@ -97,6 +99,12 @@ def lookup_exact(spine: DataFrame, right: DataFrame, lookup_key, right_key, feat
     _clash(spine, names)
     r = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rk)],
                      *[F.col(f).alias(n) for f, n in zip(feats, names)])
+    if unique == "enforce":
+        rks = [f"__rk{i}" for i in range(len(rk))]
+        r = r.groupBy(*rks).agg(F.max(F.struct(*names)).alias("__m")).select(
+            *rks, *[F.col(f"__m.{n}").alias(n) for n in names])
+    elif unique != "trust":
+        raise ValueError("unique must be 'trust' or 'enforce'")
     cond = _and([spine[k] == r[f"__rk{i}"] for i, k in enumerate(lk)])
     return spine.join(r, cond, "left").select(*[spine[c] for c in spine.columns],
                                               *[r[n] for n in names])
@@ -205,15 +213,23 @@ def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine
     _clash(spine, names)
     if len(set(names)) != len(names):
         raise ValueError(f"duplicate feature names across lookups: {names}")
+    if strategy == "packed":
+        # no window: also valid when the spine is a stream (stream-static join)
+        out = spine
+        for i, r in enumerate(rights):
+            out = _asof_packed(out, r, lk, spine_time, i, broadcast=False)
+        return out
     if strategy == "broadcast":
         if all(_fits(r.df, max_broadcast_rows, r.key, max_per_key) for r in rights):
             out = spine
             for i, r in enumerate(rights):
                 out = _asof_packed(out, r, lk, spine_time, i)
             return out
-        strategy = "union"
+        strategy = "packed" if spine.isStreaming else "union"
+        if strategy == "packed":
+            return lookup_asof(spine, rights, lk, spine_time, strategy="packed")
     if strategy != "union":
-        raise ValueError("strategy must be 'union' or 'broadcast'")
+        raise ValueError("strategy must be 'union', 'broadcast' or 'packed'")
     return _asof_union(spine, list(rights), lk, spine_time, bucket)
 
 

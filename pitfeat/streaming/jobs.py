@@ -101,6 +101,15 @@ def enrich_stream(stream: DataFrame, rights: Sequence[AsOfRight], lookup_key, ti
     return out
 
 
+def enrich_with_spec(stream: DataFrame, spec, tables) -> DataFrame:
+    """Apply a whole ``FeatureSpec`` to a request stream: exact lookups become
+    stream-static LEFT joins, as-of lookups the packed plan (broadcast when the
+    static side passes the size check), functions Column expressions; features
+    the request already carries are kept (override)."""
+    from ..plans.training import apply_spec
+    return apply_spec(spec, stream, tables, override=True, asof_strategy="broadcast")
+
+
 # ---------------------------------------------------------------------------
 # Windowed aggregates on a stream
 # ---------------------------------------------------------------------------

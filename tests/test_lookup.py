@@ -128,3 +128,22 @@ def test_broadcast_falls_back_when_a_key_is_hot(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
     assert out.collect()[0]["zone"] == 29
+
+
+def test_exact_lookup_enforce_unique(spark):
+    sp = spark.createDataFrame([(0, 1), (1, 2)], "id bigint, m bigint")
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "m bigint, name string")
+    assert L.lookup_exact(sp, dim, "m", "m", ["name"]).count() == 3
+    out = L.lookup_exact(sp, dim, "m", "m", ["name"], unique="enforce")
+    assert sorted((r["id"], r["name"]) for r in out.collect()) == [(0, "b"), (1, "c")]
+
+
+def test_later_rows_never_change_earlier_answers(spark):
+    """Point-in-time property: adding right rows after t leaves features at t unchanged."""
+    rnd = random.Random(5)
+    base = [(rnd.randint(1, 4), rnd.randint(0, 30), None, rnd.randint(0, 9)) for _ in range(40)]
+    later = [(rnd.randint(1, 4), rnd.randint(31, 60), None, rnd.randint(0, 9)) for _ in range(40)]
+    sp = [(i, rnd.randint(1, 4), rnd.randint(0, 30)) for i in range(60)]
+    a, _ = both(spark, sp, base)
+    b, _ = both(spark, sp, base + later)
+    assert a == b

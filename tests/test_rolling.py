@@ -159,3 +159,38 @@ def test_approx_distinct_mergeable(spark):
     spec = AggregateSpec("k", "t", [Agg("m", "approx_count_distinct", Lookback(7))])
     got = {r["t"]: r["m_approx_count_distinct_7d"] for r in R.aggregate_features(f, spec, mode="facts").collect()}
     assert got[day(0)] == 1 and got[day(1)] == 2 and got[day(5)] == 3 and got[day(20)] == 1
+
+
+def test_later_facts_never_change_earlier_answers(spark):
+    rnd = random.Random(9)
+    base = [(rnd.randint(1, 3), rnd.randint(0, 30), f"{rnd.randint(1, 999) / 10:.2f}") for _ in range(80)]
+    later = [(rnd.randint(1, 3), rnd.randint(31, 60), f"{rnd.randint(1, 999) / 10:.2f}") for _ in range(80)]
+    sp = spine(spark, [(i, rnd.randint(1, 3), rnd.randint(0, 30)) for i in range(50)])
+    spec = AggregateSpec("k", "t", [Agg("amount", "sum", Lookback(7)), Agg("amount", "avg", Lookback(10, offset=2))])
+    a = sorted(tuple(r) for r in R.aggregate_features(facts(spark, base), spec, spine=sp).collect())
+    b = sorted(tuple(r) for r in R.aggregate_features(facts(spark, base + later), spec, spine=sp).collect())
+    assert a == b
+
+
+def test_hourly_granularity_against_brute_force(spark):
+    hour = dt.timedelta(hours=1)
+    t0 = dt.datetime(2024, 1, 1)
+    rnd = random.Random(4)
+    rows = [(rnd.randint(1, 2), t0 + dt.timedelta(minutes=rnd.randint(0, 3000)), float(rnd.randint(1, 50)))
+            for _ in range(200)]
+    f = spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, v double")
+    pts = [(i, rnd.randint(1, 2), t0 + dt.timedelta(minutes=rnd.randint(0, 3100))) for i in range(60)]
+    sp = spark.createDataFrame(pts, "id bigint, k bigint, ts timestamp_ntz")
+    spec = AggregateSpec("k", "ts", [Agg("v", "sum", Lookback(3 * hour)), Agg("v", "count", Lookback(2 * hour, offset=hour))],
+                         granularity=hour)
+    got = {r["id"]: r for r in R.aggregate_features(f, spec, spine=sp, bucket_width=5).collect()}
+
+    def hnum(x):
+        return int((x - dt.datetime(1970, 1, 1)).total_seconds() // 3600)
+
+    for i, k, ts in pts:
+        p = hnum(ts)
+        s3 = [v for kk, tt, v in rows if kk == k and p - 2 <= hnum(tt) <= p]
+        c2 = [v for kk, tt, v in rows if kk == k and p - 2 <= hnum(tt) <= p - 1]
+        assert got[i]["v_sum_3g"] == (sum(s3) if s3 else None)
+        assert got[i]["v_count_2g_offset_1g"] == len(c2)

@@ -27,3 +27,26 @@ def test_publish_latest_batches_equal_one_batch(spark):
         ST.publish_latest(stream, "k", "t", out, ck).awaitTermination()
         again = sorted(tuple(r) for r in ST.read_published(spark, out).select("k", "t", "v").collect())
         assert again == want
+
+
+def test_enrich_stream_with_full_spec(spark):
+    from pitfeat.plans import training as T
+    from pitfeat.specs import FeatureFunction, FeatureLookup, FeatureSpec, TableSpec
+    req_rows = [(1, 100, dt.datetime(2024, 1, 5, 12)), (1, 101, dt.datetime(2024, 1, 1, 8)),
+                (2, 999, dt.datetime(2024, 1, 9))]
+    src = scratch_path(spark, "req-src")
+    spark.createDataFrame(req_rows, "acct bigint, merchant_id bigint, ts timestamp_ntz").write.parquet(src)
+    merchants = spark.createDataFrame([(100, 3), (101, 4)], "merchant_id bigint, merchant_zone bigint")
+    accounts = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), 1), (1, dt.datetime(2024, 1, 3), 2)],
+                                     "account_id bigint, valid_from timestamp_ntz, zone bigint")
+    tables = {"merchants": T.FeatureTable(merchants, TableSpec("merchant_id")),
+              "accounts": T.FeatureTable(accounts, TableSpec("account_id", time_key="valid_from"))}
+    spec = FeatureSpec("s", [FeatureLookup("merchants", ["merchant_zone"], "merchant_id"),
+                             FeatureLookup("accounts", ["zone"], "acct", time_key="ts"),
+                             FeatureFunction(lambda a, b: a * 10 + b, {"a": "zone", "b": "merchant_zone"}, "d")])
+    schema = spark.read.parquet(src).schema
+    stream = spark.readStream.schema(schema).parquet(src)
+    out, ck = scratch_path(spark, "req-out"), scratch_path(spark, "req-ck")
+    ST.run_to_files(ST.enrich_with_spec(stream, spec, tables), out, ck)
+    got = sorted((r["merchant_id"], r["zone"], r["d"]) for r in spark.read.parquet(out).collect())
+    assert got == [(100, 2, 23), (101, 1, 14), (999, None, None)]
