@@ -60,7 +60,7 @@ def _clean_facts(facts: DataFrame, spec: AggregateSpec) -> DataFrame:
 
 
 def daily_partials(facts: DataFrame, spec: AggregateSpec,
-                   points: DataFrame | None = None) -> DataFrame:
+                   points: DataFrame | None = None, point_cols: Sequence[str] = ()) -> DataFrame:
     """One row per (key, granule): partial aggregates (A1), plus point flags.
 
     ``points`` (key columns + ``__g``) are unioned in before the aggregation so
@@ -69,16 +69,18 @@ def daily_partials(facts: DataFrame, spec: AggregateSpec,
     evaluation point).
     """
     cols = _source_columns(spec)
+    ptypes = dict(points.dtypes) if points is not None else {}
     f = _clean_facts(facts, spec).select(
         *spec.key, granule(spec.time, spec.granularity).alias(G), *cols,
-        F.lit(1).alias(FT), F.lit(0 if points is not None else 1).alias(PT))
+        F.lit(1).alias(FT), F.lit(0 if points is not None else 1).alias(PT),
+        *[F.lit(None).cast(ptypes[c]).alias(c) for c in point_cols])
     if points is not None:
         types = dict(facts.dtypes)
         p = points.select(*spec.key, G, *[F.lit(None).cast(types[c]).alias(c) for c in cols],
-                          F.lit(0).alias(FT), F.lit(1).alias(PT))
+                          F.lit(0).alias(FT), F.lit(1).alias(PT), *point_cols)
         f = f.unionByName(p)
     return f.groupBy(*spec.key, G).agg(*_partial_exprs(spec), F.max(FT).alias(FT),
-                                       F.max(PT).alias(PT))
+                                       F.max(PT).alias(PT), *[F.max(c).alias(c) for c in point_cols])
 
 
 def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None) -> DataFrame:
@@ -101,6 +103,59 @@ def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None) ->
     return out.where((F.col(PT) == 1) & (F.col(B) == F.floor(F.col(G) / F.lit(width)))).drop(B, PT)
 
 
+def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
+                  bucket_width: int | None) -> DataFrame:
+    """Grid evaluation without shuffling the grid.
+
+    A window value can only change on a granule where some fact enters a frame
+    (``g - hi``) or leaves it (``g - lo + 1``). The aggregates are evaluated at
+    those change points, at each key's first granule and at each bucket start
+    inside its range (all folded into the one partial aggregation); each value
+    then holds until the next point of its bucket, so the dense rows are made
+    by a narrow ``explode`` after the window. The shuffles carry
+    O(facts x frame edges + keys x buckets) rows instead of keys x granules.
+    """
+    width = bucket_width or default_bucket_width(spec)
+    frames = [a.window.frame(spec.granularity) for a in spec.aggs]
+    edges = sorted({-hi for lo, hi in frames} | {-lo + 1 for lo, hi in frames})
+    g = granule(spec.time, spec.granularity).cast("bigint")
+    changes = (_clean_facts(facts, spec)
+               .select(*spec.key, F.explode(F.array(*[g + F.lit(e) for e in edges])).alias(G))
+               .select(*spec.key, G, F.lit(None).cast("bigint").alias("__s"),
+                       F.lit(None).cast("bigint").alias("__e")))
+    wl = F.lit(width)
+    starts = F.array_union(
+        F.array(F.col("__s")),
+        F.transform(F.sequence(F.floor(F.col("__s") / wl) + 1, F.floor(F.col("__e") / wl)), lambda b: b * wl))
+    anchors = bounds.select(*spec.key, F.explode(starts).alias(G), "__s", "__e")
+    rows = daily_partials(facts, spec, points=changes.unionByName(anchors), point_cols=("__s", "__e"))
+
+    span = spec.max_span
+    home = F.floor(F.col(G) / wl)
+    reach = F.when(F.col(FT) == 1, F.floor((F.col(G) + F.lit(span)) / wl)).otherwise(home)
+    x = rows.withColumn(B, F.explode(F.sequence(home, reach)))
+    base = Window.partitionBy(*spec.key, B).orderBy(F.col(G))
+    whole = Window.partitionBy(*spec.key, B)
+    feats = []
+    for a in spec.aggs:
+        lo, hi = a.window.frame(spec.granularity)
+        fn = aggreg.get(a.fn)
+        v = fn.merge(a.column, base.rangeBetween(lo, hi)).cast(fn.result_type)
+        if a.default is not None:
+            v = F.coalesce(v, F.lit(a.default).cast(fn.result_type))
+        feats.append(v.alias(a.output_name(spec.granularity)))
+    names = spec.names
+    ev = x.select(*spec.key, G, B, PT, *feats, F.max("__s").over(whole).alias("__s"),
+                  F.max("__e").over(whole).alias("__e"))
+    pts = ev.where((F.col(PT) == 1) & (F.col(B) == home) & F.col("__s").isNotNull())
+    nxt = F.lead(G).over(base)
+    pts = pts.select(*spec.key, G, B, "__s", "__e", *names, nxt.alias("__n"))
+    run_end = F.coalesce(F.col("__n") - 1, (F.col(B) + 1) * wl - 1)
+    lo_c = F.greatest(F.col(G), F.col("__s"))
+    hi_c = F.least(run_end, F.col("__e"))
+    return pts.where(lo_c <= hi_c).select(*spec.key, F.explode(F.sequence(lo_c, hi_c)).alias(G), *names)
+
+
 def _scalar_time_bound(facts: DataFrame, spec: AggregateSpec, which: str) -> Column:
     agg = F.max if which == "end" else F.min
     return facts.select(agg(granule(spec.time, spec.granularity))).scalar()
@@ -120,10 +175,9 @@ def _bound(value, facts: DataFrame, spec: AggregateSpec, which: str) -> Column:
     raise TypeError(f"unsupported bound {value!r}")
 
 
-def grid_points(facts: DataFrame, spec: AggregateSpec,
-                entities: DataFrame | None = None,
+def grid_bounds(facts: DataFrame, spec: AggregateSpec, entities: DataFrame | None = None,
                 start_col: str | None = None, end_col: str | None = None) -> DataFrame:
-    """Every granule between start and end for each key.
+    """Per key, the first and last granule of its grid: (keys, ``__s``, ``__e``).
 
     Keys come from ``entities`` (deduplicated, which avoids the version fan-out
     of H1) or else from the facts. Per-key bounds may come from columns of
@@ -133,22 +187,31 @@ def grid_points(facts: DataFrame, spec: AggregateSpec,
     src = entities if entities is not None else _clean_facts(facts, spec)
     if start_col or end_col:
         ent = src.groupBy(*spec.key).agg(
-            *([F.min(start_col).alias("__s")] if start_col else []),
-            *([F.max(end_col).alias("__e")] if end_col else []))
+            *([F.min(start_col).alias("__s0")] if start_col else []),
+            *([F.max(end_col).alias("__e0")] if end_col else []))
     else:
         ent = src.select(*spec.key).distinct()
-    s = granule(F.col("__s"), spec.granularity) if start_col else _bound(spec.start, facts, spec, "start")
-    e = granule(F.col("__e"), spec.granularity) if end_col else _bound(spec.end, facts, spec, "end")
-    pts = ent.where(s <= e).select(*spec.key, F.explode(F.sequence(s, e)).alias(G))
-    return pts
+    s = granule(F.col("__s0"), spec.granularity) if start_col else _bound(spec.start, facts, spec, "start")
+    e = granule(F.col("__e0"), spec.granularity) if end_col else _bound(spec.end, facts, spec, "end")
+    out = ent.select(*spec.key, s.cast("bigint").alias("__s"), e.cast("bigint").alias("__e"))
+    for k in spec.key:
+        out = out.where(F.col(k).isNotNull())
+    return out.where(F.col("__s") <= F.col("__e"))
+
+
+def grid_points(facts: DataFrame, spec: AggregateSpec,
+                entities: DataFrame | None = None,
+                start_col: str | None = None, end_col: str | None = None) -> DataFrame:
+    """Every granule between start and end for each key (A9, F1, F2), exploded."""
+    b = grid_bounds(facts, spec, entities, start_col, end_col)
+    return b.select(*spec.key, F.explode(F.sequence("__s", "__e")).alias(G))
 
 
 def grid_size(facts: DataFrame, spec: AggregateSpec, entities: DataFrame | None = None,
               start_col: str | None = None, end_col: str | None = None) -> int:
     """Number of grid cells, summed per key without building the grid."""
-    pts = grid_points(facts, spec, entities, start_col, end_col)
-    # the optimizer keeps the explode; count without materialising rows
-    return pts.agg(F.count(F.lit(1))).first()[0]
+    b = grid_bounds(facts, spec, entities, start_col, end_col)
+    return b.agg(F.sum(F.col("__e") - F.col("__s") + 1)).first()[0] or 0
 
 
 def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame | None = None,
@@ -174,18 +237,13 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
         res = _evaluate(daily_partials(facts, spec), spec, bucket_width)
         return _finish(res, spec, cast_out)
     if mode == "grid":
-        pts = grid_points(facts, spec, entities, start_col, end_col)
         if max_cells is not None:
             cells = grid_size(facts, spec, entities, start_col, end_col)
             if cells > max_cells:
                 raise ValueError(f"grid of {cells} cells exceeds max_cells={max_cells}; "
                                  "use spine mode or narrow start/end")
-        part = daily_partials(facts, spec).withColumn(PT, F.lit(0))
-        rows = part.unionByName(pts.select(*spec.key, G, *[F.lit(None).cast(t).alias(c)
-                                                            for c, t in part.dtypes
-                                                            if c not in (*spec.key, G, FT, PT)],
-                                           F.lit(0).alias(FT), F.lit(1).alias(PT)))
-        res = _evaluate(rows, spec, bucket_width)
+        res = _grid_by_runs(facts, spec, grid_bounds(facts, spec, entities, start_col, end_col),
+                            bucket_width)
         return _finish(res, spec, cast_out)
     if mode != "spine":
         raise ValueError("mode must be 'spine', 'grid' or 'facts'")

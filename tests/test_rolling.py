@@ -194,3 +194,32 @@ def test_hourly_granularity_against_brute_force(spark):
         c2 = [v for kk, tt, v in rows if kk == k and p - 2 <= hnum(tt) <= p - 1]
         assert got[i]["v_sum_3g"] == (sum(s3) if s3 else None)
         assert got[i]["v_count_2g_offset_1g"] == len(c2)
+
+
+@pytest.mark.parametrize("width", [None, 2, 3, 8])
+def test_grid_runs_against_brute_force_every_cell(spark, width):
+    rnd = random.Random(21)
+    rows = [(rnd.randint(1, 3), rnd.randint(0, 50), f"{rnd.randint(-100, 900) / 10:.2f}") for _ in range(90)]
+    ents = spark.createDataFrame([(1, day(3)), (1, day(9)), (2, day(0)), (3, day(44)), (4, day(10))],
+                                 "k bigint, since date")
+    aggs = [Agg("amount", "sum", Lookback(7)), Agg("amount", "avg", Lookback(5, offset=3)),
+            Agg("amount", "count", Lookback(4, closed="left")), Agg("amount", "active_days", Lookback(6)),
+            Agg("amount", "sum", Lookback(3), default=0)]
+    spec = AggregateSpec("k", "t", aggs, end=day(55))
+    out = R.aggregate_features(facts(spark, rows), spec, mode="grid", entities=ents, start_col="since",
+                               bucket_width=width).collect()
+    starts = {1: 3, 2: 0, 3: 44, 4: 10}
+    want_cells = {(k, p) for k, s0 in starts.items() for p in range(s0, 56)}
+    got = {(r["k"], (r["t"] - D0).days): r for r in out}
+    assert set(got) == want_cells and len(out) == len(want_cells)
+    for (k, p), r in got.items():
+        for a in aggs:
+            d, o = a.window.granules()
+            want = brute(rows, k, p, a.fn, d, o, a.window.closed)
+            if want is None and a.default is not None:
+                want = float(a.default)
+            have = r[a.output_name()]
+            if isinstance(want, float) and have is not None:
+                assert have == pytest.approx(want, rel=1e-12), (k, p, a.output_name())
+            else:
+                assert have == want, (k, p, a.output_name())
