@@ -29,6 +29,7 @@ HEADLINE = {
     "training_set": ["lineitem", "orders", "customer", "supplier"],
     "lookup_asof_features": ["lineitem", "orders"],
     "window_closed_left": ["lineitem", "orders"],
+    "dense_rollups": ["orders", "customer"],
 }
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookup import AsOfRight, lookup_asof, lookup_exact
+from ..operators.scd import latest_snapshot
 from ..specs import Feature, FeatureFunction, FeatureLookup, FeatureSpec, TableSpec, drop_existing
 
 
@@ -61,6 +62,9 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
                      override: bool = False, asof_strategy: str = "union") -> tuple[DataFrame, list[str]]:
     """Attach ``features`` to ``spine``; returns (frame, output names in listed order).
 
+    A lookup without ``time_key`` on a table with a time key reads the latest
+    row per key (what an online table serves), never every version.
+
     With ``override`` a feature already present in the spine is kept and only
     its NULL cells are filled from the lookup (T8); a lookup whose outputs are
     all present as non-nullable columns is skipped, no join at all.
@@ -113,7 +117,11 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
         if f.time_key:
             pending.append((f, t))
         else:
-            df = lookup_exact(df, t.df, list(f.lookup_key), list(t.spec.key), list(f.features),
+            right = t.df
+            if t.spec.time_key:
+                # no observation time given: serve the latest row per key, as an online table would
+                right = latest_snapshot(right, list(t.spec.key), t.spec.time_key)
+            df = lookup_exact(df, right, list(f.lookup_key), list(t.spec.key), list(f.features),
                               rename=dict(f.rename))
             apply_fills()
     flush()

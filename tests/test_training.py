@@ -148,3 +148,12 @@ def test_weighted_tree(spark):
     model, feats = M.fit_tree(df, "label", features=["x"], weight_col="w")
     assert feats == ["x"]
     assert M.score_supplied(df, model, feats).count() == 500
+
+
+def test_lookup_without_time_on_time_series_table_reads_latest(spark):
+    spine = spark.createDataFrame([(1,), (2,)], "acct bigint")
+    ts = spark.createDataFrame([(1, day(1), 5.0), (1, day(4), 7.0), (2, day(2), 1.0)],
+                               "account_id bigint, date date, total double")
+    tables = {"rollups": T.FeatureTable(ts, TableSpec("account_id", time_key="date"))}
+    out = T.training_set(spine, [FeatureLookup("rollups", ["total"], "acct")], tables)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 7.0), (2, 1.0)]
