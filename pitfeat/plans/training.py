@@ -81,14 +81,24 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
                 df = df.withColumn(n, F.coalesce(F.col(n), F.col(tmp))).drop(tmp)
                 del fill[n]
 
+    exact: list[tuple[FeatureLookup, FeatureTable]] = []
+
     def flush():
-        nonlocal df, pending
+        # as-of groups first, on the narrowest spine; then the exact joins
+        nonlocal df, pending, exact
         groups: dict[tuple, list[AsOfRight]] = {}
         for lk, t in pending:
             groups.setdefault((lk.lookup_key, lk.time_key), []).append(_lookup_right(lk, t))
         for (key, time), rights in groups.items():
             df = lookup_asof(df, rights, list(key), time, strategy=asof_strategy)
-        pending = []
+        for f, t in exact:
+            right = t.df
+            if t.spec.time_key:
+                # no observation time given: serve the latest row per key, as an online table would
+                right = latest_snapshot(right, list(t.spec.key), t.spec.time_key)
+            df = lookup_exact(df, right, list(f.lookup_key), list(t.spec.key), list(f.features),
+                              rename=dict(f.rename))
+        pending, exact = [], []
         apply_fills()
 
     for f in features:
@@ -117,13 +127,7 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
         if f.time_key:
             pending.append((f, t))
         else:
-            right = t.df
-            if t.spec.time_key:
-                # no observation time given: serve the latest row per key, as an online table would
-                right = latest_snapshot(right, list(t.spec.key), t.spec.time_key)
-            df = lookup_exact(df, right, list(f.lookup_key), list(t.spec.key), list(f.features),
-                              rename=dict(f.rename))
-            apply_fills()
+            exact.append((f, t))
     flush()
     return df, names
 
