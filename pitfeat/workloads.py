@@ -7,13 +7,25 @@ from them) in full. Names follow SURVEY 7.3; the DuckDB oracles live in
 
 from __future__ import annotations
 
+import datetime as _dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.scalar import register_distance, split_bucket, years_365
+from .operators import lookup as L
+from .operators import quality as Q
+from .operators import reshape as X
 from .operators import rolling as R
+from .operators import scd as S
+from .plans import ml as M
+from .plans import training as T
+from .session import materialize, scratch_path
 from .sources.tables import Tables
+from .specs import (Agg, AggregateSpec, FeatureFunction, FeatureLookup, FeatureSpec, Lookback, TableSpec,
+                    expand_search_space)
+from .streaming import jobs as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -39,10 +51,6 @@ def rolling_7_14(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # shared building blocks
 # ---------------------------------------------------------------------------
-from .functions.scalar import register_distance  # noqa: E402
-from .operators import lookup as L  # noqa: E402
-from .plans import training as T  # noqa: E402
-from .specs import FeatureFunction, FeatureLookup, TableSpec  # noqa: E402
 
 REQUEST_DAY = "2000-06-15"
 
@@ -58,7 +66,7 @@ def feature_tables(t: Tables) -> dict[str, T.FeatureTable]:
 
 
 def fraud_features(spark: SparkSession) -> list:
-    """Lookups of notebook 02 (rollups as-of, merchant exact, account as-of, distance)."""
+    """The fraud-model lookups: rollups as-of, merchant exact, account as-of, distance."""
     register_distance(spark)
     return [
         FeatureLookup("rollups", ["14_day_total", "7_day_total", "7_day_transaction_count"],
@@ -193,9 +201,7 @@ def inference_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # windowed aggregates: spine, facts and grid evaluation
 # ---------------------------------------------------------------------------
-import datetime as _dt  # noqa: E402
 
-from .specs import Agg, AggregateSpec, Lookback, expand_search_space  # noqa: E402
 
 # the reference's search space: 2x2 plain windows + 2x2x2 offset windows
 SEARCH_SPACE = [
@@ -267,7 +273,7 @@ def window_approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def aggregate_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily grid from 2023-01-01 to the last event (A9): the minimal notebook's two aggregates."""
+    """Daily grid from 2023-01-01 to the last event (A9): a 30-day average and an offset sum."""
     spec = AggregateSpec("account_id", "txn_date", [
         Agg("amount", "avg", Lookback(30)),
         Agg("amount", "sum", Lookback(5, offset=_dt.timedelta(days=-2)))], start=GRID_START, end=None)
@@ -327,11 +333,6 @@ def training_set_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # SCD-2, snapshots, validation, reshaping, splitting
 # ---------------------------------------------------------------------------
-from .functions.scalar import split_bucket, years_365  # noqa: E402
-from .operators import quality as Q  # noqa: E402
-from .operators import reshape as X  # noqa: E402
-from .operators import scd as S  # noqa: E402
-from .specs import FeatureSpec  # noqa: E402
 
 
 @query
@@ -425,7 +426,6 @@ def spec_override(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # model fitting and scoring (rows-only checks: no SQL equivalent)
 # ---------------------------------------------------------------------------
-from .plans import ml as M  # noqa: E402
 
 
 def fitted_tree(spark: SparkSession, sf_dir: str):
@@ -462,8 +462,6 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # streaming (run over all available input, then read the sink back)
 # ---------------------------------------------------------------------------
-from .session import materialize, scratch_path  # noqa: E402
-from .streaming import jobs as ST  # noqa: E402
 
 
 def _utc(spark: SparkSession) -> None:
