@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs after one warm-up, default 5). Each run executes the
+BENCH_RUNS (timed runs after one warm-up, default 5), BENCH_EVENT_LOG=1 to
+write Spark's event log (stage and task times) to a fresh /tmp folder. Each run executes the
 whole plan into the no-op sink (no collect); the median is reported, with the
 rows read and written and the number of shuffle exchanges planned.
 """
@@ -50,7 +51,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(2, 2 * cpus), app="pitfeat-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage and task times from Spark's event log, written to a fresh scratch folder
+        import tempfile
+        log_dir = tempfile.mkdtemp(prefix="pitfeat-events-")
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(2, 2 * cpus), app="pitfeat-bench",
+                      extra_conf=extra)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     times, details = {}, {}
     for name, tables in HEADLINE.items():

@@ -332,3 +332,18 @@ SELECT account_id, window_start, window_start + INTERVAL 7 DAY AS window_end,
        CAST(SUM(amount) AS DOUBLE) AS amount_sum, COUNT(amount) AS amount_count
 FROM w GROUP BY account_id, window_start
 HAVING window_start + INTERVAL 7 DAY <= (SELECT max(ts) FROM p) - INTERVAL 1 DAY"""
+
+# Approximate distinct counts: an HLL sketch keeps exact coupons while a set is
+# small (here at most a few dozen merchants per 30-day window), so its
+# estimate equals COUNT(DISTINCT) at these cardinalities.
+ORACLES["window_approx_distinct"] = with_(
+    TXN_LINES, EOL,
+    """pts AS (SELECT DISTINCT primary_account_number AS k, observation_date AS d,
+             datediff('day', DATE '1970-01-01', observation_date) AS p FROM eol
+             WHERE primary_account_number IS NOT NULL AND observation_date IS NOT NULL)""",
+    """lines AS (SELECT account_id AS k, datediff('day', DATE '1970-01-01', txn_date) AS g, merchant_id
+               FROM txn_lines)""",
+    """fx AS (SELECT pts.k, pts.d, COUNT(DISTINCT lines.merchant_id) AS n FROM pts LEFT JOIN lines
+            ON lines.k = pts.k AND lines.g BETWEEN pts.p - 29 AND pts.p GROUP BY pts.k, pts.d)""") + """
+SELECT e.*, CAST(fx.n AS BIGINT) AS merchant_id_approx_count_distinct_30d FROM eol e
+LEFT JOIN fx ON fx.k = e.primary_account_number AND fx.d = e.observation_date"""

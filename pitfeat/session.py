@@ -17,14 +17,27 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+def _driver_memory() -> str:
+    """Half of physical memory, between 2 and 16 GB (local mode: the driver is the executor)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gb = max(2, min(16, int(total / 2**30 / 2)))
+    return f"{gb}g"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "pitfeat") -> SparkSession:
+              app: str = "pitfeat", extra_conf: dict | None = None) -> SparkSession:
     """Local session with AQE on, UTC clock, UI off (no server is opened)."""
     master = master or os.environ.get("PITFEAT_MASTER", "local[8]")
     if shuffle_partitions is None:
         shuffle_partitions = int(os.environ.get("PITFEAT_SHUFFLE_PARTITIONS", "8"))
+    builder = SparkSession.builder.master(master)
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(master)
+        builder
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -34,7 +47,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("PITFEAT_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("PITFEAT_DRIVER_MEMORY", _driver_memory()))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
