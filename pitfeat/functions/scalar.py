@@ -21,24 +21,48 @@ def day_number(c: str | Column) -> Column:
     return F.datediff(F.to_date(col_of(c)), F.lit(EPOCH).cast("date"))
 
 
-def granule(c: str | Column, granularity: _dt.timedelta = DAY) -> Column:
+def epoch_seconds(c: str | Column, dtype: str | None = None) -> Column:
+    """Seconds since 1970-01-01 00:00.
+
+    A TIMESTAMP_NTZ (or DATE) is a wall clock: its seconds are read from its
+    fields, so the session time zone never shifts them. A TIMESTAMP is an
+    instant: ``unix_seconds``.
+    """
+    c = col_of(c)
+    if dtype == "date":
+        return day_number(c).cast("bigint") * 86400
+    if dtype == "timestamp_ntz":
+        return (day_number(c).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+                + F.second(c)).cast("bigint")
+    return F.unix_seconds(c.cast("timestamp"))
+
+
+def granule(c: str | Column, granularity: _dt.timedelta = DAY, dtype: str | None = None) -> Column:
     """Integer granule number of a time column (floor division of the epoch)."""
     if granularity >= DAY:
         n = granularity // DAY
         d = day_number(c)
         return d if n == 1 else F.floor(d / F.lit(n)).cast("bigint")
     secs = int(granularity.total_seconds())
-    return F.floor(F.unix_seconds(col_of(c).cast("timestamp")) / F.lit(secs)).cast("bigint")
+    return F.floor(epoch_seconds(c, dtype) / F.lit(secs)).cast("bigint")
 
 
-def granule_start(g: str | Column, granularity: _dt.timedelta = DAY) -> Column:
-    """Inverse of :func:`granule`: a date for day grains, else a timestamp."""
+def granule_start(g: str | Column, granularity: _dt.timedelta = DAY, dtype: str | None = None) -> Column:
+    """Inverse of :func:`granule`: a date for day grains; for finer grains a
+    timestamp of the same kind as the source (wall clock for TIMESTAMP_NTZ)."""
     g = col_of(g)
     if granularity >= DAY:
         n = granularity // DAY
         return F.date_add(F.lit(EPOCH).cast("date"), (g * F.lit(n)).cast("int"))
     secs = int(granularity.total_seconds())
-    return F.timestamp_seconds(g * F.lit(secs))
+    s = g * F.lit(secs)
+    if dtype in ("timestamp_ntz", "date"):
+        day = F.date_add(F.lit(EPOCH).cast("date"), F.floor(s / 86400).cast("int"))
+        sod = F.pmod(s, F.lit(86400))
+        return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day),
+                                    F.floor(sod / 3600).cast("int"), F.floor(F.pmod(sod, F.lit(3600)) / 60).cast("int"),
+                                    F.pmod(sod, F.lit(60)).cast("decimal(8,6)"))
+    return F.timestamp_seconds(s)
 
 
 def years_365(start: str | Column, end: str | Column) -> Column:

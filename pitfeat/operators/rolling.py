@@ -59,6 +59,11 @@ def _clean_facts(facts: DataFrame, spec: AggregateSpec) -> DataFrame:
     return facts.where(cond)
 
 
+def _gran(df: DataFrame, col: str, spec: AggregateSpec) -> Column:
+    """Granule of ``df[col]``, read in the column's own time kind."""
+    return granule(F.col(col), spec.granularity, dict(df.dtypes).get(col))
+
+
 def daily_partials(facts: DataFrame, spec: AggregateSpec,
                    points: DataFrame | None = None, point_cols: Sequence[str] = ()) -> DataFrame:
     """One row per (key, granule): partial aggregates (A1), plus point flags.
@@ -71,7 +76,7 @@ def daily_partials(facts: DataFrame, spec: AggregateSpec,
     cols = _source_columns(spec)
     ptypes = dict(points.dtypes) if points is not None else {}
     f = _clean_facts(facts, spec).select(
-        *spec.key, granule(spec.time, spec.granularity).alias(G), *cols,
+        *spec.key, _gran(facts, spec.time, spec).alias(G), *cols,
         F.lit(1).alias(FT), F.lit(0 if points is not None else 1).alias(PT),
         *[F.lit(None).cast(ptypes[c]).alias(c) for c in point_cols])
     if points is not None:
@@ -118,7 +123,7 @@ def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
     width = bucket_width or default_bucket_width(spec)
     frames = [a.window.frame(spec.granularity) for a in spec.aggs]
     edges = sorted({-hi for lo, hi in frames} | {-lo + 1 for lo, hi in frames})
-    g = granule(spec.time, spec.granularity).cast("bigint")
+    g = _gran(facts, spec.time, spec).cast("bigint")
     changes = (_clean_facts(facts, spec)
                .select(*spec.key, F.explode(F.array(*[g + F.lit(e) for e in edges])).alias(G))
                .select(*spec.key, G, F.lit(None).cast("bigint").alias("__s"),
@@ -158,7 +163,7 @@ def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
 
 def _scalar_time_bound(facts: DataFrame, spec: AggregateSpec, which: str) -> Column:
     agg = F.max if which == "end" else F.min
-    return facts.select(agg(granule(spec.time, spec.granularity))).scalar()
+    return facts.select(agg(_gran(facts, spec.time, spec))).scalar()
 
 
 def _bound(value, facts: DataFrame, spec: AggregateSpec, which: str) -> Column:
@@ -167,11 +172,11 @@ def _bound(value, facts: DataFrame, spec: AggregateSpec, which: str) -> Column:
     if isinstance(value, Column):
         return granule(value, spec.granularity)
     if isinstance(value, str):
-        return granule(F.lit(value).cast("timestamp"), spec.granularity)
+        return granule(F.lit(value).cast("timestamp_ntz"), spec.granularity, "timestamp_ntz")
     if isinstance(value, _dt.datetime):
-        return granule(F.lit(value).cast("timestamp_ntz"), spec.granularity)
+        return granule(F.lit(value).cast("timestamp_ntz"), spec.granularity, "timestamp_ntz")
     if isinstance(value, _dt.date):
-        return granule(F.lit(value), spec.granularity)
+        return granule(F.lit(value), spec.granularity, "date")
     raise TypeError(f"unsupported bound {value!r}")
 
 
@@ -191,8 +196,11 @@ def grid_bounds(facts: DataFrame, spec: AggregateSpec, entities: DataFrame | Non
             *([F.max(end_col).alias("__e0")] if end_col else []))
     else:
         ent = src.select(*spec.key).distinct()
-    s = granule(F.col("__s0"), spec.granularity) if start_col else _bound(spec.start, facts, spec, "start")
-    e = granule(F.col("__e0"), spec.granularity) if end_col else _bound(spec.end, facts, spec, "end")
+    et = dict(src.dtypes)
+    s = (granule(F.col("__s0"), spec.granularity, et.get(start_col)) if start_col
+         else _bound(spec.start, facts, spec, "start"))
+    e = (granule(F.col("__e0"), spec.granularity, et.get(end_col)) if end_col
+         else _bound(spec.end, facts, spec, "end"))
     out = ent.select(*spec.key, s.cast("bigint").alias("__s"), e.cast("bigint").alias("__e"))
     for k in spec.key:
         out = out.where(F.col(k).isNotNull())
@@ -235,7 +243,7 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     cast_out = _output_casts(spec)
     if mode == "facts":
         res = _evaluate(daily_partials(facts, spec), spec, bucket_width)
-        return _finish(res, spec, cast_out)
+        return _finish(res, spec, cast_out, dict(facts.dtypes).get(spec.time))
     if mode == "grid":
         if max_cells is not None:
             cells = grid_size(facts, spec, entities, start_col, end_col)
@@ -244,7 +252,7 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
                                  "use spine mode or narrow start/end")
         res = _grid_by_runs(facts, spec, grid_bounds(facts, spec, entities, start_col, end_col),
                             bucket_width)
-        return _finish(res, spec, cast_out)
+        return _finish(res, spec, cast_out, dict(facts.dtypes).get(spec.time))
     if mode != "spine":
         raise ValueError("mode must be 'spine', 'grid' or 'facts'")
     if spine is None:
@@ -257,7 +265,7 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     if missing:
         raise ValueError(f"spine lacks columns {missing}")
     key_types = dict(facts.dtypes)
-    sp = spine.withColumn(G, granule(spine_time, spec.granularity))
+    sp = spine.withColumn(G, _gran(spine, spine_time, spec))
     pts = sp.select(*[F.col(sk).cast(key_types[k]).alias(k) for sk, k in zip(spine_keys, spec.key)],
                     G).where(F.col(G).isNotNull())
     for k in spec.key:
@@ -288,8 +296,8 @@ def _output_casts(spec: AggregateSpec):
     return casts
 
 
-def _finish(res: DataFrame, spec: AggregateSpec, casts) -> DataFrame:
-    return res.select(*spec.key, granule_start(G, spec.granularity).alias(spec.time),
+def _finish(res: DataFrame, spec: AggregateSpec, casts, dtype: str | None = None) -> DataFrame:
+    return res.select(*spec.key, granule_start(G, spec.granularity, dtype).alias(spec.time),
                       *[casts[n](F.col(n)).alias(n) for n in spec.names])
 
 

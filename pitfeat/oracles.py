@@ -347,3 +347,17 @@ ORACLES["window_approx_distinct"] = with_(
             ON lines.k = pts.k AND lines.g BETWEEN pts.p - 29 AND pts.p GROUP BY pts.k, pts.d)""") + """
 SELECT e.*, CAST(fx.n AS BIGINT) AS merchant_id_approx_count_distinct_30d FROM eol e
 LEFT JOIN fx ON fx.k = e.primary_account_number AND fx.d = e.observation_date"""
+
+ORACLES["enrich_batch"] = ORACLES["stream_enrich"]
+
+ORACLES["window_hourly"] = with_(TXN_EVENTS, """hd AS (
+  SELECT account_id AS k, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS h, SUM(amount) AS s, COUNT(amount) AS c
+  FROM txn_events WHERE account_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2)""") + """
+SELECT p.k AS account_id, make_timestamp(p.h * 3600 * 1000000) AS ts,
+  CAST(SUM(CASE WHEN x.h BETWEEN p.h - 5 AND p.h THEN x.s END) AS DOUBLE) AS amount_sum_6h,
+  CAST(COALESCE(SUM(CASE WHEN x.h BETWEEN p.h - 23 AND p.h THEN x.c END), 0) AS BIGINT) AS amount_count_24h,
+  CASE WHEN SUM(CASE WHEN x.h BETWEEN p.h - 3 AND p.h - 1 THEN x.c END) > 0 THEN
+    CAST(SUM(CASE WHEN x.h BETWEEN p.h - 3 AND p.h - 1 THEN x.s END) AS DOUBLE)
+    / CAST(SUM(CASE WHEN x.h BETWEEN p.h - 3 AND p.h - 1 THEN x.c END) AS DOUBLE) END AS amount_avg_3h_offset_1h
+FROM (SELECT DISTINCT k, h FROM hd) p JOIN hd x ON x.k = p.k AND x.h BETWEEN p.h - 23 AND p.h
+GROUP BY p.k, p.h"""

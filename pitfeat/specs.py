@@ -102,7 +102,9 @@ class Lookback:
 
     def suffix(self, granularity: _dt.timedelta = DAY) -> str:
         d, o = self.granules(granularity)
-        unit = "d" if granularity == DAY else "g"
+        units = {DAY: "d", _dt.timedelta(hours=1): "h", _dt.timedelta(minutes=1): "m",
+                 _dt.timedelta(seconds=1): "s"}
+        unit = units.get(granularity, "g")
         s = f"{d}{unit}"
         if o:
             s += f"_offset_{o}{unit}"

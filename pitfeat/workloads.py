@@ -271,6 +271,19 @@ def window_approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.aggregate_features(t.txn_lines(), spec, spine=t.eol(), on=EOL_ON)
 
 
+HOUR = _dt.timedelta(hours=1)
+
+
+@query
+def window_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hour-grain windows over purchase events: 6-hour sum, 24-hour count, and a
+    3-hour average ending an hour back, at every (user, hour) with purchases."""
+    spec = AggregateSpec("account_id", "ts", [
+        Agg("amount", "sum", Lookback(6 * HOUR)), Agg("amount", "count", Lookback(24 * HOUR)),
+        Agg("amount", "avg", Lookback(3 * HOUR, offset=HOUR))], granularity=HOUR)
+    return R.aggregate_features(Tables(spark, sf_dir).txn_events(), spec, mode="facts")
+
+
 @query
 def aggregate_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily grid from 2023-01-01 to the last event (A9): a 30-day average and an offset sum."""
@@ -513,6 +526,20 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query
+def enrich_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch as-of join the stream enrichment must equal (R2), on timestamps:
+    the union plan runs with time buckets and carry-in rows here."""
+    t = Tables(spark, sf_dir)
+    scd = S.build_scd2(t.profile_changes(), "account_id", "changed_at", ["change_id", "zip"],
+                       order_by=["change_id"])
+    right = L.AsOfRight(scd, ["account_id"], "valid_from", ["zip"], valid_to="valid_to")
+    req = t.raw("events").where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("transaction_id"), F.col("user_id").alias("account_id"), "ts",
+        F.col("value").cast("decimal(18,2)").alias("amount"))
+    return L.lookup_asof(req, [right], "account_id", "ts", bucket=_dt.timedelta(days=7))
+
+
 @query
 def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """7-day windows sliding by a day, per user, emitted once the watermark passes."""
