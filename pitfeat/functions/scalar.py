@@ -65,6 +65,28 @@ def granule_start(g: str | Column, granularity: _dt.timedelta = DAY, dtype: str
     return F.timestamp_seconds(s)
 
 
+def ntz_to_instant(c: str | Column) -> Column:
+    """A TIMESTAMP_NTZ wall clock read as UTC, as a TIMESTAMP instant.
+
+    Unlike ``cast(.. as timestamp)`` the session time zone plays no part, so
+    event-time windows align on UTC days wherever the job runs.
+    """
+    c = col_of(c)
+    return F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+
+
+def instant_to_ntz(c: str | Column) -> Column:
+    """The UTC wall clock of a TIMESTAMP instant, as TIMESTAMP_NTZ (zone-free)."""
+    u = F.unix_micros(col_of(c))
+    day = F.date_add(F.lit(EPOCH).cast("date"), F.floor(u / 86_400_000_000).cast("int"))
+    us = F.pmod(u, F.lit(86_400_000_000))
+    return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day),
+                                F.floor(us / 3_600_000_000).cast("int"),
+                                F.floor(F.pmod(us, F.lit(3_600_000_000)) / 60_000_000).cast("int"),
+                                (F.pmod(us, F.lit(60_000_000)) / 1_000_000).cast("decimal(8,6)"))
+
+
 def years_365(start: str | Column, end: str | Column) -> Column:
     """Whole 365-day years between two dates (F10): not calendar years."""
     return F.floor(F.datediff(F.to_date(col_of(end)), F.to_date(col_of(start))) / F.lit(365)).cast("bigint")

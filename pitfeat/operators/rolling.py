@@ -174,7 +174,9 @@ def _bound(value, facts: DataFrame, spec: AggregateSpec, which: str) -> Column:
     if isinstance(value, str):
         return granule(F.lit(value).cast("timestamp_ntz"), spec.granularity, "timestamp_ntz")
     if isinstance(value, _dt.datetime):
-        return granule(F.lit(value).cast("timestamp_ntz"), spec.granularity, "timestamp_ntz")
+        # from text: a Python datetime literal would pass through the session time zone
+        return granule(F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz"),
+                       spec.granularity, "timestamp_ntz")
     if isinstance(value, _dt.date):
         return granule(F.lit(value), spec.granularity, "date")
     raise TypeError(f"unsupported bound {value!r}")

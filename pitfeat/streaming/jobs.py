@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.scalar import instant_to_ntz, ntz_to_instant
 from ..operators.lookup import AsOfRight, _asof_packed
 from ..operators.scd import latest_snapshot
 
@@ -117,18 +118,23 @@ def stream_rolling(stream: DataFrame, key, time: str, value: str, duration: str
                    slide: str = "1 day", watermark: str = "1 day") -> DataFrame:
     """Sliding-window SUM and COUNT of ``value`` per key, for append output.
 
-    The event time is cast to TIMESTAMP (watermarks need it) and a window is
-    emitted once the watermark (latest event time minus ``watermark``) passes
-    its end; rows later than the watermark are dropped and show up in the
-    query's progress as ``numRowsDroppedByWatermark``.
+    Watermarks need a TIMESTAMP: a wall-clock (TIMESTAMP_NTZ) event time is
+    read as UTC, independent of the session time zone, and window bounds come
+    back as UTC wall clocks. A window is emitted once the watermark (latest
+    event time minus ``watermark``) passes its end; rows later than the
+    watermark are dropped and show up in the query's progress as
+    ``numRowsDroppedByWatermark``.
     """
     keys = _ls(key)
-    s = stream.withColumn("__et", F.col(time).cast("timestamp")).withWatermark("__et", watermark)
+    ntz = dict(stream.dtypes).get(time) == "timestamp_ntz"
+    et = ntz_to_instant(time) if ntz else F.col(time).cast("timestamp")
+    s = stream.withColumn("__et", et).withWatermark("__et", watermark)
     agg = s.groupBy(*keys, F.window("__et", duration, slide).alias("__w")).agg(
         F.sum(value).cast("double").alias(f"{value}_sum"),
         F.count(value).alias(f"{value}_count"))
-    return agg.select(*keys, F.col("__w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("__w.end").cast("timestamp_ntz").alias("window_end"),
+    back = instant_to_ntz if ntz else (lambda c: c)
+    return agg.select(*keys, back(F.col("__w.start")).alias("window_start"),
+                      back(F.col("__w.end")).alias("window_end"),
                       f"{value}_sum", f"{value}_count")
 
 

@@ -477,11 +477,6 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _utc(spark: SparkSession) -> None:
-    # event-time windows are aligned on UTC days; timestamps here are UTC wall clocks
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-
-
 @query
 def stream_publish_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rollups streamed two files per batch into a keyed latest-row snapshot.
@@ -513,7 +508,6 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     The static side is the SCD-2 built from signup changes; equals the batch
     as-of join.
     """
-    _utc(spark)
     t = Tables(spark, sf_dir)
     scd = S.build_scd2(t.profile_changes(), "account_id", "changed_at", ["change_id", "zip"],
                        order_by=["change_id"])
@@ -543,7 +537,6 @@ def enrich_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """7-day windows sliding by a day, per user, emitted once the watermark passes."""
-    _utc(spark)
     agg = ST.stream_rolling(_purchase_stream(spark, sf_dir), "account_id", "ts", "amount",
                             duration="7 days", slide="1 day", watermark="1 day")
     out = scratch_path(spark, "stream-rolling")

@@ -18,6 +18,8 @@ import __spark_entry__ as entry  # noqa: E402
 def main(argv):
     sf = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
     spark = get_spark()
+    if os.environ.get("ORACLE_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["ORACLE_TZ"])
     con = duck(sf)
     qs, sqls = entry.queries(), entry.oracle_sql()
     names = argv or sorted(qs)

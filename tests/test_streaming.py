@@ -50,3 +50,23 @@ def test_enrich_stream_with_full_spec(spark):
     ST.run_to_files(ST.enrich_with_spec(stream, spec, tables), out, ck)
     got = sorted((r["merchant_id"], r["zone"], r["d"]) for r in spark.read.parquet(out).collect())
     assert got == [(100, 2, 23), (101, 1, 14), (999, None, None)]
+
+
+def test_stream_rolling_is_zone_independent(spark):
+    rows = [(1, dt.datetime(2024, 3, 9, 22) + dt.timedelta(hours=5 * i), 1.0 + i) for i in range(30)]
+    src = scratch_path(spark, "roll-src")
+    spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, v double").write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    results = []
+    try:
+        for tz in ("UTC", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            agg = ST.stream_rolling(spark.readStream.schema(schema).parquet(src), "k", "ts", "v",
+                                    duration="2 days", slide="1 day", watermark="1 day")
+            out = scratch_path(spark, "roll-out")
+            ST.run_to_files(agg, out, scratch_path(spark, "roll-ck"))
+            results.append(sorted(tuple(r) for r in spark.read.parquet(out).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert results[0] == results[1] and results[0]
+    assert all(r[1].hour == 0 and r[1].minute == 0 for r in results[0])
