@@ -266,6 +266,9 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     missing = [c for c in spine_keys + [spine_time] if c not in spine.columns]
     if missing:
         raise ValueError(f"spine lacks columns {missing}")
+    clash = [n for n in spec.names if n in spine.columns]
+    if clash:
+        raise ValueError(f"aggregate names already in the spine: {clash}")
     key_types = dict(facts.dtypes)
     sp = spine.withColumn(G, _gran(spine, spine_time, spec))
     pts = sp.select(*[F.col(sk).cast(key_types[k]).alias(k) for sk, k in zip(spine_keys, spec.key)],

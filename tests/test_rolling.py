@@ -240,3 +240,10 @@ def test_hourly_ntz_results_do_not_depend_on_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert results[0] == results[1] == results[2]
     assert results[0][0][1] == t0
+
+
+def test_feature_name_clash_with_spine_is_an_error(spark):
+    f = facts(spark, GAP_FACTS)
+    sp = spark.createDataFrame([(0, 1, day(3), 1.0)], SPINE_SCHEMA + ", amount_sum_7d double")
+    with pytest.raises(ValueError):
+        R.aggregate_features(f, AggregateSpec("k", "t", [Agg("amount", "sum", Lookback(7))]), spine=sp)
