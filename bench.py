@@ -57,7 +57,8 @@ def main() -> None:
         import tempfile
         log_dir = tempfile.mkdtemp(prefix="pitfeat-events-")
         extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=max(2, 2 * cpus), app="pitfeat-bench",
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2, 2 * cpus)))
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=parts, app="pitfeat-bench",
                       extra_conf=extra)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     times, details = {}, {}

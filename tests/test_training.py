@@ -157,3 +157,25 @@ def test_lookup_without_time_on_time_series_table_reads_latest(spark):
     tables = {"rollups": T.FeatureTable(ts, TableSpec("account_id", time_key="date"))}
     out = T.training_set(spine, [FeatureLookup("rollups", ["total"], "acct")], tables)
     assert sorted(tuple(r) for r in out.collect()) == [(1, 7.0), (2, 1.0)]
+
+
+def test_client_call_shapes(spark, world):
+    from pitfeat.plans.client import FeatureClient
+    from pitfeat.specs import Agg, AggregateSpec, Lookback
+    spine, tables, feats = world
+    fc = FeatureClient(spark)
+    for name, t in tables.items():
+        fc.register_table(name, t.df, t.spec, t.valid_to)
+    ts = fc.create_training_set(df=spine, feature_lookups=feats, label="label",
+                                exclude_columns=["transaction_id", "obs"])
+    df = ts.load_df()
+    assert df.count() == 4 and df.columns[-1] == "label"
+    fc.create_feature_spec("s", feats)
+    assert fc.apply_spec("s", spine.drop("label")).count() == 4
+    txns = spark.createDataFrame([(10, day(0), 5.0), (10, day(2), 7.0)], "acct bigint, t date, amount double")
+    fc.register_table("txns", txns, TableSpec("acct", time_key="t"))
+    grid = fc.aggregate_features(AggregateSpec("acct", "t", [Agg("amount", "sum", Lookback(2))]), "txns")
+    assert [r["amount_sum_2d"] for r in grid.orderBy("t").collect()] == [5.0, 5.0, 7.0]
+    pm = fc.fit_model(ts)
+    scored = fc.score_batch(pm, spine.select("acct", "merchant_id", "obs", "amount"))
+    assert scored.count() == 4 and "prediction" in scored.columns
