@@ -250,8 +250,12 @@ def _asof_packed(spine: DataFrame, r: AsOfRight, lk: list[str], spine_time: str,
     """Join each spine row to its key's packed rows; keep the latest at or before t."""
     v = _value_struct(r, i)
     keyed = r.df.where(_and([F.col(k).isNotNull() for k in r.key] + [F.col(r.time).isNotNull()]))
-    packed = keyed.groupBy(*[F.col(k).alias(f"__rk{j}") for j, k in enumerate(r.key)]).agg(
-        F.collect_list(v).alias("__arr"))
+    rks = [f"__rk{j}" for j in range(len(r.key))]
+    # first the tie-broken latest row per (key, time): each key's array then holds
+    # one entry per distinct time (per calendar day for DATE tables)
+    per_time = keyed.groupBy(*[F.col(k).alias(rk) for k, rk in zip(r.key, rks)], F.col(r.time).alias("__t")) \
+        .agg(F.max(v).alias("__v"))
+    packed = per_time.groupBy(*rks).agg(F.collect_list("__v").alias("__arr"))
     t = spine[spine_time]
     cond = _and([spine[k] == packed[f"__rk{j}"] for j, k in enumerate(lk)])
     j = spine.join(F.broadcast(packed) if broadcast else packed, cond, "left")
