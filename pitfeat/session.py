@@ -86,3 +86,28 @@ def materialize(df: DataFrame, path: str | None = None, name: str = "table") ->
     path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_profile(shuffle_bytes: float, executors: int, cores_per_executor: int,
+                    partition_bytes: int = 256 * 2**20,
+                    broadcast_bytes: int = 64 * 2**20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the expected shuffle volume.
+
+    ``spark.sql.shuffle.partitions`` is the larger of "about ``partition_bytes``
+    per reducer" and three waves of tasks, so reducers fit in executor memory
+    without spilling much; AQE then coalesces small partitions and splits
+    skewed ones at run time. Broadcasts are decided by AQE from measured
+    sizes, capped at ``broadcast_bytes``.
+    """
+    slots = max(1, executors * cores_per_executor)
+    parts = max(int(shuffle_bytes // partition_bytes) + 1, 3 * slots)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }

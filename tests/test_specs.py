@@ -58,3 +58,11 @@ def test_table_spec():
     assert t.primary_key == ("customer_id", "valid_from")
     with pytest.raises(ValueError):
         t.validate(["customer_id"])
+
+
+def test_cluster_profile_sizing():
+    from pitfeat.session import cluster_profile
+    p = cluster_profile(100 * 2**40, executors=1000, cores_per_executor=8)
+    assert int(p["spark.sql.shuffle.partitions"]) == 409601
+    small = cluster_profile(2**30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120
