@@ -312,7 +312,8 @@ ORACLES["spec_override"] = with_(
 
 ORACLES["stream_publish_latest"] = ORACLES["latest_snapshot"]
 ORACLES["stream_enrich"] = """WITH p AS (
-  SELECT event_id AS transaction_id, user_id AS account_id, ts, CAST(value AS DECIMAL(18,2)) AS amount,
+  SELECT event_id AS transaction_id, user_id AS account_id, ts,
+         CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS amount,
          row_number() OVER () AS __rid
   FROM events WHERE event_type = 'purchase'),
 s AS (SELECT user_id AS account_id, event_id AS change_id, ts AS valid_from,

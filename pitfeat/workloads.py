@@ -501,6 +501,11 @@ def _purchase_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("decimal(18,2)").alias("amount"))
 
 
+def _requests(df: DataFrame) -> DataFrame:
+    """Purchase requests, money as double at the edge."""
+    return df.withColumn("amount", F.col("amount").cast("double"))
+
+
 @query
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase requests enriched with the zip valid at request time (R2).
@@ -512,7 +517,7 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     scd = S.build_scd2(t.profile_changes(), "account_id", "changed_at", ["change_id", "zip"],
                        order_by=["change_id"])
     right = L.AsOfRight(scd, ["account_id"], "valid_from", ["zip"], valid_to="valid_to")
-    enriched = ST.enrich_stream(_purchase_stream(spark, sf_dir), [right], "account_id", "ts",
+    enriched = ST.enrich_stream(_requests(_purchase_stream(spark, sf_dir)), [right], "account_id", "ts",
                                 broadcast=L._fits(scd, L.DEFAULT_BROADCAST_ROWS, ["account_id"],
                                                   L.DEFAULT_MAX_PER_KEY))
     out = scratch_path(spark, "enriched")
@@ -528,9 +533,9 @@ def enrich_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     scd = S.build_scd2(t.profile_changes(), "account_id", "changed_at", ["change_id", "zip"],
                        order_by=["change_id"])
     right = L.AsOfRight(scd, ["account_id"], "valid_from", ["zip"], valid_to="valid_to")
-    req = t.raw("events").where(F.col("event_type") == "purchase").select(
+    req = _requests(t.raw("events").where(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("transaction_id"), F.col("user_id").alias("account_id"), "ts",
-        F.col("value").cast("decimal(18,2)").alias("amount"))
+        F.col("value").cast("decimal(18,2)").alias("amount")))
     return L.lookup_asof(req, [right], "account_id", "ts", bucket=_dt.timedelta(days=7))
 
 
