@@ -147,3 +147,22 @@ def test_later_rows_never_change_earlier_answers(spark):
     a, _ = both(spark, sp, base)
     b, _ = both(spark, sp, base + later)
     assert a == b
+
+
+def test_composite_keys_all_strategies(spark):
+    rnd = random.Random(17)
+    rt = [(rnd.randint(1, 2), rnd.choice("ab"), day(rnd.randint(0, 20)), rnd.randint(0, 99)) for _ in range(30)]
+    sp = [(i, rnd.randint(1, 2), rnd.choice("ab"), day(rnd.randint(-2, 25))) for i in range(40)]
+    s = spark.createDataFrame(sp, "id bigint, k1 bigint, k2 string, t date")
+    r = spark.createDataFrame(rt, "a bigint, b string, vf date, zone bigint")
+    right = L.AsOfRight(r, ["a", "b"], "vf", ["zone"])
+    outs = []
+    for strat, bucket in (("union", "auto"), ("union", dt.timedelta(days=3)), ("broadcast", "auto"),
+                          ("packed", "auto")):
+        out = L.lookup_asof(s, [right], ["k1", "k2"], "t", strategy=strat, bucket=bucket)
+        outs.append(sorted((x["id"], x["zone"]) for x in out.collect()))
+    assert outs[0] == outs[1] == outs[2] == outs[3]
+    got = dict(outs[0])
+    for i, k1, k2, t in sp:
+        cands = sorted((vf, z) for a, b, vf, z in rt if (a, b) == (k1, k2) and vf <= t)
+        assert got[i] == (cands[-1][1] if cands else None) or got[i] in [z for vf, z in cands if vf == cands[-1][0]]

@@ -247,3 +247,20 @@ def test_feature_name_clash_with_spine_is_an_error(spark):
     sp = spark.createDataFrame([(0, 1, day(3), 1.0)], SPINE_SCHEMA + ", amount_sum_7d double")
     with pytest.raises(ValueError):
         R.aggregate_features(f, AggregateSpec("k", "t", [Agg("amount", "sum", Lookback(7))]), spine=sp)
+
+
+def test_composite_keys_rolling(spark):
+    rnd = random.Random(23)
+    rows = [(rnd.randint(1, 2), rnd.choice("xy"), rnd.randint(0, 30), float(rnd.randint(1, 9))) for _ in range(80)]
+    f = spark.createDataFrame([(a, b, day(d), v) for a, b, d, v in rows], "a bigint, b string, t date, v double")
+    pts = [(i, rnd.randint(1, 2), rnd.choice("xy"), rnd.randint(0, 35)) for i in range(40)]
+    sp = spark.createDataFrame([(i, a, b, day(d)) for i, a, b, d in pts], "id bigint, a bigint, b string, t date")
+    spec = AggregateSpec(["a", "b"], "t", [Agg("v", "sum", Lookback(5)), Agg("v", "count", Lookback(10, offset=2))])
+    got = {r["id"]: r for r in R.aggregate_features(f, spec, spine=sp, bucket_width=4).collect()}
+    for i, a, b, p in pts:
+        s5 = [v for aa, bb, d, v in rows if (aa, bb) == (a, b) and p - 4 <= d <= p]
+        c10 = [v for aa, bb, d, v in rows if (aa, bb) == (a, b) and p - 11 <= d <= p - 2]
+        assert got[i]["v_sum_5d"] == (sum(s5) if s5 else None)
+        assert got[i]["v_count_10d_offset_2d"] == len(c10)
+    grid = R.aggregate_features(f, spec, mode="grid", bucket_width=4)
+    assert grid.select("a", "b").distinct().count() == len({(a, b) for a, b, _, _ in rows})
