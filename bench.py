@@ -77,7 +77,40 @@ def main() -> None:
                          "planned_exchanges": exchanges(df), "runs": [round(s, 3) for s in samples]}
     print(json.dumps({"metric": "median_query_seconds_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf.group(1)) if sf else None,
-                      "cpus": cpus, "details": details}))
+                      "cpus": cpus, "details": details, "skew": skew_check(spark, sf_dir, runs)}))
+
+
+def skew_check(spark, sf_dir: str, runs: int) -> dict:
+    """Rollups and an as-of lookup on orders, as given and with a third of all
+    orders moved onto one account (the hot-key case the plans must absorb)."""
+    from pyspark.sql import functions as F
+
+    from pitfeat.operators import lookup as L
+    from pitfeat.operators import rolling as R
+    from pitfeat.sources.tables import Tables
+
+    o = Tables(spark, sf_dir).txn_orders()
+    hot = o.withColumn("account_id", F.when(F.pmod("transaction_id", F.lit(3)) == 0, F.lit(7))
+                       .otherwise(F.col("account_id")))
+    spec = R.rolling_7_14_spec("account_id", "txn_date", "amount")
+
+    def plans(facts):
+        roll = R.aggregate_features(facts, spec, mode="facts")
+        spine = facts.select(F.col("account_id").alias("k"), F.col("txn_date").alias("t"), "transaction_id")
+        right = L.AsOfRight(roll, ["account_id"], "txn_date", ["7_day_total"])
+        return {"rolling": roll, "asof": L.lookup_asof(spine, [right], "k", "t")}
+
+    out = {}
+    for label, facts in (("uniform", o), ("hot_key_third", hot)):
+        for name, df in plans(facts).items():
+            samples = []
+            for i in range(max(1, runs // 2) + 1):
+                t0 = time.perf_counter()
+                df.write.format("noop").mode("overwrite").save()
+                if i:
+                    samples.append(time.perf_counter() - t0)
+            out[f"{name}_{label}"] = round(statistics.median(samples), 3)
+    return out
 
 
 if __name__ == "__main__":
