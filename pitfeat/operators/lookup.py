@@ -294,13 +294,18 @@ def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_
     rows = shaped(spine, lk, spine_time, 1, None)
     for i, r in enumerate(rights):
         rows = rows.unionByName(shaped(r.df, r.key, r.time, 0, i))
-    agg = rows.groupBy(*ks, "__t").agg(F.max("__pt").alias("__pt"), *[F.max(v).alias(v) for v in vcols])
+    group = [*ks, "__t"]
+    if bucket is not None:
+        # the bucket is a function of the time: grouping by it too changes nothing but lets
+        # both consumers below share this one aggregation (and its exchange)
+        rows = rows.withColumn("__b", granule(F.col("__t"), bucket))
+        group.append("__b")
+    agg = rows.groupBy(*group).agg(F.max("__pt").alias("__pt"), *[F.max(v).alias(v) for v in vcols])
 
     if bucket is None:
         w = Window.partitionBy(*ks).orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
         got = agg.select(*ks, "__t", "__pt", *[F.max(v).over(w).alias(v) for v in vcols])
     else:
-        agg = agg.withColumn("__b", granule(F.col("__t"), bucket))
         # carry-in: the latest right row of all earlier buckets, for buckets holding points
         per_bucket = agg.groupBy(*ks, "__b").agg(F.max("__pt").alias("__pt"), *[F.max(v).alias(v) for v in vcols])
         wb = Window.partitionBy(*ks).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
