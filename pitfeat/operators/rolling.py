@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions import aggregates as aggreg
 from ..functions.scalar import granule, granule_start
+from ..specs import DAY as DAY_TD
 from ..specs import Agg, AggregateSpec, Lookback
 
 G, B, PT, FT = "__g", "__b", "__pt", "__ft"
@@ -161,6 +162,20 @@ def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
     return pts.where(lo_c <= hi_c).select(*spec.key, F.explode(F.sequence(lo_c, hi_c)).alias(G), *names)
 
 
+def _facts_in_reach(facts: DataFrame, spec: AggregateSpec, spine: DataFrame, spine_time: str) -> DataFrame:
+    days = spec.granularity // DAY_TD
+    reach = (spec.max_span + 1) * days  # whole granules before the earliest point's granule
+    bounds = spine.select(F.to_date(F.col(spine_time)).alias("__d"))
+    lo = F.date_sub(bounds.select(F.min("__d")).scalar(), reach)
+    hi = F.date_add(bounds.select(F.max("__d")).scalar(), days)
+    t = F.col(spec.time)
+    ttype = dict(facts.dtypes)[spec.time]
+    if ttype == "date":
+        return facts.where((t >= lo) & (t < hi))
+    cast = "timestamp_ntz" if ttype == "timestamp_ntz" else "timestamp"
+    return facts.where((t >= lo.cast(cast)) & (t < hi.cast(cast)))
+
+
 def _scalar_time_bound(facts: DataFrame, spec: AggregateSpec, which: str) -> Column:
     agg = F.max if which == "end" else F.min
     return facts.select(agg(_gran(facts, spec.time, spec))).scalar()
@@ -228,7 +243,7 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
                        mode: str = "spine", on: dict[str, str] | None = None,
                        entities: DataFrame | None = None, start_col: str | None = None,
                        end_col: str | None = None, bucket_width: int | None = None,
-                       max_cells: int | None = None) -> DataFrame:
+                       max_cells: int | None = None, prune_facts: bool = True) -> DataFrame:
     """Evaluate ``spec`` over ``facts``.
 
     * ``mode="spine"``: at each row of ``spine`` (all spine columns kept, same
@@ -241,6 +256,11 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     Sums and averages of money come out as double, counts as bigint.
     ``max_cells`` guards grid mode: the grid size (keys x granules) is counted
     first, by one aggregate over the keys, and a larger grid is refused.
+    ``prune_facts`` (spine mode, day grains) keeps only facts that some spine
+    row can reach: from the earliest observation minus the longest window to
+    the latest observation, as a filter on the raw time column against two
+    scalar subqueries over the spine, so a date-partitioned fact table is
+    pruned at the scan.
     """
     cast_out = _output_casts(spec)
     if mode == "facts":
@@ -270,6 +290,8 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     if clash:
         raise ValueError(f"aggregate names already in the spine: {clash}")
     key_types = dict(facts.dtypes)
+    if prune_facts and spec.granularity >= DAY_TD:
+        facts = _facts_in_reach(facts, spec, spine, spine_time)
     sp = spine.withColumn(G, _gran(spine, spine_time, spec))
     pts = sp.select(*[F.col(sk).cast(key_types[k]).alias(k) for sk, k in zip(spine_keys, spec.key)],
                     G).where(F.col(G).isNotNull())

@@ -264,3 +264,17 @@ def test_composite_keys_rolling(spark):
         assert got[i]["v_count_10d_offset_2d"] == len(c10)
     grid = R.aggregate_features(f, spec, mode="grid", bucket_width=4)
     assert grid.select("a", "b").distinct().count() == len({(a, b) for a, b, _, _ in rows})
+
+
+def test_fact_pruning_keeps_answers(spark):
+    rnd = random.Random(31)
+    rows = [(rnd.randint(1, 3), rnd.randint(-40, 80), f"{rnd.randint(1, 999) / 10:.2f}") for _ in range(150)]
+    sp = spine(spark, [(i, rnd.randint(1, 3), rnd.randint(20, 30)) for i in range(30)])
+    spec = AggregateSpec("k", "t", [Agg("amount", "sum", Lookback(7)), Agg("amount", "avg", Lookback(5, offset=9)),
+                                    Agg("amount", "count", Lookback(3, closed="left"))])
+    on = sorted(tuple(r) for r in R.aggregate_features(facts(spark, rows), spec, spine=sp).collect())
+    off = sorted(tuple(r) for r in R.aggregate_features(facts(spark, rows), spec, spine=sp,
+                                                        prune_facts=False).collect())
+    assert on == off
+    plan = R.aggregate_features(facts(spark, rows), spec, spine=sp)._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan.lower() or "subquery" in plan.lower()
