@@ -278,3 +278,34 @@ def test_fact_pruning_keeps_answers(spark):
     assert on == off
     plan = R.aggregate_features(facts(spark, rows), spec, spine=sp)._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in plan.lower() or "subquery" in plan.lower()
+
+
+def test_function_registry_by_name_alias_object_and_custom(spark):
+    from pyspark.sql import functions as F
+
+    from pitfeat.functions import aggregates as A
+
+    assert A.get("avg") is A.get("mean") is A.get("AVG")
+
+    class ApproxCountDistinct:  # an object carrying a name, as the reference imports one
+        name = "approx_count_distinct"
+
+    assert A.get(ApproxCountDistinct()) is A.get("approx_count_distinct")
+    with pytest.raises(KeyError):
+        A.get("median_of_medians")
+    # a user-registered mergeable function: sum of squares
+    A.register(A.AggFunction("sum_sq", {"sq": lambda c: F.sum(c * c)},
+                             lambda col, w: F.sum(A.pname("sq", col)).over(w)))
+    f = facts(spark, [(1, 0, "2.00"), (1, 1, "3.00")])
+    spec = AggregateSpec("k", "t", [Agg("amount", "sum_sq", Lookback(2))])
+    got = {r["t"]: r["amount_sum_sq_2d"] for r in R.aggregate_features(f, spec, mode="facts").collect()}
+    assert got == {day(0): 4.0, day(1): 13.0}
+
+
+def test_materialize_writes_then_reads_back(spark):
+    from pitfeat.session import materialize
+    df = spark.range(10).selectExpr("id", "rand() AS r")  # non-deterministic until written
+    m = materialize(df, name="mat")
+    a = sorted(tuple(x) for x in m.collect())
+    assert a == sorted(tuple(x) for x in m.collect())
+    assert "Scan parquet" in m._jdf.queryExecution().executedPlan().toString()
