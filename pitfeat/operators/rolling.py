@@ -25,6 +25,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..functions import aggregates as aggreg
 from ..functions.scalar import granule, granule_start
@@ -52,6 +53,25 @@ def _source_columns(spec: AggregateSpec) -> list[str]:
     return sorted({a.column for a in spec.aggs})
 
 
+def _decimal_scales(facts: DataFrame, spec: AggregateSpec) -> dict[str, int]:
+    """Decimal sources (precision <= 18) every aggregate of which is scale-aware:
+    they are aggregated as their unscaled long (exact; long arithmetic in the
+    sliding frames) and converted back to double at the end."""
+    out = {}
+    types = {f.name: f.dataType for f in facts.schema.fields}
+    for c in _source_columns(spec):
+        t = types.get(c)
+        if (isinstance(t, DecimalType) and t.precision <= 18
+                and all(aggreg.get(a.fn).scaled for a in spec.aggs if a.column == c)):
+            out[c] = t.scale
+    return out
+
+
+def _unscaled(facts: DataFrame, scales: dict[str, int]) -> DataFrame:
+    return facts.withColumns({c: (F.col(c) * F.lit(10 ** s)).cast("bigint") for c, s in scales.items()}) \
+        if scales else facts
+
+
 def _clean_facts(facts: DataFrame, spec: AggregateSpec) -> DataFrame:
     """Facts with a key and a time: NULL keys never match a spine row."""
     cond = F.col(spec.time).isNotNull()
@@ -89,8 +109,17 @@ def daily_partials(facts: DataFrame, spec: AggregateSpec,
                                        F.max(PT).alias(PT), *[F.max(c).alias(c) for c in point_cols])
 
 
-def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None) -> DataFrame:
+def _merge(a: Agg, spec: AggregateSpec, w, scales: dict[str, int]) -> Column:
+    fn = aggreg.get(a.fn)
+    if fn.scaled:
+        return fn.merge(a.column, w, scales.get(a.column, 0))
+    return fn.merge(a.column, w)
+
+
+def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None,
+              scales: dict[str, int] | None = None) -> DataFrame:
     """Evaluate all aggregates at rows flagged ``__pt``; keys, ``__g``, features."""
+    scales = scales or {}
     width = bucket_width or default_bucket_width(spec)
     span = spec.max_span
     home = F.floor(F.col(G) / F.lit(width))
@@ -101,7 +130,7 @@ def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None) ->
     for a in spec.aggs:
         lo, hi = a.window.frame(spec.granularity)
         fn = aggreg.get(a.fn)
-        v = fn.merge(a.column, base.rangeBetween(lo, hi)).cast(fn.result_type)
+        v = _merge(a, spec, base.rangeBetween(lo, hi), scales).cast(fn.result_type)
         if a.default is not None:
             v = F.coalesce(v, F.lit(a.default).cast(fn.result_type))
         feats.append(v.alias(a.output_name(spec.granularity)))
@@ -110,7 +139,7 @@ def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None) ->
 
 
 def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
-                  bucket_width: int | None) -> DataFrame:
+                  bucket_width: int | None, scales: dict[str, int] | None = None) -> DataFrame:
     """Grid evaluation without shuffling the grid.
 
     A window value can only change on a granule where some fact enters a frame
@@ -146,7 +175,7 @@ def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
     for a in spec.aggs:
         lo, hi = a.window.frame(spec.granularity)
         fn = aggreg.get(a.fn)
-        v = fn.merge(a.column, base.rangeBetween(lo, hi)).cast(fn.result_type)
+        v = _merge(a, spec, base.rangeBetween(lo, hi), scales or {}).cast(fn.result_type)
         if a.default is not None:
             v = F.coalesce(v, F.lit(a.default).cast(fn.result_type))
         feats.append(v.alias(a.output_name(spec.granularity)))
@@ -263,9 +292,13 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     pruned at the scan.
     """
     cast_out = _output_casts(spec)
+    scales = _decimal_scales(facts, spec)
+    time_type = dict(facts.dtypes).get(spec.time)
+    if mode in ("facts", "grid"):
+        facts = _unscaled(facts, scales)
     if mode == "facts":
-        res = _evaluate(daily_partials(facts, spec), spec, bucket_width)
-        return _finish(res, spec, cast_out, dict(facts.dtypes).get(spec.time))
+        res = _evaluate(daily_partials(facts, spec), spec, bucket_width, scales)
+        return _finish(res, spec, cast_out, time_type)
     if mode == "grid":
         if max_cells is not None:
             cells = grid_size(facts, spec, entities, start_col, end_col)
@@ -273,8 +306,8 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
                 raise ValueError(f"grid of {cells} cells exceeds max_cells={max_cells}; "
                                  "use spine mode or narrow start/end")
         res = _grid_by_runs(facts, spec, grid_bounds(facts, spec, entities, start_col, end_col),
-                            bucket_width)
-        return _finish(res, spec, cast_out, dict(facts.dtypes).get(spec.time))
+                            bucket_width, scales)
+        return _finish(res, spec, cast_out, time_type)
     if mode != "spine":
         raise ValueError("mode must be 'spine', 'grid' or 'facts'")
     if spine is None:
@@ -292,12 +325,13 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     key_types = dict(facts.dtypes)
     if prune_facts and spec.granularity >= DAY_TD:
         facts = _facts_in_reach(facts, spec, spine, spine_time)
+    facts = _unscaled(facts, scales)
     sp = spine.withColumn(G, _gran(spine, spine_time, spec))
     pts = sp.select(*[F.col(sk).cast(key_types[k]).alias(k) for sk, k in zip(spine_keys, spec.key)],
                     G).where(F.col(G).isNotNull())
     for k in spec.key:
         pts = pts.where(F.col(k).isNotNull())
-    res = _evaluate(daily_partials(facts, spec, points=pts), spec, bucket_width)
+    res = _evaluate(daily_partials(facts, spec, points=pts), spec, bucket_width, scales)
     res = res.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(spec.key)], G,
                      *[cast_out[n](F.col(n)).alias(n) for n in spec.names])
     cond = [F.col(sk).cast(key_types[k]) == F.col(f"__k{i}") for i, (sk, k) in enumerate(zip(spine_keys, spec.key))]
