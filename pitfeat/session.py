@@ -65,7 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="pitfeat-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)  # for DataFrame.checkpoint() and Spark ML
+    except Exception:  # e.g. a Spark Connect session has no SparkContext; written tables still work
+        pass
     return path
 
 
