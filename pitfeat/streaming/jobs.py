@@ -39,39 +39,74 @@ def _commits(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def read_published(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The last committed snapshot (optionally the last one before batch ``before``)."""
+def _layout(spark: SparkSession, path: str, before: int | None = None) -> tuple[int | None, list[int]]:
+    """(last committed base batch, committed delta batches after it); small lists only."""
     c = _commits(spark, path)
     if c is None:
-        return None
+        return None, []
     if before is not None:
         c = c.where(F.col("batch_id") < before)
-    last = c.agg(F.max("batch_id")).first()[0]  # one number
-    if last is None:
+    base = c.where(F.col("kind") == "base").agg(F.max("batch_id")).first()[0]
+    deltas = c.where(F.col("kind") == "delta")
+    if base is not None:
+        deltas = deltas.where(F.col("batch_id") > base)
+    # bounded by the compaction interval
+    return base, sorted(r[0] for r in deltas.select("batch_id").distinct().collect())
+
+
+def read_published(spark: SparkSession, path: str, key=None, time: str | None = None,
+                   order_by: Sequence[str] = (), before: int | None = None) -> DataFrame | None:
+    """Latest row per key as published: the last base plus the deltas after it.
+
+    ``key``/``time`` default to those recorded at publish time.
+    """
+    base, deltas = _layout(spark, path, before)
+    if base is None and not deltas:
         return None
-    return spark.read.parquet(f"{path}/snapshots/v={last:012d}")
+    meta = spark.read.json(f"{path}/_meta").first()
+    keys = _ls(key) if key else list(meta["key"])
+    time = time or meta["time"]
+    order_by = list(order_by) or list(meta["order_by"] or [])
+    paths = ([f"{path}/base/v={base:012d}"] if base is not None else []) + \
+        [f"{path}/deltas/b={b:012d}" for b in deltas]
+    frames = spark.read.parquet(*paths)
+    if base is None and len(deltas) == 1:
+        return frames
+    return latest_snapshot(frames, keys, time, order_by)
 
 
 def publish_latest(stream: DataFrame, key, time: str, path: str, checkpoint: str,
-                   order_by: Sequence[str] = (), available_now: bool = True,
+                   order_by: Sequence[str] = (), compact_every: int = 10, available_now: bool = True,
                    processing_time: str | None = None) -> StreamingQuery:
-    """Keep, under ``path``, a snapshot of the latest row per key of ``stream``.
-
-    Each micro-batch reduces itself to its latest row per key, merges with the
-    last committed snapshot (a row older than the stored one loses), writes a
-    new snapshot folder named by the batch id and then a commit marker. A
-    retried batch rebuilds from the snapshot before it, so replays are
-    idempotent and readers only ever see committed snapshots.
+    """Keep, under ``path``, the latest row per key of ``stream``.
+
+    Log-structured, so a micro-batch costs O(its own rows), not O(all keys):
+    each batch writes only its latest row per key as a delta folder named by
+    the batch id; every ``compact_every`` batches the last base and the deltas
+    since are folded into a new base. Commit markers are written last, so
+    readers (``read_published``) only see committed data; a retried batch
+    rewrites the same folders from the same inputs (idempotent), and a row
+    older than the stored one never wins (latest by ``time``, then
+    ``order_by``).
     """
     keys = _ls(key)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = latest_snapshot(batch, keys, time, order_by)
-        cur = read_published(spark, path, before=batch_id)
-        merged = fresh if cur is None else latest_snapshot(cur.unionByName(fresh), keys, time, order_by)
-        merged.write.mode("overwrite").parquet(f"{path}/snapshots/v={batch_id:012d}")
-        spark.createDataFrame([(batch_id,)], "batch_id bigint") \
+        if batch_id == 0 or _commits(spark, path) is None:
+            spark.createDataFrame([(keys, time, list(order_by))], "key array<string>, time string, "
+                                  "order_by array<string>").write.mode("overwrite").json(f"{path}/_meta")
+        latest_snapshot(batch, keys, time, order_by).write.mode("overwrite") \
+            .parquet(f"{path}/deltas/b={batch_id:012d}")
+        kinds = ["delta"]
+        base, deltas = _layout(spark, path, before=batch_id)
+        if len(deltas) + 1 >= compact_every:
+            paths = ([f"{path}/base/v={base:012d}"] if base is not None else []) + \
+                [f"{path}/deltas/b={b:012d}" for b in deltas + [batch_id]]
+            latest_snapshot(spark.read.parquet(*paths), keys, time, order_by).write.mode("overwrite") \
+                .parquet(f"{path}/base/v={batch_id:012d}")
+            kinds.append("base")
+        spark.createDataFrame([(batch_id, k) for k in kinds], "batch_id bigint, kind string") \
             .write.mode("overwrite").parquet(f"{path}/_commits/b={batch_id:012d}")
 
     w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)

@@ -479,7 +479,8 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_publish_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rollups streamed two files per batch into a keyed latest-row snapshot.
+    """Rollups streamed two files per batch into the keyed latest-row store (R1),
+    compacted every third batch.
 
     Equals ``latest_snapshot``: replaying in several batches gives the answer
     of one batch.
@@ -488,7 +489,7 @@ def stream_publish_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 2).parquet(
         src.inputFiles()[0].rsplit("/", 1)[0])
     out, ckpt = scratch_path(spark, "published"), scratch_path(spark, "published-ckpt")
-    ST.publish_latest(stream, "account_id", "date", out, ckpt).awaitTermination()
+    ST.publish_latest(stream, "account_id", "date", out, ckpt, compact_every=3).awaitTermination()
     return ST.read_published(spark, out)
 
 

@@ -16,15 +16,15 @@ def test_publish_latest_batches_equal_one_batch(spark):
     spark.createDataFrame(rows, "k bigint, t date, v double").repartition(9).write.parquet(src)
     schema = spark.read.parquet(src).schema
     want = sorted(tuple(r) for r in S.latest_snapshot(spark.read.parquet(src), "k", "t").collect())
-    for per_batch in (1, 100):
+    for per_batch, compact in ((1, 2), (1, 4), (1, 100), (100, 10)):
         out, ck = scratch_path(spark, "pub"), scratch_path(spark, "pub-ck")
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(src)
-        ST.publish_latest(stream, "k", "t", out, ck).awaitTermination()
+        ST.publish_latest(stream, "k", "t", out, ck, compact_every=compact).awaitTermination()
         got = sorted(tuple(r) for r in ST.read_published(spark, out).select("k", "t", "v").collect())
-        assert got == want
-        # restart from the checkpoint: nothing new, same snapshot
+        assert got == want, (per_batch, compact)
+        # restart from the checkpoint: nothing new, same answer
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(src)
-        ST.publish_latest(stream, "k", "t", out, ck).awaitTermination()
+        ST.publish_latest(stream, "k", "t", out, ck, compact_every=compact).awaitTermination()
         again = sorted(tuple(r) for r in ST.read_published(spark, out).select("k", "t", "v").collect())
         assert again == want
 
