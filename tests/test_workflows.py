@@ -1,0 +1,50 @@
+"""End-to-end flows on the smallest driver tables."""
+
+import datetime as dt
+
+from conftest import SF_SMALL
+
+from pitfeat import FeatureClient, TableSpec, expand_search_space, select_features, split
+from pitfeat.plans.training import attach
+from pitfeat.sources.tables import Tables
+from pitfeat.specs import AggregateSpec
+from pitfeat.workloads import SEARCH_SPACE, fraud_features
+
+
+def test_search_space_flow(spark):
+    t = Tables(spark, SF_SMALL)
+    fc = FeatureClient(spark)
+    fc.register_table("transactions", t.txn_lines(), TableSpec("transaction_id", time_key="txn_date"))
+    fc.register_table("merchants", t.merchants(), TableSpec("merchant_id"))
+    fc.register_table("accounts", t.accounts_scd2(), TableSpec("account_id", time_key="valid_from"),
+                      valid_to="valid_to")
+    aggs = expand_search_space(SEARCH_SPACE)
+    spec = AggregateSpec("account_id", "txn_date", aggs, start=dt.datetime(1994, 6, 1), end=None)
+    grid = fc.aggregate_features(spec, "transactions", max_cells=50_000_000)
+    eol = t.eol()
+    wide = attach(eol, grid, on={"primary_account_number": "account_id", "observation_date": "txn_date"})
+    exclude = ["transaction_id", "observation_date", "merchant_id", "merchant_zone", "zone"]
+    kept = fc.create_training_set(df=wide, feature_lookups=fraud_features(spark)[1:], label="label",
+                                  exclude_columns=exclude).load_df()
+    dropped = fc.create_training_set(df=wide, feature_lookups=fraud_features(spark)[1:], label="label",
+                                     exclude_columns=exclude, nulls="drop").load_df()
+    assert kept.count() == eol.count() >= dropped.count()
+    assert dropped.dropna().count() == dropped.count()
+    df = kept
+    names = [a.output_name() for a in aggs]
+    assert set(names) <= set(df.columns) and df.columns[-1] == "label"
+    # spine mode gives the same values at the observations as the grid
+    via_spine = fc.aggregate_features(spec, "transactions", spine=eol,
+                                      on={"primary_account_number": "account_id", "observation_date": "txn_date"})
+    a = sorted(tuple(r) for r in wide.select("transaction_id", *names).collect())
+    b = sorted(tuple(r) for r in via_spine.select("transaction_id", *names).collect())
+    assert a == b
+    filled = df.fillna(0.0)
+    tr, te = split(filled, "primary_account_number", 0.8)
+    always = ["primary_account_number", "amount", "merchant_distance_from_home"]
+    sel = select_features(tr, te, "label", names, always=always, k=5, max_iter=3, seed=123)
+    rows = sel.collect()
+    assert len(rows) == 12 and sum(r["selected"] for r in rows) == 5
+    import pytest
+    with pytest.raises(ValueError):
+        select_features(dropped.limit(0), te, "label", names, always=always, k=5, max_iter=3)
