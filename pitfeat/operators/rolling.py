@@ -272,7 +272,7 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
                        mode: str = "spine", on: dict[str, str] | None = None,
                        entities: DataFrame | None = None, start_col: str | None = None,
                        end_col: str | None = None, bucket_width: int | None = None,
-                       max_cells: int | None = None, prune_facts: bool = True) -> DataFrame:
+                       max_cells: int | None = None, prune_facts: bool = False) -> DataFrame:
     """Evaluate ``spec`` over ``facts``.
 
     * ``mode="spine"``: at each row of ``spine`` (all spine columns kept, same
@@ -285,11 +285,12 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     Sums and averages of money come out as double, counts as bigint.
     ``max_cells`` guards grid mode: the grid size (keys x granules) is counted
     first, by one aggregate over the keys, and a larger grid is refused.
-    ``prune_facts`` (spine mode, day grains) keeps only facts that some spine
-    row can reach: from the earliest observation minus the longest window to
-    the latest observation, as a filter on the raw time column against two
-    scalar subqueries over the spine, so a date-partitioned fact table is
-    pruned at the scan.
+    ``prune_facts`` (spine mode, day grains; for narrow spines such as one
+    day of requests) keeps only facts some spine row can reach: from the
+    earliest observation minus the longest window to the latest observation,
+    as a filter on the raw time column against two scalar subqueries over the
+    spine, so a date-partitioned fact table is pruned at the scan. It costs
+    one more pass over the spine's time column, so it is off by default.
     """
     cast_out = _output_casts(spec)
     scales = _decimal_scales(facts, spec)

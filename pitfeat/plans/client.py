@@ -71,14 +71,15 @@ class FeatureClient:
     # -- aggregates ----------------------------------------------------------
     def aggregate_features(self, features: AggregateSpec, source: str | DataFrame,
                            spine: DataFrame | None = None, on: dict | None = None,
-                           max_cells: int | None = None) -> DataFrame:
+                           max_cells: int | None = None, prune_facts: bool = False) -> DataFrame:
         """Windowed aggregates of ``source``: on the daily grid between the
         spec's start and end (the reference's default), or at the rows of
-        ``spine`` when one is given (cheaper: no grid)."""
+        ``spine`` when one is given (cheaper: no grid; ``prune_facts`` for a
+        narrow spine such as one day of requests)."""
         facts = self.read_table(source) if isinstance(source, str) else source
         if spine is None:
             return aggregate_features(facts, features, mode="grid", max_cells=max_cells)
-        return aggregate_features(facts, features, spine=spine, on=on)
+        return aggregate_features(facts, features, spine=spine, on=on, prune_facts=prune_facts)
 
     # -- training sets -------------------------------------------------------
     def create_training_set(self, df: DataFrame, feature_lookups: Sequence[Feature], label: str | None,

@@ -272,11 +272,12 @@ def test_fact_pruning_keeps_answers(spark):
     sp = spine(spark, [(i, rnd.randint(1, 3), rnd.randint(20, 30)) for i in range(30)])
     spec = AggregateSpec("k", "t", [Agg("amount", "sum", Lookback(7)), Agg("amount", "avg", Lookback(5, offset=9)),
                                     Agg("amount", "count", Lookback(3, closed="left"))])
-    on = sorted(tuple(r) for r in R.aggregate_features(facts(spark, rows), spec, spine=sp).collect())
-    off = sorted(tuple(r) for r in R.aggregate_features(facts(spark, rows), spec, spine=sp,
-                                                        prune_facts=False).collect())
+    on = sorted(tuple(r) for r in R.aggregate_features(facts(spark, rows), spec, spine=sp,
+                                                       prune_facts=True).collect())
+    off = sorted(tuple(r) for r in R.aggregate_features(facts(spark, rows), spec, spine=sp).collect())
     assert on == off
-    plan = R.aggregate_features(facts(spark, rows), spec, spine=sp)._jdf.queryExecution().optimizedPlan().toString()
+    plan = R.aggregate_features(facts(spark, rows), spec, spine=sp,
+                                prune_facts=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in plan.lower() or "subquery" in plan.lower()
 
 
