@@ -116,16 +116,20 @@ def _merge(a: Agg, spec: AggregateSpec, w, scales: dict[str, int]) -> Column:
     return fn.merge(a.column, w)
 
 
-def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None,
-              scales: dict[str, int] | None = None) -> DataFrame:
-    """Evaluate all aggregates at rows flagged ``__pt``; keys, ``__g``, features."""
-    scales = scales or {}
-    width = bucket_width or default_bucket_width(spec)
-    span = spec.max_span
-    home = F.floor(F.col(G) / F.lit(width))
-    reach = F.when(F.col(FT) == 1, F.floor((F.col(G) + F.lit(span)) / F.lit(width))).otherwise(home)
-    x = rows.withColumn(B, F.explode(F.sequence(home, reach)))
-    base = Window.partitionBy(*spec.key, B).orderBy(F.col(G))
+def _home(width: int) -> Column:
+    return F.floor(F.col(G) / F.lit(width))
+
+
+def _with_halo(rows: DataFrame, spec: AggregateSpec, width: int) -> DataFrame:
+    """Assign each row its time bucket; rows carrying facts are also copied into
+    the later buckets whose points they can still reach (``max_span``)."""
+    reach = F.when(F.col(FT) == 1, F.floor((F.col(G) + F.lit(spec.max_span)) / F.lit(width))) \
+        .otherwise(_home(width))
+    return rows.withColumn(B, F.explode(F.sequence(_home(width), reach)))
+
+
+def _frame_features(spec: AggregateSpec, base, scales: dict[str, int]) -> list[Column]:
+    """Every aggregate as a RANGE frame over ``base``; one Window node holds them all."""
     feats = []
     for a in spec.aggs:
         lo, hi = a.window.frame(spec.granularity)
@@ -134,8 +138,17 @@ def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None,
         if a.default is not None:
             v = F.coalesce(v, F.lit(a.default).cast(fn.result_type))
         feats.append(v.alias(a.output_name(spec.granularity)))
-    out = x.select(*spec.key, G, B, PT, *feats)
-    return out.where((F.col(PT) == 1) & (F.col(B) == F.floor(F.col(G) / F.lit(width)))).drop(B, PT)
+    return feats
+
+
+def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None,
+              scales: dict[str, int] | None = None) -> DataFrame:
+    """Evaluate all aggregates at rows flagged ``__pt``; keys, ``__g``, features."""
+    width = bucket_width or default_bucket_width(spec)
+    x = _with_halo(rows, spec, width)
+    base = Window.partitionBy(*spec.key, B).orderBy(F.col(G))
+    out = x.select(*spec.key, G, B, PT, *_frame_features(spec, base, scales or {}))
+    return out.where((F.col(PT) == 1) & (F.col(B) == _home(width))).drop(B, PT)
 
 
 def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
@@ -165,24 +178,13 @@ def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
     anchors = bounds.select(*spec.key, F.explode(starts).alias(G), "__s", "__e")
     rows = daily_partials(facts, spec, points=changes.unionByName(anchors), point_cols=("__s", "__e"))
 
-    span = spec.max_span
-    home = F.floor(F.col(G) / wl)
-    reach = F.when(F.col(FT) == 1, F.floor((F.col(G) + F.lit(span)) / wl)).otherwise(home)
-    x = rows.withColumn(B, F.explode(F.sequence(home, reach)))
+    x = _with_halo(rows, spec, width)
     base = Window.partitionBy(*spec.key, B).orderBy(F.col(G))
     whole = Window.partitionBy(*spec.key, B)
-    feats = []
-    for a in spec.aggs:
-        lo, hi = a.window.frame(spec.granularity)
-        fn = aggreg.get(a.fn)
-        v = _merge(a, spec, base.rangeBetween(lo, hi), scales or {}).cast(fn.result_type)
-        if a.default is not None:
-            v = F.coalesce(v, F.lit(a.default).cast(fn.result_type))
-        feats.append(v.alias(a.output_name(spec.granularity)))
     names = spec.names
-    ev = x.select(*spec.key, G, B, PT, *feats, F.max("__s").over(whole).alias("__s"),
-                  F.max("__e").over(whole).alias("__e"))
-    pts = ev.where((F.col(PT) == 1) & (F.col(B) == home) & F.col("__s").isNotNull())
+    ev = x.select(*spec.key, G, B, PT, *_frame_features(spec, base, scales or {}),
+                  F.max("__s").over(whole).alias("__s"), F.max("__e").over(whole).alias("__e"))
+    pts = ev.where((F.col(PT) == 1) & (F.col(B) == _home(width)) & F.col("__s").isNotNull())
     nxt = F.lead(G).over(base)
     pts = pts.select(*spec.key, G, B, "__s", "__e", *names, nxt.alias("__n"))
     run_end = F.coalesce(F.col("__n") - 1, (F.col(B) + 1) * wl - 1)
