@@ -9,11 +9,12 @@ from .plans.client import FeatureClient
 from .plans.ml import fit_tree, score_batch, score_supplied, select_features, split
 from .plans.training import FeatureTable, apply_spec, attach, compile_features, training_set
 from .session import cluster_profile, ensure_checkpoint_dir, get_spark, materialize
-from .specs import (Agg, AggregateSpec, FeatureFunction, FeatureLookup, FeatureSpec, Lookback,
-                    TableSpec, expand_search_space)
+from .specs import (Agg, AggregateSpec, FeatureAggregation, FeatureFunction, FeatureLookup, FeatureSpec,
+                    Lookback, TableSpec, expand_search_space)
 
 __all__ = [
-    "Agg", "AggregateSpec", "AsOfRight", "FeatureClient", "FeatureFunction", "FeatureLookup",
+    "Agg", "AggregateSpec", "AsOfRight", "FeatureAggregation", "FeatureClient", "FeatureFunction",
+    "FeatureLookup",
     "FeatureSpec", "FeatureTable", "Lookback", "TableSpec", "aggregate_features", "apply_spec",
     "attach", "build_scd2", "cluster_profile", "compile_features", "daily_partials", "daily_totals",
     "dense_daily", "ensure_checkpoint_dir", "expand_search_space", "fit_tree", "flatten_array",

@@ -270,6 +270,19 @@ def _time_type(df: DataFrame, col: str) -> str:
 
 def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_time: str,
                 bucket) -> DataFrame:
+    got = asof_point_features(spine, rights, lk, spine_time, bucket)
+    ks = [f"__k{i}" for i in range(len(lk))]
+    cond = _and([spine[k] == got[kk] for k, kk in zip(lk, ks)] + [spine[spine_time] == got["__t"]])
+    j = spine.join(got, cond, "left")
+    return j.select(*[spine[c] for c in spine.columns], *[got[n] for r in rights for n in r.names()])
+
+
+def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine_time: str,
+                        bucket="auto") -> DataFrame:
+    """The as-of features at every distinct (key, time) point of ``spine``,
+    before any re-attach: columns ``__k0..``, ``__t`` and the feature names."""
+    lk = _ls(lookup_key)
+    rights = list(rights)
     n = len(rights)
     ks = [f"__k{i}" for i in range(len(lk))]
     vcols = [f"__v{i}" for i in range(n)]
@@ -315,12 +328,6 @@ def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_
                          *vcols, "__b"))
         w = Window.partitionBy(*ks, "__b").orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
         got = agg.unionByName(carry).select(*ks, "__t", "__pt", *[F.max(v).over(w).alias(v) for v in vcols])
-    got = got.where(F.col("__pt") == 1).drop("__pt")
-
-    cond = _and([spine[k] == got[kk] for k, kk in zip(lk, ks)] + [spine[spine_time] == got["__t"]])
-    j = spine.join(got, cond, "left")
-    feats = []
-    for i, r in enumerate(rights):
-        for nme in r.names():
-            feats.append(got[f"__v{i}"]["f"][nme].alias(nme))
-    return j.select(*[spine[c] for c in spine.columns], *feats)
+    got = got.where(F.col("__pt") == 1)
+    feats = [F.col(f"__v{i}")["f"][nme].alias(nme) for i, r in enumerate(rights) for nme in r.names()]
+    return got.select(*ks, "__t", *feats)

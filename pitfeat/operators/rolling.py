@@ -326,17 +326,8 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     if clash:
         raise ValueError(f"aggregate names already in the spine: {clash}")
     key_types = dict(facts.dtypes)
-    if prune_facts and spec.granularity >= DAY_TD:
-        facts = _facts_in_reach(facts, spec, spine, spine_time)
-    facts = _unscaled(facts, scales)
+    res = point_features(facts, spec, spine, spine_keys, spine_time, bucket_width, prune_facts)
     sp = spine.withColumn(G, _gran(spine, spine_time, spec))
-    pts = sp.select(*[F.col(sk).cast(key_types[k]).alias(k) for sk, k in zip(spine_keys, spec.key)],
-                    G).where(F.col(G).isNotNull())
-    for k in spec.key:
-        pts = pts.where(F.col(k).isNotNull())
-    res = _evaluate(daily_partials(facts, spec, points=pts), spec, bucket_width, scales)
-    res = res.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(spec.key)], G,
-                     *[cast_out[n](F.col(n)).alias(n) for n in spec.names])
     cond = [F.col(sk).cast(key_types[k]) == F.col(f"__k{i}") for i, (sk, k) in enumerate(zip(spine_keys, spec.key))]
     joined = sp.alias("s").join(res.alias("r"), on=_and(cond + [F.col(f"s.{G}") == F.col(f"r.{G}")]),
                                 how="left")
@@ -344,6 +335,28 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
                          *[F.col(f"r.{n}") for n in spec.names])
 
 
+def point_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame, spine_keys: Sequence[str],
+                   spine_time: str, bucket_width: int | None = None, prune_facts: bool = False) -> DataFrame:
+    """The aggregates at every distinct (key, granule) point of ``spine``, before
+    any re-attach: columns ``__k0..`` (the spec's key types), ``__g`` and the
+    aggregates. Callers holding several point-keyed feature tables for the
+    same spine can join them first and re-attach the spine once."""
+    spine_keys = list(spine_keys)
+    key_types = dict(facts.dtypes)
+    scales = _decimal_scales(facts, spec)
+    cast_out = _output_casts(spec)
+    if prune_facts and spec.granularity >= DAY_TD:
+        facts = _facts_in_reach(facts, spec, spine, spine_time)
+    facts = _unscaled(facts, scales)
+    pts = spine.select(*[F.col(sk).cast(key_types[k]).alias(k) for sk, k in zip(spine_keys, spec.key)],
+                       _gran(spine, spine_time, spec).alias(G)).where(F.col(G).isNotNull())
+    for k in spec.key:
+        pts = pts.where(F.col(k).isNotNull())
+    res = _evaluate(daily_partials(facts, spec, points=pts), spec, bucket_width, scales)
+    return res.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(spec.key)], G,
+                      *[cast_out[n](F.col(n)).alias(n) for n in spec.names])
+
+
 def _and(conds: Sequence[Column]) -> Column:
     out = conds[0]
     for c in conds[1:]:

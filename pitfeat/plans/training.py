@@ -16,9 +16,11 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import AsOfRight, lookup_asof, lookup_exact
+from ..operators.lookup import AsOfRight, asof_point_features, lookup_asof, lookup_exact
+from ..operators.rolling import aggregate_features, point_features
 from ..operators.scd import latest_snapshot
-from ..specs import Feature, FeatureFunction, FeatureLookup, FeatureSpec, TableSpec, drop_existing
+from ..specs import (DAY, Agg, AggregateSpec, Feature, FeatureAggregation, FeatureFunction, FeatureLookup,
+                     FeatureSpec, TableSpec, drop_existing)
 
 
 @dataclass
@@ -84,13 +86,17 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
     exact: list[tuple[FeatureLookup, FeatureTable]] = []
 
     def flush():
-        # as-of groups first, on the narrowest spine; then the exact joins
+        # point-in-time groups first, on the narrowest spine; then the exact joins
         nonlocal df, pending, exact
-        groups: dict[tuple, list[AsOfRight]] = {}
-        for lk, t in pending:
-            groups.setdefault((lk.lookup_key, lk.time_key), []).append(_lookup_right(lk, t))
-        for (key, time), rights in groups.items():
-            df = lookup_asof(df, rights, list(key), time, strategy=asof_strategy)
+        groups: dict[tuple, tuple[list, list]] = {}
+        for f, t in pending:
+            rights, aggs = groups.setdefault((f.lookup_key, f.time_key), ([], []))
+            if isinstance(f, FeatureAggregation):
+                aggs.append((f, t))
+            else:
+                rights.append(_lookup_right(f, t))
+        for (key, time), (rights, aggs) in groups.items():
+            df = _attach_group(df, list(key), time, rights, aggs, asof_strategy)
         for f, t in exact:
             right = t.df
             if t.spec.time_key:
@@ -102,6 +108,24 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
         apply_fills()
 
     for f in features:
+        if isinstance(f, FeatureAggregation):
+            t = _table(tables, f.table)
+            out = f.output_names()
+            names += out
+            if override:
+                complete = {fld.name for fld in spine.schema.fields if not fld.nullable}
+                if all(n in complete for n in out):
+                    continue
+                present = [n for n in out if n in spine.columns]
+                if present:
+                    aggs = [Agg(a.column, a.fn, a.window, a.default, name=f"__lk_{n}" if n in present else n)
+                            for a, n in zip(f.spec.aggs, out)]
+                    fill.update({n: f"__lk_{n}" for n in present})
+                    sp = f.spec
+                    f = FeatureAggregation(f.table, AggregateSpec(sp.key, sp.time, aggs, sp.start, sp.end,
+                                                                  sp.granularity), f.lookup_key, f.time_key)
+            pending.append((f, t))
+            continue
         if isinstance(f, FeatureFunction):
             flush()
             names.append(f.output)
@@ -132,6 +156,48 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
     return df, names
 
 
+def _attach_group(df: DataFrame, key: list[str], time: str, rights: list[AsOfRight],
+                  aggs: list[tuple[FeatureAggregation, FeatureTable]], asof_strategy: str) -> DataFrame:
+    """Attach as-of lookups and windowed aggregates sharing (key, time).
+
+    With DATE observation times and daily aggregates, every feature table is
+    first built per distinct (key, day) point and the tables are joined on it,
+    so the spine is re-attached once, however many groups there are;
+    otherwise each group re-attaches on its own.
+    """
+    if not aggs:
+        return lookup_asof(df, rights, key, time, strategy=asof_strategy)
+    shared = (dict(df.dtypes)[time] == "date" and all(f.spec.granularity == DAY for f, _ in aggs)
+              and (not rights or asof_strategy == "union"))
+    if not shared:
+        for f, t in aggs:
+            on = {**dict(zip(key, f.spec.key)), time: f.spec.time}
+            df = aggregate_features(t.df, f.spec, spine=df, on=on)
+        return lookup_asof(df, rights, key, time, strategy=asof_strategy) if rights else df
+    ks = [f"__k{i}" for i in range(len(key))]
+    base = asof_point_features(df, rights, key, time) if rights else None
+    names = [n for r in rights for n in r.names()]
+    epoch = F.lit("1970-01-01").cast("date")
+    for f, t in aggs:
+        r = point_features(t.df, f.spec, df, key, time)
+        r = r.select(*ks, F.date_add(epoch, F.col("__g").cast("int")).alias("__t"), *f.spec.names)
+        base = r if base is None else base.join(r, on=ks + ["__t"], how="left")
+        names += f.spec.names
+    clash = [n for n in names if n in df.columns]
+    if clash:
+        raise ValueError(f"feature names already in the spine: {clash}")
+    cond = [df[k] == base[kk] for k, kk in zip(key, ks)] + [df[time] == base["__t"]]
+    out = df.join(base, cond[0] if len(cond) == 1 else _all(cond), "left")
+    return out.select(*[df[c] for c in df.columns], *[base[n] for n in names])
+
+
+def _all(conds):
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
+
+
 def training_set(spine: DataFrame, features: Sequence[Feature], tables: Mapping[str, object],
                  label: str | None = None, exclude: Sequence[str] = (), nulls: str = "keep",
                  defaults: Mapping[str, object] | None = None, label_type: str | None = "double",

@@ -242,7 +242,52 @@ class FeatureFunction:
         return [self.output]
 
 
-Feature = FeatureLookup | FeatureFunction
+@dataclass(frozen=True)
+class FeatureAggregation:
+    """Windowed aggregates of the facts table ``table`` evaluated at each spine
+    row: ``lookup_key`` spine columns match ``spec.key`` by position and
+    ``time_key`` is the spine's observation time."""
+
+    table: str
+    spec: AggregateSpec
+    lookup_key: tuple[str, ...]
+    time_key: str
+
+    def __init__(self, table, spec, lookup_key, time_key):
+        object.__setattr__(self, "table", table)
+        object.__setattr__(self, "spec", spec)
+        object.__setattr__(self, "lookup_key", _listify(lookup_key))
+        object.__setattr__(self, "time_key", time_key)
+        if len(self.lookup_key) != len(spec.key):
+            raise ValueError("lookup_key and the aggregate spec's key differ in length")
+
+    def output_names(self) -> list[str]:
+        return self.spec.names
+
+
+def _td_seconds(v) -> float | None:
+    return None if v is None else v.total_seconds()
+
+
+def aggregate_spec_to_dict(spec: AggregateSpec) -> dict:
+    def bound(v):
+        return None if v is None else (v.isoformat() if hasattr(v, "isoformat") else str(v))
+    return {"key": list(spec.key), "time": spec.time, "granularity_s": _td_seconds(spec.granularity),
+            "start": bound(spec.start), "end": bound(spec.end),
+            "aggs": [{"column": a.column, "fn": a.fn, "duration_s": _td_seconds(a.window.duration),
+                      "offset_s": _td_seconds(a.window.offset), "closed": a.window.closed,
+                      "default": a.default, "name": a.name} for a in spec.aggs]}
+
+
+def aggregate_spec_from_dict(d: dict) -> AggregateSpec:
+    aggs = [Agg(a["column"], a["fn"], Lookback(_dt.timedelta(seconds=a["duration_s"]),
+                                               offset=_dt.timedelta(seconds=a["offset_s"]), closed=a["closed"]),
+                default=a["default"], name=a["name"]) for a in d["aggs"]]
+    return AggregateSpec(d["key"], d["time"], aggs, start=d["start"], end=d["end"],
+                         granularity=_dt.timedelta(seconds=d["granularity_s"]))
+
+
+Feature = FeatureLookup | FeatureFunction | FeatureAggregation
 
 
 @dataclass(frozen=True)
@@ -266,6 +311,9 @@ class FeatureSpec:
                 d = asdict(f)
                 d["rename"] = dict(f.rename)
                 items.append({"kind": "lookup", **d})
+            elif isinstance(f, FeatureAggregation):
+                items.append({"kind": "aggregation", "table": f.table, "lookup_key": list(f.lookup_key),
+                              "time_key": f.time_key, "spec": aggregate_spec_to_dict(f.spec)})
             else:
                 if callable(f.fn):
                     raise ValueError("only SQL-named functions serialise to JSON")
@@ -281,6 +329,9 @@ class FeatureSpec:
             kind = it.pop("kind")
             if kind == "lookup":
                 feats.append(FeatureLookup(**it))
+            elif kind == "aggregation":
+                feats.append(FeatureAggregation(it["table"], aggregate_spec_from_dict(it["spec"]),
+                                                it["lookup_key"], it["time_key"]))
             else:
                 feats.append(FeatureFunction(it["fn"], it["bindings"], it["output"]))
         return cls(raw["name"], feats)

@@ -23,8 +23,8 @@ from .plans import ml as M
 from .plans import training as T
 from .session import materialize, scratch_path
 from .sources.tables import Tables
-from .specs import (Agg, AggregateSpec, FeatureFunction, FeatureLookup, FeatureSpec, Lookback, TableSpec,
-                    expand_search_space)
+from .specs import (Agg, AggregateSpec, FeatureAggregation, FeatureFunction, FeatureLookup, FeatureSpec,
+                    Lookback, TableSpec, expand_search_space)
 from .streaming import jobs as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -322,9 +322,13 @@ TRAIN_WIDE_EXCLUDE = ["transaction_id", "customer_id", "observation_date", "tran
 
 
 def wide_training(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    """The 12 search-space aggregates and the lookups in one feature list: the
+    aggregates and the account as-of lookup share one re-attach of the spine."""
     t = Tables(spark, sf_dir)
-    return T.training_set(search_space_features(t), fraud_features(spark)[1:], feature_tables(t),
-                          label="label", exclude=TRAIN_WIDE_EXCLUDE, **kw)
+    tables = {**feature_tables(t), "txn_lines": T.FeatureTable(t.txn_lines(), TableSpec("transaction_id"))}
+    feats = [FeatureAggregation("txn_lines", search_space_spec(), "primary_account_number", "observation_date"),
+             *fraud_features(spark)[1:]]
+    return T.training_set(t.eol(), feats, tables, label="label", exclude=TRAIN_WIDE_EXCLUDE, **kw)
 
 
 @query
