@@ -69,3 +69,20 @@ def orphans(facts: DataFrame, fk: Sequence[str] | str, dim: DataFrame,
     for f in fks:
         nonnull = nonnull.where(F.col(f).isNotNull())
     return nonnull.join(d, cond, "left_anti")
+
+
+def validate_versions(df: DataFrame, key: Sequence[str] | str, valid_from: str, valid_to: str,
+                      order_by: Sequence[str] = ()) -> DataFrame:
+    """SCD-2 versions that overlap the next version of their key.
+
+    A version is bad when it is open (``valid_to`` NULL) yet not the last, or
+    when it ends after the next version starts. Interval and as-of lookups
+    agree exactly when this is empty. Runs on the bucketed ``lead`` of
+    ``scd.next_time``, so one key with a huge history does not land in one task.
+    """
+    from .scd import next_time
+
+    nx = next_time(df, key, valid_from, order_by)
+    bad = (F.col("__next").isNotNull()
+           & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col("__next"))))
+    return nx.where(bad).withColumnRenamed("__next", "next_valid_from")

@@ -34,22 +34,37 @@ def build_scd2(changes: DataFrame, key, at: str, attrs: Sequence[str],
     (one row per bucket) with a second, tiny window.
     """
     keys = _ls(key)
+    rows = changes.select(*keys, at, *[c for c in order_by if c not in keys and c != at],
+                          *[a for a in attrs if a not in keys and a != at and a not in order_by])
+    j = next_time(rows, keys, at, order_by, bucket)
+    vt = F.col("__next")
+    return j.select(*keys, *[a for a in attrs if a not in keys], F.col(at).alias(valid_from),
+                    vt.alias(valid_to), vt.isNull().cast("bigint").alias(current))
+
+
+def next_time(df: DataFrame, key, at: str, order_by: Sequence[str] = (),
+              bucket: _dt.timedelta = DEFAULT_BUCKET) -> DataFrame:
+    """``df`` (rows with a key and a time) plus ``__next``: the time of the next
+    row of the same key in (time, ``order_by``) order, NULL for the last.
+
+    ``lead`` runs within (key, time bucket) groups; the last row of a bucket
+    takes the first time of the next non-empty bucket, from a one-row-per-bucket
+    aggregate and a small window over buckets, so a key with a huge history is
+    spread over many tasks.
+    """
+    keys = _ls(key)
     ob = [F.col(c) for c in order_by]
-    rows = changes.where(F.col(at).isNotNull())
+    rows = df.where(F.col(at).isNotNull())
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
-    rows = rows.select(*keys, at, *[c for c in order_by if c not in keys and c != at],
-                       *[a for a in attrs if a not in keys and a != at and a not in order_by]) \
-        .withColumn("__b", granule(F.col(at), bucket))
+    rows = rows.withColumn("__b", granule(F.col(at), bucket))
     w = Window.partitionBy(*keys, "__b").orderBy(F.col(at), *ob)
-    inner = rows.withColumn("__next", F.lead(at).over(w))
+    inner = rows.withColumn("__next_in", F.lead(at).over(w))
     firsts = rows.groupBy(*keys, "__b").agg(F.min(at).alias("__first"))
     wb = Window.partitionBy(*keys).orderBy("__b")
     nxt = firsts.select(*keys, "__b", F.lead("__first").over(wb).alias("__nbf"))
     j = inner.join(nxt, on=[*keys, "__b"], how="left")
-    vt = F.coalesce(F.col("__next"), F.col("__nbf"))
-    return j.select(*keys, *[a for a in attrs if a not in keys], F.col(at).alias(valid_from),
-                    vt.alias(valid_to), vt.isNull().cast("bigint").alias(current))
+    return j.withColumn("__next", F.coalesce(F.col("__next_in"), F.col("__nbf"))).drop("__next_in", "__nbf", "__b")
 
 
 def latest_snapshot(df: DataFrame, key, time: str, order_by: Sequence[str] = ()) -> DataFrame:

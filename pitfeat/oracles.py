@@ -362,3 +362,8 @@ SELECT p.k AS account_id, make_timestamp(p.h * 3600 * 1000000) AS ts,
     / CAST(SUM(CASE WHEN x.h BETWEEN p.h - 3 AND p.h - 1 THEN x.c END) AS DOUBLE) END AS amount_avg_3h_offset_1h
 FROM (SELECT DISTINCT k, h FROM hd) p JOIN hd x ON x.k = p.k AND x.h BETWEEN p.h - 23 AND p.h
 GROUP BY p.k, p.h"""
+
+ORACLES["violations_versions"] = with_(ACCOUNTS, """x AS (
+  SELECT *, lead(valid_from) OVER (PARTITION BY account_id ORDER BY valid_from) AS next_valid_from
+  FROM accounts WHERE account_id IS NOT NULL AND valid_from IS NOT NULL)""") + """SELECT * FROM x
+WHERE next_valid_from IS NOT NULL AND (valid_to IS NULL OR valid_to > next_valid_from)"""

@@ -377,6 +377,12 @@ def violations_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.null_counts(Tables(spark, sf_dir).accounts_scd2(), ["account_id", "valid_from", "valid_to"])
 
 
+@query
+def violations_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD-2 versions overlapping their successor (H11); none in a well-chained table."""
+    return Q.validate_versions(Tables(spark, sf_dir).accounts_scd2(), "account_id", "valid_from", "valid_to")
+
+
 @query
 def orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose merchant is absent from the merchant dimension."""

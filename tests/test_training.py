@@ -216,3 +216,13 @@ def test_aggregation_override_fills_missing(spark, world):
     out = T.apply_spec(FeatureSpec("s", [FeatureAggregation("txns", spec, "acct", "obs")]), req, tabs)
     got = sorted((str(r["obs"]), r["amount_sum_7d"]) for r in out.collect())
     assert got == [("2024-01-02", 5.0), ("2024-01-06", 99.0), ("2024-01-08", None), ("2024-01-08", None)]
+
+
+def test_validate_versions(spark):
+    df = spark.createDataFrame(
+        [(1, day(0), day(5)), (1, day(5), day(9)), (1, day(8), None),      # day 8 overlaps (ends 9 > 8)
+         (2, day(0), None), (2, day(3), None),                               # open and not last
+         (3, day(0), day(2)), (3, day(4), None)],                            # a gap is fine
+        "k bigint, vf date, vt date")
+    bad = sorted((r["k"], r["vf"]) for r in Q.validate_versions(df, "k", "vf", "vt").collect())
+    assert bad == [(1, day(5)), (2, day(0))]
