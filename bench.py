@@ -32,6 +32,7 @@ HEADLINE = {
     "lookup_asof_features": ["lineitem", "orders"],
     "window_closed_left": ["lineitem", "orders"],
     "dense_rollups": ["orders", "customer"],
+    "training_set_defaults": ["lineitem", "orders", "customer", "supplier"],
 }
 
 
