@@ -173,6 +173,20 @@ def stream_rolling(stream: DataFrame, key, time: str, value: str, duration: str
                       f"{value}_sum", f"{value}_count")
 
 
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows the stateful operators dropped as later than the watermark, summed
+    over the query's recent progress reports (late data is counted, not lost
+    silently). For sliding windows a late event counts once per window it
+    falls in. Spark judges lateness against the previous batch's watermark, so
+    a late row in the batch right after the watermark moved may still be
+    aggregated."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) or []:
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total
+
+
 def run_to_files(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append") -> StreamingQuery:
     """Run a streaming frame over all available input into parquet files, then stop."""
     q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)

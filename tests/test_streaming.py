@@ -70,3 +70,27 @@ def test_stream_rolling_is_zone_independent(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert results[0] == results[1] and results[0]
     assert all(r[1].hour == 0 and r[1].minute == 0 for r in results[0])
+
+
+def test_late_rows_beyond_the_watermark_are_dropped_and_counted(spark):
+    import time as _time
+    src = scratch_path(spark, "late-src")
+    # Spark judges lateness against the previous batch's watermark, so the late
+    # row comes in the third micro-batch; file times order the batches
+    batches = [[(1, dt.datetime(2024, 1, 10, 12), 5.0)],
+               [(1, dt.datetime(2024, 1, 20, 12), 7.0)],
+               [(1, dt.datetime(2024, 1, 2, 12), 100.0)]]  # 18 days behind the watermark
+    for name, rows in zip("abc", batches):
+        spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, v double").coalesce(1) \
+            .write.parquet(f"{src}/{name}")
+        _time.sleep(1.1)
+    schema = spark.read.parquet(src + "/a").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true") \
+        .parquet(src)
+    out = scratch_path(spark, "late-out")
+    q = ST.run_to_files(ST.stream_rolling(stream, "k", "ts", "v", duration="2 days", slide="1 day",
+                                          watermark="1 day"), out, scratch_path(spark, "late-ck"))
+    rows = spark.read.parquet(out).collect()
+    assert all(r["v_sum"] != 100.0 for r in rows)
+    # counted per window the late row falls in (2 windows of a 2-day window sliding by a day)
+    assert ST.dropped_by_watermark(q) == 2
