@@ -404,7 +404,7 @@ def dense_daily(facts: DataFrame, spec: AggregateSpec, entities: DataFrame,
     aggs = [Agg(a.column, a.fn, a.window, default=0 if a.default is None else a.default,
                 name=a.name) for a in spec.aggs]
     dense = AggregateSpec(spec.key, spec.time, aggs, start=spec.start, end=end,
-                          granularity=spec.granularity)
+                          granularity=spec.granularity, source=spec.source)
     return aggregate_features(facts, dense, mode="grid", entities=entities,
                               start_col=start_col, bucket_width=bucket_width)
 

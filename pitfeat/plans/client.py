@@ -69,13 +69,17 @@ class FeatureClient:
         return self.tables
 
     # -- aggregates ----------------------------------------------------------
-    def aggregate_features(self, features: AggregateSpec, source: str | DataFrame,
+    def aggregate_features(self, features: AggregateSpec, source: str | DataFrame | None = None,
                            spine: DataFrame | None = None, on: dict | None = None,
                            max_cells: int | None = None, prune_facts: bool = False) -> DataFrame:
-        """Windowed aggregates of ``source``: on the daily grid between the
-        spec's start and end (the reference's default), or at the rows of
-        ``spine`` when one is given (cheaper: no grid; ``prune_facts`` for a
-        narrow spine such as one day of requests)."""
+        """Windowed aggregates of ``source`` (default: the spec's ``source``
+        table): on the daily grid between the spec's start and end (the
+        reference's default), or at the rows of ``spine`` when one is given
+        (cheaper: no grid; ``prune_facts`` for a narrow spine such as one day
+        of requests)."""
+        source = source if source is not None else features.source
+        if source is None:
+            raise ValueError("no source table: pass source= or set AggregateSpec(source=...)")
         facts = self.read_table(source) if isinstance(source, str) else source
         if spine is None:
             return aggregate_features(facts, features, mode="grid", max_cells=max_cells)

@@ -123,7 +123,8 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
                     fill.update({n: f"__lk_{n}" for n in present})
                     sp = f.spec
                     f = FeatureAggregation(f.table, AggregateSpec(sp.key, sp.time, aggs, sp.start, sp.end,
-                                                                  sp.granularity), f.lookup_key, f.time_key)
+                                                                  sp.granularity, sp.source),
+                                           f.lookup_key, f.time_key)
             pending.append((f, t))
             continue
         if isinstance(f, FeatureFunction):

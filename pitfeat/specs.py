@@ -146,8 +146,10 @@ class AggregateSpec:
     start: Any = None
     end: Any = None
     granularity: _dt.timedelta = DAY
+    source: str | None = None  # optional name of the facts table (resolved by a client)
 
-    def __init__(self, key, time, aggs, start=None, end=None, granularity=DAY):
+    def __init__(self, key, time, aggs, start=None, end=None, granularity=DAY, source=None):
+        object.__setattr__(self, "source", source)
         object.__setattr__(self, "key", _listify(key))
         object.__setattr__(self, "time", time)
         object.__setattr__(self, "aggs", tuple(aggs))
@@ -273,6 +275,7 @@ def aggregate_spec_to_dict(spec: AggregateSpec) -> dict:
     def bound(v):
         return None if v is None else (v.isoformat() if hasattr(v, "isoformat") else str(v))
     return {"key": list(spec.key), "time": spec.time, "granularity_s": _td_seconds(spec.granularity),
+            "source": spec.source,
             "start": bound(spec.start), "end": bound(spec.end),
             "aggs": [{"column": a.column, "fn": a.fn, "duration_s": _td_seconds(a.window.duration),
                       "offset_s": _td_seconds(a.window.offset), "closed": a.window.closed,
@@ -284,7 +287,7 @@ def aggregate_spec_from_dict(d: dict) -> AggregateSpec:
                                                offset=_dt.timedelta(seconds=a["offset_s"]), closed=a["closed"]),
                 default=a["default"], name=a["name"]) for a in d["aggs"]]
     return AggregateSpec(d["key"], d["time"], aggs, start=d["start"], end=d["end"],
-                         granularity=_dt.timedelta(seconds=d["granularity_s"]))
+                         granularity=_dt.timedelta(seconds=d["granularity_s"]), source=d.get("source"))
 
 
 Feature = FeatureLookup | FeatureFunction | FeatureAggregation

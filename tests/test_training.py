@@ -174,7 +174,8 @@ def test_client_call_shapes(spark, world):
     assert fc.apply_spec("s", spine.drop("label")).count() == 4
     txns = spark.createDataFrame([(10, day(0), 5.0), (10, day(2), 7.0)], "acct bigint, t date, amount double")
     fc.register_table("txns", txns, TableSpec("acct", time_key="t"))
-    grid = fc.aggregate_features(AggregateSpec("acct", "t", [Agg("amount", "sum", Lookback(2))]), "txns")
+    grid = fc.aggregate_features(features=AggregateSpec("acct", "t", [Agg("amount", "sum", Lookback(2))],
+                                                        source="txns"))
     assert [r["amount_sum_2d"] for r in grid.orderBy("t").collect()] == [5.0, 5.0, 7.0]
     pm = fc.fit_model(ts)
     scored = fc.score_batch(pm, spine.select("acct", "merchant_id", "obs", "amount"))
