@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalar import instant_to_ntz, ntz_to_instant
-from ..operators.lookup import AsOfRight, _asof_packed
+from ..operators.lookup import (DEFAULT_BROADCAST_ROWS, DEFAULT_MAX_PER_KEY, AsOfRight, _asof_packed,
+                                _fits)
 from ..operators.scd import latest_snapshot
 
 
@@ -121,19 +122,21 @@ def publish_latest(stream: DataFrame, key, time: str, path: str, checkpoint: str
 # R2: request enrichment
 # ---------------------------------------------------------------------------
 def enrich_stream(stream: DataFrame, rights: Sequence[AsOfRight], lookup_key, time: str,
-                  broadcast: bool = True) -> DataFrame:
+                  broadcast: bool | str = "auto") -> DataFrame:
     """As-of features for each streamed request, from static tables.
 
-    Each static table is packed per key (``collect_list`` of time-stamped
-    rows) and joined to the stream on the key; the latest row at or before
-    the request time is picked with ``array_max(filter(..))``. With
-    ``broadcast`` (for tables whose size the caller has checked) the packed
-    side is broadcast and the stream is never shuffled.
+    Each static table is reduced to its latest row per (key, time), packed per
+    key and joined to the stream on the key; the latest row at or before the
+    request time is picked with ``array_max(filter(..))``. A packed side is
+    broadcast (the stream is then never shuffled) only when it passes the
+    bounded size check (``broadcast="auto"``: at most 2 M rows and 1,000 per
+    key), or when the caller forces it with ``True``.
     """
     lk = _ls(lookup_key)
     out = stream
     for i, r in enumerate(rights):
-        out = _asof_packed(out, r, lk, time, i, broadcast=broadcast)
+        b = _fits(r.df, DEFAULT_BROADCAST_ROWS, r.key, DEFAULT_MAX_PER_KEY) if broadcast == "auto" else bool(broadcast)
+        out = _asof_packed(out, r, lk, time, i, broadcast=b)
     return out
 
 

@@ -528,9 +528,7 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     scd = S.build_scd2(t.profile_changes(), "account_id", "changed_at", ["change_id", "zip"],
                        order_by=["change_id"])
     right = L.AsOfRight(scd, ["account_id"], "valid_from", ["zip"], valid_to="valid_to")
-    enriched = ST.enrich_stream(_requests(_purchase_stream(spark, sf_dir)), [right], "account_id", "ts",
-                                broadcast=L._fits(scd, L.DEFAULT_BROADCAST_ROWS, ["account_id"],
-                                                  L.DEFAULT_MAX_PER_KEY))
+    enriched = ST.enrich_stream(_requests(_purchase_stream(spark, sf_dir)), [right], "account_id", "ts")
     out = scratch_path(spark, "enriched")
     ST.run_to_files(enriched, out, scratch_path(spark, "enriched-ckpt"))
     return spark.read.parquet(out)
