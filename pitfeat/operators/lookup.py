@@ -45,6 +45,27 @@ from ..functions.scalar import granule
 DEFAULT_BUCKET = _dt.timedelta(days=512)
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_PER_KEY = 1_000
+DEFAULT_SMALL_SPINE = 100_000
+
+
+def restrict_to_spine_keys(df: DataFrame, key: Sequence[str], spine: DataFrame, spine_key: Sequence[str],
+                           prefilter="auto", small_spine: int = DEFAULT_SMALL_SPINE) -> DataFrame:
+    """Keep only rows of ``df`` whose key occurs in a small spine.
+
+    Serving a few requests should not shuffle a whole feature table: when the
+    spine passes a bounded size check (``limit(n+1).count()``), ``df`` is
+    semi-joined with the spine's distinct keys, broadcast (their size is the
+    checked bound), so only the requested keys reach the shuffles. A large
+    spine (a training set) is left alone, as is a streaming one.
+    """
+    if prefilter is False or spine.isStreaming:
+        return df
+    if prefilter == "auto" and not _fits(spine, small_spine):
+        return df
+    sk = spine.select(*[F.col(k).alias(f"__sk{i}") for i, k in enumerate(spine_key)])
+    sk = sk.where(_and([F.col(f"__sk{i}").isNotNull() for i in range(len(spine_key))])).distinct()
+    cond = _and([df[k] == sk[f"__sk{i}"] for i, k in enumerate(key)])
+    return df.join(F.broadcast(sk), cond, "left_semi")
 
 
 def _ls(v) -> list[str]:
@@ -195,7 +216,7 @@ def _value_struct(r: AsOfRight, idx: int) -> Column:
 def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine_time: str,
                 strategy: str = "union", bucket: _dt.timedelta | str | None = "auto",
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                max_per_key: int = DEFAULT_MAX_PER_KEY) -> DataFrame:
+                max_per_key: int = DEFAULT_MAX_PER_KEY, prefilter="auto") -> DataFrame:
     """Latest right row with ``time <= spine_time`` per spine row, for each right table.
 
     ``strategy="broadcast"`` is taken only when every right table has at most
@@ -230,7 +251,7 @@ def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine
             return lookup_asof(spine, rights, lk, spine_time, strategy="packed")
     if strategy != "union":
         raise ValueError("strategy must be 'union', 'broadcast' or 'packed'")
-    return _asof_union(spine, list(rights), lk, spine_time, bucket)
+    return _asof_union(spine, list(rights), lk, spine_time, bucket, prefilter)
 
 
 def _fits(df: DataFrame, max_rows: int, key: Sequence[str] | None = None,
@@ -269,8 +290,8 @@ def _time_type(df: DataFrame, col: str) -> str:
 
 
 def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_time: str,
-                bucket) -> DataFrame:
-    got = asof_point_features(spine, rights, lk, spine_time, bucket)
+                bucket, prefilter="auto") -> DataFrame:
+    got = asof_point_features(spine, rights, lk, spine_time, bucket, prefilter)
     ks = [f"__k{i}" for i in range(len(lk))]
     cond = _and([spine[k] == got[kk] for k, kk in zip(lk, ks)] + [spine[spine_time] == got["__t"]])
     j = spine.join(got, cond, "left")
@@ -278,11 +299,17 @@ def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_
 
 
 def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine_time: str,
-                        bucket="auto") -> DataFrame:
+                        bucket="auto", prefilter="auto") -> DataFrame:
     """The as-of features at every distinct (key, time) point of ``spine``,
-    before any re-attach: columns ``__k0..``, ``__t`` and the feature names."""
+    before any re-attach: columns ``__k0..``, ``__t`` and the feature names.
+    With a small spine the right tables are first cut to its keys
+    (``restrict_to_spine_keys``)."""
     lk = _ls(lookup_key)
     rights = list(rights)
+    if rights and prefilter is not False and not spine.isStreaming and \
+            (prefilter is True or _fits(spine, DEFAULT_SMALL_SPINE)):
+        rights = [AsOfRight(restrict_to_spine_keys(r.df, r.key, spine, lk, prefilter=True), r.key, r.time,
+                            r.features, r.rename, r.order_by, r.valid_to) for r in rights]
     n = len(rights)
     ks = [f"__k{i}" for i in range(len(lk))]
     vcols = [f"__v{i}" for i in range(n)]

@@ -336,12 +336,17 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
 
 
 def point_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame, spine_keys: Sequence[str],
-                   spine_time: str, bucket_width: int | None = None, prune_facts: bool = False) -> DataFrame:
+                   spine_time: str, bucket_width: int | None = None, prune_facts: bool = False,
+                   prefilter="auto") -> DataFrame:
     """The aggregates at every distinct (key, granule) point of ``spine``, before
     any re-attach: columns ``__k0..`` (the spec's key types), ``__g`` and the
     aggregates. Callers holding several point-keyed feature tables for the
-    same spine can join them first and re-attach the spine once."""
+    same spine can join them first and re-attach the spine once. With a small
+    spine the facts are first cut to its keys (``restrict_to_spine_keys``)."""
+    from .lookup import restrict_to_spine_keys
+
     spine_keys = list(spine_keys)
+    facts = restrict_to_spine_keys(facts, list(spec.key), spine, spine_keys, prefilter=prefilter)
     key_types = dict(facts.dtypes)
     scales = _decimal_scales(facts, spec)
     cast_out = _output_casts(spec)
