@@ -100,7 +100,7 @@ def _clash(spine: DataFrame, names: Sequence[str]) -> None:
 # exact-key lookup
 # --------------------------------------------------------------------------
 def lookup_exact(spine: DataFrame, right: DataFrame, lookup_key, right_key, features,
-                 rename: dict | None = None, unique: str = "trust") -> DataFrame:
+                 rename: dict | None = None, unique: str = "trust", prefilter="auto") -> DataFrame:
     """LEFT equi-join of ``features`` of a type-1 table keyed by ``right_key``.
 
     Keys are matched by position (H10) and compared in their common type (H9).
@@ -110,6 +110,9 @@ def lookup_exact(spine: DataFrame, right: DataFrame, lookup_key, right_key, feat
     the spine can never fan out. Whether the right side is broadcast is left to
     AQE, which measures its actual size at run time against
     ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise shuffles.
+    A LEFT join can only broadcast its right side, so for a small spine the
+    dimension is first cut to the spine's keys (``restrict_to_spine_keys``),
+    after which AQE can broadcast what is left of it.
     """
     lk, rk, feats = _ls(lookup_key), _ls(right_key), _ls(features)
     if len(lk) != len(rk):
@@ -118,6 +121,7 @@ def lookup_exact(spine: DataFrame, right: DataFrame, lookup_key, right_key, feat
     _check(right, rk + feats, "right")
     names = _out_names(feats, rename)
     _clash(spine, names)
+    right = restrict_to_spine_keys(right, rk, spine, lk, prefilter=prefilter)
     r = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rk)],
                      *[F.col(f).alias(n) for f, n in zip(feats, names)])
     if unique == "enforce":
