@@ -311,7 +311,7 @@ def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_ke
     lk = _ls(lookup_key)
     rights = list(rights)
     if rights and prefilter is not False and not spine.isStreaming and \
-            (prefilter is True or _fits(spine, DEFAULT_SMALL_SPINE)):
+            (prefilter is True or (prefilter == "auto" and _fits(spine, DEFAULT_SMALL_SPINE))):
         rights = [AsOfRight(restrict_to_spine_keys(r.df, r.key, spine, lk, prefilter=True), r.key, r.time,
                             r.features, r.rename, r.order_by, r.valid_to) for r in rights]
     n = len(rights)

@@ -274,7 +274,8 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
                        mode: str = "spine", on: dict[str, str] | None = None,
                        entities: DataFrame | None = None, start_col: str | None = None,
                        end_col: str | None = None, bucket_width: int | None = None,
-                       max_cells: int | None = None, prune_facts: bool = False) -> DataFrame:
+                       max_cells: int | None = None, prune_facts: bool = False,
+                       prefilter="auto") -> DataFrame:
     """Evaluate ``spec`` over ``facts``.
 
     * ``mode="spine"``: at each row of ``spine`` (all spine columns kept, same
@@ -326,7 +327,7 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
     if clash:
         raise ValueError(f"aggregate names already in the spine: {clash}")
     key_types = dict(facts.dtypes)
-    res = point_features(facts, spec, spine, spine_keys, spine_time, bucket_width, prune_facts)
+    res = point_features(facts, spec, spine, spine_keys, spine_time, bucket_width, prune_facts, prefilter)
     sp = spine.withColumn(G, _gran(spine, spine_time, spec))
     cond = [F.col(sk).cast(key_types[k]) == F.col(f"__k{i}") for i, (sk, k) in enumerate(zip(spine_keys, spec.key))]
     joined = sp.alias("s").join(res.alias("r"), on=_and(cond + [F.col(f"s.{G}") == F.col(f"r.{G}")]),

@@ -16,7 +16,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import AsOfRight, asof_point_features, lookup_asof, lookup_exact
+from ..operators.lookup import (DEFAULT_SMALL_SPINE, AsOfRight, _fits, asof_point_features, lookup_asof,
+                                lookup_exact)
 from ..operators.rolling import aggregate_features, point_features
 from ..operators.scd import latest_snapshot
 from ..specs import (DAY, Agg, AggregateSpec, Feature, FeatureAggregation, FeatureFunction, FeatureLookup,
@@ -75,6 +76,9 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
     names: list[str] = []
     pending: list[tuple[FeatureLookup, FeatureTable]] = []
     fill: dict[str, str] = {}
+    # one bounded size check of the spine for every lookup below (serving a few
+    # requests cuts each table to their keys first)
+    small = False if spine.isStreaming else _fits(spine, DEFAULT_SMALL_SPINE)
 
     def apply_fills():
         nonlocal df
@@ -96,14 +100,14 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
             else:
                 rights.append(_lookup_right(f, t))
         for (key, time), (rights, aggs) in groups.items():
-            df = _attach_group(df, list(key), time, rights, aggs, asof_strategy)
+            df = _attach_group(df, list(key), time, rights, aggs, asof_strategy, small)
         for f, t in exact:
             right = t.df
             if t.spec.time_key:
                 # no observation time given: serve the latest row per key, as an online table would
                 right = latest_snapshot(right, list(t.spec.key), t.spec.time_key)
             df = lookup_exact(df, right, list(f.lookup_key), list(t.spec.key), list(f.features),
-                              rename=dict(f.rename))
+                              rename=dict(f.rename), prefilter=small)
         pending, exact = [], []
         apply_fills()
 
@@ -158,7 +162,8 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
 
 
 def _attach_group(df: DataFrame, key: list[str], time: str, rights: list[AsOfRight],
-                  aggs: list[tuple[FeatureAggregation, FeatureTable]], asof_strategy: str) -> DataFrame:
+                  aggs: list[tuple[FeatureAggregation, FeatureTable]], asof_strategy: str,
+                  prefilter=False) -> DataFrame:
     """Attach as-of lookups and windowed aggregates sharing (key, time).
 
     With DATE observation times and daily aggregates, every feature table is
@@ -167,20 +172,20 @@ def _attach_group(df: DataFrame, key: list[str], time: str, rights: list[AsOfRig
     otherwise each group re-attaches on its own.
     """
     if not aggs:
-        return lookup_asof(df, rights, key, time, strategy=asof_strategy)
+        return lookup_asof(df, rights, key, time, strategy=asof_strategy, prefilter=prefilter)
     shared = (dict(df.dtypes)[time] == "date" and all(f.spec.granularity == DAY for f, _ in aggs)
               and (not rights or asof_strategy == "union"))
     if not shared:
         for f, t in aggs:
             on = {**dict(zip(key, f.spec.key)), time: f.spec.time}
-            df = aggregate_features(t.df, f.spec, spine=df, on=on)
-        return lookup_asof(df, rights, key, time, strategy=asof_strategy) if rights else df
+            df = aggregate_features(t.df, f.spec, spine=df, on=on, prefilter=prefilter)
+        return lookup_asof(df, rights, key, time, strategy=asof_strategy, prefilter=prefilter) if rights else df
     ks = [f"__k{i}" for i in range(len(key))]
-    base = asof_point_features(df, rights, key, time) if rights else None
+    base = asof_point_features(df, rights, key, time, prefilter=prefilter) if rights else None
     names = [n for r in rights for n in r.names()]
     epoch = F.lit("1970-01-01").cast("date")
     for f, t in aggs:
-        r = point_features(t.df, f.spec, df, key, time)
+        r = point_features(t.df, f.spec, df, key, time, prefilter=prefilter)
         r = r.select(*ks, F.date_add(epoch, F.col("__g").cast("int")).alias("__t"), *f.spec.names)
         base = r if base is None else base.join(r, on=ks + ["__t"], how="left")
         names += f.spec.names
