@@ -29,17 +29,27 @@ def list_tables(spark: SparkSession, schema: str | None = None) -> list[str]:
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite",
-               partition_by: Sequence[str] = (), path: str | None = None) -> None:
+               partition_by: Sequence[str] = (), path: str | None = None,
+               bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Write a table, replacing data and schema on overwrite.
 
     With ``path`` the table is plain parquet files (read back with
     ``spark.read.parquet``); otherwise it is registered in the session catalog.
     ``partition_by`` (e.g. a month column) lets later filters prune folders.
+    ``bucket_by=(n, keys)`` writes a catalog table hash-bucketed and sorted by
+    its keys: joins on those keys against it then need no shuffle on its side
+    (set ``path`` to place the files in shared storage).
     """
     w = df.write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if path:
+    if bucket_by:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
+        if path:
+            w = w.option("path", path)
+        w.saveAsTable(name)
+    elif path:
         w.save(path)
     else:
         w.saveAsTable(name)

@@ -227,3 +227,22 @@ def test_validate_versions(spark):
         "k bigint, vf date, vt date")
     bad = sorted((r["k"], r["vf"]) for r in Q.validate_versions(df, "k", "vf", "vt").collect())
     assert bad == [(1, day(5)), (2, day(0))]
+
+
+def test_bucketed_dimension_needs_no_shuffle_on_its_side(spark):
+    from pitfeat.operators.lookup import lookup_exact
+    from pitfeat.session import scratch_path
+    from pitfeat.sources import catalog as C
+    dim = spark.range(0, 5000).selectExpr("id AS merchant_id", "id % 25 AS zone")
+    C.save_table(dim, "merchants_bucketed", path=scratch_path(spark, "mb"), bucket_by=(8, ["merchant_id"]))
+    facts = spark.range(0, 200000).selectExpr("id AS txn", "id % 5000 AS merchant_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup_exact(facts, spark.table("merchants_bucketed"), "merchant_id", "merchant_id", ["zone"],
+                           prefilter=False)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 200000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") == 1  # only the fact side moves
