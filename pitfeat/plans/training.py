@@ -20,6 +20,7 @@ from ..operators.lookup import (DEFAULT_SMALL_SPINE, AsOfRight, _fits, asof_poin
                                 lookup_exact)
 from ..operators.rolling import aggregate_features, point_features
 from ..operators.scd import latest_snapshot
+from ..session import materialize
 from ..specs import (DAY, Agg, AggregateSpec, Feature, FeatureAggregation, FeatureFunction, FeatureLookup,
                      FeatureSpec, TableSpec, drop_existing)
 
@@ -207,15 +208,22 @@ def _all(conds):
 def training_set(spine: DataFrame, features: Sequence[Feature], tables: Mapping[str, object],
                  label: str | None = None, exclude: Sequence[str] = (), nulls: str = "keep",
                  defaults: Mapping[str, object] | None = None, label_type: str | None = "double",
-                 asof_strategy: str = "union", override: bool = False) -> DataFrame:
+                 asof_strategy: str = "union", override: bool = False,
+                 materialize_spine: bool = False) -> DataFrame:
     """Spine + features + label, minus ``exclude`` (P10, names absent are ignored).
 
     ``defaults`` fills missing values per column (P13); ``nulls="drop"`` then
-    drops rows with any remaining NULL in the kept columns (P12). The label is cast to
+    drops rows with any remaining NULL in the kept columns (P12).
+    ``materialize_spine`` writes a derived spine once to the shared checkpoint
+    folder, so its several reads scan files instead of recomputing it. The label is cast to
     ``label_type`` (P6) and placed last.
     """
     if label is not None and label not in spine.columns:
         raise ValueError(f"label {label!r} not in spine")
+    if materialize_spine:
+        # the spine is read once per point-in-time group and once per re-attach:
+        # a derived spine (joins, filters) is written once and read back as files
+        spine = materialize(spine, name="spine")
     df, names = compile_features(spine, features, tables, override=override,
                                  asof_strategy=asof_strategy)
     if defaults:

@@ -246,3 +246,11 @@ def test_bucketed_dimension_needs_no_shuffle_on_its_side(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("Exchange hashpartitioning") == 1  # only the fact side moves
+
+
+def test_materialized_spine_gives_the_same_set(world):
+    spine, tables, feats = world
+    a = T.training_set(spine, feats, tables, label="label")
+    b = T.training_set(spine, feats, tables, label="label", materialize_spine=True)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert "Scan parquet" in b._jdf.queryExecution().executedPlan().toString()
