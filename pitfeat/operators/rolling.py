@@ -207,6 +207,27 @@ def _facts_in_reach(facts: DataFrame, spec: AggregateSpec, spine: DataFrame, spi
     return facts.where((t >= lo.cast(cast)) & (t < hi.cast(cast)))
 
 
+def partials_spec_columns(spec: AggregateSpec) -> list[str]:
+    """Column names of the per-(key, granule) partials ``spec`` needs."""
+    return list(dict.fromkeys(aggreg.pname(kind, a.column) for a in spec.aggs
+                              for kind in aggreg.get(a.fn).partials))
+
+
+def from_partials(partials: DataFrame, spec: AggregateSpec, scales: dict[str, int] | None = None,
+                  bucket_width: int | None = None) -> DataFrame:
+    """Evaluate ``spec`` at every (key, granule) of a table of partials (facts mode).
+
+    ``partials`` holds the spec's key columns, ``__g`` (granule number) and the
+    partial columns (``partials_spec_columns``), one row per (key, granule),
+    e.g. as written by ``streaming.jobs.stream_partials``; ``scales`` gives the
+    decimal scale of columns whose sums were kept as unscaled longs. One
+    partials table serves any number of windows over the same columns.
+    """
+    rows = partials.withColumn(FT, F.lit(1)).withColumn(PT, F.lit(1))
+    res = _evaluate(rows, spec, bucket_width, scales or {})
+    return _finish(res, spec, _output_casts(spec), None)
+
+
 def _scalar_time_bound(facts: DataFrame, spec: AggregateSpec, which: str) -> Column:
     agg = F.max if which == "end" else F.min
     return facts.select(agg(_gran(facts, spec.time, spec))).scalar()

@@ -367,3 +367,10 @@ ORACLES["violations_versions"] = with_(ACCOUNTS, """x AS (
   SELECT *, lead(valid_from) OVER (PARTITION BY account_id ORDER BY valid_from) AS next_valid_from
   FROM accounts WHERE account_id IS NOT NULL AND valid_from IS NOT NULL)""") + """SELECT * FROM x
 WHERE next_valid_from IS NOT NULL AND (valid_to IS NULL OR valid_to > next_valid_from)"""
+
+ORACLES["stream_partials_rolling"] = "WITH " + ",\n".join([
+    TXN_EVENTS,
+    """closed AS (SELECT * FROM txn_events
+       WHERE CAST(txn_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM txn_events) - INTERVAL 1 DAY)""",
+    daily_sql("dc", "closed")]) + ",\n" + \
+    facts_feats("closed", "dc", [("amount_avg_30d", "avg", 30), ("amount_sum_30d", "sum", 30)])

@@ -176,6 +176,38 @@ def stream_rolling(stream: DataFrame, key, time: str, value: str, duration: str
                       f"{value}_sum", f"{value}_count")
 
 
+def stream_partials(stream: DataFrame, spec, watermark: str = "1 day") -> tuple[DataFrame, dict]:
+    """Daily (granule) mergeable partials of ``spec`` over a stream, for append output.
+
+    State is one row per (key, granule) instead of one per (key, sliding
+    window); a granule is emitted once the watermark passes its end. The
+    output (keys, ``__g``, partial columns) feeds ``rolling.from_partials``,
+    which evaluates any windows over it in batch. Decimal sources of precision
+    <= 18 are summed as unscaled longs (returned scales tell ``from_partials``).
+    Only functions whose partials are plain SQL aggregates are supported here
+    (not approximate distinct counts).
+    """
+    from ..functions import aggregates as aggreg
+    from ..operators import rolling as R
+
+    if any(a.fn in ("approx_count_distinct", "approx_distinct") for a in spec.aggs):
+        raise ValueError("approximate distinct partials are not supported on streams")
+    secs = int(spec.granularity.total_seconds())
+    ntz = dict(stream.dtypes).get(spec.time) == "timestamp_ntz"
+    et = ntz_to_instant(spec.time) if ntz else F.col(spec.time).cast("timestamp")
+    scales = R._decimal_scales(stream, spec)
+    src = R._unscaled(stream, scales).withColumn("__et", et).withWatermark("__et", watermark)
+    exprs = {}
+    for a in spec.aggs:
+        for kind, build in aggreg.get(a.fn).partials.items():
+            n = aggreg.pname(kind, a.column)
+            exprs.setdefault(n, build(F.col(a.column)).alias(n))
+    w = F.window("__et", f"{secs} seconds")
+    agg = src.groupBy(*spec.key, w.alias("__w")).agg(*exprs.values())
+    g = F.floor(F.unix_seconds(F.col("__w.start")) / F.lit(secs)).cast("bigint")
+    return agg.select(*spec.key, g.alias("__g"), *exprs.keys()), scales
+
+
 def dropped_by_watermark(query: StreamingQuery) -> int:
     """Rows the stateful operators dropped as later than the watermark, summed
     over the query's recent progress reports (late data is counted, not lost

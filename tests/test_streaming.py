@@ -94,3 +94,31 @@ def test_late_rows_beyond_the_watermark_are_dropped_and_counted(spark):
     assert all(r["v_sum"] != 100.0 for r in rows)
     # counted per window the late row falls in (2 windows of a 2-day window sliding by a day)
     assert ST.dropped_by_watermark(q) == 2
+
+
+def test_stream_partials_feed_batch_windows(spark):
+    import random
+    from decimal import Decimal
+
+    from pitfeat.operators import rolling as R
+    from pitfeat.specs import Agg, AggregateSpec, Lookback
+    rnd = random.Random(5)
+    rows = sorted([(rnd.randint(1, 3), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 20)),
+                    Decimal(rnd.randint(1, 99999)) / 100) for _ in range(300)], key=lambda r: r[1])
+    src = scratch_path(spark, "parts-src")
+    for i in range(4):  # four files in time order -> four micro-batches
+        spark.createDataFrame(rows[i * 75:(i + 1) * 75], "k bigint, ts timestamp_ntz, amount decimal(18,2)") \
+            .coalesce(1).write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    spec = AggregateSpec("k", "ts", [Agg("amount", "sum", Lookback(3)), Agg("amount", "count", Lookback(7)),
+                                     Agg("amount", "max", Lookback(2, offset=1))])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    parts, scales = ST.stream_partials(stream, spec, watermark="1 day")
+    out = scratch_path(spark, "parts-out")
+    ST.run_to_files(parts, out, scratch_path(spark, "parts-ck"))
+    got = sorted(tuple(r) for r in R.from_partials(spark.read.parquet(out), spec, scales).collect())
+    last_closed = max(r[1] for r in rows) - dt.timedelta(days=1)
+    closed = [r for r in rows if dt.datetime.combine(r[1].date(), dt.time()) + dt.timedelta(days=1) <= last_closed]
+    facts = spark.createDataFrame(closed, "k bigint, ts timestamp_ntz, amount decimal(18,2)")
+    want = sorted(tuple(r) for r in R.aggregate_features(facts, spec, mode="facts").collect())
+    assert got == want and len(got) > 10
