@@ -213,19 +213,58 @@ def partials_spec_columns(spec: AggregateSpec) -> list[str]:
                               for kind in aggreg.get(a.fn).partials))
 
 
+# how partials of each kind merge when several rows share a (key, granule)
+PARTIAL_MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max, "active": F.max,
+                 "hll": F.hll_union_agg}
+
+
 def from_partials(partials: DataFrame, spec: AggregateSpec, scales: dict[str, int] | None = None,
-                  bucket_width: int | None = None) -> DataFrame:
-    """Evaluate ``spec`` at every (key, granule) of a table of partials (facts mode).
+                  bucket_width: int | None = None, spine: DataFrame | None = None,
+                  on: dict[str, str] | None = None) -> DataFrame:
+    """Evaluate ``spec`` over a table of partials instead of raw facts.
 
     ``partials`` holds the spec's key columns, ``__g`` (granule number) and the
-    partial columns (``partials_spec_columns``), one row per (key, granule),
-    e.g. as written by ``streaming.jobs.stream_partials``; ``scales`` gives the
-    decimal scale of columns whose sums were kept as unscaled longs. One
-    partials table serves any number of windows over the same columns.
+    partial columns (``partials_spec_columns``), e.g. as written by
+    ``streaming.jobs.stream_partials``; ``scales`` gives the decimal scale of
+    columns whose sums were kept as unscaled longs. Without ``spine`` the
+    result is at every (key, granule) of the table (facts mode); with one, at
+    each spine row (``on`` as in ``aggregate_features``): spine points are
+    folded in with partial-merging aggregates (sum of sums, max of maxima, HLL
+    unions), so rows repeating a (key, granule) merge too. One partials table
+    serves any number of windows over the same columns.
     """
-    rows = partials.withColumn(FT, F.lit(1)).withColumn(PT, F.lit(1))
-    res = _evaluate(rows, spec, bucket_width, scales or {})
-    return _finish(res, spec, _output_casts(spec), None)
+    cols = partials_spec_columns(spec)
+    kinds = {c: c.split("__")[1][2:] for c in cols}  # "__p_<kind>__<column>"
+    unknown = [c for c, k in kinds.items() if k not in PARTIAL_MERGE]
+    if unknown:
+        raise ValueError(f"no merge rule for partials {unknown}")
+    if spine is None:
+        rows = partials.withColumn(FT, F.lit(1)).withColumn(PT, F.lit(1))
+        res = _evaluate(rows, spec, bucket_width, scales or {})
+        return _finish(res, spec, _output_casts(spec), None)
+    on = dict(on or {})
+    inv = {v: k for k, v in on.items()}
+    spine_keys = [inv.get(k, k) for k in spec.key]
+    spine_time = inv.get(spec.time, spec.time)
+    key_types = dict(partials.dtypes)
+    ptypes = dict(partials.dtypes)
+    pts = spine.select(*[F.col(sk).cast(key_types[k]).alias(k) for sk, k in zip(spine_keys, spec.key)],
+                       _gran(spine, spine_time, spec).alias(G))
+    pts = pts.where(_and([F.col(c).isNotNull() for c in [*spec.key, G]]))
+    p = pts.select(*spec.key, G, *[F.lit(None).cast(ptypes[c]).alias(c) for c in cols],
+                   F.lit(0).alias(FT), F.lit(1).alias(PT))
+    f = partials.select(*spec.key, F.col(G).cast(dict(p.dtypes)[G]).alias(G), *cols,
+                        F.lit(1).alias(FT), F.lit(0).alias(PT))
+    merged = f.unionByName(p).groupBy(*spec.key, G).agg(
+        *[PARTIAL_MERGE[kinds[c]](c).alias(c) for c in cols], F.max(FT).alias(FT), F.max(PT).alias(PT))
+    res = _evaluate(merged, spec, bucket_width, scales or {})
+    casts = _output_casts(spec)
+    res = res.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(spec.key)], G,
+                     *[casts[n](F.col(n)).alias(n) for n in spec.names])
+    sp = spine.withColumn(G, _gran(spine, spine_time, spec))
+    cond = [F.col(sk).cast(key_types[k]) == F.col(f"__k{i}") for i, (sk, k) in enumerate(zip(spine_keys, spec.key))]
+    joined = sp.alias("s").join(res.alias("r"), on=_and(cond + [F.col(f"s.{G}") == F.col(f"r.{G}")]), how="left")
+    return joined.select(*[F.col(f"s.{c}") for c in spine.columns], *[F.col(f"r.{n}") for n in spec.names])
 
 
 def _scalar_time_bound(facts: DataFrame, spec: AggregateSpec, which: str) -> Column:
