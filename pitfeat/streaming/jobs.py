@@ -184,14 +184,12 @@ def stream_partials(stream: DataFrame, spec, watermark: str = "1 day") -> tuple[
     output (keys, ``__g``, partial columns) feeds ``rolling.from_partials``,
     which evaluates any windows over it in batch. Decimal sources of precision
     <= 18 are summed as unscaled longs (returned scales tell ``from_partials``).
-    Only functions whose partials are plain SQL aggregates are supported here
-    (not approximate distinct counts).
+    Approximate distinct counts keep one HLL sketch per (key, granule), which
+    the batch side unions over each window.
     """
     from ..functions import aggregates as aggreg
     from ..operators import rolling as R
 
-    if any(a.fn in ("approx_count_distinct", "approx_distinct") for a in spec.aggs):
-        raise ValueError("approximate distinct partials are not supported on streams")
     secs = int(spec.granularity.total_seconds())
     ntz = dict(stream.dtypes).get(spec.time) == "timestamp_ntz"
     et = ntz_to_instant(spec.time) if ntz else F.col(spec.time).cast("timestamp")

@@ -111,7 +111,8 @@ def test_stream_partials_feed_batch_windows(spark):
             .coalesce(1).write.mode("append").parquet(src)
     schema = spark.read.parquet(src).schema
     spec = AggregateSpec("k", "ts", [Agg("amount", "sum", Lookback(3)), Agg("amount", "count", Lookback(7)),
-                                     Agg("amount", "max", Lookback(2, offset=1))])
+                                     Agg("amount", "max", Lookback(2, offset=1)),
+                                     Agg("amount", "approx_count_distinct", Lookback(5))])
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     parts, scales = ST.stream_partials(stream, spec, watermark="1 day")
     out = scratch_path(spark, "parts-out")
