@@ -123,3 +123,20 @@ def test_stream_partials_feed_batch_windows(spark):
     facts = spark.createDataFrame(closed, "k bigint, ts timestamp_ntz, amount decimal(18,2)")
     want = sorted(tuple(r) for r in R.aggregate_features(facts, spec, mode="facts").collect())
     assert got == want and len(got) > 10
+
+
+def test_publish_latest_breaks_time_ties_by_order_by(spark):
+    src = scratch_path(spark, "tie-src")
+    d = dt.date(2024, 1, 5)
+    for i, rows in enumerate([[(1, d, 1, 10.0), (2, d, 1, 5.0)], [(1, d, 3, 30.0), (1, dt.date(2024, 1, 4), 9, 99.0)],
+                              [(1, d, 2, 20.0)]]):
+        spark.createDataFrame(rows, "k bigint, t date, seq int, v double").coalesce(1) \
+            .write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    out, ck = scratch_path(spark, "tie"), scratch_path(spark, "tie-ck")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    ST.publish_latest(stream, "k", "t", out, ck, order_by=["seq"], compact_every=2).awaitTermination()
+    got = sorted((r["k"], r["seq"], r["v"]) for r in ST.read_published(spark, out, key="k", time="t",
+                                                                        order_by=["seq"]).collect())
+    # key 1: day 5 beats day 4 whatever its seq; among day-5 rows the highest seq wins
+    assert got == [(1, 3, 30.0), (2, 1, 5.0)]
