@@ -166,3 +166,18 @@ def test_composite_keys_all_strategies(spark):
     for i, k1, k2, t in sp:
         cands = sorted((vf, z) for a, b, vf, z in rt if (a, b) == (k1, k2) and vf <= t)
         assert got[i] == (cands[-1][1] if cands else None) or got[i] in [z for vf, z in cands if vf == cands[-1][0]]
+
+
+def test_small_spine_prefilter_applies_only_under_its_bound(spark):
+    dim = spark.range(0, 1000).selectExpr("id AS m", "id % 7 AS z")
+    small = spark.createDataFrame([(3,), (5,), (None,)], "m bigint")
+    big = spark.range(0, 50).selectExpr("id AS m")
+    cut = L.restrict_to_spine_keys(dim, ["m"], small, ["m"], small_spine=10)
+    assert sorted(r["m"] for r in cut.collect()) == [3, 5]
+    assert "LeftSemi" in cut._jdf.queryExecution().optimizedPlan().toString()
+    kept = L.restrict_to_spine_keys(dim, ["m"], big, ["m"], small_spine=10)
+    assert kept.count() == 1000
+    # lookups give the same answer with and without it
+    a = L.lookup_exact(small, dim, "m", "m", ["z"], prefilter=True).collect()
+    b = L.lookup_exact(small, dim, "m", "m", ["z"], prefilter=False).collect()
+    assert sorted(map(str, a)) == sorted(map(str, b))
