@@ -345,3 +345,15 @@ def test_from_partials_spine_mode_equals_facts(spark):
     got = sorted(tuple(r) for r in R.from_partials(partials, spec, scales, spine=sp).collect())
     want = sorted(tuple(r) for r in R.aggregate_features(f, spec, spine=sp).collect())
     assert got == want
+
+
+def test_plan_report(spark):
+    from pitfeat.plans.inspect import plan_report
+    from pitfeat.sources.tables import Tables
+    from conftest import SF_SMALL
+    t = Tables(spark, SF_SMALL)
+    rep = plan_report(R.aggregate_features(t.txn_orders(), R.rolling_7_14_spec("account_id", "txn_date", "amount"),
+                                           mode="facts"))
+    assert rep["shuffles"] == 2 and rep["windows"] == 1 and rep["python_nodes"] == 0
+    assert rep["scans"] and "o_totalprice" in rep["scans"][0]["read_schema"]
+    assert "o_orderpriority" not in rep["scans"][0]["read_schema"]  # pruned
