@@ -307,6 +307,11 @@ class FeatureSpec:
     def output_names(self) -> list[str]:
         return [n for f in self.features for n in f.output_names()]
 
+    def apply(self, df, tables, override: bool = True, asof_strategy: str = "union"):
+        """Attach this spec's features to ``df`` (see ``plans.training.apply_spec``)."""
+        from .plans.training import apply_spec
+        return apply_spec(self, df, tables, override=override, asof_strategy=asof_strategy)
+
     def to_json(self) -> str:
         items = []
         for f in self.features:

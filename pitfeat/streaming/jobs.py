@@ -140,13 +140,18 @@ def enrich_stream(stream: DataFrame, rights: Sequence[AsOfRight], lookup_key, ti
     return out
 
 
-def enrich_with_spec(stream: DataFrame, spec, tables) -> DataFrame:
+def enrich_with_spec(stream: DataFrame, spec, tables, model=None) -> DataFrame:
     """Apply a whole ``FeatureSpec`` to a request stream: exact lookups become
     stream-static LEFT joins, as-of lookups the packed plan (broadcast when the
     static side passes the size check), functions Column expressions; features
-    the request already carries are kept (override)."""
+    the request already carries are kept (override). With ``model`` (a
+    ``plans.client.PackagedModel``) each request is also scored in the stream."""
     from ..plans.training import apply_spec
-    return apply_spec(spec, stream, tables, override=True, asof_strategy="broadcast")
+    out = apply_spec(spec, stream, tables, override=True, asof_strategy="broadcast")
+    if model is not None:
+        from ..plans.ml import score_supplied
+        out = score_supplied(out, model.model, model.inputs)
+    return out
 
 
 # ---------------------------------------------------------------------------

@@ -140,3 +140,27 @@ def test_publish_latest_breaks_time_ties_by_order_by(spark):
                                                                         order_by=["seq"]).collect())
     # key 1: day 5 beats day 4 whatever its seq; among day-5 rows the highest seq wins
     assert got == [(1, 3, 30.0), (2, 1, 5.0)]
+
+
+def test_stream_requests_scored_with_a_packaged_model(spark):
+    from pitfeat.plans.client import FeatureClient
+    from pitfeat.specs import FeatureLookup, TableSpec
+    hist = spark.createDataFrame([(i % 4, dt.date(2024, 1, 1 + i % 20), float(i % 4 > 1)) for i in range(200)],
+                                 "acct bigint, obs date, label double")
+    accounts = spark.createDataFrame([(k, dt.date(2023, 1, 1), k * 10) for k in range(4)],
+                                     "account_id bigint, valid_from date, zone bigint")
+    fc = FeatureClient(spark)
+    fc.register_table("accounts", accounts, TableSpec("account_id", time_key="valid_from"))
+    lookups = [FeatureLookup("accounts", ["zone"], "acct", time_key="obs")]
+    model = fc.fit_model(fc.create_training_set(df=hist, feature_lookups=lookups, label="label"))
+    src = scratch_path(spark, "score-src")
+    spark.createDataFrame([(k, dt.date(2024, 2, 1)) for k in range(4)], "acct bigint, obs date").write.parquet(src)
+    stream = spark.readStream.schema("acct bigint, obs date").parquet(src)
+    out = scratch_path(spark, "score-out")
+    ST.run_to_files(ST.enrich_with_spec(stream, model.spec, fc.tables, model=model), out,
+                    scratch_path(spark, "score-ck"))
+    got = sorted((r["acct"], r["prediction"]) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 0.0), (1, 0.0), (2, 1.0), (3, 1.0)]
+    # FeatureSpec.apply is the method form of apply_spec
+    batch = model.spec.apply(spark.read.parquet(src), fc.tables)
+    assert sorted(r["zone"] for r in batch.collect()) == [0, 10, 20, 30]
