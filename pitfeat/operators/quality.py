@@ -60,7 +60,9 @@ def orphans(facts: DataFrame, fk: Sequence[str] | str, dim: DataFrame,
     small, and shuffles both sides otherwise.
     """
     fks, ks = _ls(fk), _ls(key)
-    d = dim.select(*[F.col(k).alias(f"__d{i}") for i, k in enumerate(ks)]).distinct()
+    # no distinct: duplicate dimension keys cannot change an anti join, and
+    # deduplicating would cost a shuffle of the dimension
+    d = dim.select(*[F.col(k).alias(f"__d{i}") for i, k in enumerate(ks)])
     cond = None
     for i, f in enumerate(fks):
         c = facts[f] == d[f"__d{i}"]
