@@ -357,3 +357,22 @@ def test_plan_report(spark):
     assert rep["shuffles"] == 2 and rep["windows"] == 1 and rep["python_nodes"] == 0
     assert rep["scans"] and "o_totalprice" in rep["scans"][0]["read_schema"]
     assert "o_orderpriority" not in rep["scans"][0]["read_schema"]  # pruned
+
+
+def test_hourly_grid_equals_spine(spark):
+    hour = dt.timedelta(hours=1)
+    t0 = dt.datetime(2024, 1, 1)
+    rnd = random.Random(8)
+    rows = [(rnd.randint(1, 2), t0 + dt.timedelta(minutes=rnd.randint(0, 60 * 30)), float(rnd.randint(1, 9)))
+            for _ in range(80)]
+    f = spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, v double")
+    spec = AggregateSpec("k", "ts", [Agg("v", "sum", Lookback(3 * hour)), Agg("v", "count", Lookback(2 * hour, offset=hour))],
+                         start=t0, end=t0 + dt.timedelta(hours=30), granularity=hour)
+    grid = {(r["k"], r["ts"]): r for r in R.aggregate_features(f, spec, mode="grid", bucket_width=5).collect()}
+    assert len(grid) == 2 * 31
+    pts = spark.createDataFrame([(i, k, t0 + dt.timedelta(hours=h, minutes=17)) for i, (k, h) in
+                                 enumerate((k, h) for k in (1, 2) for h in range(0, 31, 2))],
+                                "id bigint, k bigint, ts timestamp_ntz")
+    for r in R.aggregate_features(f, spec, spine=pts).collect():
+        g = grid[(r["k"], r["ts"].replace(minute=0))]
+        assert (g["v_sum_3h"], g["v_count_2h_offset_1h"]) == (r["v_sum_3h"], r["v_count_2h_offset_1h"])
