@@ -374,3 +374,6 @@ ORACLES["stream_partials_rolling"] = "WITH " + ",\n".join([
        WHERE CAST(txn_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM txn_events) - INTERVAL 1 DAY)""",
     daily_sql("dc", "closed")]) + ",\n" + \
     facts_feats("closed", "dc", [("amount_avg_30d", "avg", 30), ("amount_sum_30d", "sum", 30)])
+
+ORACLES["violations_timeseries_key"] = with_(TXN_ORDERS, ROLLUPS) + """SELECT account_id, date, COUNT(*) AS n
+FROM rollups GROUP BY account_id, date HAVING COUNT(*) > 1"""

@@ -371,6 +371,13 @@ def violations_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.validate_unique(Tables(spark, sf_dir).txn_lines(), "transaction_id")
 
 
+@query
+def violations_timeseries_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rollups' time-series key (account_id, date TIMESERIES) holds: no repeats."""
+    spec = TableSpec("account_id", time_key="date")
+    return Q.validate_spec(rollups(Tables(spark, sf_dir)), spec)["unique"]
+
+
 @query
 def violations_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NULL counts of the SCD-2 key columns; valid_to is NULL on open versions."""
