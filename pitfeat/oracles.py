@@ -377,3 +377,5 @@ ORACLES["stream_partials_rolling"] = "WITH " + ",\n".join([
 
 ORACLES["violations_timeseries_key"] = with_(TXN_ORDERS, ROLLUPS) + """SELECT account_id, date, COUNT(*) AS n
 FROM rollups GROUP BY account_id, date HAVING COUNT(*) > 1"""
+
+ORACLES["lookup_interval_join"] = ORACLES["lookup_interval"]

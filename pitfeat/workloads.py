@@ -165,6 +165,15 @@ def lookup_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
                              "observation_date", "valid_from", "valid_to", ["zone", "account_name"])
 
 
+@query
+def lookup_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The literal range join (equi-join + residual range), for comparison."""
+    t = Tables(spark, sf_dir)
+    return L.lookup_interval(t.eol(), t.accounts_scd2(), "primary_account_number", "account_id",
+                             "observation_date", "valid_from", "valid_to", ["zone", "account_name"],
+                             strategy="join")
+
+
 @query
 def function_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bound SQL function over two looked-up zones."""
