@@ -1,10 +1,14 @@
 """Structured Streaming faces of the batch operators.
 
 * ``publish_latest``: triggered, incremental publish of the latest row per key
-  of a feature table (the reference's triggered online-table sync).
-* ``enrich_stream``: stream-static as-of join of incoming requests with
-  feature tables.
+  of a feature table (the reference's triggered online-table sync),
+  log-structured with periodic compaction; ``read_published`` reads it.
+* ``enrich_stream`` / ``enrich_with_spec``: stream-static as-of (and exact)
+  lookups for incoming requests, optionally scored with a packaged model.
 * ``stream_rolling``: watermarked sliding-window aggregates per key.
+* ``stream_partials``: daily mergeable partials per key (state per key-day),
+  from which ``rolling.from_partials`` evaluates any windows in batch.
+* ``dropped_by_watermark``: late rows counted from the query's progress.
 
 Sinks write files below a caller-given folder, which on a cluster must be
 shared storage; checkpoints make every job restartable after an executor or
