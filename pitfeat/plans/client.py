@@ -50,9 +50,12 @@ class FeatureClient:
     specs: dict[str, FeatureSpec] = field(default_factory=dict)
 
     # -- tables --------------------------------------------------------------
-    def register_table(self, name: str, df: DataFrame, spec: TableSpec,
+    def register_table(self, name: str, df: DataFrame | str, spec: TableSpec,
                        valid_to: str | None = None) -> FeatureTable:
-        """Declare a feature table: its keys (and time key) and, for SCD-2, its end column."""
+        """Declare a feature table: its keys (and time key) and, for SCD-2, its
+        end column. ``df`` is a DataFrame or the name of a catalog table."""
+        if isinstance(df, str):
+            df = self.spark.table(df)
         spec.validate(df.columns)
         self.tables[name] = FeatureTable(df, spec, valid_to)
         return self.tables[name]

@@ -165,7 +165,8 @@ def test_client_call_shapes(spark, world):
     spine, tables, feats = world
     fc = FeatureClient(spark)
     for name, t in tables.items():
-        fc.register_table(name, t.df, t.spec, t.valid_to)
+        t.df.createOrReplaceTempView(f"client_{name}")
+        fc.register_table(name, f"client_{name}", t.spec, t.valid_to)  # by catalog name
     ts = fc.create_training_set(df=spine, feature_lookups=feats, label="label",
                                 exclude_columns=["transaction_id", "obs"])
     df = ts.load_df()
