@@ -80,6 +80,8 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
     # one bounded size check of the spine for every lookup below (serving a few
     # requests cuts each table to their keys first)
     small = False if spine.isStreaming else _fits(spine, DEFAULT_SMALL_SPINE)
+    if spine.isStreaming and asof_strategy == "union":
+        asof_strategy = "broadcast"  # windows cannot run on a stream: packed stream-static joins
 
     def apply_fills():
         nonlocal df

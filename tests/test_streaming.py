@@ -164,3 +164,20 @@ def test_stream_requests_scored_with_a_packaged_model(spark):
     # FeatureSpec.apply is the method form of apply_spec
     batch = model.spec.apply(spark.read.parquet(src), fc.tables)
     assert sorted(r["zone"] for r in batch.collect()) == [0, 10, 20, 30]
+
+
+def test_apply_spec_on_a_stream_switches_to_stream_static_joins(spark):
+    from pitfeat.plans.training import FeatureTable, apply_spec
+    from pitfeat.specs import FeatureLookup, FeatureSpec, TableSpec
+    accounts = spark.createDataFrame([(1, dt.date(2024, 1, 1), 5), (1, dt.date(2024, 1, 9), 6)],
+                                     "account_id bigint, valid_from date, zone bigint")
+    src = scratch_path(spark, "ap-src")
+    spark.createDataFrame([(1, dt.date(2024, 1, 5)), (1, dt.date(2024, 1, 10))], "acct bigint, obs date") \
+        .write.parquet(src)
+    stream = spark.readStream.schema("acct bigint, obs date").parquet(src)
+    spec = FeatureSpec("s", [FeatureLookup("accounts", ["zone"], "acct", time_key="obs")])
+    out = scratch_path(spark, "ap-out")
+    ST.run_to_files(apply_spec(spec, stream, {"accounts": FeatureTable(accounts, TableSpec(
+        "account_id", time_key="valid_from"))}), out, scratch_path(spark, "ap-ck"))
+    assert sorted((str(r["obs"]), r["zone"]) for r in spark.read.parquet(out).collect()) == \
+        [("2024-01-05", 5), ("2024-01-10", 6)]
