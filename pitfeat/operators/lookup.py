@@ -202,6 +202,8 @@ class AsOfRight:
     rename: dict = field(default_factory=dict)
     order_by: list[Column] = field(default_factory=list)
     valid_to: str | None = None
+    # strict: only rows strictly before the observation time (no same-time leakage, H3)
+    strict: bool = False
 
     def names(self) -> list[str]:
         return _out_names(self.features, self.rename)
@@ -288,7 +290,7 @@ def _asof_packed(spine: DataFrame, r: AsOfRight, lk: list[str], spine_time: str,
     t = spine[spine_time]
     cond = _and([spine[k] == packed[f"__rk{j}"] for j, k in enumerate(lk)])
     j = spine.join(F.broadcast(packed) if broadcast else packed, cond, "left")
-    pick = F.array_max(F.filter(F.col("__arr"), lambda x: x["t"] <= t))
+    pick = F.array_max(F.filter(F.col("__arr"), (lambda x: x["t"] < t) if r.strict else (lambda x: x["t"] <= t)))
     return j.select(*[spine[c] for c in spine.columns],
                     *[pick["f"][n].alias(n) for n in r.names()])
 
@@ -317,7 +319,7 @@ def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_ke
     if rights and prefilter is not False and not spine.isStreaming and \
             (prefilter is True or (prefilter == "auto" and _fits(spine, DEFAULT_SMALL_SPINE))):
         rights = [AsOfRight(restrict_to_spine_keys(r.df, r.key, spine, lk, prefilter=True), r.key, r.time,
-                            r.features, r.rename, r.order_by, r.valid_to) for r in rights]
+                            r.features, r.rename, r.order_by, r.valid_to, r.strict) for r in rights]
     n = len(rights)
     ks = [f"__k{i}" for i in range(len(lk))]
     vcols = [f"__v{i}" for i in range(n)]
@@ -350,9 +352,13 @@ def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_ke
         group.append("__b")
     agg = rows.groupBy(*group).agg(F.max("__pt").alias("__pt"), *[F.max(v).alias(v) for v in vcols])
 
+    def upto(w, r: AsOfRight):
+        # rows are unique per (key, time): a strict lookup stops one row earlier
+        return w.rowsBetween(Window.unboundedPreceding, -1 if r.strict else 0)
+
     if bucket is None:
-        w = Window.partitionBy(*ks).orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
-        got = agg.select(*ks, "__t", "__pt", *[F.max(v).over(w).alias(v) for v in vcols])
+        w = Window.partitionBy(*ks).orderBy("__t")
+        got = agg.select(*ks, "__t", "__pt", *[F.max(v).over(upto(w, r)).alias(v) for v, r in zip(vcols, rights)])
     else:
         # carry-in: the latest right row of all earlier buckets, for buckets holding points
         per_bucket = agg.groupBy(*ks, "__b").agg(F.max("__pt").alias("__pt"), *[F.max(v).alias(v) for v in vcols])
@@ -361,8 +367,9 @@ def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_ke
                  .where(F.col("__pt") == 1)
                  .select(*ks, F.lit(None).cast(dict(agg.dtypes)["__t"]).alias("__t"), F.lit(0).alias("__pt"),
                          *vcols, "__b"))
-        w = Window.partitionBy(*ks, "__b").orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
-        got = agg.unionByName(carry).select(*ks, "__t", "__pt", *[F.max(v).over(w).alias(v) for v in vcols])
+        w = Window.partitionBy(*ks, "__b").orderBy("__t")
+        got = agg.unionByName(carry).select(*ks, "__t", "__pt",
+                                            *[F.max(v).over(upto(w, r)).alias(v) for v, r in zip(vcols, rights)])
     got = got.where(F.col("__pt") == 1)
     feats = [F.col(f"__v{i}")["f"][nme].alias(nme) for i, r in enumerate(rights) for nme in r.names()]
     return got.select(*ks, "__t", *feats)

@@ -59,7 +59,8 @@ def _lookup_right(lk: FeatureLookup, t: FeatureTable) -> AsOfRight:
     if not t.spec.time_key:
         raise ValueError(f"{lk.table}: as-of lookup needs a table time key")
     return AsOfRight(df=t.df, key=list(t.spec.key), time=t.spec.time_key,
-                     features=list(lk.features), rename=dict(lk.rename), valid_to=t.valid_to)
+                     features=list(lk.features), rename=dict(lk.rename), valid_to=t.valid_to,
+                     strict=lk.strict)
 
 
 def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapping[str, object],
@@ -155,7 +156,7 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
                     if n in present:
                         rename[feat] = f"__lk_{n}"
                         fill[n] = f"__lk_{n}"
-                f = FeatureLookup(f.table, f.features, f.lookup_key, f.time_key, rename)
+                f = FeatureLookup(f.table, f.features, f.lookup_key, f.time_key, rename, f.strict)
         if f.time_key:
             pending.append((f, t))
         else:

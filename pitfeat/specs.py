@@ -208,13 +208,15 @@ class FeatureLookup:
     lookup_key: tuple[str, ...]
     time_key: str | None = None
     rename: tuple[tuple[str, str], ...] = ()
+    strict: bool = False  # as-of rows strictly before the observation time (H3)
 
-    def __init__(self, table, features, lookup_key, time_key=None, rename=None):
+    def __init__(self, table, features, lookup_key, time_key=None, rename=None, strict=False):
         object.__setattr__(self, "table", table)
         object.__setattr__(self, "features", _listify(features))
         object.__setattr__(self, "lookup_key", _listify(lookup_key))
         object.__setattr__(self, "time_key", time_key)
         object.__setattr__(self, "rename", tuple(sorted((rename or {}).items())))
+        object.__setattr__(self, "strict", bool(strict))
 
     def output_names(self) -> list[str]:
         r = dict(self.rename)

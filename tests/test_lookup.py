@@ -181,3 +181,31 @@ def test_small_spine_prefilter_applies_only_under_its_bound(spark):
     a = L.lookup_exact(small, dim, "m", "m", ["z"], prefilter=True).collect()
     b = L.lookup_exact(small, dim, "m", "m", ["z"], prefilter=False).collect()
     assert sorted(map(str, a)) == sorted(map(str, b))
+
+
+def test_strict_asof_excludes_same_time_rows(spark):
+    rnd = random.Random(29)
+    rt = [(rnd.randint(1, 3), rnd.randint(0, 25), rnd.randint(0, 99)) for _ in range(30)]
+    sp = [(i, rnd.randint(1, 3), rnd.randint(0, 28)) for i in range(40)]
+    s = spark.createDataFrame([(i, k, day(t)) for i, k, t in sp], SPINE)
+    r = spark.createDataFrame([(k, day(t), z) for k, t, z in rt], "k bigint, vf date, zone bigint")
+    right = L.AsOfRight(r, ["k"], "vf", ["zone"], strict=True)
+    outs = []
+    for strat, bucket in (("union", "auto"), ("union", dt.timedelta(days=4)), ("broadcast", "auto")):
+        out = L.lookup_asof(s, [right], "k", "t", strategy=strat, bucket=bucket, prefilter=False)
+        outs.append(dict((x["id"], x["zone"]) for x in out.collect()))
+    assert outs[0] == outs[1] == outs[2]
+    for i, k, t in sp:
+        cands = [(vf, z) for kk, vf, z in rt if kk == k and vf < t]
+        if not cands:
+            assert outs[0][i] is None
+        else:
+            latest = max(vf for vf, _ in cands)
+            assert outs[0][i] == max(z for vf, z in cands if vf == latest)
+    # through the compiler and JSON
+    from pitfeat.plans.training import FeatureTable, training_set
+    from pitfeat.specs import FeatureLookup, FeatureSpec, TableSpec
+    fl = FeatureLookup("r", ["zone"], "k", time_key="t", strict=True)
+    assert FeatureSpec.from_json(FeatureSpec("x", [fl]).to_json()).features[0].strict
+    ts = training_set(s, [fl], {"r": FeatureTable(r, TableSpec("k", time_key="vf"))})
+    assert dict((x["id"], x["zone"]) for x in ts.collect()) == outs[0]
