@@ -379,3 +379,7 @@ ORACLES["violations_timeseries_key"] = with_(TXN_ORDERS, ROLLUPS) + """SELECT ac
 FROM rollups GROUP BY account_id, date HAVING COUNT(*) > 1"""
 
 ORACLES["lookup_interval_join"] = ORACLES["lookup_interval"]
+
+FRAUD_STRICT = [c.replace("r.date <= s.observation_date", "r.date < s.observation_date") for c in FRAUD]
+ORACLES["training_set_strict"] = with_(*FRAUD_STRICT) + """SELECT primary_account_number, amount, "14_day_total",
+  "7_day_total", "7_day_transaction_count", merchant_distance_from_home, CAST(label AS DOUBLE) AS label FROM f4"""

@@ -199,6 +199,17 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
                           exclude=TRAIN_EXCLUDE)
 
 
+@query
+def training_set_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set without same-day leakage (H3): rollups as of the day
+    before the observation (strict as-of), everything else unchanged."""
+    t = Tables(spark, sf_dir)
+    feats = fraud_features(spark)
+    feats[0] = FeatureLookup("rollups", ["14_day_total", "7_day_total", "7_day_transaction_count"],
+                             "primary_account_number", time_key="observation_date", strict=True)
+    return T.training_set(t.eol(), feats, feature_tables(t), label="label", exclude=TRAIN_EXCLUDE)
+
+
 @query
 def inference_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same lookups, keys kept by a different exclusion list."""
