@@ -23,13 +23,14 @@ def main(argv):
     con = duck(sf)
     qs, sqls = entry.queries(), entry.oracle_sql()
     names = argv or sorted(qs)
-    bad = 0
+    bad = equal = rows_only = 0
     for n in names:
         t0 = time.time()
         try:
             df = qs[n](spark, sf)
             if n not in sqls:
                 cnt = df.count()
+                rows_only += 1
                 print(json.dumps({"query": n, "rows_only": cnt, "sec": round(time.time() - t0, 2)}))
                 continue
             rep = compare(df, con, sqls[n], exact_float=os.environ.get("EXACT") == "1")
@@ -40,10 +41,12 @@ def main(argv):
         rep["sec"] = round(time.time() - t0, 2)
         rep["query"] = n
         if rep["equal"]:
+            equal += 1
             print(json.dumps({"query": n, "equal": True, "rows": rep["rows_spark"], "sec": rep["sec"]}))
         else:
             bad += 1
             print(json.dumps(rep, default=str))
+    print(f"summary: {equal} equal to their oracle, {rows_only} rows-only, {bad} failed")
     print("FAILED" if bad else "ALL EQUAL", bad)
 
 
