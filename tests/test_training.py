@@ -255,3 +255,19 @@ def test_materialized_spine_gives_the_same_set(world):
     b = T.training_set(spine, feats, tables, label="label", materialize_spine=True)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert "Scan parquet" in b._jdf.queryExecution().executedPlan().toString()
+
+
+def test_select_features_multi_step_elimination(spark):
+    import random as _r
+    rnd = _r.Random(3)
+    rows = []
+    for _ in range(400):
+        a, b, c, d = (rnd.random() for _ in range(4))
+        rows.append((a, b, c, d, float(a + 0.5 * b > 0.8)))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, label double")
+    tr, te = df.limit(300), df.limit(400).subtract(df.limit(300))
+    out = M.select_features(tr, te, "label", ["a", "b", "c", "d"], k=1, max_iter=3, steps=3, seed=1)
+    got = {r["feature"]: r for r in out.collect()}
+    assert sum(r["selected"] for r in got.values()) == 1
+    assert got["a"]["selected"]  # the strongest signal survives
+    assert sorted(r["eliminated_at"] for r in got.values() if not r["selected"]) == [0, 1, 2]
