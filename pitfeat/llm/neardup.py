@@ -9,7 +9,8 @@
 3. In each bucket of a band, every class is paired with the smallest one (a star,
    so pairs grow with the members, not with their square). Pairs pass the sketch,
    then the exact sets; links are contracted to components.
-4. Buckets that still hold several components are compared whole: members are
+4. Buckets whose members beside the centre still lie in several components are
+   compared whole (of buckets with the same members one is taken): members are
    dealt into blocks, block pairs into cells. A cell first compares sketches; the
    members with a promising partner in another component get their sets, and the
    cell verifies such pairs, closest first, skipping pairs it has joined. It
@@ -46,7 +47,7 @@ from .common import join_small, materialize, rows_batch
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
 LEAST = 0.5  # estimates from sketches below this are no candidates
-CELL = 256  # members of a block
+CELL = 1024  # members of a block
 U = np.uint64
 
 
@@ -239,7 +240,7 @@ def groups(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
         F.min(F.struct("doc_id", "t")).alias("r"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
         .select("c", F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"), "bands", "sketch"), name="dedup-classes")
     member = classes.select("c", F.explode("bands").alias("bk"))
-    full = (member.groupBy("bk").agg(F.min("c").alias("centre"), F.count(F.lit(1)).alias("size")).where(F.col("size") > 1))
+    full = (member.groupBy("bk").agg(F.min("c").alias("centre"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("bk", "centre"))
     member = materialize(member.join(full, "bk"), name="dedup-buckets")
 
     sketch = classes.select("c", "sketch")
@@ -257,10 +258,12 @@ def groups(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
     links = materialize(links, name="dedup-links")
     comp = materialize(components(links), name="dedup-components")
 
-    member = member.join(comp, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
-    mixed = (member.groupBy("bk").agg(F.min("comp").alias("m"), F.max("comp").alias("x"))
-             .where(F.col("m") != F.col("x")).select("bk"))
-    member = materialize(member.join(mixed, "bk").select("bk", "c", "comp", "size"), name="dedup-mixed")
+    # pairs with the centre are decided; what remains is the other members against each other
+    member = member.where(F.col("c") != F.col("centre")).join(comp, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
+    same = [F.bit_xor(F.xxhash64("c", F.lit(i))).alias(f"h{i}") for i in range(2)]
+    mixed = (member.groupBy("bk").agg(F.min("comp").alias("m"), F.max("comp").alias("x"), F.count(F.lit(1)).alias("size"), *same)
+             .where(F.col("m") != F.col("x")).groupBy("size", "h0", "h1").agg(F.min("bk").alias("bk")))
+    member = materialize(member.select("bk", "c", "comp").join(mixed, "bk").select("bk", "c", "comp", "size"), name="dedup-mixed")
     blocks = F.ceil(F.col("size") / F.lit(CELL))
     member = member.withColumn("i", F.pmod(F.xxhash64("c"), blocks))
     member = member.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
