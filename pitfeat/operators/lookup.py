@@ -56,11 +56,13 @@ def restrict_to_spine_keys(df: DataFrame, key: Sequence[str], spine: DataFrame,
                            prefilter="auto", small_spine: int = DEFAULT_SMALL_SPINE) -> DataFrame:
     """Keep only rows of ``df`` whose key occurs in a small spine.
 
-    Serving a few requests should not shuffle a whole feature table: when the
-    spine passes a bounded size check (``limit(n+1).count()``), ``df`` is
-    semi-joined with the spine's distinct keys, broadcast (their size is the
-    checked bound), so only the requested keys reach the shuffles. A large
-    spine (a training set) is left alone, as is a streaming one.
+    Serving a few requests should not shuffle a whole feature table. Lookups and
+    aggregates do this only when their caller passes ``prefilter=True``: a plain
+    semi-join with the spine's distinct keys, whose plan Spark chooses, and no
+    job. ``prefilter="auto"`` first counts the spine (a job) and broadcasts its
+    keys only if they are ``small_spine`` rows at most. Keys are compared in the
+    table's type, the type in which the lookups compare them. A streaming spine
+    is left alone.
     """
     if prefilter is False or spine.isStreaming:
         return df
@@ -68,8 +70,25 @@ def restrict_to_spine_keys(df: DataFrame, key: Sequence[str], spine: DataFrame,
         return df
     sk = spine.select(*[F.col(k).alias(f"__sk{i}") for i, k in enumerate(spine_key)])
     sk = sk.where(_and([F.col(f"__sk{i}").isNotNull() for i in range(len(spine_key))])).distinct()
-    cond = _and([df[k] == sk[f"__sk{i}"] for i, k in enumerate(key)])
-    return df.join(F.broadcast(sk), cond, "left_semi")
+    types = dict(df.dtypes)
+    cond = _and([df[k] == sk[f"__sk{i}"].cast(types[k]) for i, k in enumerate(key)])
+    return df.join(F.broadcast(sk) if prefilter == "auto" else sk, cond, "left_semi")
+
+
+def _key_kind(dtype: str) -> str:
+    if dtype in ("tinyint", "smallint", "int", "bigint") or dtype.startswith("decimal"):
+        return "exact number"
+    return "floating number" if dtype in ("float", "double") else dtype
+
+
+def check_key_types(left: DataFrame, left_keys: Sequence[str], right: DataFrame, right_keys: Sequence[str]) -> None:
+    """Refuse key pairs whose comparison would lose digits or depend on a cast (H9)."""
+    lt, rt = dict(left.dtypes), dict(right.dtypes)
+    bad = [f"{a} {lt[a]} = {b} {rt[b]}" for a, b in zip(left_keys, right_keys) if _key_kind(lt[a]) != _key_kind(rt[b])]
+    if bad:
+        raise ValueError(f"keys of unlike types, cast one side first: {', '.join(bad)}")
+
+
 
 
 def _ls(v) -> list[str]:
@@ -104,7 +123,7 @@ def _clash(spine: DataFrame, names: Sequence[str]) -> None:
 # exact-key lookup
 # --------------------------------------------------------------------------
 def lookup_exact(spine: DataFrame, right: DataFrame, lookup_key, right_key, features,
-                 rename: dict | None = None, unique: str = "trust", prefilter="auto") -> DataFrame:
+                 rename: dict | None = None, unique: str = "trust", prefilter=False) -> DataFrame:
     """LEFT equi-join of ``features`` of a type-1 table keyed by ``right_key``.
 
     Keys are matched by position (H10) and compared in their common type (H9).
@@ -114,15 +133,16 @@ def lookup_exact(spine: DataFrame, right: DataFrame, lookup_key, right_key, feat
     the spine can never fan out. Whether the right side is broadcast is left to
     AQE, which measures its actual size at run time against
     ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise shuffles.
-    A LEFT join can only broadcast its right side, so for a small spine the
-    dimension is first cut to the spine's keys (``restrict_to_spine_keys``),
-    after which AQE can broadcast what is left of it.
+    A LEFT join can only broadcast its right side; for a small spine,
+    ``prefilter=True`` first cuts the dimension to the spine's keys, after which
+    AQE can broadcast what is left of it.
     """
     lk, rk, feats = _ls(lookup_key), _ls(right_key), _ls(features)
     if len(lk) != len(rk):
         raise ValueError("lookup_key and right key differ in length")
     _check(spine, lk, "spine")
     _check(right, rk + feats, "right")
+    check_key_types(spine, lk, right, rk)
     names = _out_names(feats, rename)
     _clash(spine, names)
     right = restrict_to_spine_keys(right, rk, spine, lk, prefilter=prefilter)
@@ -226,7 +246,7 @@ def _value_struct(r: AsOfRight, idx: int) -> Column:
 def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine_time: str,
                 strategy: str = "union", bucket: _dt.timedelta | str | None = "auto",
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                max_per_key: int = DEFAULT_MAX_PER_KEY, prefilter="auto") -> DataFrame:
+                max_per_key: int = DEFAULT_MAX_PER_KEY, prefilter=False) -> DataFrame:
     """Latest right row with ``time <= spine_time`` per spine row, for each right table.
 
     ``strategy="broadcast"`` is taken only when every right table has at most
@@ -240,6 +260,7 @@ def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine
         _check(r.df, r.key + [r.time] + r.features + ([r.valid_to] if r.valid_to else []), "right")
         if len(r.key) != len(lk):
             raise ValueError("lookup_key and right key differ in length")
+        check_key_types(spine, lk, r.df, list(r.key))
         names += r.names()
     _clash(spine, names)
     if len(set(names)) != len(names):
@@ -266,9 +287,9 @@ def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine
 
 def _fits(df: DataFrame, max_rows: int, key: Sequence[str] | None = None,
           max_per_key: int | None = None) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows; then, on that
+    """Size check by a count per task (no row leaves its task); then, on a
     small input only, the largest number of rows of one key."""
-    if df.limit(max_rows + 1).count() > max_rows:
+    if df.count() > max_rows:
         return False
     if key and max_per_key:
         top = df.groupBy(*key).count().agg(F.max("count")).first()[0]
@@ -300,7 +321,7 @@ def _time_type(df: DataFrame, col: str) -> str:
 
 
 def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_time: str,
-                bucket, prefilter="auto") -> DataFrame:
+                bucket, prefilter=False) -> DataFrame:
     got = asof_point_features(spine, rights, lk, spine_time, bucket, prefilter)
     ks = [f"__k{i}" for i in range(len(lk))]
     cond = _and([spine[k] == got[kk] for k, kk in zip(lk, ks)] + [spine[spine_time] == got["__t"]])
@@ -309,16 +330,15 @@ def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_
 
 
 def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine_time: str,
-                        bucket="auto", prefilter="auto") -> DataFrame:
+                        bucket="auto", prefilter=False) -> DataFrame:
     """The as-of features at every distinct (key, time) point of ``spine``,
     before any re-attach: columns ``__k0..``, ``__t`` and the feature names.
-    With a small spine the right tables are first cut to its keys
+    With ``prefilter=True`` the right tables are first cut to the spine's keys
     (``restrict_to_spine_keys``)."""
     lk = _ls(lookup_key)
     rights = list(rights)
-    if rights and prefilter is not False and not spine.isStreaming and \
-            (prefilter is True or (prefilter == "auto" and _fits(spine, DEFAULT_SMALL_SPINE))):
-        rights = [AsOfRight(restrict_to_spine_keys(r.df, r.key, spine, lk, prefilter=True), r.key, r.time,
+    if rights and prefilter is not False and not spine.isStreaming:
+        rights = [AsOfRight(restrict_to_spine_keys(r.df, r.key, spine, lk, prefilter=prefilter), r.key, r.time,
                             r.features, r.rename, r.order_by, r.valid_to, r.strict) for r in rights]
     n = len(rights)
     ks = [f"__k{i}" for i in range(len(lk))]

@@ -335,7 +335,7 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
                        entities: DataFrame | None = None, start_col: str | None = None,
                        end_col: str | None = None, bucket_width: int | None = None,
                        max_cells: int | None = None, prune_facts: bool = False,
-                       prefilter="auto") -> DataFrame:
+                       prefilter=False) -> DataFrame:
     """Evaluate ``spec`` over ``facts``.
 
     * ``mode="spine"``: at each row of ``spine`` (all spine columns kept, same
@@ -398,15 +398,17 @@ def aggregate_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame |
 
 def point_features(facts: DataFrame, spec: AggregateSpec, spine: DataFrame, spine_keys: Sequence[str],
                    spine_time: str, bucket_width: int | None = None, prune_facts: bool = False,
-                   prefilter="auto") -> DataFrame:
+                   prefilter=False) -> DataFrame:
     """The aggregates at every distinct (key, granule) point of ``spine``, before
     any re-attach: columns ``__k0..`` (the spec's key types), ``__g`` and the
     aggregates. Callers holding several point-keyed feature tables for the
-    same spine can join them first and re-attach the spine once. With a small
-    spine the facts are first cut to its keys (``restrict_to_spine_keys``)."""
-    from .lookup import restrict_to_spine_keys
+    same spine can join them first and re-attach the spine once. With
+    ``prefilter=True`` the facts are first cut to the spine's keys
+    (``restrict_to_spine_keys``)."""
+    from .lookup import check_key_types, restrict_to_spine_keys
 
     spine_keys = list(spine_keys)
+    check_key_types(spine, spine_keys, facts, list(spec.key))
     facts = restrict_to_spine_keys(facts, list(spec.key), spine, spine_keys, prefilter=prefilter)
     key_types = dict(facts.dtypes)
     scales = _decimal_scales(facts, spec)
@@ -435,7 +437,7 @@ def _output_casts(spec: AggregateSpec):
     for a in spec.aggs:
         fn = aggreg.get(a.fn)
         t = fn.result_type
-        casts[a.output_name(spec.granularity)] = (lambda c, t=t: c.cast(t))
+        casts[a.output_name(spec.granularity)] = (lambda c, t=t, n=a.digits: c.cast(t) if n is None else F.round(c.cast(t), n))
     return casts
 
 

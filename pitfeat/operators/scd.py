@@ -78,5 +78,8 @@ def latest_snapshot(df: DataFrame, key, time: str, order_by: Sequence[str] = ())
     rest = [c for c in df.columns if c not in keys and c != time and c not in order_by]
     m = F.max(F.struct(F.col(time).alias(time), *[F.col(c) for c in order_by],
                        *[F.col(c) for c in rest])).alias("__m")
-    out = df.where(F.col(time).isNotNull()).groupBy(*keys).agg(m)
+    present = F.col(time).isNotNull()
+    for k in keys:  # a row without its key belongs to no entity
+        present = present & F.col(k).isNotNull()
+    out = df.where(present).groupBy(*keys).agg(m)
     return out.select(*keys, *[F.col(f"__m.{c}").alias(c) for c in [time, *order_by, *rest]])

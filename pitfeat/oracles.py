@@ -310,6 +310,17 @@ ORACLES["spec_override"] = with_(
     asof_accounts("r2", "r3", "a.zone")) + f"""SELECT *, {DIST.format(a='zone', b='merchant_zone')}
   AS merchant_distance_from_home FROM r3"""
 
+ORACLES["override_function"] = with_(
+    "s AS (" + ORACLES["spec_override"] + ")") + """SELECT * EXCLUDE (merchant_distance_from_home),
+  CASE WHEN merchant_id % 2 = 0 THEN -1 ELSE merchant_distance_from_home END AS merchant_distance_from_home FROM s"""
+
+ORACLES["rollups_rounded"] = with_("""txn_orders AS (
+  SELECT o_custkey AS account_id, CAST(o_orderdate AS DATE) AS txn_date,
+         CAST(COALESCE(ROUND(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2), 0)
+              AS DECIMAL(18,2)) AS amount
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""", ROLLUPS) + """
+SELECT account_id, date, ROUND("14_day_total", 2) AS "14_day_total", ROUND("7_day_total", 2) AS "7_day_total" FROM rollups"""
+
 ORACLES["stream_publish_latest"] = ORACLES["latest_snapshot"]
 ORACLES["stream_enrich"] = """WITH p AS (
   SELECT event_id AS transaction_id, user_id AS account_id, ts,

@@ -10,13 +10,14 @@ over earlier outputs. The row count always equals the spine's.
 from __future__ import annotations
 
 import warnings
+from dataclasses import replace
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import (DEFAULT_SMALL_SPINE, AsOfRight, _fits, asof_point_features, lookup_asof,
+from ..operators.lookup import (AsOfRight, asof_point_features, lookup_asof,
                                 lookup_exact)
 from ..operators.rolling import aggregate_features, point_features
 from ..operators.scd import latest_snapshot
@@ -64,25 +65,29 @@ def _lookup_right(lk: FeatureLookup, t: FeatureTable) -> AsOfRight:
 
 
 def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapping[str, object],
-                     override: bool = False, asof_strategy: str = "union") -> tuple[DataFrame, list[str]]:
+                     override: bool = False, asof_strategy: str = "union", prefilter=False,
+                     supplied: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
     """Attach ``features`` to ``spine``; returns (frame, output names in listed order).
 
     A lookup without ``time_key`` on a table with a time key reads the latest
     row per key (what an online table serves), never every version.
 
     With ``override`` a feature already present in the spine is kept and only
-    its NULL cells are filled from the lookup (T8); a lookup whose outputs are
-    all present as non-nullable columns is skipped, no join at all.
+    its NULL cells are filled from the lookup or the function (T8). A lookup whose
+    outputs are all named in ``supplied`` (columns the caller knows to be
+    complete) or non-nullable in the schema is skipped, no join at all.
+    ``prefilter=True`` cuts every table to the spine's keys first (serving a few
+    requests). Building the frame starts no Spark job.
     """
     df = spine
     names: list[str] = []
     pending: list[tuple[FeatureLookup, FeatureTable]] = []
     fill: dict[str, str] = {}
-    # one bounded size check of the spine for every lookup below (serving a few
-    # requests cuts each table to their keys first)
-    small = False if spine.isStreaming else _fits(spine, DEFAULT_SMALL_SPINE)
+    small = False if spine.isStreaming else prefilter
+    given = set(supplied) & set(spine.columns)
+    complete = given | {fld.name for fld in spine.schema.fields if not fld.nullable}
     if spine.isStreaming and asof_strategy == "union":
-        asof_strategy = "broadcast"  # windows cannot run on a stream: packed stream-static joins
+        asof_strategy = "packed"  # windows cannot run on a stream: packed stream-static joins
 
     def apply_fills():
         nonlocal df
@@ -121,7 +126,6 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
             out = f.output_names()
             names += out
             if override:
-                complete = {fld.name for fld in spine.schema.fields if not fld.nullable}
                 if all(n in complete for n in out):
                     continue
                 present = [n for n in out if n in spine.columns]
@@ -139,6 +143,10 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
             flush()
             names.append(f.output)
             if override and f.output in spine.columns:
+                if f.output not in complete:
+                    tmp = f"__fn_{f.output}"
+                    df = apply_function(df, replace(f, output=tmp))
+                    df = df.withColumn(f.output, F.coalesce(F.col(f.output), F.col(tmp))).drop(tmp)
                 continue
             df = apply_function(df, f)
             continue
@@ -147,9 +155,8 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
         names += out
         if override:
             present = [n for n in out if n in spine.columns]
-            complete = {fld.name for fld in spine.schema.fields if not fld.nullable}
             if all(n in complete for n in out):
-                continue  # supplied and non-nullable in the schema: no join at all
+                continue  # supplied: no join at all
             if present:
                 rename = dict(f.rename)
                 for feat, n in zip(f.features, out):
@@ -212,7 +219,7 @@ def training_set(spine: DataFrame, features: Sequence[Feature], tables: Mapping[
                  label: str | None = None, exclude: Sequence[str] = (), nulls: str = "keep",
                  defaults: Mapping[str, object] | None = None, label_type: str | None = "double",
                  asof_strategy: str = "union", override: bool = False,
-                 materialize_spine: bool = False) -> DataFrame:
+                 materialize_spine: bool = False, prefilter=False, supplied: Sequence[str] = ()) -> DataFrame:
     """Spine + features + label, minus ``exclude`` (P10, names absent are ignored).
 
     ``defaults`` fills missing values per column (P13); ``nulls="drop"`` then
@@ -228,7 +235,7 @@ def training_set(spine: DataFrame, features: Sequence[Feature], tables: Mapping[
         # a derived spine (joins, filters) is written once and read back as files
         spine = materialize(spine, name="spine")
     df, names = compile_features(spine, features, tables, override=override,
-                                 asof_strategy=asof_strategy)
+                                 asof_strategy=asof_strategy, prefilter=prefilter, supplied=supplied)
     if defaults:
         unknown = [k for k in defaults if k not in df.columns]
         if unknown:
@@ -248,10 +255,11 @@ def training_set(spine: DataFrame, features: Sequence[Feature], tables: Mapping[
 
 
 def apply_spec(spec: FeatureSpec, df: DataFrame, tables: Mapping[str, object],
-               override: bool = True, asof_strategy: str = "union") -> DataFrame:
+               override: bool = True, asof_strategy: str = "union", prefilter=False,
+               supplied: Sequence[str] = ()) -> DataFrame:
     """Apply a named feature spec to any frame carrying its lookup keys."""
     out, _ = compile_features(df, spec.features, tables, override=override,
-                              asof_strategy=asof_strategy)
+                              asof_strategy=asof_strategy, prefilter=prefilter, supplied=supplied)
     return out
 
 

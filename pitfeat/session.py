@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_OWN: dict[str, str] = {}  # application id -> the folder made for it
 
 
 def _driver_memory() -> str:
@@ -59,12 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared lineage-cut folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator of the cluster sets it to a shared folder and we
-    only read it. Only where it is unset (tests, local runs) do we set our own.
+    only read it. Only where it is unset and the master is local (one machine)
+    do we make our own; elsewhere executors would not see each other's files.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
+    path = spark.conf.get(CHECKPOINT_CONF, None) or _OWN.get(spark.conf.get("spark.app.id", ""))
     if not path:
-        path = tempfile.mkdtemp(prefix="pitfeat-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        path = own_folder(spark.conf.get("spark.master", ""))
+        _OWN[spark.conf.get("spark.app.id", "")] = path
     try:
         spark.sparkContext.setCheckpointDir(path)  # for DataFrame.checkpoint() and Spark ML
     except Exception:  # e.g. a Spark Connect session has no SparkContext; written tables still work
@@ -72,6 +74,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def own_folder(master: str) -> str:
+    """A folder of our own, for a local master only."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share (master {master!r})")
+    return tempfile.mkdtemp(prefix="pitfeat-ckpt-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

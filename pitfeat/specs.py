@@ -119,7 +119,8 @@ class Agg:
 
     ``fn`` is a short name from ``pitfeat.functions.aggregates.REGISTRY``
     (sum, avg, count, min, max, active_days, approx_count_distinct).
-    ``default`` replaces the value of an empty window (H7).
+    ``default`` replaces the value of an empty window (H7); ``digits`` rounds
+    the result half up to so many decimals (F6).
     """
 
     column: str
@@ -127,6 +128,7 @@ class Agg:
     window: Lookback
     default: Any = None
     name: str | None = None
+    digits: int | None = None
 
     def output_name(self, granularity: _dt.timedelta = DAY) -> str:
         return self.name or f"{self.column}_{self.fn}_{self.window.suffix(granularity)}"
@@ -176,22 +178,31 @@ class AggregateSpec:
         return max(-a.window.frame(self.granularity)[0] for a in self.aggs)
 
 
+#: What a search-space entry may hold: required lists first, then options and their defaults.
+SEARCH_REQUIRED = ("window", "function")
+SEARCH_OPTIONS = {"offset": (0,), "closed": ("right",), "default": (None,)}
+
+
 def expand_search_space(space: Sequence[dict]) -> list[Agg]:
-    """column x window x [offset x] function -> named aggregates.
+    """Every combination of an entry's windows, offsets, closed sides, defaults and functions.
 
-    Entries without ``offset`` expand as window x function, entries with it as
-    window x offset x function, in that nesting order.
+    Scalars count as lists of one; what is left out takes its default, so every
+    entry goes the same way. Unknown or empty parts raise an error that names them.
     """
-    out: list[Agg] = []
-    for entry in space:
-        col = entry["column"]
-        if "offset" in entry:
-            for d, o, fn in itertools.product(entry["window"], entry["offset"], entry["function"]):
-                out.append(Agg(col, fn, Lookback(d, offset=o, closed=entry.get("closed", "right"))))
-        else:
-            for d, fn in itertools.product(entry["window"], entry["function"]):
-                out.append(Agg(col, fn, Lookback(d, closed=entry.get("closed", "right"))))
-    return out
+    def choices(entry: dict, part: str) -> list:
+        v = entry.get(part, SEARCH_OPTIONS.get(part, ()))
+        return list(v) if isinstance(v, (list, tuple)) else [v]
+
+    def of(entry: dict) -> list[Agg]:
+        axes = [SEARCH_REQUIRED[0], *SEARCH_OPTIONS, SEARCH_REQUIRED[1]]
+        unknown = sorted(set(entry) - {"column", *axes})
+        lacking = [p for p in ("column", *axes) if p != "column" and not choices(entry, p)] + ["column"] * ("column" not in entry)
+        if unknown or lacking:
+            raise ValueError(f"search-space entry {entry}: unknown {unknown}, missing or empty {lacking}")
+        return [Agg(entry["column"], fn, Lookback(length, offset=offset, closed=side), default)
+                for length, offset, side, default, fn in itertools.product(*(choices(entry, p) for p in axes))]
+
+    return [agg for entry in space for agg in of(entry)]
 
 
 @dataclass(frozen=True)

@@ -126,20 +126,20 @@ def publish_latest(stream: DataFrame, key, time: str, path: str, checkpoint: str
 # R2: request enrichment
 # ---------------------------------------------------------------------------
 def enrich_stream(stream: DataFrame, rights: Sequence[AsOfRight], lookup_key, time: str,
-                  broadcast: bool | str = "auto") -> DataFrame:
+                  broadcast: bool | str = False) -> DataFrame:
     """As-of features for each streamed request, from static tables.
 
     Each static table is reduced to its latest row per (key, time), packed per
     key and joined to the stream on the key; the latest row at or before the
     request time is picked with ``array_max(filter(..))``. A packed side is
-    broadcast (the stream is then never shuffled) only when it passes the
-    bounded size check (``broadcast="auto"``: at most 2 M rows and 1,000 per
-    key), or when the caller forces it with ``True``.
+    broadcast (the stream is then never shuffled) only where the caller asks for
+    it with ``broadcast="auto"`` and it passes the size check (at most 2 M rows
+    and 1,000 per key, a job); by default Spark chooses the join.
     """
     lk = _ls(lookup_key)
     out = stream
     for i, r in enumerate(rights):
-        b = _fits(r.df, DEFAULT_BROADCAST_ROWS, r.key, DEFAULT_MAX_PER_KEY) if broadcast == "auto" else bool(broadcast)
+        b = _fits(r.df, DEFAULT_BROADCAST_ROWS, r.key, DEFAULT_MAX_PER_KEY) if broadcast else False
         out = _asof_packed(out, r, lk, time, i, broadcast=b)
     return out
 
@@ -151,7 +151,7 @@ def enrich_with_spec(stream: DataFrame, spec, tables, model=None) -> DataFrame:
     the request already carries are kept (override). With ``model`` (a
     ``plans.client.PackagedModel``) each request is also scored in the stream."""
     from ..plans.training import apply_spec
-    out = apply_spec(spec, stream, tables, override=True, asof_strategy="broadcast")
+    out = apply_spec(spec, stream, tables, override=True, asof_strategy="packed")
     if model is not None:
         from ..plans.ml import score_supplied
         out = score_supplied(out, model.model, model.inputs)

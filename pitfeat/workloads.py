@@ -473,6 +473,27 @@ def spec_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.apply_spec(spec, override_requests(t), feature_tables(t), override=True)
 
 
+@query
+def override_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests supply a bound function's output for some rows; the rest is computed."""
+    t = Tables(spark, sf_dir)
+    req = override_requests(t).withColumn("merchant_distance_from_home", F.when(F.col("merchant_id") % 2 == 0, F.lit(-1)))
+    spec = FeatureSpec("fraud_features", fraud_features(spark)[1:])
+    return T.apply_spec(spec, req, feature_tables(t), override=True)
+
+
+@query
+def rollups_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollups of discounted line prices: amounts and totals rounded to cents, NULL as 0."""
+    t = Tables(spark, sf_dir)
+    j = t.raw("lineitem").join(t.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    price = F.col("l_extendedprice").cast("decimal(12,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    facts = j.select(F.col("o_custkey").alias("account_id"), F.to_date("o_orderdate").alias("txn_date"),
+                     F.coalesce(F.round(price, 2), F.lit(0)).cast("decimal(18,2)").alias("amount"))
+    aggs = [Agg("amount", "sum", Lookback(d), name=f"{d}_day_total", digits=2) for d in (14, 7)]
+    return R.aggregate_features(facts, AggregateSpec("account_id", "txn_date", aggs), mode="facts").withColumnRenamed("txn_date", "date")
+
+
 # ---------------------------------------------------------------------------
 # model fitting and scoring (rows-only checks: no SQL equivalent)
 # ---------------------------------------------------------------------------

@@ -209,3 +209,25 @@ def test_strict_asof_excludes_same_time_rows(spark):
     assert FeatureSpec.from_json(FeatureSpec("x", [fl]).to_json()).features[0].strict
     ts = training_set(s, [fl], {"r": FeatureTable(r, TableSpec("k", time_key="vf"))})
     assert dict((x["id"], x["zone"]) for x in ts.collect()) == outs[0]
+
+
+def test_keys_of_unlike_types_are_refused(spark):
+    spine = spark.createDataFrame([(1.7, 1)], "k double, i int")
+    dim = spark.createDataFrame([(1, 5)], "m bigint, z bigint")
+    with pytest.raises(ValueError, match="unlike types"):
+        L.lookup_exact(spine, dim, "k", "m", ["z"])
+    assert L.lookup_exact(spine, dim, "i", "m", ["z"]).first()["z"] == 5
+
+
+def test_building_a_frame_starts_no_job(spark):
+    from pitfeat.workloads import QUERIES
+    started = []
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("training_set", "search_space_12", "lookup_exact", "lookup_asof_features", "spec_override", "rollups_rounded"):
+        QUERIES[name](spark, "/root/testdata/sf0.001")  # reading a schema may start a job once
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+        jobs = tracker.getJobIdsForGroup(f"build-{name}")
+        started += [(name, i) for i in jobs if any("parquet" not in (s.name or "") for s in map(tracker.getStageInfo, tracker.getJobInfo(i).stageIds) if s)]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not started

@@ -66,3 +66,28 @@ def test_cluster_profile_sizing():
     assert int(p["spark.sql.shuffle.partitions"]) == 409601
     small = cluster_profile(2**30, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 120
+
+
+def test_search_space_entries_are_checked():
+    import pytest
+    one = expand_search_space([{"column": "a", "window": 7, "function": "sum", "offset": [0, -7], "closed": ["right", "left"], "default": 0}])
+    assert [(x.window.closed, x.default) for x in one] == [("right", 0), ("left", 0)] * 2
+    for bad in ({"column": "a", "window": [1]}, {"column": "a", "window": [], "function": "sum"}, {"window": [1], "function": "sum"},
+                {"column": "a", "window": [1], "function": "sum", "windows": 1}):
+        with pytest.raises(ValueError, match="search-space entry"):
+            expand_search_space([bad])
+
+
+def test_checkpoint_folder_of_our_own_only_for_a_local_master():
+    import pytest
+    from pitfeat.session import own_folder
+    assert own_folder("local[2]") and own_folder("local")
+    for master in ("yarn", "k8s://x", "local-cluster[2,1,1024]", "spark://h:7077"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            own_folder(master)
+
+
+def test_latest_snapshot_leaves_null_keys_out(spark):
+    from pitfeat.operators.scd import latest_snapshot
+    df = spark.createDataFrame([(1, 5, "a"), (1, 6, "b"), (None, 9, "c")], "k int, t int, v string")
+    assert [tuple(r) for r in latest_snapshot(df, "k", "t").collect()] == [(1, 6, "b")]
