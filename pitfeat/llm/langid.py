@@ -332,8 +332,11 @@ def worker_model(model: Model) -> Model:
     return _OWN[key]
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The documents with an identified language and a score of ``least`` or more, with their own columns."""
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
+    """The documents with an identified language and a score of ``least`` or more, with their own columns.
+
+    The default lets code-switched texts of two or three languages pass.
+    """
     out = docs.select(F.struct("*").alias("__row"), F.col("text").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
