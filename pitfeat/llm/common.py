@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+import ctypes
+import gc
+from typing import Any, Callable, Hashable, Iterable, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["WORD", "SPACE_BYTES", "documents", "keep_columns", "materialize", "crc_text", "join_small", "rows_batch"]
+__all__ = ["WORD", "SPACE_BYTES", "documents", "keep_columns", "materialize", "crc_text", "join_small", "rows_batch", "place",
+           "worker_tables"]
 
 #: A word: a run of characters other than space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,3 +49,28 @@ def join_small(left: DataFrame, small: DataFrame, on: Column, how: str = "left",
 def rows_batch(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) or [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def place(names: Sequence[str], name: str) -> int:
+    """Where a column stands; names compare as Spark compares them."""
+    return [n.lower() for n in names].index(name)
+
+
+_TABLES: dict[Hashable, Any] = {}
+
+
+def worker_tables(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What an operator keeps in a Python worker between tasks (a model, a tokenizer, caches of words).
+
+    Spark uses a worker for one stage after the other, so only one operator's
+    tables are held: asking for another's drops them and gives the memory back.
+    """
+    if key not in _TABLES:
+        _TABLES.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+        _TABLES[key] = make()
+    return _TABLES[key]

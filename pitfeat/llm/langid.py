@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, rows_batch
+from .common import materialize, place, rows_batch, worker_tables
 from .quality import remainder
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -298,7 +298,7 @@ def predict(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = worker_model(model)
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, batch.column("text")):
                 labels = own.label(some.column("text").to_pylist(), spans)
                 yield rows_batch([(d, h, *x) for d, h, x in zip(some.column("doc_id").to_pylist(), some.column("held_out").to_pylist(), labels, strict=True)], schema)
 
@@ -307,9 +307,9 @@ def predict(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text").mapInArrow(run, ddl)
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, texts: pa.Array, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``size`` bytes of text each, one row at least."""
-    lengths = [len(x.as_buffer()) if x.is_valid else 0 for x in batch.column(column)]
+    lengths = [len(x.as_buffer()) if x.is_valid else 0 for x in texts]
     a, held = 0, 0
     for i, n in enumerate(lengths):
         held += n
@@ -320,16 +320,10 @@ def slices(batch: pa.RecordBatch, column: str, size: int = 1_000_000) -> Iterato
         yield batch.slice(a)
 
 
-_OWN: dict[int, Model] = {}
-
-
 def worker_model(model: Model) -> Model:
     """The model a Python worker already has, with its cache of words, if it is the same."""
     key = hash((tuple(model.langs), model.weights.tobytes(), model.transition.tobytes()))
-    if key not in _OWN:
-        _OWN.clear()
-        _OWN[key] = model
-    return _OWN[key]
+    return worker_tables(("langid", key), lambda: model)
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
@@ -337,13 +331,14 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFr
 
     The default lets code-switched texts of two or three languages pass.
     """
-    out = docs.select(F.struct("*").alias("__row"), F.col("text").alias("__text"))
+    text = place(docs.columns, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = worker_model(model)
         for batch in batches:
-            for some in slices(batch, "__text"):
-                keep = pa.array([lang != "und" and p >= least for lang, p in own.label(some.column("__text").to_pylist())], pa.bool_())
-                yield pa.RecordBatch.from_struct_array(some.column("__row").filter(keep))
+            for some in slices(batch, batch.column(0).field(text)):
+                row = some.column(0)
+                keep = pa.array([lang != "und" and p >= least for lang, p in own.label(row.field(text).to_pylist())], pa.bool_())
+                yield pa.RecordBatch.from_struct_array(row.filter(keep))
 
-    return out.mapInArrow(run, docs.schema)
+    return docs.select(F.struct("*").alias("__row")).mapInArrow(run, docs.schema)

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_small, materialize, rows_batch
+from .common import join_small, materialize, rows_batch, worker_tables
 
 BANDS, ROWS = 32, 4
 SKETCH_BITS = 512
@@ -115,7 +115,7 @@ def _sign(words: int):
                         ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = Hashes()
+        h = worker_tables("neardup", Hashes)
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 some, rows = batch.slice(i, 500), []

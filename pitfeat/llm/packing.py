@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows_batch
+from .common import rows_batch, worker_tables
 
 CAPACITY = 4096
 END_ID = 2
@@ -119,14 +119,9 @@ class Encoder:
                 for t, words in zip(texts, split, strict=True)]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(name: str) -> Encoder:
     """One encoder per Python worker and vocabulary."""
-    if name not in _ENCODERS:
-        _ENCODERS[name] = Encoder(name)
-    return _ENCODERS[name]
+    return worker_tables(("packing", name), lambda: Encoder(name))
 
 
 def cuts(n: int, capacity: int, piece: int) -> list[tuple[int, int]]:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_BYTES, crc_text, materialize, rows_batch
+from .common import SPACE_BYTES, crc_text, materialize, place, rows_batch
 
 PASSAGE = 64
 PAIRS = 256
@@ -250,13 +250,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
     """The documents the model predicts to be good, with their own columns and types."""
-    out = docs.select(F.struct("*").alias("__row"), F.col("text").alias("__text"))
+    text = place(docs.columns, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
-                some = batch.slice(i, 256)
-                keep = pa.array(model.score(some.column("__text").to_pylist()) >= 0.5)
-                yield pa.RecordBatch.from_struct_array(some.column("__row").filter(keep))
+                row = batch.column(0).slice(i, 256)
+                keep = pa.array(model.score(row.field(text).to_pylist()) >= 0.5)
+                yield pa.RecordBatch.from_struct_array(row.filter(keep))
 
-    return out.mapInArrow(run, docs.schema)
+    return docs.select(F.struct("*").alias("__row")).mapInArrow(run, docs.schema)
