@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import granule
 
-DEFAULT_BUCKET = _dt.timedelta(days=512)
+DEFAULT_BUCKET = _dt.timedelta(days=1)
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_PER_KEY = 1_000
 DEFAULT_SMALL_SPINE = 100_000
@@ -164,14 +164,15 @@ def lookup_exact(spine: DataFrame, right: DataFrame, lookup_key, right_key, feat
 # --------------------------------------------------------------------------
 def lookup_interval(spine: DataFrame, right: DataFrame, lookup_key, right_key, spine_time: str,
                     valid_from: str, valid_to: str, features, rename: dict | None = None,
-                    strategy: str = "asof") -> DataFrame:
+                    strategy: str = "asof_nonoverlapping", bucket: _dt.timedelta | str | None = "auto") -> DataFrame:
     """Version valid at the observation: ``valid_from <= t < valid_to`` (NULL = open).
 
-    ``strategy="asof"`` (default) picks the latest version starting at or
-    before ``t`` with the as-of plan and keeps it only if it is still valid at
-    ``t``: linear in the data, one row per spine row, and the same answer as
-    the interval join whenever versions of a key do not overlap (what
-    ``build_scd2`` produces). Zero-length versions never match.
+    ``strategy="asof_nonoverlapping"`` (default) picks the latest version
+    starting at or before ``t`` with the as-of plan and keeps it only if it is
+    still valid at ``t``: linear in the data, one row per spine row, and the same
+    answer as the interval join where versions of a key do not overlap (what
+    ``build_scd2`` produces; ``quality.validate_versions`` lists overlaps). Its
+    name states that contract. Zero-length versions never match.
 
     ``strategy="join"`` is the literal equi-join with the range as a residual
     condition: every version overlapping ``t`` matches (a spine row may
@@ -183,16 +184,16 @@ def lookup_interval(spine: DataFrame, right: DataFrame, lookup_key, right_key, s
     _check(right, rk + [valid_from, valid_to] + feats, "right")
     names = _out_names(feats, rename)
     _clash(spine, names)
-    if strategy == "asof":
+    if strategy == "asof_nonoverlapping":
         r = right.withColumn("__vt_chk", F.col(valid_to))
         pick = AsOfRight(r, rk, valid_from, feats + ["__vt_chk"], rename=dict(rename or {}), valid_to=valid_to)
-        out = lookup_asof(spine, [pick], lk, spine_time)
+        out = lookup_asof(spine, [pick], lk, spine_time, bucket=bucket)
         t = F.col(spine_time)
         ok = F.col("__vt_chk").isNull() | (t < F.col("__vt_chk"))
         return out.select(*[F.col(c) for c in spine.columns],
                           *[F.when(ok, F.col(n)).alias(n) for n in names])
     if strategy != "join":
-        raise ValueError("strategy must be 'asof' or 'join'")
+        raise ValueError("strategy must be 'asof_nonoverlapping' or 'join'")
     r = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rk)],
                      F.col(valid_from).alias("__vf"), F.col(valid_to).alias("__vt"),
                      *[F.col(f).alias(n) for f, n in zip(feats, names)])

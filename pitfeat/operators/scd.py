@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import granule
 
-DEFAULT_BUCKET = _dt.timedelta(days=512)
+DEFAULT_BUCKET = _dt.timedelta(days=1)
 
 
 def _ls(v) -> list[str]:

@@ -342,8 +342,7 @@ w AS (SELECT account_id, date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) AS
       FROM p, range(0, 7) r(k))
 SELECT account_id, window_start, window_start + INTERVAL 7 DAY AS window_end,
        CAST(SUM(amount) AS DOUBLE) AS amount_sum, COUNT(amount) AS amount_count
-FROM w GROUP BY account_id, window_start
-HAVING window_start + INTERVAL 7 DAY <= (SELECT max(ts) FROM p) - INTERVAL 1 DAY"""
+FROM w GROUP BY account_id, window_start"""
 
 # Approximate distinct counts: an HLL sketch keeps exact coupons while a set is
 # small (here at most a few dozen merchants per 30-day window), so its
@@ -374,20 +373,30 @@ SELECT p.k AS account_id, make_timestamp(p.h * 3600 * 1000000) AS ts,
 FROM (SELECT DISTINCT k, h FROM hd) p JOIN hd x ON x.k = p.k AND x.h BETWEEN p.h - 23 AND p.h
 GROUP BY p.k, p.h"""
 
-ORACLES["violations_versions"] = with_(ACCOUNTS, """x AS (
-  SELECT *, lead(valid_from) OVER (PARTITION BY account_id ORDER BY valid_from) AS next_valid_from
-  FROM accounts WHERE account_id IS NOT NULL AND valid_from IS NOT NULL)""") + """SELECT * FROM x
-WHERE next_valid_from IS NOT NULL AND (valid_to IS NULL OR valid_to > next_valid_from)"""
-
-ORACLES["stream_partials_rolling"] = "WITH " + ",\n".join([
-    TXN_EVENTS,
-    """closed AS (SELECT * FROM txn_events
-       WHERE CAST(txn_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM txn_events) - INTERVAL 1 DAY)""",
-    daily_sql("dc", "closed")]) + ",\n" + \
-    facts_feats("closed", "dc", [("amount_avg_30d", "avg", 30), ("amount_sum_30d", "sum", 30)])
-
-ORACLES["violations_timeseries_key"] = with_(TXN_ORDERS, ROLLUPS) + """SELECT account_id, date, COUNT(*) AS n
-FROM rollups GROUP BY account_id, date HAVING COUNT(*) > 1"""
+ORACLES["violations_versions"] = """WITH v AS (
+  SELECT event_id AS change_id, user_id AS account_id, ts AS changed_at, CAST(json_extract_string(props, '$.k') AS BIGINT) AS zip,
+         ts + INTERVAL 5 DAY AS valid_to, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_valid_from
+  FROM events WHERE event_type = 'signup' AND user_id IS NOT NULL AND ts IS NOT NULL)
+SELECT * FROM v WHERE valid_to > next_valid_from"""
+
+ORACLES["stream_partials_rolling"] = ORACLES["window_avg_sum"]
+
+ORACLES["violations_timeseries_key"] = with_(TXN_LINES) + """SELECT account_id, txn_date, COUNT(*) AS n
+FROM txn_lines GROUP BY account_id, txn_date HAVING COUNT(*) > 1"""
+
+ORACLES["view_spine"] = ORACLES["spine_view"]
+ORACLES["saved_training_set"] = ORACLES["training_set"]
+ORACLES["input_example"] = "SELECT * FROM (" + ORACLES["training_set"] + ") ORDER BY ALL ASC NULLS FIRST LIMIT 2"
+ORACLES["chained_lookup"] = with_(
+    ACCOUNTS, """lines AS (SELECT l_orderkey AS order_id, l_linenumber AS line, CAST(l_shipdate AS DATE) AS observation_date,
+         o_custkey AS primary_account_number FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)""",
+    asof_accounts("lines", "zoned", "a.zone")) + """SELECT z.*, n_name AS zone_name FROM zoned z
+LEFT JOIN nation ON n_nationkey = z.zone"""
+ORACLES["stream_publish_merchants"] = with_(MERCHANTS) + "SELECT * FROM merchants"
+
+SCORED = ", true AS score_in_range, true AS prediction_by_score FROM "
+ORACLES["score_batch"] = with_(*FRAUD[:4], REQUESTS, *FRAUD[4:6], asof_rollups("requests", "f1"), *FRAUD[7:]) + "SELECT *" + SCORED + "f4"
+ORACLES["score_supplied"] = "SELECT *" + SCORED + "(" + ORACLES["inference_set"] + ")"
 
 ORACLES["lookup_interval_join"] = ORACLES["lookup_interval"]
 

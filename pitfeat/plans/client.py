@@ -8,6 +8,7 @@ operators of this package; nothing here holds data.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
@@ -42,6 +43,17 @@ class PackagedModel:
     spec: FeatureSpec
     label: str | None = None
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the fitted pipeline and, as JSON, its inputs, lookups and label below ``path``."""
+        self.model.write().overwrite().save(f"{path}/model")
+        package = json.dumps({"inputs": self.inputs, "spec": self.spec.to_json(), "label": self.label})
+        spark.createDataFrame([(package,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/package")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "PackagedModel":
+        package = json.loads(spark.read.text(f"{path}/package", wholetext=True).where("value <> ''").first()[0])
+        return cls(PipelineModel.load(f"{path}/model"), package["inputs"], FeatureSpec.from_json(package["spec"]), package["label"])
+
 
 @dataclass
 class FeatureClient:

@@ -69,6 +69,7 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
                      supplied: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
     """Attach ``features`` to ``spine``; returns (frame, output names in listed order).
 
+    A lookup keyed on the output of an earlier one is attached after it.
     A lookup without ``time_key`` on a table with a time key reads the latest
     row per key (what an online table serves), never every version.
 
@@ -97,6 +98,7 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
                 del fill[n]
 
     exact: list[tuple[FeatureLookup, FeatureTable]] = []
+    waiting: set[str] = set()  # outputs of the lookups not attached yet
 
     def flush():
         # point-in-time groups first, on the narrowest spine; then the exact joins
@@ -118,9 +120,13 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
             df = lookup_exact(df, right, list(f.lookup_key), list(t.spec.key), list(f.features),
                               rename=dict(f.rename), prefilter=small)
         pending, exact = [], []
+        waiting.clear()
         apply_fills()
 
     for f in features:
+        if not isinstance(f, FeatureFunction):
+            if waiting & {*f.lookup_key, f.time_key}:
+                flush()  # keyed on the output of an earlier lookup
         if isinstance(f, FeatureAggregation):
             t = _table(tables, f.table)
             out = f.output_names()
@@ -138,6 +144,7 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
                                                                   sp.granularity, sp.source),
                                            f.lookup_key, f.time_key)
             pending.append((f, t))
+            waiting.update(out)
             continue
         if isinstance(f, FeatureFunction):
             flush()
@@ -164,10 +171,8 @@ def compile_features(spine: DataFrame, features: Sequence[Feature], tables: Mapp
                         rename[feat] = f"__lk_{n}"
                         fill[n] = f"__lk_{n}"
                 f = FeatureLookup(f.table, f.features, f.lookup_key, f.time_key, rename, f.strict)
-        if f.time_key:
-            pending.append((f, t))
-        else:
-            exact.append((f, t))
+        (pending if f.time_key else exact).append((f, t))
+        waiting.update(out)
     flush()
     return df, names
 

@@ -1,13 +1,15 @@
 """Structured Streaming faces of the batch operators.
 
 * ``publish_latest``: triggered, incremental publish of the latest row per key
-  of a feature table (the reference's triggered online-table sync),
-  log-structured with periodic compaction; ``read_published`` reads it.
+  of a feature table (the reference's triggered online-table sync), a
+  partition per micro-batch; ``read_published`` reads it and
+  ``compact_published`` folds the partitions.
 * ``enrich_stream`` / ``enrich_with_spec``: stream-static as-of (and exact)
   lookups for incoming requests, optionally scored with a packaged model.
 * ``stream_rolling``: watermarked sliding-window aggregates per key.
 * ``stream_partials``: daily mergeable partials per key (state per key-day),
   from which ``rolling.from_partials`` evaluates any windows in batch.
+* ``run_updates``: aggregates in update mode, open windows included.
 * ``dropped_by_watermark``: late rows counted from the query's progress.
 
 Sinks write files below a caller-given folder, which on a cluster must be
@@ -19,7 +21,6 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,84 +38,35 @@ def _ls(v) -> list[str]:
 # ---------------------------------------------------------------------------
 # Keyed latest-row publish
 # ---------------------------------------------------------------------------
-def _commits(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{path}/_commits")
-    except AnalysisException:
-        return None
-
-
-def _layout(spark: SparkSession, path: str, before: int | None = None) -> tuple[int | None, list[int]]:
-    """(last committed base batch, committed delta batches after it); small lists only."""
-    c = _commits(spark, path)
-    if c is None:
-        return None, []
-    if before is not None:
-        c = c.where(F.col("batch_id") < before)
-    base = c.where(F.col("kind") == "base").agg(F.max("batch_id")).first()[0]
-    deltas = c.where(F.col("kind") == "delta")
-    if base is not None:
-        deltas = deltas.where(F.col("batch_id") > base)
-    # bounded by the compaction interval
-    return base, sorted(r[0] for r in deltas.select("batch_id").distinct().collect())
-
-
-def read_published(spark: SparkSession, path: str, key=None, time: str | None = None,
-                   order_by: Sequence[str] = (), before: int | None = None) -> DataFrame | None:
-    """Latest row per key as published: the last base plus the deltas after it.
-
-    ``key``/``time`` default to those recorded at publish time.
-    """
-    base, deltas = _layout(spark, path, before)
-    if base is None and not deltas:
-        return None
-    meta = spark.read.json(f"{path}/_meta").first()
-    keys = _ls(key) if key else list(meta["key"])
-    time = time or meta["time"]
-    order_by = list(order_by) or list(meta["order_by"] or [])
-    paths = ([f"{path}/base/v={base:012d}"] if base is not None else []) + \
-        [f"{path}/deltas/b={b:012d}" for b in deltas]
-    frames = spark.read.parquet(*paths)
-    if base is None and len(deltas) == 1:
-        return frames
-    return latest_snapshot(frames, keys, time, order_by)
-
-
-def publish_latest(stream: DataFrame, key, time: str, path: str, checkpoint: str,
-                   order_by: Sequence[str] = (), compact_every: int = 10, available_now: bool = True,
+BATCH = "publish_batch"
+
+
+def _write_batches(path: str, reduce=None):
+    """A foreachBatch sink: one partition folder per micro-batch, rewritten when the batch is retried."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (reduce(batch) if reduce else batch).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    return write
+
+
+def publish_latest(stream: DataFrame, key, time: str | None, path: str, checkpoint: str,
+                   order_by: Sequence[str] = (), available_now: bool = True,
                    processing_time: str | None = None) -> StreamingQuery:
     """Keep, under ``path``, the latest row per key of ``stream``.
 
-    Log-structured, so a micro-batch costs O(its own rows), not O(all keys):
-    each batch writes only its latest row per key as a delta folder named by
-    the batch id; every ``compact_every`` batches the last base and the deltas
-    since are folded into a new base. Commit markers are written last, so
-    readers (``read_published``) only see committed data; a retried batch
-    rewrites the same folders from the same inputs (idempotent), and a row
-    older than the stored one never wins (latest by ``time``, then
-    ``order_by``).
+    Each micro-batch writes its own latest row per key to a partition named by
+    the batch id, so it costs O(its rows), and a retried batch rewrites the same
+    partition. ``read_published`` takes the latest row per key over all
+    partitions: by ``time``, then ``order_by``, so an older row never wins.
+    Without ``time`` (a type-1 table) the row published last wins.
     """
     keys = _ls(key)
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id == 0 or _commits(spark, path) is None:
-            spark.createDataFrame([(keys, time, list(order_by))], "key array<string>, time string, "
-                                  "order_by array<string>").write.mode("overwrite").json(f"{path}/_meta")
-        latest_snapshot(batch, keys, time, order_by).write.mode("overwrite") \
-            .parquet(f"{path}/deltas/b={batch_id:012d}")
-        kinds = ["delta"]
-        base, deltas = _layout(spark, path, before=batch_id)
-        if len(deltas) + 1 >= compact_every:
-            paths = ([f"{path}/base/v={base:012d}"] if base is not None else []) + \
-                [f"{path}/deltas/b={b:012d}" for b in deltas + [batch_id]]
-            latest_snapshot(spark.read.parquet(*paths), keys, time, order_by).write.mode("overwrite") \
-                .parquet(f"{path}/base/v={batch_id:012d}")
-            kinds.append("base")
-        spark.createDataFrame([(batch_id, k) for k in kinds], "batch_id bigint, kind string") \
-            .write.mode("overwrite").parquet(f"{path}/_commits/b={batch_id:012d}")
-
-    w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    def reduce(batch: DataFrame) -> DataFrame:
+        if time:
+            return latest_snapshot(batch, keys, time, order_by)
+        return latest_snapshot(batch.withColumn(BATCH, F.lit(0)), keys, BATCH, order_by).drop(BATCH)
+
+    w = stream.writeStream.foreachBatch(_write_batches(path, reduce)).option("checkpointLocation", checkpoint)
     if processing_time:
         w = w.trigger(processingTime=processing_time)
     elif available_now:
@@ -122,6 +74,39 @@ def publish_latest(stream: DataFrame, key, time: str, path: str, checkpoint: str
     return w.start()
 
 
+def read_published(spark: SparkSession, path: str, key, time: str | None = None,
+                   order_by: Sequence[str] = ()) -> DataFrame:
+    """Latest row per key over all published partitions (see ``publish_latest``)."""
+    rows = spark.read.parquet(path)
+    if time:
+        return latest_snapshot(rows.drop(BATCH), key, time, order_by)
+    return latest_snapshot(rows, key, BATCH, order_by).drop(BATCH)
+
+
+def compact_published(spark: SparkSession, path: str, into: str, key, time: str | None = None,
+                      order_by: Sequence[str] = ()) -> None:
+    """Fold the partitions under ``path`` into one under ``into``: an ordinary batch job.
+
+    Run it while the publish job is stopped, then start that job again with
+    ``into`` and the same checkpoint: its next batches have greater ids.
+    """
+    last = spark.read.parquet(path).agg(F.max(BATCH)).first()[0]
+    read_published(spark, path, key, time, order_by).write.mode("overwrite").parquet(f"{into}/{BATCH}={last}")
+
+
+def run_updates(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Run a streaming aggregate over all available input in update mode, then stop.
+
+    Every group touched by a micro-batch is written as it then stands, open
+    windows included; ``read_published(.., key=<the grouping columns>)`` takes
+    each group's last state.
+    """
+    q = (df.writeStream.foreachBatch(_write_batches(path)).option("checkpointLocation", checkpoint)
+         .outputMode("update").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
 # ---------------------------------------------------------------------------
 # R2: request enrichment
 # ---------------------------------------------------------------------------
@@ -163,12 +148,13 @@ def enrich_with_spec(stream: DataFrame, spec, tables, model=None) -> DataFrame:
 # ---------------------------------------------------------------------------
 def stream_rolling(stream: DataFrame, key, time: str, value: str, duration: str = "7 days",
                    slide: str = "1 day", watermark: str = "1 day") -> DataFrame:
-    """Sliding-window SUM and COUNT of ``value`` per key, for append output.
+    """Sliding-window SUM and COUNT of ``value`` per key, for append or update output.
 
     Watermarks need a TIMESTAMP: a wall-clock (TIMESTAMP_NTZ) event time is
     read as UTC, independent of the session time zone, and window bounds come
-    back as UTC wall clocks. A window is emitted once the watermark (latest
-    event time minus ``watermark``) passes its end; rows later than the
+    back as UTC wall clocks. In append output a window is emitted once the
+    watermark (latest event time minus ``watermark``) passes its end, in update
+    output (``run_updates``) whenever it changes; rows later than the
     watermark are dropped and show up in the query's progress as
     ``numRowsDroppedByWatermark``.
     """
@@ -186,10 +172,11 @@ def stream_rolling(stream: DataFrame, key, time: str, value: str, duration: str
 
 
 def stream_partials(stream: DataFrame, spec, watermark: str = "1 day") -> tuple[DataFrame, dict]:
-    """Daily (granule) mergeable partials of ``spec`` over a stream, for append output.
+    """Daily (granule) mergeable partials of ``spec`` over a stream, for append or update output.
 
     State is one row per (key, granule) instead of one per (key, sliding
-    window); a granule is emitted once the watermark passes its end. The
+    window); append output emits a granule once the watermark passes its end,
+    update output (``run_updates``) whenever it changes. The
     output (keys, ``__g``, partial columns) feeds ``rolling.from_partials``,
     which evaluates any windows over it in batch. Decimal sources of precision
     <= 18 are summed as unscaled longs (returned scales tell ``from_partials``).

@@ -22,6 +22,7 @@ from .operators import scd as S
 from .plans import ml as M
 from .plans import training as T
 from .session import materialize, scratch_path
+from .sources import catalog as C
 from .sources.tables import Tables
 from .specs import (Agg, AggregateSpec, FeatureAggregation, FeatureFunction, FeatureLookup, FeatureSpec,
                     Lookback, TableSpec, expand_search_space)
@@ -94,6 +95,13 @@ def spine_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, sf_dir).eol()
 
 
+@query
+def view_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spine through a named view, read by SQL."""
+    C.create_view(Tables(spark, sf_dir).eol(), "eol_spine")
+    return spark.sql("SELECT * FROM eol_spine")
+
+
 @query
 def request_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return request_spine(Tables(spark, sf_dir))
@@ -199,6 +207,36 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
                           exclude=TRAIN_EXCLUDE)
 
 
+@query
+def saved_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set written over an earlier table with another schema, and read back."""
+    path = scratch_path(spark, "training-set")
+    C.save_table(Tables(spark, sf_dir).merchants(), "", path=path)
+    C.save_table(training_set(spark, sf_dir), "", path=path)
+    return spark.read.parquet(path)
+
+
+@query
+def input_example(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two rows of the training set in a fixed order."""
+    return C.input_example(training_set(spark, sf_dir), 2)
+
+
+@query
+def chained_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookups keyed on earlier lookups' outputs: a line's account, its zone at shipping, the zone's name."""
+    t = Tables(spark, sf_dir)
+    spine = t.raw("lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"),
+                                     F.to_date("l_shipdate").alias("observation_date"))
+    tables = {"orders": T.FeatureTable(t.txn_orders(), TableSpec("transaction_id")),
+              "accounts": feature_tables(t)["accounts"],
+              "zones": T.FeatureTable(t.raw("nation"), TableSpec("n_nationkey"))}
+    feats = [FeatureLookup("orders", ["account_id"], "order_id", rename={"account_id": "primary_account_number"}),
+             FeatureLookup("accounts", ["zone"], "primary_account_number", time_key="observation_date"),
+             FeatureLookup("zones", ["n_name"], "zone", rename={"n_name": "zone_name"})]
+    return T.compile_features(spine, feats, tables)[0]
+
+
 @query
 def training_set_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training set without same-day leakage (H3): rollups as of the day
@@ -393,9 +431,9 @@ def violations_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def violations_timeseries_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rollups' time-series key (account_id, date TIMESERIES) holds: no repeats."""
-    spec = TableSpec("account_id", time_key="date")
-    return Q.validate_spec(rollups(Tables(spark, sf_dir)), spec)["unique"]
+    """Lines whose declared time-series key (account_id, txn_date TIMESERIES) repeats."""
+    spec = TableSpec("account_id", time_key="txn_date")
+    return Q.validate_spec(Tables(spark, sf_dir).txn_lines(), spec)["unique"]
 
 
 @query
@@ -406,8 +444,9 @@ def violations_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def violations_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCD-2 versions overlapping their successor (H11); none in a well-chained table."""
-    return Q.validate_versions(Tables(spark, sf_dir).accounts_scd2(), "account_id", "valid_from", "valid_to")
+    """Versions overlapping their successor (H11): profile changes, each declared valid for five days."""
+    versions = Tables(spark, sf_dir).profile_changes().withColumn("valid_to", F.col("changed_at") + F.expr("INTERVAL 5 DAYS"))
+    return Q.validate_versions(versions, "account_id", "changed_at", "valid_to", order_by=["change_id"])
 
 
 @query
@@ -495,10 +534,17 @@ def rollups_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# model fitting and scoring (rows-only checks: no SQL equivalent)
+# model fitting and scoring (SQL checks the features and what holds for any model)
 # ---------------------------------------------------------------------------
 
 
+def checked_scores(scored: DataFrame) -> DataFrame:
+    """The scored rows with what holds for any fitted tree in place of its scores."""
+    return scored.select(*[c for c in scored.columns if c not in ("score", "prediction")],
+                         F.col("score").between(0, 1).alias("score_in_range"),
+                         (F.col("prediction") == (F.col("score") > 0.5).cast("double")).alias("prediction_by_score"))
+
+
 def fitted_tree(spark: SparkSession, sf_dir: str):
     ts = QUERIES["training_set"](spark, sf_dir)
     return M.fit_tree(ts, "label", max_depth=5)
@@ -510,14 +556,14 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     model, feats = fitted_tree(spark, sf_dir)
     spec = FeatureSpec("fraud_features", fraud_features(spark))
-    return M.score_batch(request_spine(t), spec, feature_tables(t), model, feats)
+    return checked_scores(M.score_batch(request_spine(t), spec, feature_tables(t), model, feats))
 
 
 @query
 def score_supplied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inference set already carries every feature: transform only."""
     model, feats = fitted_tree(spark, sf_dir)
-    return M.score_supplied(QUERIES["inference_set"](spark, sf_dir), model, feats)
+    return checked_scores(M.score_supplied(QUERIES["inference_set"](spark, sf_dir), model, feats))
 
 
 @query
@@ -537,8 +583,8 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_publish_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rollups streamed two files per batch into the keyed latest-row store (R1),
-    compacted every third batch.
+    """Rollups streamed two files per batch into the keyed latest-row table (R1),
+    then compacted.
 
     Equals ``latest_snapshot``: replaying in several batches gives the answer
     of one batch.
@@ -547,8 +593,20 @@ def stream_publish_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 2).parquet(
         src.inputFiles()[0].rsplit("/", 1)[0])
     out, ckpt = scratch_path(spark, "published"), scratch_path(spark, "published-ckpt")
-    ST.publish_latest(stream, "account_id", "date", out, ckpt, compact_every=3).awaitTermination()
-    return ST.read_published(spark, out)
+    ST.publish_latest(stream, "account_id", "date", out, ckpt).awaitTermination()
+    whole = scratch_path(spark, "published-compact")
+    ST.compact_published(spark, out, whole, "account_id", "date")
+    return ST.read_published(spark, whole, "account_id", "date")
+
+
+@query
+def stream_publish_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A type-1 table without a time key, published by key: the row published last wins."""
+    src = materialize(Tables(spark, sf_dir).merchants(), name="merchants-src")
+    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 2).parquet(src.inputFiles()[0].rsplit("/", 1)[0])
+    out = scratch_path(spark, "merchants")
+    ST.publish_latest(stream, "merchant_id", None, out, scratch_path(spark, "merchants-ckpt")).awaitTermination()
+    return ST.read_published(spark, out, "merchant_id")
 
 
 def _purchase_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -600,21 +658,21 @@ def enrich_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_partials_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fresh windowed aggregates from streamed daily partials (R3, A1): state per
     (user, day) in the stream, 30-day windows evaluated in batch over the
-    emitted partials (days closed by the watermark)."""
+    emitted partials, days still open included."""
     spec = AggregateSpec("account_id", "ts", [Agg("amount", "avg", Lookback(30)),
                                               Agg("amount", "sum", Lookback(30))])
     parts, scales = ST.stream_partials(_purchase_stream(spark, sf_dir), spec, watermark="1 day")
     out = scratch_path(spark, "stream-partials")
-    ST.run_to_files(parts, out, scratch_path(spark, "stream-partials-ckpt"))
-    res = R.from_partials(spark.read.parquet(out), spec, scales)
+    ST.run_updates(parts, out, scratch_path(spark, "stream-partials-ckpt"))
+    res = R.from_partials(ST.read_published(spark, out, ["account_id", "__g"]), spec, scales)
     return res.withColumnRenamed("ts", "txn_date")
 
 
 @query
 def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """7-day windows sliding by a day, per user, emitted once the watermark passes."""
+    """7-day windows sliding by a day, per user, windows still open included."""
     agg = ST.stream_rolling(_purchase_stream(spark, sf_dir), "account_id", "ts", "amount",
                             duration="7 days", slide="1 day", watermark="1 day")
     out = scratch_path(spark, "stream-rolling")
-    ST.run_to_files(agg, out, scratch_path(spark, "stream-rolling-ckpt"))
-    return spark.read.parquet(out)
+    ST.run_updates(agg, out, scratch_path(spark, "stream-rolling-ckpt"))
+    return ST.read_published(spark, out, ["account_id", "window_start", "window_end"])

@@ -1,6 +1,7 @@
 """Streams: replay in several batches equals one batch; re-runs are idempotent."""
 
 import datetime as dt
+import time
 
 from pitfeat.operators import scd as S
 from pitfeat.session import scratch_path
@@ -16,17 +17,20 @@ def test_publish_latest_batches_equal_one_batch(spark):
     spark.createDataFrame(rows, "k bigint, t date, v double").repartition(9).write.parquet(src)
     schema = spark.read.parquet(src).schema
     want = sorted(tuple(r) for r in S.latest_snapshot(spark.read.parquet(src), "k", "t").collect())
-    for per_batch, compact in ((1, 2), (1, 4), (1, 100), (100, 10)):
+    for per_batch in (1, 4, 100):
         out, ck = scratch_path(spark, "pub"), scratch_path(spark, "pub-ck")
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(src)
-        ST.publish_latest(stream, "k", "t", out, ck, compact_every=compact).awaitTermination()
-        got = sorted(tuple(r) for r in ST.read_published(spark, out).select("k", "t", "v").collect())
-        assert got == want, (per_batch, compact)
+        ST.publish_latest(stream, "k", "t", out, ck).awaitTermination()
+        got = sorted(tuple(r) for r in ST.read_published(spark, out, "k", "t").select("k", "t", "v").collect())
+        assert got == want, per_batch
         # restart from the checkpoint: nothing new, same answer
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(src)
-        ST.publish_latest(stream, "k", "t", out, ck, compact_every=compact).awaitTermination()
-        again = sorted(tuple(r) for r in ST.read_published(spark, out).select("k", "t", "v").collect())
+        ST.publish_latest(stream, "k", "t", out, ck).awaitTermination()
+        again = sorted(tuple(r) for r in ST.read_published(spark, out, "k", "t").select("k", "t", "v").collect())
         assert again == want
+        whole = scratch_path(spark, "pub-whole")
+        ST.compact_published(spark, out, whole, "k", "t")
+        assert sorted(tuple(r) for r in ST.read_published(spark, whole, "k", "t").select("k", "t", "v").collect()) == want
 
 
 def test_enrich_stream_with_full_spec(spark):
@@ -135,7 +139,7 @@ def test_publish_latest_breaks_time_ties_by_order_by(spark):
     schema = spark.read.parquet(src).schema
     out, ck = scratch_path(spark, "tie"), scratch_path(spark, "tie-ck")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    ST.publish_latest(stream, "k", "t", out, ck, order_by=["seq"], compact_every=2).awaitTermination()
+    ST.publish_latest(stream, "k", "t", out, ck, order_by=["seq"]).awaitTermination()
     got = sorted((r["k"], r["seq"], r["v"]) for r in ST.read_published(spark, out, key="k", time="t",
                                                                         order_by=["seq"]).collect())
     # key 1: day 5 beats day 4 whatever its seq; among day-5 rows the highest seq wins
@@ -181,3 +185,28 @@ def test_apply_spec_on_a_stream_switches_to_stream_static_joins(spark):
         "account_id", time_key="valid_from"))}), out, scratch_path(spark, "ap-ck"))
     assert sorted((str(r["obs"]), r["zone"]) for r in spark.read.parquet(out).collect()) == \
         [("2024-01-05", 5), ("2024-01-10", 6)]
+
+
+def test_publish_without_time_keeps_the_row_published_last(spark):
+    src = scratch_path(spark, "t1-src")
+    for rows in ([(1, "a"), (2, "b")], [(1, "A")]):
+        spark.createDataFrame(rows, "k bigint, name string").coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)  # file times order the batches
+    stream = spark.readStream.schema("k bigint, name string").option("maxFilesPerTrigger", 1).parquet(src)
+    out, whole = scratch_path(spark, "t1"), scratch_path(spark, "t1-whole")
+    ST.publish_latest(stream, "k", None, out, scratch_path(spark, "t1-ck")).awaitTermination()
+    ST.compact_published(spark, out, whole, "k")
+    for path in (out, whole):
+        assert sorted(tuple(r) for r in ST.read_published(spark, path, "k").collect()) == [(1, "A"), (2, "b")]
+
+
+def test_open_windows_are_emitted_in_update_mode(spark):
+    src = scratch_path(spark, "open-src")
+    for day, v in ((1, 1.0), (1, 2.0), (2, 4.0)):
+        spark.createDataFrame([(1, dt.datetime(2024, 1, day, 12), v)], "k bigint, ts timestamp_ntz, v double") \
+            .coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema("k bigint, ts timestamp_ntz, v double").option("maxFilesPerTrigger", 1).parquet(src)
+    out = scratch_path(spark, "open")
+    ST.run_updates(ST.stream_rolling(stream, "k", "ts", "v", duration="2 days", watermark="5 days"), out, scratch_path(spark, "open-ck"))
+    got = {str(r["window_start"].date()): r["v_sum"] for r in ST.read_published(spark, out, ["k", "window_start"]).collect()}
+    assert got == {"2023-12-31": 3.0, "2024-01-01": 7.0, "2024-01-02": 4.0}

@@ -8,6 +8,7 @@ from pitfeat.operators import quality as Q
 from pitfeat.operators import scd as S
 from pitfeat.plans import ml as M
 from pitfeat.plans import training as T
+from pitfeat.session import scratch_path
 from pitfeat.specs import FeatureFunction, FeatureLookup, FeatureSpec, TableSpec
 
 D0 = dt.date(2024, 1, 1)
@@ -119,7 +120,6 @@ def test_fit_tree_and_score(spark):
 
 
 def test_catalog_helpers_and_sinks(spark):
-    from pitfeat.session import scratch_path
     from pitfeat.sources import catalog as C
     df = C.local_frame(spark, [(2, "b"), (1, "a"), (3, None)], "k bigint, v string")
     assert [tuple(r) for r in C.input_example(df, 2, ["k"]).collect()] == [(1, "a"), (2, "b")]
@@ -232,7 +232,6 @@ def test_validate_versions(spark):
 
 def test_bucketed_dimension_needs_no_shuffle_on_its_side(spark):
     from pitfeat.operators.lookup import lookup_exact
-    from pitfeat.session import scratch_path
     from pitfeat.sources import catalog as C
     dim = spark.range(0, 5000).selectExpr("id AS merchant_id", "id % 25 AS zone")
     C.save_table(dim, "merchants_bucketed", path=scratch_path(spark, "mb"), bucket_by=(8, ["merchant_id"]))
@@ -271,3 +270,29 @@ def test_select_features_multi_step_elimination(spark):
     assert sum(r["selected"] for r in got.values()) == 1
     assert got["a"]["selected"]  # the strongest signal survives
     assert sorted(r["eliminated_at"] for r in got.values() if not r["selected"]) == [0, 1, 2]
+
+
+def test_lookups_keyed_on_earlier_outputs(spark):
+    spine = spark.createDataFrame([(1, day(3)), (2, day(9)), (3, day(1))], "id bigint, obs date")
+    owner = spark.createDataFrame([(1, 10), (2, 20)], "id bigint, acct bigint")
+    zones = spark.createDataFrame([(10, day(0), 1), (20, day(0), 2), (20, day(8), 3)], "acct bigint, vf date, zone bigint")
+    tables = {"owner": T.FeatureTable(owner, TableSpec("id")), "zones": T.FeatureTable(zones, TableSpec("acct", time_key="vf"))}
+    feats = [FeatureLookup("owner", ["acct"], "id"), FeatureLookup("zones", ["zone"], "acct", time_key="obs")]
+    out, names = T.compile_features(spine, feats, tables)
+    assert names == ["acct", "zone"]
+    assert sorted((r["id"], r["zone"]) for r in out.collect()) == [(1, 1), (2, 3), (3, None)]
+
+
+def test_packaged_model_saves_and_loads(spark):
+    from pitfeat.plans.client import FeatureClient, PackagedModel
+    fc = FeatureClient(spark)
+    zones = spark.createDataFrame([(k, k * 10) for k in range(4)], "acct bigint, zone bigint")
+    fc.register_table("zones", zones, TableSpec("acct"))
+    hist = spark.createDataFrame([(i % 4, float(i % 4 > 1)) for i in range(80)], "acct bigint, label double")
+    model = fc.fit_model(fc.create_training_set(df=hist, feature_lookups=[FeatureLookup("zones", ["zone"], "acct")], label="label"))
+    path = scratch_path(spark, "package")
+    model.save(spark, path)
+    back = PackagedModel.load(spark, path)
+    assert (back.inputs, back.label, back.spec) == (model.inputs, model.label, model.spec)
+    rows = [sorted((r["acct"], r["prediction"]) for r in fc.score_batch(m, zones.select("acct")).collect()) for m in (model, back)]
+    assert rows[0] == rows[1] == [(0, 0.0), (1, 0.0), (2, 1.0), (3, 1.0)]
