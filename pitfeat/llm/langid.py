@@ -277,8 +277,11 @@ def learn(docs: DataFrame, per_lang: int = 300, longest: int = 100_000) -> Model
     """A model from documents with a language outside the held-out fifth."""
     known = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
              .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder(5) != 0)))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
-    ids = known.withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= per_lang).select("doc_id", "lang").distinct()
+    order = [F.xxhash64("doc_id", F.lit(3)), F.col("doc_id")]
+    ids = known.distinct()
+    for key in (["lang", F.pmod(F.xxhash64("doc_id"), F.lit(64))], ["lang"]):  # the first of each part, then of all parts
+        first = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+        ids = ids.withColumn("__n", first).where(F.col("__n") <= per_lang).drop("__n")
     ids = materialize(ids, name="lang-sample")  # per_lang rows a language at most
     n = ids.count()
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
