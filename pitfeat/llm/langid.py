@@ -273,16 +273,22 @@ def _pairs(e: np.ndarray, m: np.ndarray, lengths: np.ndarray, transition: np.nda
     return back * m[at][:, None, :]
 
 
-def learn(docs: DataFrame, per_lang: int = 300, longest: int = 100_000) -> Model:
-    """A model from documents with a language outside the held-out fifth."""
-    known = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-             .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder(5) != 0)))
+def sample(known: DataFrame, per_lang: int) -> DataFrame:
+    """The first ``per_lang`` ids of each language in hash order; a language is ranked
+    in 64 parts first, so the last ranking sees 64 * ``per_lang`` of its rows at most."""
     order = [F.xxhash64("doc_id", F.lit(3)), F.col("doc_id")]
     ids = known.distinct()
-    for key in (["lang", F.pmod(F.xxhash64("doc_id"), F.lit(64))], ["lang"]):  # the first of each part, then of all parts
+    for key in (["lang", F.pmod(F.xxhash64("doc_id"), F.lit(64))], ["lang"]):
         first = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
         ids = ids.withColumn("__n", first).where(F.col("__n") <= per_lang).drop("__n")
-    ids = materialize(ids, name="lang-sample")  # per_lang rows a language at most
+    return ids
+
+
+def learn(docs: DataFrame, per_lang: int = 300, longest: int = 100_000) -> Model:
+    """A model from documents with a language outside the held-out fifth."""
+    known = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
+             .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder(5) != 0)))
+    ids = materialize(sample(known, per_lang), name="lang-sample")  # per_lang rows a language at most
     n = ids.count()
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
             .join(F.broadcast(ids), ["doc_id", "lang"]).where(F.length("text") <= longest)

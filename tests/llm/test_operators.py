@@ -11,7 +11,7 @@ from conftest import HARD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pitfeat.llm import langid, licenses, mixing, neardup, packing, quality, queries, rules, sharding, topk, urls
+from pitfeat.llm import common, langid, licenses, mixing, neardup, packing, quality, queries, rules, sharding, topk, urls
 
 SF = "/root/testdata/sf0.01"
 
@@ -490,3 +490,22 @@ def test_queries_cover_every_row(spark):
         got = queries.QUERIES[name](spark, SF)
         key = "page_id" if table == "pages" else "doc_id"
         assert got.select(key).distinct().count() == spark.read.parquet(f"{SF}/{table}.parquet").select(key).distinct().count()
+
+
+def test_langid_sample_is_the_first_of_each_language(spark):
+    rows = [(i % 700, ["en", "de"][i % 700 % 9 == 0]) for i in range(1400)] + [(9999, "fr")]
+    known = spark.createDataFrame(rows, "doc_id long, lang string")
+    got = {tuple(r) for r in langid.sample(known, 20).collect()}
+    ranked = known.distinct().selectExpr("doc_id", "lang", "xxhash64(doc_id, 3) AS h").collect()
+    want = {(r["doc_id"], r["lang"]) for lang in ("en", "de", "fr")
+            for r in sorted((r for r in ranked if r["lang"] == lang), key=lambda r: (r["h"], r["doc_id"]))[:20]}
+    assert got == want and len(got) == 41
+
+
+def test_worker_tables_hold_one_operator():
+    made = []
+    def make(x):
+        return lambda: made.append(x) or x
+    assert [common.worker_tables(k, make(k)) for k in ("a", "a", "b", "a")] == ["a", "a", "b", "a"]
+    assert made == ["a", "b", "a"] and list(common._TABLES) == ["a"]
+    common._TABLES.clear()
