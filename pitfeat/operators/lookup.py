@@ -30,9 +30,9 @@ it after checking its row count, and picks the latest qualifying element with
 ``array_max(filter(..))``: no shuffle of the spine at all. Beyond the limit it
 falls back to the union plan.
 
-A small spine (a few requests, checked with a bounded ``limit(n+1).count()``)
-first cuts every right table to its keys with a broadcast semi-join, so serving
-does not shuffle whole feature tables (``restrict_to_spine_keys``).
+For a few requests, ``prefilter=True`` first cuts every right table to the
+spine's keys with a semi-join, so serving does not shuffle whole feature tables
+(``restrict_to_spine_keys``); it is off by default.
 """
 
 from __future__ import annotations
