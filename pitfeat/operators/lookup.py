@@ -6,19 +6,20 @@ NULL features (H8).
 
 As-of plan (``strategy="union"``, the default; SURVEY 4.3.3 made skew-proof):
 
-1. spine points and the rows of every right table are folded into ONE
-   aggregation per (key, time), map-side combined: per right table the max of
-   ``struct(time, tie-breakers, features)`` (the latest row, ties broken
-   deterministically, a NULL feature kept as NULL), plus a point flag. After it
-   a key holds one row per distinct time, however many facts or spine rows
-   share that time;
-2. a window per key ordered by time takes the running max of each struct: the
-   latest right row at or before each point. With DATE times a key's group is
-   bounded by its calendar days. Finer times (``bucket`` given, or ``"auto"``
-   with timestamps) cut keys into (key, time bucket) groups, each seeded with a
-   "carry-in" row (the latest right row of all earlier buckets, from a
-   per-(key, bucket) aggregate and a window over buckets), so one key with a
-   huge history spreads over many tasks;
+1. the spine's distinct (key, time) points (a hash aggregation, map-side
+   combined) and the rows of every right table are laid under one another; each
+   right row carries ``struct(time, tie-breakers, features)``, so that its
+   running max is the latest row, ties broken deterministically, a NULL feature
+   kept as NULL. Right rows cross the network once and are never sorted for an
+   aggregation: their (key, time) is declared unique. ``AsOfRight(unique=False)``
+   first reduces a raw log to one row per (key, time), map-side combined;
+2. a window per key ordered by (time, kind of row) takes the running max of each
+   struct. The kind puts a point behind the right rows of its own time, or before
+   them for a strict lookup. With DATE times a key's group is bounded by its
+   calendar days. Finer times (``bucket`` given, or ``"auto"`` with timestamps)
+   cut keys into (key, time bucket) groups; a point without a row in its bucket
+   takes the last row of the latest earlier bucket, found by a window over one
+   row per (key, bucket), so one key with a huge history spreads over many tasks;
 3. the spine rows are re-attached by an equi-join on (key, time), which AQE's
    skew join can split when one point is hot; duplicate spine rows survive.
 
@@ -51,6 +52,9 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_PER_KEY = 1_000
 DEFAULT_SMALL_SPINE = 100_000
 
+#: Order of rows of equal time in the as-of window.
+ROW, POINT, STRICT_ROW = 0, 1, 2
+
 
 def restrict_to_spine_keys(df: DataFrame, key: Sequence[str], spine: DataFrame, spine_key: Sequence[str],
                            prefilter="auto", small_spine: int = DEFAULT_SMALL_SPINE) -> DataFrame:
@@ -225,6 +229,9 @@ class AsOfRight:
     valid_to: str | None = None
     # strict: only rows strictly before the observation time (no same-time leakage, H3)
     strict: bool = False
+    # few rows share a (key, time), as TableSpec declares; False reduces a raw log first.
+    # The answer is the same: this chooses the plan alone
+    unique: bool = True
 
     def names(self) -> list[str]:
         return _out_names(self.features, self.rename)
@@ -340,7 +347,7 @@ def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_ke
     rights = list(rights)
     if rights and prefilter is not False and not spine.isStreaming:
         rights = [AsOfRight(restrict_to_spine_keys(r.df, r.key, spine, lk, prefilter=prefilter), r.key, r.time,
-                            r.features, r.rename, r.order_by, r.valid_to, r.strict) for r in rights]
+                            r.features, r.rename, r.order_by, r.valid_to, r.strict, r.unique) for r in rights]
     n = len(rights)
     ks = [f"__k{i}" for i in range(len(lk))]
     vcols = [f"__v{i}" for i in range(n)]
@@ -355,42 +362,39 @@ def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_ke
     def nonnull(df: DataFrame) -> DataFrame:
         return df.where(_and([F.col(c).isNotNull() for c in ks + ["__t"]]))
 
-    def shaped(df: DataFrame, keys: list[str], time: str, pt: int, own: int | None) -> DataFrame:
-        cols = [F.col(k).alias(kk) for k, kk in zip(keys, ks)] + [F.col(time).alias("__t"), F.lit(pt).alias("__pt")]
+    def shaped(df: DataFrame, keys: list[str], time: str, kind: int, own: int | None) -> DataFrame:
+        cols = [F.col(k).alias(kk) for k, kk in zip(keys, ks)] + [F.col(time).alias("__t"), F.lit(kind).alias("__o")]
         for i, v in enumerate(vcols):
             cols.append(vals[i] if i == own else F.lit(None).cast(vtypes[v]).alias(v))
         return nonnull(df.select(*cols))
 
-    # one map-side-combined aggregation per (key, time) over the points and every right table
-    rows = shaped(spine, lk, spine_time, 1, None)
+    def right_rows(i: int, r: AsOfRight) -> DataFrame:
+        out = shaped(r.df, r.key, r.time, STRICT_ROW if r.strict else ROW, i)
+        if r.unique:
+            return out
+        return out.groupBy(*ks, "__t", "__o").agg(*[F.max(v).alias(v) for v in vcols])
+
+    points = nonnull(spine.select(*[F.col(k).alias(kk) for k, kk in zip(lk, ks)], F.col(spine_time).alias("__t"))).distinct()
+    rows = points.select(*ks, "__t", F.lit(POINT).alias("__o"), *[F.lit(None).cast(vtypes[v]).alias(v) for v in vcols])
     for i, r in enumerate(rights):
-        rows = rows.unionByName(shaped(r.df, r.key, r.time, 0, i))
-    group = [*ks, "__t"]
+        rows = rows.unionByName(right_rows(i, r))
+
+    group = list(ks)
     if bucket is not None:
-        # the bucket is a function of the time: grouping by it too changes nothing but lets
-        # both consumers below share this one aggregation (and its exchange)
         rows = rows.withColumn("__b", granule(F.col("__t"), bucket))
         group.append("__b")
-    agg = rows.groupBy(*group).agg(F.max("__pt").alias("__pt"), *[F.max(v).alias(v) for v in vcols])
-
-    def upto(w, r: AsOfRight):
-        # rows are unique per (key, time): a strict lookup stops one row earlier
-        return w.rowsBetween(Window.unboundedPreceding, -1 if r.strict else 0)
-
-    if bucket is None:
-        w = Window.partitionBy(*ks).orderBy("__t")
-        got = agg.select(*ks, "__t", "__pt", *[F.max(v).over(upto(w, r)).alias(v) for v, r in zip(vcols, rights)])
-    else:
-        # carry-in: the latest right row of all earlier buckets, for buckets holding points
-        per_bucket = agg.groupBy(*ks, "__b").agg(F.max("__pt").alias("__pt"), *[F.max(v).alias(v) for v in vcols])
-        wb = Window.partitionBy(*ks).orderBy("__b").rangeBetween(Window.unboundedPreceding, -1)
-        carry = (per_bucket.select(*ks, "__b", "__pt", *[F.max(v).over(wb).alias(v) for v in vcols])
-                 .where(F.col("__pt") == 1)
-                 .select(*ks, F.lit(None).cast(dict(agg.dtypes)["__t"]).alias("__t"), F.lit(0).alias("__pt"),
-                         *vcols, "__b"))
-        w = Window.partitionBy(*ks, "__b").orderBy("__t")
-        got = agg.unionByName(carry).select(*ks, "__t", "__pt",
-                                            *[F.max(v).over(upto(w, r)).alias(v) for v, r in zip(vcols, rights)])
-    got = got.where(F.col("__pt") == 1)
+    w = Window.partitionBy(*group).orderBy("__t", "__o")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    got = rows.select(*group, "__t", "__o", *[F.max(v).over(upto).alias(v) for v in vcols],
+                      *([F.lead("__t").over(w).isNull().alias("__last")] if bucket is not None else []))
+    if bucket is not None:
+        # the last row of a bucket holds all that the bucket knows; later buckets carry it in
+        wb = Window.partitionBy(*ks).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        carry = got.where("__last").select(*[F.col(k).alias(f"__c{k}") for k in group],
+                                           *[F.max(v).over(wb).alias(f"__c{v}") for v in vcols])
+        cond = _and([F.col(k) == F.col(f"__c{k}") for k in group])
+        got = (got.where(F.col("__o") == POINT).join(carry, cond, "left")
+               .select(*ks, "__t", "__o", *[F.coalesce(v, f"__c{v}").alias(v) for v in vcols]))
+    got = got.where(F.col("__o") == POINT)
     feats = [F.col(f"__v{i}")["f"][nme].alias(nme) for i, r in enumerate(rights) for nme in r.names()]
     return got.select(*ks, "__t", *feats)

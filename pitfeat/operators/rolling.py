@@ -167,8 +167,9 @@ def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
     frames = [a.window.frame(spec.granularity) for a in spec.aggs]
     edges = sorted({-hi for lo, hi in frames} | {-lo + 1 for lo, hi in frames})
     g = _gran(facts, spec.time, spec).cast("bigint")
-    changes = (_clean_facts(facts, spec)
-               .select(*spec.key, F.explode(F.array(*[g + F.lit(e) for e in edges])).alias(G))
+    # one row per (key, granule) first, so that the edges multiply granules, not raw facts
+    changes = (_clean_facts(facts, spec).select(*spec.key, g.alias(G)).distinct()
+               .select(*spec.key, F.explode(F.array(*[F.col(G) + F.lit(e) for e in edges])).alias(G))
                .select(*spec.key, G, F.lit(None).cast("bigint").alias("__s"),
                        F.lit(None).cast("bigint").alias("__e")))
     wl = F.lit(width)

@@ -398,6 +398,9 @@ SCORED = ", true AS score_in_range, true AS prediction_by_score FROM "
 ORACLES["score_batch"] = with_(*FRAUD[:4], REQUESTS, *FRAUD[4:6], asof_rollups("requests", "f1"), *FRAUD[7:]) + "SELECT *" + SCORED + "f4"
 ORACLES["score_supplied"] = "SELECT *" + SCORED + "(" + ORACLES["inference_set"] + ")"
 
+ORACLES["select_features"] = f"""SELECT unnest({[f[0] for f in SEARCH_FEATS]}) AS feature, true AS rank_in_permutation,
+  true AS selected_by_rank, true AS else_eliminated, true AS scores_in_range"""
+
 ORACLES["lookup_interval_join"] = ORACLES["lookup_interval"]
 
 FRAUD_STRICT = [c.replace("r.date <= s.observation_date", "r.date < s.observation_date") for c in FRAUD]

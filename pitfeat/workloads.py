@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.scalar import register_distance, split_bucket, years_365
@@ -566,14 +566,23 @@ def score_supplied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked_scores(M.score_supplied(QUERIES["inference_set"](spark, sf_dir), model, feats))
 
 
+def checked_selection(out: DataFrame, k: int) -> DataFrame:
+    """Each candidate with what holds for any selection in place of its rank and importance."""
+    once = F.count(F.lit(1)).over(Window.partitionBy("rank")) == 1
+    return out.select("feature", (F.col("rank").between(1, F.lit(out.count())) & once).alias("rank_in_permutation"),
+                      (F.col("selected") == (F.col("rank") <= k)).alias("selected_by_rank"),
+                      (F.col("selected") == F.col("eliminated_at").isNull()).alias("else_eliminated"),
+                      (F.col("importance").between(0, 1) & F.col("eval_auc").between(0, 1)).alias("scores_in_range"))
+
+
 @query
 def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """5 of the 12 search-space aggregates by boosted-tree elimination, 80/20 split (M2, M3)."""
     ts = QUERIES["training_set_defaults"](spark, sf_dir)
     train, test = M.split(ts, "primary_account_number", 0.8)
     always = [c for c in ts.columns if c not in SEARCH_NAMES and c != "label"]
-    return M.select_features(train, test, "label", SEARCH_NAMES, always=always, k=5,
-                             max_iter=300, step_size=0.1, seed=123)
+    return checked_selection(M.select_features(train, test, "label", SEARCH_NAMES, always=always, k=5,
+                                               max_iter=300, step_size=0.1, seed=123), 5)
 
 
 # ---------------------------------------------------------------------------

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitfeat.operators import lookup as L
 
@@ -231,3 +232,22 @@ def test_building_a_frame_starts_no_job(spark):
         started += [(name, i) for i in jobs if any("parquet" not in (s.name or "") for s in map(tracker.getStageInfo, tracker.getJobInfo(i).stageIds) if s)]
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert not started
+
+
+def test_asof_raw_log_needs_no_unique_rows(spark):
+    """Many rows of one (key, time): reduced first or not, the pick is the same; the plan sorts for no aggregation."""
+    import itertools
+
+    right = spark.createDataFrame([(1, i // 6 * 20, i % 3, i) for i in range(60)], "k long, m long, tie long, v long").selectExpr(
+        "k", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, m * 60) AS at", "tie", "v")
+    spine = spark.createDataFrame([(i, 1, i * 33) for i in range(80)], "n long, k long, m long").selectExpr(
+        "n", "k", "timestamp_ntz '2023-12-31 23:00:00' + make_dt_interval(0, 0, m * 60) AS t")
+    rows = sorted((r["at"], r["tie"], r["v"]) for r in right.collect())
+    for unique, strict in itertools.product((True, False), (True, False)):
+        pick = L.AsOfRight(right, ["k"], "at", ["v"], order_by=[F.col("tie"), F.col("v")], strict=strict, unique=unique)
+        got = L.lookup_asof(spine, [pick], "k", "t", bucket=dt.timedelta(hours=6))
+        if unique:
+            assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+        for r in got.collect():
+            before = [v for at, _, v in rows if (at < r["t"] if strict else at <= r["t"])]
+            assert r["v"] == (before[-1] if before else None)
