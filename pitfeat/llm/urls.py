@@ -102,6 +102,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, support: f
     items = tokens(F.col("url"), F.col("host"), F.col("path"))
     mined = mine(rows.select(items.alias("tokens"), F.col("listed").alias("verdict")), support, confidence)
     open_urls = rows.where(F.col("listed").isNull() & F.col("url").isNotNull()).select("url", items.alias("tokens")).distinct()
-    found = materialize(match(open_urls, mined), name="url-verdicts").select(F.col("url").alias("__url"), F.col("verdict").alias("__verdict"), "confidence")
-    out = join_small(rows, found, (F.col("url") == F.col("__url")) & F.col("listed").isNull())
+    digest = F.md5(F.col("url").cast("binary"))  # short, so that the rows counted before a broadcast bound its bytes
+    found = match(open_urls, mined).select(digest.alias("__url"), F.col("verdict").alias("__verdict"), "confidence")
+    found = materialize(found, name="url-verdicts")
+    out = join_small(rows, found, (digest == F.col("__url")) & F.col("listed").isNull())
     return out.select("page_id", "host", "path", "rule", F.coalesce("listed", "__verdict", F.lit("allow")).alias("verdict"), "confidence")
