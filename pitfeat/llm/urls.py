@@ -2,11 +2,15 @@
 
 A URL becomes a basket of tokens: scheme, host labels, registered domain, path
 segments with digits generalised, query keys. Baskets that the list rules judge
-carry their verdict as one more item. FP-growth over all of them gives rules
-{tokens} -> verdict, kept by support and confidence. An inverted index holds each
-rule under its rarest token; a URL looks up its tokens there, checks the whole
-antecedent, and takes the verdict of its most confident rule (allow on a tie, and
-where no rule matches). List rules always win; the longest fitting one decides.
+carry their verdict as one more item. FP-growth over them gives rules
+{tokens} -> verdict, kept by support and confidence among the judged. A rule that
+merely restates the list is dropped: the tokens that a list rule names must be
+joined by others, and its confidence must exceed that of its named tokens alone
+(a domain brings its top label; of no token: the verdict's share) by more than chance, one-sided at 5 percent.
+An inverted index holds each rule under its rarest token; a URL looks up its
+tokens there, checks the whole antecedent, and takes the verdict of its most
+confident rule (allow on a tie, and where no rule matches). List rules always
+win; the longest fitting one decides.
 
 Scale: FP-growth is distributed; its items and rules are bounded by 1 / support
 times the basket length, not by the pages. Only distinct undecided URLs are
@@ -20,6 +24,7 @@ yields no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -35,6 +40,8 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
          ("block", "net/es/"), ("block", "net/fr/"))
 
 SUPPORT, CONFIDENCE = 0.002, 0.9
+#: Standard errors by which a rule's confidence exceeds that of the tokens the list names.
+BEYOND = 1.645
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -68,8 +75,38 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.when(host != "", F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
 
 
-def mine(judged: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """Rules (rule_id, antecedent, verdict, confidence, token) from (tokens, verdict or null); token is the rarest."""
+def named_tokens(rules: Sequence[tuple[str, str]]) -> list[str]:
+    """The tokens that list rules name."""
+    out = set()
+    for _, rule in rules:
+        host, path = rule.split("/", 1)
+        labels = host.split(".")
+        out |= {f"top={labels[-1]}", *([f"domain={labels[-2]}.{labels[-1]}"] if len(labels) > 1 else []), *[f"host={x}" for x in labels[:-2]]}
+        out |= {f"path{i}={x}" for i, x in enumerate(x for x in re.sub(r"[0-9]+", "0", path).split("/") if x)}
+    return sorted(out)
+
+
+def beyond_list(rules: DataFrame, sets: DataFrame, n: int, named: Sequence[str]) -> DataFrame:
+    """The rules whose confidence their named tokens alone don't explain; ``sets`` are the frequent sets of n baskets."""
+    listed = F.array(*[F.lit(x) for x in named]).cast("array<string>")
+    is_verdict = lambda x: x.startswith("verdict=")
+    s = sets.select(F.array_sort(F.filter("items", lambda x: ~is_verdict(x))).alias("part"),
+                    F.substring(F.get(F.filter("items", is_verdict), 0), 9, 99).alias("verdict"), "freq")
+    s = s.where(F.size(F.array_except("part", listed)) == 0)
+    nothing = s.sparkSession.range(1).select(F.array().cast("array<string>").alias("part"), F.lit(n).cast("long").alias("all"))
+    whole = s.where(F.col("verdict").isNull()).select("part", F.col("freq").alias("all")).union(nothing)
+    share = s.where(F.col("verdict").isNotNull()).join(whole, "part").select("part", "verdict", (F.col("freq") / F.col("all")).alias("share"))
+    tops = F.transform(F.filter("antecedent", lambda x: x.startswith("domain=")), lambda x: F.concat(F.lit("top="), F.substring_index(x, ".", -1)))
+    rules = rules.withColumn("part", F.array_sort(F.array_intersect(F.concat("antecedent", tops), listed))).join(share, ["part", "verdict"])
+    error = F.sqrt(F.col("share") * (1 - F.col("share")) * F.col("confidence") / (F.col("support") * n))
+    return rules.where((F.size(F.array_except("antecedent", "part")) > 0) & (F.col("confidence") - F.col("share") > BEYOND * error)).drop("part", "share")
+
+
+def mine(judged: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, named: Sequence[str] = ()) -> DataFrame:
+    """Rules (rule_id, antecedent, verdict, confidence, token) from (tokens, verdict or null); token is the rarest.
+
+    Support and confidence count all the rows given; ``named`` are the list rules' tokens.
+    """
     label = F.when(F.col("verdict").isNotNull(), F.array(F.concat(F.lit("verdict="), F.col("verdict")))).otherwise(F.array().cast("array<string>"))
     baskets = materialize(judged.select(F.concat("tokens", label).alias("items")), name="url-baskets")
     if baskets.isEmpty():
@@ -77,6 +114,7 @@ def mine(judged: DataFrame, support: float = SUPPORT, confidence: float = CONFID
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     rules = (model.associationRules.where(F.col("consequent")[0].startswith("verdict="))
              .select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.col("consequent")[0], 9, 99).alias("verdict"), "confidence", "support"))
+    rules = beyond_list(rules, model.freqItemsets, baskets.count(), named)
     rules = materialize(rules.withColumn("rule_id", F.xxhash64("antecedent", "verdict")), name="url-rules")
     often = (model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq"))
     index = (rules.select("rule_id", F.explode("antecedent").alias("token")).join(often, "token")
@@ -100,7 +138,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, support: f
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("rule", list_rule(F.col("host"), F.col("path"), rules, 1)).withColumn("listed", list_rule(F.col("host"), F.col("path"), rules, 0))
     items = tokens(F.col("url"), F.col("host"), F.col("path"))
-    mined = mine(rows.select(items.alias("tokens"), F.col("listed").alias("verdict")), support, confidence)
+    judged = rows.where(F.col("listed").isNotNull()).select(items.alias("tokens"), F.col("listed").alias("verdict"))
+    mined = mine(judged, support, confidence, named_tokens(rules))
     open_urls = rows.where(F.col("listed").isNull() & F.col("url").isNotNull()).select("url", items.alias("tokens")).distinct()
     digest = F.md5(F.col("url").cast("binary"))  # short, so that the rows counted before a broadcast bound its bytes
     found = match(open_urls, mined).select(digest.alias("__url"), F.col("verdict").alias("__verdict"), "confidence")

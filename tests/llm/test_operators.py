@@ -419,6 +419,15 @@ def test_urls_mined_rules_against_brute_force(spark):
             assert x["verdict"] == fit[2]
 
 
+def test_urls_rules_decide_open_pages(spark):
+    """What the judged pages show beyond the list decides open ones, however many they are; the list's own tokens don't."""
+    rows = [f"http://a.{'net' if bad else 'com'}/{lang}/{'spam' if bad else 'ham'}/{i}" for i in range(40) for bad, lang in ((True, "es"), (False, "de"))]
+    rows += [f"http://a.org/x/{w}/{i}" for i in range(200) for w in ("spam", "ham", "other")] + [f"http://a.net/pt/other/{i}" for i in range(9)]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = Counter((r["host"].split(".")[1], r["path"].split("/")[2], r["verdict"], r["confidence"]) for r in urls.judge(df).where("rule is null").collect())
+    assert got == {("org", "spam", "block", 1.0): 200, ("org", "ham", "allow", 1.0): 200, ("org", "other", "allow", None): 200, ("net", "other", "allow", None): 9}
+
+
 def test_urls_hard(spark):
     rows = [(1, None), (2, ""), (3, "no scheme"), (4, "://"), (5, "HTTP://WWW.Example.COM/en/x?y#z"), (6, "a://b://c.com/"), (7, "http://com/"),
             (8, "http://com"), (9, "http://x.net/es"), (10, "http://x.net/es/"), (10, "http://x.net/es/"), (11, "http://xnet/es/"),
