@@ -1,7 +1,7 @@
 """URL filters by association rules that Spark's FP-growth mines.
 
-A URL becomes a basket of tokens: scheme, host labels, registered domain, path
-segments with digits generalised, query keys. Baskets that the list rules judge
+A URL becomes a basket of tokens: scheme, host labels, registered domain, all path
+segments with digits generalised (the first four with their place), query keys. Baskets that the list rules judge
 carry their verdict as one more item. FP-growth over them gives rules
 {tokens} -> verdict, kept by support and confidence among the judged. A rule that
 merely restates the list is dropped: the tokens that a list rule names must be
@@ -40,6 +40,8 @@ RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example
          ("block", "net/es/"), ("block", "net/fr/"))
 
 SUPPORT, CONFIDENCE = 0.002, 0.9
+#: Path segments whose tokens tell their place; deeper ones are tokens without it.
+PLACED = 4
 #: Standard errors by which a rule's confidence exceeds that of the tokens the list names.
 BEYOND = 1.645
 
@@ -66,7 +68,7 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     named = F.when(F.size(labels) > 2, F.slice(labels, 1, F.size(labels) - 2)).otherwise(F.array().cast("array<string>"))
     domain = F.concat(F.lit("domain="), F.element_at(labels, F.when(F.size(labels) > 1, -2).otherwise(-1)), F.lit("."), F.element_at(labels, -1))
     segments = F.filter(F.split(F.regexp_replace(path, r"[0-9]+", "0"), "/"), lambda s: s != "")
-    placed = F.transform(F.slice(segments, 1, 4), lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit("="), s))
+    placed = F.transform(segments, lambda s, i: F.concat(F.lit("path"), F.when(i < PLACED, i.cast("string")).otherwise(""), F.lit("="), s))
     query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
     keys = F.transform(F.filter(F.split(query, "&"), lambda q: q != ""), lambda q: F.concat(F.lit("query="), F.split(q, "=", 2)[0]))
     found = F.concat(F.array(F.concat(F.lit("scheme="), F.lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1))),
@@ -82,7 +84,7 @@ def named_tokens(rules: Sequence[tuple[str, str]]) -> list[str]:
         host, path = rule.split("/", 1)
         labels = host.split(".")
         out |= {f"top={labels[-1]}", *([f"domain={labels[-2]}.{labels[-1]}"] if len(labels) > 1 else []), *[f"host={x}" for x in labels[:-2]]}
-        out |= {f"path{i}={x}" for i, x in enumerate(x for x in re.sub(r"[0-9]+", "0", path).split("/") if x)}
+        out |= {f"path{i if i < PLACED else ''}={x}" for i, x in enumerate(x for x in re.sub(r"[0-9]+", "0", path).split("/") if x)}
     return sorted(out)
 
 

@@ -428,6 +428,16 @@ def test_urls_rules_decide_open_pages(spark):
     assert got == {("org", "spam", "block", 1.0): 200, ("org", "ham", "allow", 1.0): 200, ("org", "other", "allow", None): 200, ("net", "other", "allow", None): 9}
 
 
+def test_urls_deep_segments(spark):
+    """URLs told apart by their fifth or seventh path segment only."""
+    urls_of = lambda host, i, deep: f"http://{host}/{dict(net='es', com='b', org='q')[host[2:]]}/c/d/e/{deep}/{i}"
+    rows = [urls_of(h, i, f"{w}/x" if i % 2 else f"x/y/{w}") for i in range(40) for h, w in (("a.net", "spam"), ("a.com", "ham"))]
+    rows += [urls_of("a.org", i, d) for i in range(5) for d in ("spam/y", "x/y/spam", "ham/y", "x/y/ham")]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = urls.judge(df, support=0.1).where("rule is null").collect()
+    assert len(got) == 20 and all(r["verdict"] == ("block" if "spam" in r["path"] else "allow") and r["confidence"] == 1 for r in got)
+
+
 def test_urls_hard(spark):
     rows = [(1, None), (2, ""), (3, "no scheme"), (4, "://"), (5, "HTTP://WWW.Example.COM/en/x?y#z"), (6, "a://b://c.com/"), (7, "http://com/"),
             (8, "http://com"), (9, "http://x.net/es"), (10, "http://x.net/es/"), (10, "http://x.net/es/"), (11, "http://xnet/es/"),
