@@ -4,7 +4,10 @@ Every word of a text is labelled: features are its affixes, its character
 2- and 3-grams, the word itself and its entry in a lexicon of words that belong
 to one language; transitions between languages are learned. Forward-backward
 gives each word's probabilities; a document's language is the one with the
-largest sum over its words, and its score is that sum's share.
+largest sum over its words, and its score is that sum's share. A run of over 24
+letters (text without spaces, say) counts as several words: its pieces of 24
+letters, which take the neighbouring letters for their n-grams, so that each
+letter is read and weighs alike.
 
 The fit uses a bounded sample: at most ``per_lang`` documents a language of at
 most ``longest`` characters, chosen by a hash of their id. Training sequences
@@ -39,26 +42,38 @@ from .common import materialize, place, rows_batch, worker_tables
 from .quality import remainder
 
 WORDS = re.compile(r"[^\W\d_]+")
-CHARS = 24  # of a word's beginning; its end is looked at apart
+CHARS = 24  # of a word; a longer run becomes several
+AFTER, BEFORE = "\x1e", "\x1f"  # parts the letter before (after) a piece of a run from it
 BUCKETS = 1 << 15
 BLOCK = 32
 KEEP = 400_000  # words in a task's cache
 
 
 def split(text: str | None) -> list[str]:
-    """Lower-cased runs of letters; none if the text has no letter."""
+    """Lower-cased runs of letters, long ones in pieces; none if the text has no letter."""
     words = WORDS.findall((text or "").lower())
-    return words if any(c.isalpha() for w in words for c in w) else []
+    if not any(c.isalpha() for w in words for c in w):
+        return []
+    return [p for w in words for p in (pieces(w) if len(w) > CHARS else (w,))] if max(map(len, words)) > CHARS else words
+
+
+def pieces(run: str) -> list[str]:
+    """Consecutive pieces of a long run, each with its neighbouring letters marked."""
+    return [(run[a - 1] + AFTER if a else "") + run[a:a + CHARS] + (BEFORE + run[a + CHARS] if a + CHARS < len(run) else "")
+            for a in range(0, len(run), CHARS)]
 
 
 def word_features(words: list[str], lexicon: dict[str, int]) -> np.ndarray:
     """Feature buckets of each word; bucket 0 is none. Lexicon entries follow after BUCKETS."""
     n = len(words)
+    before = np.array([ord(w[0]) if w[1:2] == AFTER else 1 for w in words], np.uint64)
+    after = np.array([ord(w[-1]) if w[-2:-1] == BEFORE else 2 for w in words], np.uint64)
+    bare = [w[2 * (w[1:2] == AFTER):len(w) - 2 * (w[-2:-1] == BEFORE)] for w in words]
     m = np.zeros((n, CHARS + 2), np.uint64)
-    m[:, 0] = 1
-    m[:, 1:-1] = np.array(words, f"<U{CHARS}").view(np.uint32).reshape(n, CHARS)
-    length = (m != 0).sum(axis=1)  # with the mark before
-    m[np.arange(n), length] = 2
+    m[:, 0] = before
+    m[:, 1:-1] = np.array(bare, f"<U{CHARS}").view(np.uint32).reshape(n, CHARS)
+    length = (m != 0).sum(axis=1)  # with the mark or letter before
+    m[np.arange(n), length] = after
     a, out = np.uint64(0x9E3779B97F4A7C15), []
 
     def bucket(h: np.ndarray, there: np.ndarray) -> None:
@@ -71,12 +86,12 @@ def word_features(words: list[str], lexicon: dict[str, int]) -> np.ndarray:
     bucket(two, m[:, 1:] != 0)
     bucket(three, m[:, 2:] != 0)
     four = (three[:, 0] + m[:, 3] + np.uint64(17)) * a  # prefix of three letters
-    bucket(four[:, None], (m[:, 3] != 0)[:, None])
-    tail = np.array([w[-4:].rjust(4) for w in words], "<U4").view(np.uint32).reshape(n, 4).astype(np.uint64)
+    bucket(four[:, None], ((m[:, 3] != 0) & (before == 1))[:, None])
+    tail = np.array([w[-4:].rjust(4) for w in bare], "<U4").view(np.uint32).reshape(n, 4).astype(np.uint64)
     end = np.full(n, 19, np.uint64)
     for k in range(1, 5):  # suffixes of one to four letters
         end = (end + tail[:, 4 - k]) * a ^ np.uint64(k)
-        bucket(end[:, None], (length > k)[:, None])
+        bucket(end[:, None], ((length > k) & (after == 2))[:, None])
     whole = np.full(n, 23, np.uint64)
     for k in range(CHARS + 2):
         whole = (whole ^ m[:, k]) * a

@@ -502,6 +502,20 @@ def test_langid_code_switched(docs):
     assert len(tags) == 80 and np.mean(np.array(tags) == np.array(["en"] * 40 + ["de"] * 40)) > 0.9 and score < 0.7
 
 
+def test_langid_reads_whole_runs(docs):
+    """A long run's every letter is read, and it weighs by its letters."""
+    for n in (24, 25, 48, 49, 1000):
+        run = "".join(chr(97 + i * i % 26) for i in range(n))
+        parts = langid.split(run)
+        assert "".join(p.split(langid.AFTER)[-1].split(langid.BEFORE)[0] for p in parts) == run and len(parts) == -(-n // 24)
+    sets = [set(langid.word_features(langid.split("a" * 40 + w + "b" * 40), {}).ravel()) for w in ("kdz", "vux")]
+    assert sets[0] != sets[1]
+    model = langid.learn(docs)
+    by = {x: langid.split(docs.where(F.col("lang") == x).where("n_chars between 400 and 900").orderBy("doc_id").first()["text"]) for x in ("en", "de")}
+    (lang, score), = model.label([" ".join(by["en"][:10]) + " " + "".join(by["de"] * 3) + " " + " ".join(by["en"][:10])])
+    assert lang == "de" and score > 0.5
+
+
 # registered queries
 
 def test_queries_cover_every_row(spark):
