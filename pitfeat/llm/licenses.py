@@ -4,7 +4,10 @@ A notice may occur with up to k edits (insertions, deletions, substitutions of
 characters). Cut into k + 1 pieces, at least one piece then occurs unchanged, so
 one automaton over all pieces finds every place worth looking at. There the
 ``regex`` library's bounded-error matching verifies the edits and gives the
-span. Of overlapping finds the one with the fewest edits stays (then the longer).
+span. A find must name the license: of the words that tell licenses apart, those
+of up to three letters stand exactly and longer ones with an edit per three letters,
+and no other version number stands in the version's place. Of overlapping finds
+the one with the fewest edits stays (then the longer).
 
 Texts are compared as their words, A-Z lower-cased, parted by one space; a word
 is a run of ASCII letters, digits and any non-ASCII characters.
@@ -50,6 +53,9 @@ NOTICES = (
     ("this is free and unencumbered software released into the public domain", "unlicense", 5),
 )
 
+#: Words of notices that tell one license from another.
+NAMES = frozenset(("mit", "apache", "general", "lesser", "by", "sa", "nc", "mozilla"))
+
 #: Maps ASCII bytes outside letters and digits to a space, A-Z to a-z.
 WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -75,6 +81,9 @@ class Scanner:
     def __init__(self, phrases: Sequence[tuple[str, str]], notices: Sequence[tuple[str, str, int]]):
         self.phrases = [(f" {p} ".encode(), label) for p, label in phrases]
         self.notices = [(n, label, k, regex.compile(f"(?e)(?:{regex.escape(n)}){{e<={k}}}")) for n, label, k in notices]
+        self.names = [[regex.compile(f"(?<= ){w}(?= )" if len(w) <= 3 else f"(?:{w}){{e<={len(w) // 3}}}") for w in n.split() if w in NAMES]
+                      for n, *_ in self.notices]
+        self.numbers = [[w for w in n.split() if w.isdecimal()] for n, *_ in self.notices]
         by_piece: dict[str, list[tuple[int, int]]] = {}
         for i, (n, _, k, _) in enumerate(self.notices):
             for offset, piece in pieces(n, k):
@@ -96,8 +105,18 @@ class Scanner:
                 at = line.find(phrase, at + 1)
         return out
 
-    def fuzzy(self, line: str) -> list[tuple[int, int, int, int]]:
-        """(edits, start, end, notice) in characters of ``line``, overlaps resolved."""
+    def names_it(self, line: str, a: int, b: int, i: int) -> bool:
+        """Whether the words of ``line`` that a find of notice i touches have its naming words and no other version."""
+        inner = line[a:b]
+        first, last = a + len(inner) - len(inner.lstrip(" ")), a + len(inner.rstrip(" "))
+        text = line[line.rfind(" ", 0, first + 1):line.find(" ", last) + 1]
+        numbers = self.numbers[i]
+        rest = iter(numbers)
+        found = regex.findall(r"(?<= )[0-9]+(?= )|[0-9]+(?= $)", text)[-len(numbers):] if numbers else []
+        return all(w in rest for w in found) and all(p.search(text) for p in self.names[i])
+
+    def fuzzy(self, line: str, named: bool = False) -> list[tuple[int, int, int, int]]:
+        """(edits, start, end, notice) in characters of ``line``, overlaps resolved; of those that name the license if asked for."""
         regions: dict[int, list[list[int]]] = {}
         for end, (length, where) in self.seeds.iter(line):
             for i, offset in where:
@@ -110,7 +129,8 @@ class Scanner:
                 else:
                     spans.append([a, b])
         found = [(sum(m.fuzzy_counts), m.start(), m.end(), i) for i, spans in regions.items()
-                 for a, b in spans for m in self.notices[i][3].finditer(line, a, b)]
+                 for a, b in spans for m in self.notices[i][3].finditer(line, a, b)
+                 if not named or self.names_it(line, m.start(), m.end(), i)]
         kept: list[tuple[int, int, int, int]] = []  # by start, none overlapping
         for f in sorted(found, key=lambda f: (f[0], f[1] - f[2], f[1], f[3])):
             at = bisect.bisect(kept, f[1], key=lambda g: g[1])
@@ -124,7 +144,7 @@ class Scanner:
         base = self.base(line)
         plain = line.decode()
         matches = []
-        for edits, a, b, i in self.fuzzy(plain):
+        for edits, a, b, i in self.fuzzy(plain, named=True):
             inner = plain[a:b]
             first = a + len(inner) - len(inner.lstrip(" "))
             last = a + len(inner.rstrip(" ")) - 1

@@ -366,6 +366,17 @@ def test_licenses_fuzzy():
     assert scan("nothing here")[-3:-1] == ("", 0.0) and scan(None)[0] == 0
 
 
+def test_licenses_of_other_names_and_versions():
+    scan = licenses.Scanner((), licenses.NOTICES)
+    for text in ("released under the BSD license", "licensed under CC BY-ND 4.0", "licensed under CC BY 3.0", "licensed under CC BY-NC-ND 4.0",
+                 "licensed under the Apache License, Version 1.1", "licensed under the GNU General Public License version 1",
+                 "this source code form is subject to the terms of the mozilla public license v. 1.1"):
+        assert scan(f"file one {text} see there")[-1] == [], text
+    for text, label in (("relaesed under the MIT licence", "mit"), ("licensed under the apache license version 2", "apache-2.0"),
+                        ("licenced under CC BY-SA 4.0", "cc-by-sa-4.0"), ("licensed under the GNU Generel Public License, version 3.", "gpl-3.0")):
+        assert [m["label"] for m in scan(f"file one {text}")[-1]] == [label], text
+
+
 def test_license_seeds_miss_nothing():
     """Seeded search finds what a scan of the whole line by the same pattern finds."""
     scan = licenses.Scanner((), licenses.NOTICES[:3])
