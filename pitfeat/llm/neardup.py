@@ -233,6 +233,11 @@ def _join_cell(most: int, percent: int):
 
 def groups(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
     """Per row of ``docs``: doc_id, t (hash of its text), n_shingles, component_id, kept."""
+    return _grouped(docs, words, percent).drop("comp")
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``groups`` and ``comp``, which differs between groups of the same smallest id (null for rows in no group)."""
     most = Hashes().most_bits(LEAST)
     sig = materialize(signatures(docs, words), name="dedup-signatures")
     linked = sig.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
@@ -280,18 +285,27 @@ def groups(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
 
     reach = classes.select("c", "rep").join(comp, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     least = reach.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    reach = reach.join(least, "comp").select("c", "component_id")
-    out = linked.select("doc_id", "t", "n", "c").join(reach, "c").select("doc_id", "t", "n", "component_id")
-    rest = sig.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", "t", "n", F.col("doc_id").alias("component_id"))
+    reach = reach.join(least, "comp").select("c", "component_id", "comp")
+    out = linked.select("doc_id", "t", "n", "c").join(reach, "c").select("doc_id", "t", "n", "component_id", "comp")
+    rest = sig.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", "t", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("binary").alias("comp"))
     return out.union(rest).select("doc_id", "t", F.col("n").alias("n_shingles"), "component_id",
-                                  F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+                                  F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "comp")
 
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group; of rows that agree in id and text, one stays."""
+    """``docs`` with one document of each group; of rows that agree in id and text, one stays.
+
+    Where rows of a group share its smallest id, the text of the smallest hash stays.
+    """
     names = docs.columns
-    found = materialize(groups(docs, words, percent).where(F.col("doc_id").isNotNull())
-                        .groupBy("doc_id", "t").agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("k")), name="dedup-kept")
+    found = materialize(_grouped(docs, words, percent).where(F.col("doc_id").isNotNull())
+                        .groupBy("doc_id", "t").agg(F.first("kept").alias("kept"), F.first("comp").alias("comp"),
+                                                    F.count(F.lit(1)).alias("k")), name="dedup-kept")
+    kin = found.where(F.col("kept") & F.col("comp").isNotNull()).groupBy("comp").agg(F.min("t").alias("__least"), F.count(F.lit(1)).alias("m"))
+    kin = materialize(kin.where(F.col("m") > 1).select(F.col("comp").alias("__of"), "__least"), name="dedup-kin")
+    other = F.coalesce(F.col("t") != F.col("__least"), F.lit(False))
+    found = materialize(join_small(found, kin, F.col("comp") == F.col("__of"))
+                        .select("doc_id", "t", (F.col("kept") & ~other).alias("kept"), "k"), name="dedup-kept")
     rows = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__t", F.xxhash64("text"))
     same = (F.col("__id") == F.col("__k_id")) & (F.col("__t") == F.col("__k_t"))
     key = lambda f: materialize(f.select(F.col("doc_id").alias("__k_id"), F.col("t").alias("__k_t")), name="dedup-keys")

@@ -171,6 +171,18 @@ def test_neardup_chains_and_crowds(spark):
     assert got == brute.components(rows)
 
 
+def test_neardup_repeated_id(spark):
+    """A group's smallest id under two near-duplicate texts keeps one of them; unlike texts of one id both stay."""
+    a = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(a)), (1, " ".join([*a[:-1], "z"])), (1, " ".join(a)), (2, " ".join(a)), (4, "one"), (4, "two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = Counter(r["doc_id"] for r in neardup.deduplicate(df).collect())
+    assert want == {1: 1, 4: 2}
+    other = spark.createDataFrame([*rows, (1, " ".join(f"v{i}" for i in range(200)))], "doc_id long, text string")
+    kept = [r["text"].split()[0] for r in neardup.deduplicate(other).where("doc_id = 1").collect()]
+    assert sorted(kept) == ["v0", "w0"]
+
+
 def test_odd_sketch_estimates():
     h = neardup.Hashes()
     r = np.random.default_rng(1)
