@@ -339,6 +339,18 @@ def test_rules_distance(spark):
     assert all(got[d]["kept"] == (d < 1000) for d in got)
 
 
+def test_rules_repeats_reject_alone(spark):
+    """29 percent of repeated words, under the base rule's limit, among texts without any."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(100 + i % 7)), "l", "s") for i in range(1000, 1300)]
+    again = [f"w1000x{j}" for j in range(29)]
+    half = again[:14]  # 28 of 97 words
+    rows.append((1, " ".join(half + [f"w1001x{j}" for j in range(69)] + half), "l", "s"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in rules.judge(df).collect()}
+    assert (got[1]["n_repeat_words"], got[1]["n_words"], got[1]["base_failed"], got[1]["kept"]) == (28, 97, False, False)
+    assert all(r["kept"] for d, r in got.items() if d != 1)
+
+
 def test_rules_labels(spark, docs):
     """Good documents stay, most bad ones go."""
     got = rules.judge(docs).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
