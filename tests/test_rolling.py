@@ -350,7 +350,7 @@ def test_from_partials_spine_mode_equals_facts(spark):
 def test_plan_report(spark):
     from pitfeat.plans.inspect import plan_report
     from pitfeat.sources.tables import Tables
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     t = Tables(spark, SF_SMALL)
     rep = plan_report(R.aggregate_features(t.txn_orders(), R.rolling_7_14_spec("account_id", "txn_date", "amount"),
                                            mode="facts"))

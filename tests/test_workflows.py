@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from pitfeat import FeatureClient, TableSpec, expand_search_space, select_features, split
 from pitfeat.plans.training import attach
