@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import HARD
+from hard_rows import HARD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
