@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, neardup, packing, quality, rules, sharding, topk, urls
+from . import langid, licenses, mixing, neardup, packing, quality, rules, sharding, tokenids, topk, urls
 from .common import documents
 
 
@@ -54,9 +54,13 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.learn(docs))
 
 
+def op11_tokenids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenids.read_ids(tokenids.write_ids(documents(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_quality, op3_neardup, op4_topk, op5_sharding, op6_mixing, op7_rules,
-                            op8_licenses, op9_urls, op10_langid)}
+                            op8_licenses, op9_urls, op10_langid, op11_tokenids)}
 
 ORACLES = {
     "op4_topk": """
