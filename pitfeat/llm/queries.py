@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, neardup, packing, quality, rules, sharding, tokenids, topk, urls
+from . import alignment, divergence, langid, licenses, mixing, neardup, packing, quality, rules, sharding, tokenids, topk, urls
 from .common import documents
 
 
@@ -58,9 +58,18 @@ def op11_tokenids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.read_ids(tokenids.write_ids(documents(spark, sf_dir)))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_quality, op3_neardup, op4_topk, op5_sharding, op6_mixing, op7_rules,
-                            op8_licenses, op9_urls, op10_langid, op11_tokenids)}
+                            op8_licenses, op9_urls, op10_langid, op11_tokenids, op12_divergence,
+                            op13_alignment)}
 
 ORACLES = {
     "op4_topk": """
@@ -77,6 +86,50 @@ scored AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+""",
+    "op12_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, COALESCE(text, '') AS text, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source
+  FROM documents),
+w AS (
+  SELECT r, lang, source,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d),
+c AS (
+  SELECT r, lang, source, term, count(*) AS n FROM w GROUP BY r, lang, source, term),
+kept AS (
+  SELECT lang, term, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY lang, term HAVING count(*) >= 3),
+size AS (
+  SELECT lang, count(*) AS v, CAST(sum(n) AS BIGINT) AS total FROM kept GROUP BY lang),
+own AS (
+  SELECT c.lang, c.source, c.term, CAST(sum(c.n) AS BIGINT) AS n
+  FROM c JOIN kept ON c.lang = kept.lang AND c.term = kept.term GROUP BY c.lang, c.source, c.term),
+total AS (
+  SELECT lang, source, CAST(sum(n) AS BIGINT) AS total FROM own GROUP BY lang, source),
+grp AS (
+  SELECT g.lang, g.source, COALESCE(t.total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN total t ON g.lang = t.lang AND g.source = t.source),
+share AS (
+  SELECT g.lang, g.source, k.term, COALESCE(o.n, 0) AS n,
+         CAST(1 + (CAST(1000000000 AS HUGEINT) * (COALESCE(o.n, 0) + 1)) // (g.total + s.v) AS BIGINT) AS p,
+         CAST(1 + (CAST(1000000000 AS HUGEINT) * (k.n + 1)) // (s.total + s.v) AS BIGINT) AS q
+  FROM grp g JOIN size s ON g.lang = s.lang JOIN kept k ON g.lang = k.lang
+  LEFT JOIN own o ON g.lang = o.lang AND g.source = o.source AND k.term = o.term),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS BIGINT) AS value
+  FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(p.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON a.lang = p.lang AND a.source = p.source AND b.source = p.item
+  UNION ALL
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM share WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE "C") AS k FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(k AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR k <= 200
 """,
     "op6_mixing": r"""
 WITH d AS (
