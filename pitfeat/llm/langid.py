@@ -304,10 +304,11 @@ def learn(docs: DataFrame, per_lang: int = 300, longest: int = 100_000) -> Model
     known = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
              .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (remainder(5) != 0)))
     ids = materialize(sample(known, per_lang), name="lang-sample")  # per_lang rows a language at most
-    n = ids.count()
+    # one row per sampled id, whatever rows repeat it: its smallest text
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
             .join(F.broadcast(ids), ["doc_id", "lang"]).where(F.length("text") <= longest)
-            .orderBy("lang", F.xxhash64("doc_id", F.lit(3)), "doc_id", "text").limit(max(1, n)).collect())
+            .groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+            .orderBy("lang", F.xxhash64("doc_id", F.lit(3)), "doc_id").collect())
     return fit([(r["lang"], r["text"]) for r in rows])
 
 
@@ -331,13 +332,13 @@ def predict(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text").mapInArrow(run, ddl)
 
 
-def slices(batch: pa.RecordBatch, texts: pa.Array, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``size`` bytes of text each, one row at least."""
+def slices(batch: pa.RecordBatch, texts: pa.Array, size: int = 1_000_000, rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``size`` bytes of text and at most ``rows`` rows each, one row at least."""
     lengths = [len(x.as_buffer()) if x.is_valid else 0 for x in texts]
     a, held = 0, 0
     for i, n in enumerate(lengths):
         held += n
-        if held >= size:
+        if held >= size or i + 1 - a == rows:
             yield batch.slice(a, i + 1 - a)
             a, held = i + 1, 0
     if a < batch.num_rows:

@@ -132,6 +132,11 @@ def bags(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield x, np.repeat(of, counts)
 
 
+def standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Standardised inputs, at most 8 deviations from the mean."""
+    return np.clip((x - mean) / scale, -8, 8)
+
+
 @dataclass
 class Model:
     """Weights of encoder (W, b), gated attention (V, U, w) and head (c, d); inputs are standardised."""
@@ -141,7 +146,7 @@ class Model:
     constant: float | None = None
 
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = np.tanh(((x - self.mean) / self.scale) @ self.p["W"] + self.p["b"])
+        h = np.tanh(standard(x, self.mean, self.scale) @ self.p["W"] + self.p["b"])
         gate = np.tanh(h @ self.p["V"]) / (1 + np.exp(-(h @ self.p["U"])))
         return h, gate @ self.p["w"]
 
@@ -164,7 +169,7 @@ def fit(texts: list[str | None], labels: np.ndarray, weights: np.ndarray, hidden
     parts = list(bags(texts))
     x, of = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     mean, scale = x.mean(axis=0), x.std(axis=0) + 0.02
-    x = np.clip((x - mean) / scale, -8, 8).astype(np.float64)
+    x = standard(x, mean, scale).astype(np.float64)
     r = np.random.default_rng(seed)
     p = {"W": r.normal(0, x.shape[1] ** -0.5, (x.shape[1], hidden)), "b": np.zeros(hidden), "V": r.normal(0, hidden ** -0.5, (hidden, gates)),
          "U": r.normal(0, hidden ** -0.5, (hidden, gates)), "w": r.normal(0, gates ** -0.5, gates), "c": r.normal(0, hidden ** -0.5, hidden), "d": np.zeros(())}
@@ -223,7 +228,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 1500, longest: in
     ids = materialize(parts[0].union(parts[1]), name="quality-sample")  # 2 * per_class rows at most
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
             .where(F.coalesce(F.length("text"), F.lit(0)) <= longest)
-            .orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", "text").limit(2 * per_class).collect())
+            .groupBy("doc_id", "quality").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))  # one row per id
+            .orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").collect())
     y = np.array([r["quality"] for r in rows], float)
     if len(set(y.tolist())) < 2:
         return Model(np.zeros(1), np.ones(1), {}, float(y[0]) if len(y) else 0.5)
