@@ -194,11 +194,12 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """XOR population counts of all pairs of two arrays of sketches."""
+    """XOR population counts of all pairs of two arrays of sketches, in strips of rows."""
     a, b = a.view(U), b.view(U)  # bitwise_count takes signed numbers by their absolute value
-    out = np.zeros((len(a), len(b)), np.int64)
-    for k in range(a.shape[1]):
-        out += np.bitwise_count(a[:, k, None] ^ b[None, :, k])
+    out = np.zeros((len(a), len(b)), np.uint16)
+    for i in range(0, len(a), 128):
+        for k in range(a.shape[1]):
+            out[i:i + 128] += np.bitwise_count(a[i:i + 128, k, None] ^ b[None, :, k])
     return out
 
 
