@@ -23,9 +23,6 @@ are ignored; null doc_id stays null.
 from __future__ import annotations
 
 import heapq
-import json
-import os
-import re
 import zlib
 from typing import Iterator
 
@@ -36,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import rows_batch, worker_tables
+from .pieces import LowerWords
 
 CAPACITY = 4096
 END_ID = 2
@@ -45,83 +43,9 @@ BATCH = pa.schema([(c, pa.int64()) for c in COLUMNS])
 SCHEMA = ", ".join(f"`{c}` long" for c in COLUMNS)
 
 
-class Encoder:
-    """Ids of whole texts, with a bounded cache from word to ids.
-
-    The tokenizer drops white space and never merges across its own words, so a
-    text's ids are the ids of its words in order. Texts of plain characters
-    (ASCII and Latin-1 letters) are split by the tokenizer's own pattern, whose
-    result on these characters ``re`` reproduces; unseen words go through the
-    tokenizer in one joined call and are parted at the tokens that end a word.
-    Any other text goes through the tokenizer as it is.
-    """
-
-    PLAIN = re.compile("[^\t\n\r\x20-~À-ÖØ-öø-ÿ]")
-    WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
-    KEEP = 400_000  # words in the cache; beyond it the cache starts anew
-    LONGEST = 40  # longer words are not kept
-
-    def __init__(self, name: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        path = name
-        if not os.path.exists(name):
-            import public_tokenizers
-
-            path = public_tokenizers.path(name)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.whole = Tokenizer.from_file(path)
-        spec["normalizer"] = None  # the words come lower-cased and parted by one space
-        spec["pre_tokenizer"]["pretokenizers"][0] = {"type": "WhitespaceSplit"}
-        self.words = Tokenizer.from_str(json.dumps(spec))
-        vocab = self.whole.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        for token, i in vocab.items():
-            self.ends[i] = token.endswith("</w>")
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.cache: dict[str, bytes] = {}
-
-    def _exact(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
-        for i in range(0, len(words), 2000):
-            part = words[i:i + 2000]
-            ids = np.array(self.words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cut = np.flatnonzero(self.ends[ids]) + 1
-            raw, at = ids.tobytes(), 0
-            for w, c in zip(part, (cut * 4).tolist(), strict=True):
-                out[w] = raw[at:c]
-                at = c
-        return out
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if self.PLAIN.search(t) or any(s in t for s in self.special) else self.WORD.findall(t.lower())
-                 for t in texts]
-        if len(self.cache) > self.KEEP:
-            self.cache = {}
-        new = set()
-        for words in split:
-            if words:
-                new.update(set(words).difference(self.cache))
-        seen = self._learn(list(new)) if new else {}
-        long = {w: seen.pop(w) for w in new if len(w) > self.LONGEST}
-        self.cache.update(seen)
-        if not long:
-            get = self.cache.__getitem__
-        else:
-            def get(w, a=self.cache, b=long):
-                return a[w] if w in a else b[w]
-        return [self._exact(t) if words is None else b"".join(map(get, words))
-                for t, words in zip(texts, split, strict=True)]
-
-
-def encoder(name: str) -> Encoder:
+def encoder(name: str) -> LowerWords:
     """One encoder per Python worker and vocabulary."""
-    return worker_tables(("packing", name), lambda: Encoder(name))
+    return worker_tables(("packing", name), lambda: LowerWords(name))
 
 
 def cuts(n: int, capacity: int, piece: int) -> list[tuple[int, int]]:
@@ -182,7 +106,7 @@ def windows(sizes: list[int], capacity: int) -> list[list[int]]:
 
 def _tasks(name: str, capacity: int, piece: int, block_windows: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(name), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(name), np.array([end_id], "<u4")
         base = TaskContext.get().partitionId() << 40
         made, held, waiting = 0, 0, []
 
@@ -200,7 +124,7 @@ def _tasks(name: str, capacity: int, piece: int, block_windows: int, end_id: int
                 some, full = batch.slice(i, 64), []
                 raws = encode(some.column("text").to_pylist())
                 for d, raw in zip(some.column("doc_id").to_pylist(), raws, strict=True):
-                    raw += end
+                    raw = np.concatenate([raw, end]).tobytes()
                     n = len(raw) // 4
                     for s, length in cuts(n, capacity, piece):
                         row = (d, s, length, zlib.crc32(raw[4 * s:4 * (s + length)]), n)

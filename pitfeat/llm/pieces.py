@@ -193,6 +193,34 @@ class ByteLevel(Cached):
             yield [t.id for t in tokenize(w)]
 
 
+class LowerWords(Cached):
+    """A vocabulary of the tokenizers library with word ends, which lowers case and drops white space."""
+
+    WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+
+    def __init__(self, name: str):
+        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(vocabulary(name))
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.letters = {b: c for b, c in _byte_letters().items() if chr(b) != c}
+
+    def exact(self, text: str) -> list[int]:
+        return self.whole.encode(text, add_special_tokens=False).ids
+
+    def split(self, chunk: str) -> list[str] | None:
+        if ByteLevel.ODD.search(chunk) or any(s in chunk for s in self.special):
+            return None
+        return self.WORD.findall(chunk.lower())
+
+    def learn(self, words: list[str]) -> Iterator[list[int]]:
+        tokenize = self.whole.model.tokenize
+        for w in words:
+            yield [t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(self.letters))]
+
+
 class SentencePiece(Cached):
     """A sentence-piece vocabulary, which puts a space before every text; texts come with that space."""
 
