@@ -119,16 +119,32 @@ def crc(text):
     return zlib.crc32((text or "").encode())
 
 
-def mcd(x, floors, steps=3, keep=0.75):
-    """Location, covariance with floors, and distance scale by concentration steps (quantiles as order statistics)."""
+def mcd(x, floors, steps=25, keep=0.75):
+    """(squared distances, least determinant): concentration steps from three starts (quantiles as order statistics)."""
     rank = lambda v, q: np.sort(v)[max(0, int(np.ceil(q * len(v))) - 1)]
-    m = np.array([rank(c, 0.5) for c in x.T])
+    centre = np.array([rank(c, 0.5) for c in x.T])
     spread = np.array([max((rank(c, 0.75) - rank(c, 0.25)) / 1.349, f) for c, f in zip(x.T, floors, strict=True)])
-    s = np.diag(spread ** 2)
-    dist = lambda: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
-    for _ in range(steps):
-        d = dist()
-        near = x[d <= rank(d, keep)]
-        m, s = near.mean(axis=0), np.cov(near.T, bias=True) + np.diag(np.square(floors))
-    d = dist()
-    return d / max(rank(d, 0.5) / 4.351, 1.0)
+    ridge = np.diag(np.square(floors))
+    z = (x - centre) / spread
+    size = np.linalg.norm(z, axis=1, keepdims=True)
+    signs = np.divide(z, size, out=np.zeros_like(z), where=size > 0)
+    shapes = [np.eye(x.shape[1]), np.cov(np.tanh(z).T, bias=True), signs.T @ signs / len(x) * x.shape[1]]
+    dist = lambda m, s: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(s), x - m)
+    found = []
+    for n, shape in enumerate(shapes):
+        m, s, det = centre, shape * np.outer(spread, spread) + ridge, np.inf
+        for _ in range(steps):
+            d = dist(m, s)
+            near = x[d <= rank(d, keep)]
+            m2, s2 = near.mean(axis=0), np.cov(near.T, bias=True) + ridge
+            det2 = np.linalg.det(s2)
+            if det2 >= det:
+                break
+            stop = det2 >= det * (1 - 1e-6)
+            m, s, det = m2, s2, det2
+            if stop:
+                break
+        found.append((det, n, m, s))
+    det, _, m, s = min(found, key=lambda f: f[:2])
+    d = dist(m, s)
+    return d / max(rank(d, 0.5) / 4.351, 1.0), det

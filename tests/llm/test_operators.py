@@ -1,5 +1,7 @@
 """Each operator against a plain version, and on awkward, repeated and empty input."""
 
+import hashlib
+import math
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,7 +13,7 @@ from hard_rows import HARD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pitfeat.llm import common, langid, licenses, mixing, neardup, packing, quality, queries, rules, sharding, topk, urls
+from pitfeat.llm import common, langid, licenses, mixing, neardup, packing, pieces, quality, queries, rules, sharding, topk, urls
 
 SF = "/root/testdata/sf0.01"
 
@@ -76,10 +78,15 @@ def test_differencing_balances():
 
 
 def test_word_cache_starts_anew(monkeypatch):
-    e = packing.Encoder("word_bpe_49k.json")
-    monkeypatch.setattr(packing.Encoder, "KEEP", 3)
-    for t in ("alpha beta gamma delta", "epsilon " + "z" * 50, "alpha it's 42!?", ""):
-        assert e([t, t]) == [e._exact(t)] * 2
+    e = pieces.LowerWords("word_bpe_49k.json")
+    monkeypatch.setattr(pieces, "HELD", 60)
+    resets = 0
+    for t in ("alpha beta gamma delta", "epsilon " + "z" * 50, "alpha it's 42!?", "", "Ünï GAMMA\n\tß ²", "<|endoftext|> x", "日本 語"):
+        for text in (t, t + " " + "many Words here " * 9):
+            met = len(e.numbers)
+            assert [x.tolist() for x in e([text, text])] == [e.exact(text)] * 2
+            resets += len(e.numbers) < met
+    assert resets
 
 
 # 2 quality
@@ -128,6 +135,24 @@ def test_quality_gradient():
     assert p[0] > 0.95 and p[1] < 0.05
 
 
+def doubled(df):
+    return df.union(df).union(df.limit(1).crossJoin(df.sparkSession.range(3000)).select(*df.columns))
+
+
+def test_repeated_rows_learn_the_same_models(spark, docs):
+    """Samples hold one row per id: neither doubled tables nor one id given 3000 times change a fit."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    a, b = quality.learn(docs, labels), quality.learn(doubled(docs), doubled(labels))
+    assert all((a.p[k] == b.p[k]).all() for k in a.p) and (a.mean == b.mean).all()
+    a, b = langid.learn(docs), langid.learn(doubled(docs))
+    assert a.langs == b.langs == ["de", "en", "es", "fr"] and (a.weights == b.weights).all() and (a.transition == b.transition).all()
+
+
+def test_scoring_limits_inputs_as_the_fit():
+    x = np.array([[100.0, -100.0, 0.5]])
+    assert quality.standard(x, np.zeros(3), np.ones(3)).tolist() == [[8, -8, 0.5]]
+
+
 # 3 near duplicates
 
 def test_neardup_documents(docs):
@@ -258,6 +283,37 @@ def test_sharding(docs, hard, empty, monkeypatch):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def plain_score(key, shard, weight=1.0):
+    text = f"17|{shard}|" + ("\0null" if key is None else str(key))
+    u = (int(hashlib.md5(text.encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+    return -weight / math.log(u)
+
+
+def test_sharding_against_plain_scores(spark, docs, hard):
+    for df in (docs, hard):
+        for r in sharding.shard_documents(df).collect():
+            scores = [plain_score(r["doc_id"], i) for i in range(41)]
+            assert r["shard"] == max(range(40), key=lambda i: (scores[i], -i))
+            assert r["grown_shard"] == max(range(41), key=lambda i: (scores[i], -i))
+
+
+def test_sharding_spreads_equal_rows(spark, monkeypatch):
+    """Equal rows that hold most of the table are ranked in many groups and written in chunks."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 500)
+    monkeypatch.setattr(sharding, "CHUNK", 64)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # show the groups' own tasks
+    df = spark.range(30_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("doc_id"), F.lit("").alias("text"))
+    got = sharding.shard_documents(df, 4)
+    rows = got.collect()
+    assert len(rows) == 30_000 and len({(r["shard"], r["slot"]) for r in rows}) == 30_000
+    for s in range(4):
+        slots = sorted(r["slot"] for r in rows if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+    counted = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("doc_id").isNull()).alias("n"), F.max("slot")).collect()  # slots keep the groups' shuffle in the plan
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["n"] > 0 for r in counted) >= 4 and max(r["n"] for r in counted) < 15_000
+
+
 def test_sharding_weights(spark):
     rows = spark.range(20_000).withColumn("s", sharding.rendezvous(F.col("id"), 3, [1, 2, 5]))
     n = {r["s"]: r["count"] for r in rows.groupBy("s").count().collect()}
@@ -334,11 +390,31 @@ def test_rules_distance(spark):
     for x, c in zip(rules.X, rules._transformed(), strict=True):
         base = base.withColumn(x, c)
     base = base.orderBy("doc_id").collect()
-    want = brute.mcd(np.array([[b[x] for x in rules.X] for b in base]), rules.FLOORS)
+    want, _ = brute.mcd(np.array([[b[x] for x in rules.X] for b in base]), rules.FLOORS)
     assert np.allclose([got[b["doc_id"]]["distance"] for b in base], want, rtol=1e-6, atol=1e-9)
     assert all(got[d]["kept"] == (d < 1000) for d in got)
 
 
+def test_rules_least_determinant_of_all_subsets(spark):
+    """Small groups: the estimate's determinant against that of every subset of three quarters of the rows."""
+    from itertools import combinations
+    r = np.random.default_rng(12)
+    groups, ridge = {}, np.diag(np.square(rules.FLOORS))
+    for k in range(6):
+        mix = r.normal(size=(5, 5)) * (0.3 + k)
+        x = r.normal(size=(12, 5)) @ mix
+        x[:2 if k % 2 else 3] += r.normal(size=5) * 40  # some rows far off, in one direction
+        groups[f"g{k}"] = x
+    rows = spark.createDataFrame([(g, *map(float, v)) for g, x in groups.items() for v in x], "g string, " + ", ".join(f"{c} double" for c in rules.X))
+    got = {x["g"]: x["det"] for x in rules.estimates(rows).collect()}
+    exact = {g: min(np.linalg.det(np.cov(x[list(c)].T, bias=True) + ridge) for c in combinations(range(12), 9)) for g, x in groups.items()}
+    assert all(got[g] == pytest.approx(brute.mcd(x, rules.FLOORS)[1], rel=1e-6) for g, x in groups.items())
+    assert all(got[g] >= exact[g] * (1 - 1e-9) for g in groups)
+    assert sum(got[g] <= exact[g] * 1.0001 for g in groups) >= 4 and max(got[g] / exact[g] for g in groups) < 3
+    one_step = {x["g"]: x["det"] for x in rules.estimates(rows, steps=1).collect()}
+    assert all(got[g] <= one_step[g] * (1 + 1e-9) for g in groups)
+
+
 def test_rules_repeats_reject_alone(spark):
     """29 percent of repeated words, under the base rule's limit, among texts without any."""
     rows = [(i, " ".join(f"w{i}x{j}" for j in range(100 + i % 7)), "l", "s") for i in range(1000, 1300)]
@@ -473,6 +549,20 @@ def test_urls_deep_segments(spark):
     assert len(got) == 20 and all(r["verdict"] == ("block" if "spam" in r["path"] else "allow") and r["confidence"] == 1 for r in got)
 
 
+def test_urls_equal_baskets_are_one_item(spark):
+    """Pages that share a path of 40 segments cost what short ones do; any member stands for the item."""
+    deep = "/".join(f"s{chr(97 + i % 26)}{'x' * (i // 26)}" for i in range(40))
+    rows = [f"http://h.net/es/{deep}/{i}" for i in range(5)] + [f"http://g.com/p{chr(97 + i % 26)}{chr(97 + i // 26)}/ok" for i in range(200)]
+    rows += ["http://k.org/q/w/e/r/sx/y", "http://k.org/q/w/e/r/zz/y"]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    host, path = urls.host_and_path(F.col("url"))
+    items = df.select("url", urls.tokens(F.col("url"), host, path).alias("tokens"), urls.list_rule(host, path, urls.RULES, 0).alias("verdict"))
+    rules = urls.mine(items.where("verdict is not null"), named=urls.named_tokens(urls.RULES)).collect()
+    assert 0 < len(rules) < 5000 and max(len(m) for r in rules for m in r["members"]) >= 39
+    got = {r["page_id"]: (r["verdict"], r["confidence"]) for r in urls.judge(df).collect()}
+    assert got[205] == ("block", 1.0) and got[206] == ("allow", None)
+
+
 def test_urls_hard(spark):
     rows = [(1, None), (2, ""), (3, "no scheme"), (4, "://"), (5, "HTTP://WWW.Example.COM/en/x?y#z"), (6, "a://b://c.com/"), (7, "http://com/"),
             (8, "http://com"), (9, "http://x.net/es"), (10, "http://x.net/es/"), (10, "http://x.net/es/"), (11, "http://xnet/es/"),
@@ -551,6 +641,21 @@ def test_langid_reads_whole_runs(docs):
     assert lang == "de" and score > 0.5
 
 
+def test_langid_keeps_known_languages_only(spark, docs):
+    """Other languages and scripts and chance letters go; all documents of known ones and mixtures of them stay."""
+    r = np.random.default_rng(3)
+    chance = lambda letters: " ".join("".join(r.choice(list(letters), int(r.integers(2, 9)))) for _ in range(80))
+    foreign = [chance("abcdefghijklmnopqrstuvwxyz"), chance("абвгдежзиклмн"), "所有的孩子每天都去上学因为他们想学习" * 3,
+               "kaikki lapset käyvät koulussa joka päivä koska he haluavat oppia ja kehittää kiinnostuksen kohteitaan eri aloilla",
+               "wszystkie dzieci chodzą codziennie do szkoły ponieważ chcą się uczyć i rozwijać swoje zainteresowania", "123 ---", "", None]
+    known = [x["text"] for x in docs.where("lang is not null and n_chars > 300").orderBy("doc_id").limit(40).collect()]
+    mixed = [" ".join(a.split()[:40] + b.split()[:40]) for a, b in zip(known[:20], known[20:])]
+    rows = list(enumerate(foreign + known + mixed))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {x["doc_id"] for x in langid.keep_identified(frame, langid.learn(docs)).collect()}
+    assert kept == set(range(len(foreign), len(rows)))
+
+
 # registered queries
 
 def test_queries_cover_every_row(spark):
