@@ -2,8 +2,11 @@
 
 A URL becomes a basket of tokens: scheme, host labels, registered domain, all path
 segments with digits generalised (the first four with their place), query keys. Baskets that the list rules judge
-carry their verdict as one more item. FP-growth over them gives rules
-{tokens} -> verdict, kept by support and confidence among the judged. A rule that
+carry their verdict as one more item. Tokens that stand in exactly the same baskets
+become one item first (the segments of a path that pages share, say), which the
+rules state by its members: a URL holds the item if it holds any of them, as every
+subset of them would make the same rule. FP-growth over the items gives rules
+{items} -> verdict, kept by support and confidence among the judged. A rule that
 merely restates the list is dropped: the tokens that a list rule names must be
 joined by others, and its confidence must exceed that of its named tokens alone
 (a domain brings its top label; of no token: the verdict's share) by more than chance, one-sided at 5 percent.
@@ -12,9 +15,12 @@ tokens there, checks the whole antecedent, and takes the verdict of its most
 confident rule (allow on a tie, and where no rule matches). List rules always
 win; the longest fitting one decides.
 
-Scale: FP-growth is distributed; its items and rules are bounded by 1 / support
-times the basket length, not by the pages. Only distinct undecided URLs are
-matched; the index is broadcast after its rows are counted, else joined.
+Scale: FP-growth is distributed. Its frequent items are bounded by 1 / support times
+the basket length, not by the pages; a path of any length that the same pages share is one
+item. Items with different baskets that stand together often still combine: k of them
+in one basket give up to 2^k sets, as the method has it. Equal basket sets are found by their number and
+two 64-bit hashes of the basket ids, combined map-side. Only distinct undecided URLs are
+matched; the index is broadcast after its rows are counted, else joined. Very long URLs are read whole.
 
 Defined results: a null URL or one without ``://`` has an empty host and path,
 fits no list rule and is judged by the method; repeated rows get one verdict
@@ -24,6 +30,7 @@ yields no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from typing import Sequence
 
@@ -93,7 +100,7 @@ def beyond_list(rules: DataFrame, sets: DataFrame, n: int, named: Sequence[str])
     listed = F.array(*[F.lit(x) for x in named]).cast("array<string>")
     is_verdict = lambda x: x.startswith("verdict=")
     s = sets.select(F.array_sort(F.filter("items", lambda x: ~is_verdict(x))).alias("part"),
-                    F.substring(F.get(F.filter("items", is_verdict), 0), 9, 99).alias("verdict"), "freq")
+                    F.substring_index(F.get(F.filter("items", is_verdict), 0), "verdict=", -1).alias("verdict"), "freq")
     s = s.where(F.size(F.array_except("part", listed)) == 0)
     nothing = s.sparkSession.range(1).select(F.array().cast("array<string>").alias("part"), F.lit(n).cast("long").alias("all"))
     whole = s.where(F.col("verdict").isNull()).select("part", F.col("freq").alias("all")).union(nothing)
@@ -104,31 +111,58 @@ def beyond_list(rules: DataFrame, sets: DataFrame, n: int, named: Sequence[str])
     return rules.where((F.size(F.array_except("antecedent", "part")) > 0) & (F.col("confidence") - F.col("share") > BEYOND * error)).drop("part", "share")
 
 
+def merged_items(baskets: DataFrame, least: int, named: Sequence[str]) -> DataFrame:
+    """(item, members): tokens in at least ``least`` baskets (id, tokens), those of equal basket sets together.
+
+    An item is called by its smallest member. Tokens that list rules name and
+    domains (one in a basket) stay alone, since rules are held against them. A written table.
+    """
+    each = baskets.select("id", F.explode("tokens").alias("token"))
+    sets = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"h{i}") for i in (1, 2)])
+    alone = F.col("token").isin(list(named)) | F.col("token").startswith("domain=") | F.col("token").startswith("top=")
+    sets = sets.where(F.col("n") >= least).withColumn("own", F.when(alone, F.col("token")))
+    same = sets.groupBy("own", "n", "h1", "h2").agg(F.sort_array(F.collect_list("token")).alias("members"))  # tokens of one basket
+    return materialize(same.select(F.col("members")[0].alias("item"), "members", "n"), name="url-items")
+
+
+NO_RULES = "rule_id long, antecedent array<string>, members array<array<string>>, verdict string, confidence double, token string"
+
+
 def mine(judged: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, named: Sequence[str] = ()) -> DataFrame:
-    """Rules (rule_id, antecedent, verdict, confidence, token) from (tokens, verdict or null); token is the rarest.
+    """Rules (rule_id, antecedent, members, verdict, confidence, token) from (tokens, verdict or null); token is the rarest item.
 
-    Support and confidence count all the rows given; ``named`` are the list rules' tokens.
+    Support and confidence count all the rows given; ``named`` are the list rules'
+    tokens. ``members`` lists, item by item, the tokens that stand for it.
     """
-    label = F.when(F.col("verdict").isNotNull(), F.array(F.concat(F.lit("verdict="), F.col("verdict")))).otherwise(F.array().cast("array<string>"))
-    baskets = materialize(judged.select(F.concat("tokens", label).alias("items")), name="url-baskets")
-    if baskets.isEmpty():
-        return judged.sparkSession.createDataFrame([], "rule_id long, antecedent array<string>, verdict string, confidence double, token string")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    baskets = materialize(judged.select(F.monotonically_increasing_id().alias("id"), "tokens", "verdict"), name="url-baskets")
+    n = baskets.count()
+    if not n:
+        return judged.sparkSession.createDataFrame([], NO_RULES)
+    items = merged_items(baskets, max(1, math.ceil(support * n)), named)
+    of = items.select(F.explode("members").alias("__token"), "item")
+    found = join_small(baskets.select("id", F.explode("tokens").alias("token")), of, F.col("token") == F.col("__token"), "inner")
+    found = found.groupBy(F.col("id").alias("__id")).agg(F.collect_set("item").alias("found"))
+    nothing = F.array().cast("array<string>")
+    label = F.when(F.col("verdict").isNotNull(), F.array(F.concat(F.lit("verdict="), F.col("verdict")))).otherwise(nothing)
+    rows = baskets.join(found, F.col("id") == F.col("__id"), "left").select(F.concat(F.coalesce("found", nothing), label).alias("items"))
+    rows = materialize(rows, name="url-item-baskets")
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows)
     rules = (model.associationRules.where(F.col("consequent")[0].startswith("verdict="))
-             .select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.col("consequent")[0], 9, 99).alias("verdict"), "confidence", "support"))
-    rules = beyond_list(rules, model.freqItemsets, baskets.count(), named)
+             .select(F.array_sort("antecedent").alias("antecedent"), F.substring_index(F.col("consequent")[0], "verdict=", -1).alias("verdict"), "confidence", "support"))
+    rules = beyond_list(rules, model.freqItemsets, n, named)
     rules = materialize(rules.withColumn("rule_id", F.xxhash64("antecedent", "verdict")), name="url-rules")
-    often = (model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq"))
-    index = (rules.select("rule_id", F.explode("antecedent").alias("token")).join(often, "token")
-             .groupBy("rule_id").agg(F.min(F.struct("freq", "token"))["token"].alias("token")))
-    return materialize(rules.join(index, "rule_id").select("rule_id", "antecedent", "verdict", "confidence", "token"), name="url-index")
+    parts = rules.select("rule_id", F.posexplode("antecedent").alias("at", "item")).join(items, "item")
+    parts = parts.groupBy("rule_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "members"))), lambda x: x["members"]).alias("members"),
+                                         F.min(F.struct("n", "item"))["item"].alias("token"))
+    return materialize(rules.join(parts, "rule_id").select("rule_id", "antecedent", "members", "verdict", "confidence", "token"), name="url-index")
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(url, verdict, confidence) of URLs (url, tokens) that fit a rule: the most confident one's."""
-    r = rules.select(F.col("token").alias("__token"), "antecedent", F.col("verdict").alias("__verdict"), "confidence")
+    rarest = F.element_at("members", F.array_position("antecedent", F.col("token")).cast("int"))
+    r = materialize(rules.select(F.explode(rarest).alias("__token"), "members", F.col("verdict").alias("__verdict"), "confidence"), name="url-lookup")
     hits = join_small(urls.withColumn("__item", F.explode("tokens")), r, F.col("__item") == F.col("__token"), "inner")
-    hits = hits.where(F.size(F.array_except("antecedent", "tokens")) == 0)
+    hits = hits.where(F.forall("members", lambda m: F.arrays_overlap(m, F.col("tokens"))))
     best = hits.groupBy("url").agg(F.max(F.struct("confidence", (F.col("__verdict") == "allow").alias("a"), "__verdict")).alias("b"))
     return best.select("url", F.col("b.__verdict").alias("verdict"), F.col("b.confidence").alias("confidence"))
 
