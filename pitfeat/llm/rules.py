@@ -8,11 +8,13 @@ Transformed statistics (shrunk or bounded, so that short texts don't stray):
 log words; log mean word length with 60 words of prior; log share of symbols;
 log share of repeated lines; arcsine root of the share of repeated words.
 
-Estimate: start from medians and quartile ranges; take the three quarters of the
-rows nearest to the centre, compute their mean and covariance, and repeat
-(concentration steps, which never raise the determinant). A floor on each
-statistic's deviation keeps statistics that are constant in a group from
-rejecting small departures. Finally distances are scaled so that their median is
+Estimate: three deterministic starts about the medians, scaled by quartile ranges:
+no correlation, the covariance of squashed deviations (tanh), and that of spatial signs
+(deviations of length one). From each, take the three quarters of the rows nearest to
+the centre, compute their mean and covariance, and repeat (concentration steps)
+while the determinant falls; the start with the least determinant wins. A
+floor on each statistic's deviation, part of the determinant, keeps statistics that are
+constant in a group from rejecting small departures. Finally distances are scaled so that their median is
 that of a chi-square with five degrees of freedom. Groups with under
 ``min_rows`` rows take their language's estimate, then that of all rows; with too
 few rows there as well, nothing is rejected.
@@ -20,7 +22,9 @@ few rows there as well, nothing is rejected.
 Scale: text statistics are narrow array expressions, each window found twice is
 counted by sorting (hash, position), linear but for the sort; every step is a
 map-side combined aggregation over seven numbers per row, so a hot group splits;
-the table of groups is broadcast after its rows are counted. No Python runs.
+all starts take a step in the same aggregation, and only groups whose determinant
+still falls take another; the table of groups is broadcast after its rows are
+counted. The driver gets one number a step. Very long texts are one row's arrays. No Python runs.
 
 Defined results: null and empty texts have zeros, fail the base and stay out of
 the estimate; null language or source is a group of its own; repeated rows count
@@ -117,30 +121,84 @@ def _key(level: int, lang: str, source: str) -> Column:
     return F.concat_ws("\x1f", F.lit(str(level)), *([name(lang)] * (level > 0)), *([name(source)] * (level > 1)))
 
 
-def estimates(rows: DataFrame, steps: int = 3) -> DataFrame:
-    """Per group g of rows (g, x0..): n, location m_i, factor l_ij and distance scale."""
+#: A determinant that falls by less than this share has settled.
+SETTLED = 1e-6
+
+
+def _covariance(df: DataFrame, scaled: bool) -> DataFrame:
+    """c_ij from means a_i and mean products b_ij, in units of the deviations d_i if ``scaled``."""
+    for i in range(DIM):
+        for j in range(i + 1):
+            c = F.col(f"b{i}{j}") - F.col(f"a{i}") * F.col(f"a{j}")
+            df = df.withColumn(f"c{i}{j}", c * F.col(f"d{i}") * F.col(f"d{j}") if scaled else c)
+    return df
+
+
+def _determinant() -> Column:
+    out = F.pow(F.col("l00"), F.lit(2.0))
+    for i in range(1, DIM):
+        out = out * F.pow(F.col(f"l{i}{i}"), F.lit(2.0))
+    return out
+
+
+def starts(rows: DataFrame) -> DataFrame:
+    """Per group g of rows (g, x0..) and start s: n, location m_i, factor l_ij."""
     quart = [F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), ACCURACY).alias(f"q{i}") for i, x in enumerate(X)]
     g = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *quart)
+    g = materialize(g.select("g", "n", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(DIM)],
+                             *[F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOORS[i])).alias(f"d{i}") for i in range(DIM)]), name="mcd-quartiles")
+    z = [(F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"d{i}") for i in range(DIM)]
+    size = F.sqrt(sum((v * v for v in z[1:]), z[0] * z[0]))
+    sign = [F.when(size > 0, v / size).otherwise(F.lit(0.0)) for v in z]
+    squashed = [F.tanh(v) for v in z]
+    own = ["n", *[f"m{i}" for i in range(DIM)], *[f"d{i}" for i in range(DIM)]]
+    sums = [F.avg(v[i] * v[j]).alias(f"{k}{i}{j}") for k, v in (("t", squashed), ("u", sign)) for i in range(DIM) for j in range(i + 1)]
+    means = [F.avg(squashed[i]).alias(f"a{i}") for i in range(DIM)]
+    joined = join_small(rows, g.withColumnRenamed("g", "__g"), F.col("g") == F.col("__g"), "inner")
+    moments = materialize(joined.groupBy("g", *own).agg(*means, *sums), name="mcd-moments")
+    zero, out = F.lit(0.0), None
+    for s, (mean, product) in enumerate([(lambda i: zero, lambda i, j: F.lit(float(i == j))),
+                                         (lambda i: F.col(f"a{i}"), lambda i, j: F.col(f"t{i}{j}")),
+                                         (lambda i: zero, lambda i, j: F.col(f"u{i}{j}") * F.lit(float(DIM)))]):
+        one = moments.select("g", *own, F.lit(s).alias("s"), *[mean(i).alias(f"a{i}") for i in range(DIM)],
+                             *[product(i, j).alias(f"b{i}{j}") for i in range(DIM) for j in range(i + 1)])
+        one = _factor(_covariance(one, scaled=True)).select("g", "s", "n", *PARAMS)
+        out = one if out is None else out.unionByName(one)
+    return materialize(out, name="mcd-start")
+
+
+def _concentrate(rows: DataFrame, g: DataFrame) -> DataFrame:
+    """One step of every (g, s): mean and factor of the rows nearest to its centre, and their determinant."""
+    y = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(DIM)]  # about the last centre, so that sums stay small
+    aggs = [F.avg(y[i]).alias(f"a{i}") for i in range(DIM)] + [F.avg(y[i] * y[j]).alias(f"b{i}{j}") for i in range(DIM) for j in range(i + 1)]
+    moved = _nearest(rows, g).groupBy("g", "s", "n", *[f"m{i}" for i in range(DIM)]).agg(*aggs)
+    moved = _factor(_covariance(moved, scaled=False))
     for i in range(DIM):
-        spread = F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOORS[i]))
-        g = g.withColumn(f"m{i}", F.col(f"q{i}")[1])
-        for j in range(i):
-            g = g.withColumn(f"l{i}{j}", F.lit(0.0))
-        g = g.withColumn(f"l{i}{i}", spread)
-    g = materialize(g.select("g", "n", *PARAMS), name="mcd-start")
-    for step in range(steps):
-        near = _nearest(rows, g)
-        # moments about the last centre, so that sums stay small
-        y = [F.col(f"x{i}") - F.col(f"m{i}") for i in range(DIM)]
-        aggs = [F.avg(y[i]).alias(f"a{i}") for i in range(DIM)] + [F.avg(y[i] * y[j]).alias(f"b{i}{j}") for i in range(DIM) for j in range(i + 1)]
-        moved = near.groupBy("g", "n", *[f"m{i}" for i in range(DIM)]).agg(*aggs)
-        for i in range(DIM):
-            for j in range(i + 1):
-                moved = moved.withColumn(f"c{i}{j}", F.col(f"b{i}{j}") - F.col(f"a{i}") * F.col(f"a{j}"))
-        moved = _factor(moved)
-        for i in range(DIM):
-            moved = moved.withColumn(f"m{i}", F.col(f"m{i}") + F.col(f"a{i}"))
-        g = materialize(moved.select("g", "n", *PARAMS), name="mcd-step")
+        moved = moved.withColumn(f"m{i}", F.col(f"m{i}") + F.col(f"a{i}"))
+    return moved.select("g", "s", "n", *PARAMS, _determinant().alias("det"))
+
+
+def estimates(rows: DataFrame, steps: int = 25) -> DataFrame:
+    """Per group g of rows (g, x0..): n, location m_i, factor l_ij, least determinant and distance scale.
+
+    ``steps`` bounds the concentration steps; they end when no determinant falls.
+    """
+    moving, done = materialize(_concentrate(rows, starts(rows)), name="mcd-step"), None
+    for _ in range(steps - 1):
+        old = moving.select(F.col("g").alias("__g"), F.col("s").alias("__s"), F.col("det").alias("__det"))
+        new = _concentrate(rows, moving.drop("det")).join(old, (F.col("g") == F.col("__g")) & (F.col("s") == F.col("__s")))
+        new = materialize(new.drop("__g", "__s"), name="mcd-step")
+        falls = F.col("det") < F.col("__det") * (1 - SETTLED)
+        fallen = new.where(falls).select("g", "s")
+        still = moving.join(fallen, ["g", "s"], "left_anti").unionByName(new.where(~falls & (F.col("det") < F.col("__det"))).drop("__det"))
+        done = materialize(still if done is None else done.unionByName(still), name="mcd-settled")
+        moving = materialize(new.where(falls).drop("__det"), name="mcd-step")
+        if moving.isEmpty():
+            break
+    every = moving if done is None else done.unionByName(moving)
+    best = F.min_by(F.struct("n", *PARAMS, "det"), F.struct("det", "s")).alias("b")
+    g = every.groupBy("g").agg(best).select("g", *[F.col(f"b.{c}").alias(c) for c in ("n", *PARAMS, "det")])
+    g = materialize(g, name="mcd-best")
     half = _with_distance(rows, g).groupBy("g").agg(F.percentile_approx("d2", 0.5, ACCURACY).alias("half"))
     return materialize(g.join(half, "g").withColumn("scale", F.greatest(F.col("half") / F.lit(MEDIAN_5), F.lit(1.0))).drop("half"), name="mcd")
 
@@ -150,13 +208,14 @@ def _with_distance(rows: DataFrame, g: DataFrame) -> DataFrame:
 
 
 def _nearest(rows: DataFrame, g: DataFrame) -> DataFrame:
-    """The three quarters of each group's rows nearest to its centre."""
+    """Per group and start, the three quarters of the rows nearest to its centre."""
     d = _with_distance(rows, g)
-    limit = materialize(d.groupBy("g").agg(F.percentile_approx("d2", KEEP, ACCURACY).alias("__most")).withColumnRenamed("g", "__of"), name="mcd-limit")
-    return join_small(d, limit, F.col("g") == F.col("__of"), "inner").where(F.col("d2") <= F.col("__most"))
+    limit = d.groupBy("g", "s").agg(F.percentile_approx("d2", KEEP, ACCURACY).alias("__most"))
+    limit = materialize(limit.select(F.col("g").alias("__of"), F.col("s").alias("__from"), "__most"), name="mcd-limit")
+    return join_small(d, limit, (F.col("g") == F.col("__of")) & (F.col("s") == F.col("__from")), "inner").where(F.col("d2") <= F.col("__most"))
 
 
-def judge(docs: DataFrame, min_rows: int = 200, least_rows: int = 30, cutoff: float = CUTOFF, steps: int = 3) -> DataFrame:
+def judge(docs: DataFrame, min_rows: int = 200, least_rows: int = 30, cutoff: float = CUTOFF, steps: int = 25) -> DataFrame:
     """Base statistics, base_failed, distance (squared; null where not estimated) and kept per document."""
     base = with_base(docs)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
