@@ -159,21 +159,36 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "cache": {}}
 
-    def emissions(self, words: list[list[str]]) -> np.ndarray:
-        """Scores of all words, one after the other."""
+    def rows(self, words: list[list[str]]) -> np.ndarray:
+        """Of all words, one after the other: scores, number of features met in the fit, and number of features."""
         seen = self.cache
         if not seen or len(seen["at"]) > KEEP:
-            seen.update(at={}, rows=np.empty((0, len(self.langs)), np.float32))
+            seen.update(at={}, rows=np.empty((0, len(self.langs) + 2), np.float32))
         new = list(set().union(*words).difference(seen["at"]))
         if new:
-            parts = [seen["rows"]]
+            parts, met = [seen["rows"]], (self.weights != 0).any(axis=1)
             for i in range(0, len(new), 10_000):
-                parts.append(self.weights[word_features(new[i:i + 10_000], self.lexicon)].sum(axis=1))
+                f = word_features(new[i:i + 10_000], self.lexicon)
+                there = f > 0
+                parts.append(np.column_stack([self.weights[f].sum(axis=1), (met[f] & there).sum(axis=1), there.sum(axis=1)]).astype(np.float32))
             n = len(seen["at"])
             seen["at"].update(zip(new, range(n, n + len(new)), strict=True))
             seen["rows"] = np.concatenate(parts)
         at = np.fromiter((i for w in words for i in map(seen["at"].__getitem__, w)), np.int64, sum(map(len, words)))
-        return seen["rows"][at].astype(np.float64)
+        return seen["rows"][at]
+
+    def emissions(self, words: list[list[str]]) -> np.ndarray:
+        """Scores of all words, one after the other."""
+        return self.rows(words)[:, :len(self.langs)].astype(np.float64)
+
+    def familiar(self, texts: list[str | None]) -> np.ndarray:
+        """Share of each text's features (n-grams, affixes, words) that the fit has met; 0 without letters."""
+        words = [split(t) for t in texts] if self.langs else [[] for _ in texts]
+        n = np.array([len(w) for w in words], np.int64)
+        met = self.rows(words)[:, -2:].astype(np.float64)
+        sums = np.zeros((len(texts), 2))
+        np.add.at(sums, np.repeat(np.arange(len(texts)), n), met)
+        return sums[:, 0] / np.maximum(sums[:, 1], 1)
 
     def label(self, texts: list[str | None], spans: bool = False) -> list[tuple]:
         """(language, score[, runs of words (language, first, last)]) of each text."""
@@ -351,10 +366,13 @@ def worker_model(model: Model) -> Model:
     return worker_tables(("langid", key), lambda: model)
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """The documents with an identified language and a score of ``least`` or more, with their own columns.
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.94) -> DataFrame:
+    """The documents in languages the model has met, with their own columns.
 
-    The default lets code-switched texts of two or three languages pass.
+    A document stays if at least ``least`` of its features (n-grams, affixes, words)
+    occurred in the fit, whatever the languages and their number: code-switched
+    texts of known languages stay, other languages and scripts, and chance letters, go.
+    Documents without a letter go too.
     """
     text = place(docs.columns, "text")
 
@@ -363,7 +381,6 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.3) -> DataFr
         for batch in batches:
             for some in slices(batch, batch.column(0).field(text)):
                 row = some.column(0)
-                keep = pa.array([lang != "und" and p >= least for lang, p in own.label(row.field(text).to_pylist())], pa.bool_())
-                yield pa.RecordBatch.from_struct_array(row.filter(keep))
+                yield pa.RecordBatch.from_struct_array(row.filter(pa.array(own.familiar(row.field(text).to_pylist()) >= least)))
 
     return docs.select(F.struct("*").alias("__row")).mapInArrow(run, docs.schema)
