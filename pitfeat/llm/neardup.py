@@ -5,7 +5,8 @@
    folded into a bitmap by parity. The XOR of two sketches counts, by parity, the
    samples that differ, so its population count estimates the similarity; high
    similarities, where few samples differ, most precisely.
-2. Documents with equal sets form a class; the rest works on classes.
+2. Documents with equal sets form a class with a number of its own; the rest works
+   on these numbers, which aggregate by hash.
 3. In each bucket of a band, every class is paired with the smallest one (a star,
    so pairs grow with the members, not with their square). Pairs pass the sketch,
    then the exact sets; links are contracted to components.
@@ -136,26 +137,26 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _sets(words: int):
-    schema = pa.schema([("c", pa.binary()), ("s", pa.binary())])
+    schema = pa.schema([("c", pa.int64()), ("s", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
-                sets = [shingle_set(x, words).tobytes() for x in batch.slice(i, 500).column("text").to_pylist()]
-                yield rows_batch([(xxhash.xxh3_128_digest(s), s) for s in sets], schema)
+                some = batch.slice(i, 500)
+                yield rows_batch([(c, shingle_set(x, words).tobytes()) for c, x in zip(some.column("c").to_pylist(), some.column("text").to_pylist(), strict=True)], schema)
     return run
 
 
 def shingle_sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """(c, s): the sets of the given classes (c, rep, t), from the text of one member each."""
-    of = classes.select(F.col("rep").alias("__rep"), F.col("t").alias("__t"))
+    of = classes.select("c", F.col("rep").alias("__rep"), F.col("t").alias("__t"))
     rows = join_small(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), of,
-                      (F.col("doc_id") == F.col("__rep")) & (F.xxhash64("text") == F.col("__t")), "left_semi", 1_000_000)
-    return rows.select("text").mapInArrow(_sets(words), "c binary, s binary").dropDuplicates(["c"])
+                      (F.col("doc_id") == F.col("__rep")) & (F.xxhash64("text") == F.col("__t")), "inner", 1_000_000)
+    return rows.select("c", "text").mapInArrow(_sets(words), "c long, s binary").dropDuplicates(["c"])
 
 
 def _verify(percent: int):
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +229,7 @@ def _join_cell(most: int, percent: int):
             if comp[a] != comp[b] and similar(sets[a], sets[b], percent):
                 comp[comp == comp[b]] = comp[a]
                 out.append((ids[a], ids[b]))
-        return pd.DataFrame(out, columns=["a", "b"])
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
     return run
 
 
@@ -244,7 +245,8 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     linked = sig.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = materialize(linked.groupBy("c").agg(
         F.min(F.struct("doc_id", "t")).alias("r"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-        .select("c", F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"), "bands", "sketch"), name="dedup-classes")
+        .select(F.col("c").alias("digest"), F.monotonically_increasing_id().alias("c"), F.col("r.doc_id").alias("rep"), F.col("r.t").alias("t"),
+                "bands", "sketch"), name="dedup-classes")  # numbered once: the table is written
     member = classes.select("c", F.explode("bands").alias("bk"))
     full = (member.groupBy("bk").agg(F.min("c").alias("centre"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("bk", "centre"))
     member = materialize(member.join(full, "bk"), name="dedup-buckets")
@@ -257,10 +259,10 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
              .select("a", "b"))
     close = materialize(close, name="dedup-pairs")
     wanted = close.select(F.col("a").alias("c")).union(close.select(F.col("b").alias("c"))).distinct()
-    sets = materialize(shingle_sets(docs, materialize(classes.join(wanted, "c", "left_semi").select("rep", "t"), name="dedup-wanted"), words), name="dedup-sets")
+    sets = materialize(shingle_sets(docs, materialize(classes.join(wanted, "c", "left_semi").select("c", "rep", "t"), name="dedup-wanted"), words), name="dedup-sets")
     links = (close.join(sets.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
              .join(sets.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
-             .select("a", "b", "sa", "sb").mapInArrow(_verify(percent), "a binary, b binary"))
+             .select("a", "b", "sa", "sb").mapInArrow(_verify(percent), "a long, b long"))
     links = materialize(links, name="dedup-links")
     comp = materialize(components(links), name="dedup-components")
 
@@ -275,20 +277,20 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     member = member.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     member = member.withColumn("cell", F.least("i", "j") * blocks + F.greatest("i", "j"))
     cells = member.join(sketch, "c").select("bk", "cell", "c", "comp", "sketch").groupBy("bk", "cell")
-    close = materialize(cells.applyInPandas(_promising(most), "bk long, cell long, c binary, comp binary, sketch array<long>"), name="dedup-cells")
+    close = materialize(cells.applyInPandas(_promising(most), "bk long, cell long, c long, comp long, sketch array<long>"), name="dedup-cells")
     wanted = close.select("c").distinct()
-    have = materialize(classes.join(wanted, "c", "left_semi").select("rep", "t"), name="dedup-wanted")
+    have = materialize(classes.join(wanted, "c", "left_semi").select("c", "rep", "t"), name="dedup-wanted")
     sets = shingle_sets(docs, have, words)
-    more = close.join(sets, "c").groupBy("bk", "cell").applyInPandas(_join_cell(most, percent), "a binary, b binary")
+    more = close.join(sets, "c").groupBy("bk", "cell").applyInPandas(_join_cell(most, percent), "a long, b long")
     more = materialize(more.distinct(), name="dedup-links")
     if not more.isEmpty():
         comp = materialize(components(links.union(more)), name="dedup-components")
 
-    reach = classes.select("c", "rep").join(comp, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
+    reach = classes.select("c", "digest", "rep").join(comp, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     least = reach.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    reach = reach.join(least, "comp").select("c", "component_id", "comp")
+    reach = reach.join(least, "comp").select(F.col("digest").alias("c"), "component_id", "comp")
     out = linked.select("doc_id", "t", "n", "c").join(reach, "c").select("doc_id", "t", "n", "component_id", "comp")
-    rest = sig.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", "t", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("binary").alias("comp"))
+    rest = sig.where((F.col("n") == 0) | F.col("doc_id").isNull()).select("doc_id", "t", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("comp"))
     return out.union(rest).select("doc_id", "t", F.col("n").alias("n_shingles"), "component_id",
                                   F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "comp")
 
