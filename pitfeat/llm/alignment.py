@@ -92,8 +92,13 @@ def divide(a_end: np.ndarray, b_end: np.ndarray, a_first: np.ndarray, b_first: n
 
 def links(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Overlapping A and B tokens: between two neighbouring ends of either lies one token of both."""
-    ends = np.union1d(a_end, b_end)
-    return np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+    # both lists in one order, A's first where ends are equal; a stable sort merges sorted runs
+    ends = np.sort(np.concatenate([a_end << 1, (b_end << 1) | 1]), kind="stable")
+    of, is_b = ends >> 1, (ends & 1).astype(bool)
+    first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.empty(0, np.int64)
+    # tokens that end before an end's place: those among the ends listed before it
+    before_b = np.cumsum(is_b)[first] - is_b[first]
+    return first - before_b, before_b
 
 
 class Aligner:
@@ -102,25 +107,24 @@ class Aligner:
     def __init__(self, a: str, b: str):
         self.a, self.b = ByteLevel(a, plain=True), SentencePiece(b)
         self.lengths = [np.array([len(x) for x in t.bytes], np.int64) for t in (self.a, self.b)]
-        n = max(map(len, self.lengths))
-        self.text = [f"{i}{sign}".encode() for sign in (",", "|", ";") for i in range(n)]
-        self.n = n
-
-    def same(self, t: ByteLevel | SentencePiece, ids: np.ndarray, raw: bytes) -> bool:
-        return b"".join(map(t.bytes.__getitem__, ids.tolist())) == raw
+        self.n = n = max(map(len, self.lengths))
+        # decimal ids with the sign after them, padded with zero bytes to 8
+        self.text = np.frombuffer(b"".join(f"{i}{sign}".encode().ljust(8, b"\0") for sign in (",", "|", ";") for i in range(n)), np.uint64)
+        if len(self.text) != 3 * n:
+            raise ValueError("ids of over seven digits")
 
     def __call__(self, texts: list[str | None]) -> tuple[list[tuple], np.ndarray, np.ndarray]:
         """(n_a, n_b, n_groups, n_links, digest) of each text; the pairs of ids of all links; links per text."""
         some = [i for i, t in enumerate(texts) if t]
         raw = [" " + texts[i] for i in some]
-        a, b = self.a(raw), self.b(raw)
-        good = [k for k, t in enumerate(raw) if self.same(self.a, a[k], u := t.encode()) and self.same(self.b, b[k], u)]
+        a, b = self.a.encode(raw, check=True), self.b.encode(raw, check=True)
+        good = [k for k in range(len(raw)) if a[k][1] and b[k][1]]
         rows: list[tuple] = [(0, 0, 0, 0, "")] * len(texts)
         per_text = np.zeros(len(texts), np.int64)
         if not good:
             return rows, np.empty(0, np.int64), per_text
         where = [some[k] for k in good]
-        a, b = [a[k] for k in good], [b[k] for k in good]
+        a, b = [a[k][0] for k in good], [b[k][0] for k in good]
         a_first, b_first = (np.concatenate([[0], np.cumsum([len(x) for x in ids])]) for ids in (a, b))
         a, b = np.concatenate(a).astype(np.int64), np.concatenate(b).astype(np.int64)
         a_end, b_end = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
@@ -138,7 +142,8 @@ class Aligner:
         code[at_a], code[at_b] = sign_a * self.n + a, sign_b * self.n + b
         begin = a_first + b_first
         for k, i in enumerate(where):
-            own = b"".join(map(self.text.__getitem__, code[begin[k]:begin[k + 1]].tolist()))[:-1]
+            signs = self.text[code[begin[k]:begin[k + 1]]].view(np.uint8)
+            own = signs[signs != 0].tobytes()[:-1]
             n_a, n_b = int(a_first[k + 1] - a_first[k]), int(b_first[k + 1] - b_first[k])
             rows[i] = (n_a, n_b, int(n_groups[k]), int(n_links[k]), hashlib.sha256(own).hexdigest())
         per_text[where] = n_links

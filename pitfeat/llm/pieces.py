@@ -97,14 +97,23 @@ class Numbers(dict):
 class Cached:
     """Ids of texts: words from the cache where a chunk can be split, else the whole chunk."""
 
-    #: Ids' bytes, for joining tokens back to text.
-    bytes: list[bytes]
+    #: Ids' bytes, for joining tokens back to text; none where a vocabulary changes the text.
+    bytes: Sequence[bytes] = ()
 
     def __init__(self):
         self._reset()
 
     def _reset(self) -> None:
         self.numbers, self.rows, self.held = Numbers(), Rows(), 0
+        self.unlike: set[int] = set()  # words whose ids' bytes differ from them
+
+    def same(self, ids: Sequence[int], text: str) -> bool:
+        """Whether the ids' bytes give the text back."""
+        return b"".join(map(self.bytes.__getitem__, ids)) == text.encode()
+
+    def spelled(self, word: str) -> str:
+        """The text that a word of ``split`` stands for."""
+        return word
 
     def exact(self, text: str) -> list[int]:
         raise NotImplementedError
@@ -116,18 +125,24 @@ class Cached:
         raise NotImplementedError
 
     def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
+        return [ids for ids, _ in self.encode(texts)]
+
+    def encode(self, texts: Sequence[str], check: bool = False) -> list[tuple[np.ndarray, bool]]:
+        """Each text's ids and, if asked, whether their bytes give the text back (looked at once a word)."""
         of, parts = [], []
         for i, text in enumerate(texts):
             for part in chunks(text):
                 of.append(i)
                 parts.append(part)
         out: list[list[np.ndarray]] = [[] for _ in texts]
+        alike = [True] * len(texts)
         for a in range(0, len(parts), 64):
-            for i, ids in zip(of[a:a + 64], self._chunks(parts[a:a + 64]), strict=True):
+            for i, (ids, same) in zip(of[a:a + 64], self._chunks(parts[a:a + 64], check), strict=True):
                 out[i].append(ids)
-        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
+                alike[i] &= same
+        return [(x[0] if len(x) == 1 else np.concatenate(x), same) for x, same in zip(out, alike, strict=True)]
 
-    def _chunks(self, parts: list[str]) -> list[np.ndarray]:
+    def _chunks(self, parts: list[str], check: bool) -> list[tuple[np.ndarray, bool]]:
         if self.held > HELD:
             self._reset()
         split = [self.split(p) for p in parts]
@@ -135,16 +150,26 @@ class Cached:
         at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(s or () for s in split)), np.int64, sum(n))
         if len(self.numbers) > met:
             new = list(islice(reversed(self.numbers), len(self.numbers) - met))[::-1]
-            flat, lengths = [], []
-            for ids in self.learn(new):
+            flat, lengths, own = [], [], self.bytes
+            for n_word, (word, ids) in enumerate(zip(new, self.learn(new), strict=True), met):
                 flat += ids
                 lengths.append(len(ids))
+                if check and b"".join([own[i] for i in ids]) != self.spelled(word).encode():
+                    self.unlike.add(n_word)
             self.rows.append(flat, lengths)
             self.held += sum(map(len, new)) + 4 * len(flat) + 16 * len(new)
         ids, lengths = self.rows.take(at)
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(n)])]
-        return [np.array(self.exact(p), np.uint32) if s is None else ids[a:b]
-                for p, s, a, b in zip(parts, split, ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        words = np.concatenate([[0], np.cumsum(n)])
+        ends = np.concatenate([[0], np.cumsum(lengths)])[words]
+        odd = np.isin(at, list(self.unlike)) if self.unlike else np.zeros(0, bool)
+        out = []
+        for i, (part, found) in enumerate(zip(parts, split, strict=True)):
+            if found is None:
+                own = self.exact(part)
+                out.append((np.array(own, np.uint32), not check or self.same(own, part)))
+            else:
+                out.append((ids[ends[i]:ends[i + 1]], not (self.unlike and odd[words[i]:words[i + 1]].any())))
+        return out
 
 
 class ByteLevel(Cached):
@@ -236,6 +261,9 @@ class SentencePiece(Cached):
     def exact(self, text: str) -> list[int]:
         return self.whole.encode(text[1:], num_threads=1)
 
+    def spelled(self, word: str) -> str:
+        return " " + word
+
     def split(self, chunk: str) -> list[str] | None:
         return chunk[1:].split(" ") if self.words and "  " not in chunk and chunk[-1] != " " else None
 
