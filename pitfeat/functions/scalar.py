@@ -99,12 +99,21 @@ SPLIT_MULTIPLIER = 48271
 
 
 def split_bucket(key: str | Column, seed: int = 0, buckets: int = 10000) -> Column:
-    """Stable bucket in [0, buckets) of an integer key, independent of partitioning (M2)."""
+    """Stable bucket in [0, buckets) of an integer key, independent of partitioning (M2).
+
+    For keys of other types see ``split_bucket_text``.
+    """
     k = F.pmod(col_of(key).cast("bigint") + F.lit(seed), F.lit(SPLIT_MODULUS))
     h = F.pmod(k * F.lit(SPLIT_MULTIPLIER), F.lit(SPLIT_MODULUS))
     return F.pmod(h, F.lit(buckets))
 
 
+def split_bucket_text(key: str | Column, seed: int = 0, buckets: int = 10000) -> Column:
+    """Stable bucket in [0, buckets) of a key by the MD5 of its text (52 bits of it); NULL for a NULL key."""
+    h = F.md5(F.concat(F.lit(f"{seed}|"), col_of(key).cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint"), F.lit(buckets))
+
+
 # Fixed values of the test fixture's deterministic stand-in for the random
 # placeholder distance (FIXTURES.md): 1 + (7919*a + 104729*b) % 250.
 DISTANCE_SQL = (

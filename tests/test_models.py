@@ -1,0 +1,179 @@
+"""Shapley values, selection by them, and the histogram tree against plain Python."""
+
+from itertools import combinations
+from math import factorial
+
+import numpy as np
+import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from pitfeat.plans import ml as M
+from pitfeat.plans import shap as SH
+from pitfeat.plans.binned import NULL_BIN, BinnedTree, fit_binned_tree
+
+
+def known_value(tree, x, known, at=0):
+    """A tree's value with only the features in ``known``."""
+    if tree.left[at] < 0:
+        return tree.value[at]
+    children = (tree.left[at], tree.right[at])
+    if tree.feature[at] in known:
+        return known_value(tree, x, known, children[0] if x[tree.feature[at]] <= tree.threshold[at] else children[1])
+    return sum(tree.cover[c] / tree.cover[at] * known_value(tree, x, known, c) for c in children)
+
+
+def enumerated(tree, x, n):
+    """Shapley values by their definition."""
+    out = np.zeros(n)
+    for i in range(n):
+        others = [j for j in range(n) if j != i]
+        for size in range(n):
+            w = factorial(size) * factorial(n - size - 1) / factorial(n)
+            for c in combinations(others, size):
+                out[i] += w * (known_value(tree, x, {*c, i}) - known_value(tree, x, set(c)))
+    return out
+
+
+def random_tree(r, n, depth):
+    nodes = []
+
+    def grow(level, cover):
+        at = len(nodes)
+        nodes.append(None)
+        if level == depth or r.random() < 0.15 and level:
+            nodes[at] = (-1, 0.0, -1, -1, float(r.normal()), cover)
+        else:
+            part = float(r.uniform(0.1, 0.9))
+            left = grow(level + 1, cover * part)
+            right = grow(level + 1, cover * (1 - part))
+            nodes[at] = (int(r.integers(n)), float(r.normal()), left, right, 0.0, cover)
+        return at
+
+    grow(0, 100.0)
+    return SH.Tree(*zip(*nodes))
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 4, 5])
+def test_shap_equals_enumeration_of_coalitions(depth):
+    r = np.random.default_rng(depth)
+    for _ in range(4):
+        trees, n = [random_tree(r, 4, depth) for _ in range(3)], 4
+        weights = [1.0, 0.5, -2.0]
+        x = r.normal(size=(25, n))
+        values, margin = SH.shap_batch(x, trees, weights)
+        for row, got, m in zip(x, values, margin):
+            want = sum(w * enumerated(t, row, n) for t, w in zip(trees, weights))
+            assert np.allclose(got, want)
+            assert np.isclose(m, sum(w * known_value(t, row, set(range(n))) for t, w in zip(trees, weights)))
+            # values add up to the margin less what is known without any feature
+            assert np.isclose(got.sum(), m - sum(w * t.expected for t, w in zip(trees, weights)))
+
+
+@pytest.fixture(scope="module")
+def numbers(spark):
+    r = np.random.default_rng(3)
+    x = r.normal(size=(800, 5))
+    y = (x[:, 0] + 0.7 * x[:, 2] * (x[:, 1] > 0) + 0.2 * r.normal(size=800) > 0).astype(float)
+    rows = [(*map(float, v), float(t)) for v, t in zip(x, y)]
+    return spark.createDataFrame(rows, "a double, b double, c double, d double, e double, y double").repartition(3).cache()
+
+
+def test_shap_of_a_fitted_ensemble(numbers):
+    names = list("abcde")
+    model = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="v"), GBTClassifier(labelCol="y", featuresCol="v", maxIter=4, maxDepth=3, seed=1)]).fit(numbers)
+    trees, weights = SH.trees_of(model.stages[-1])
+    assert len(trees) == 4 and all(t.cover[0] == 800 for t in trees)
+    got = SH.shap_values(model.transform(numbers).select(*names, "rawPrediction"), names, trees, weights)
+    for r in got.limit(30).collect():
+        assert r[SH.MARGIN] == pytest.approx(r["rawPrediction"][1])
+        want = sum(w * enumerated(t, [r[n] for n in names], 5) for t, w in zip(trees, weights))
+        assert np.allclose(r[SH.SHAP], want)
+
+
+def test_selection_by_shap_keeps_what_decides(numbers):
+    out = M.select_features(numbers, numbers, "y", ["b", "c", "d", "e"], always=["a"], k=2, max_iter=6, steps=2, max_depth=3).orderBy("rank").collect()
+    assert {r["feature"] for r in out if r["selected"]} == {"b", "c"}
+    assert [r["rank"] for r in out] == [1, 2, 3, 4] and [r["eliminated_at"] for r in out] == [None, None, 1, 0]
+    assert all(0 <= r["importance"] <= 1 and 0 < r["eval_loss"] < 1 and r["eval_auc"] > 0.9 for r in out)
+    old = M.select_features(numbers, numbers, "y", ["b", "c", "d", "e"], always=["a"], k=2, max_iter=3, max_depth=3, by="impurity").collect()
+    assert sum(r["selected"] for r in old) == 2 and all(r["eval_loss"] is None for r in old)
+    with pytest.raises(ValueError):
+        M.select_features(numbers, numbers.limit(0), "y", ["b", "c", "d"], k=2, max_iter=2)
+    with pytest.raises(ValueError):
+        M.select_features(numbers, numbers, "y", ["b", "c", "d"], k=2, by="chance")
+
+
+def test_elimination_order_by_plain_losses(numbers):
+    """The order in which candidates go, by taking their values out of the margins one after the other."""
+    model = Pipeline(stages=[*M._prep(list("abcde"), True), GBTClassifier(labelCol="y", featuresCol=M.FEATURES_COL, maxIter=3, maxDepth=3, seed=1)]).fit(numbers)
+    scores, loss, dropped = M._least_missed(numbers, model, "y", list("abcde"), list("bcde"), 3)
+    trees, weights = SH.trees_of(model.stages[-1])
+    rows = numbers.collect()
+    values, margin = SH.shap_batch(np.array([r[:5] for r in rows]), trees, weights)
+    sign = np.where(np.array([r["y"] for r in rows]) > 0.5, 1.0, -1.0)
+    logistic = lambda m: np.log1p(np.exp(-2 * sign * m)).mean()
+    assert loss == pytest.approx(logistic(margin))
+    left, m, want = list("bcde"), margin, []
+    for _ in range(3):
+        out = min(left, key=lambda f: (logistic(m - values[:, "abcde".index(f)]), f))
+        m = m - values[:, "abcde".index(out)]
+        left.remove(out)
+        want.append(out)
+    assert dropped == want and sum(scores.values()) == pytest.approx(1)
+
+
+def plain_tree(rows, features, low, width, bins, depth):
+    """Splits of the histogram tree by trying all of them; rows are (bins by feature, label)."""
+    splits, nodes = {}, {1: rows}
+    for level in range(depth):
+        for at in [n for n in nodes if 2 ** level <= n < 2 ** (level + 1)]:
+            own, best = nodes[at], None
+            gini = lambda part: (sum(y for _, y in part) ** 2 + sum(1 - y for _, y in part) ** 2) / len(part)
+            for i, f in enumerate(features):
+                for b in sorted({x[f] for x, _ in own}):
+                    left, right = [r for r in own if r[0][f] <= b], [r for r in own if r[0][f] > b]
+                    if right and gini(left) + gini(right) > gini(own) and (best is None or gini(left) + gini(right) > best[0] + 1e-12):
+                        best = (gini(left) + gini(right), f, b, left, right)
+            if best:
+                splits[at], nodes[2 * at], nodes[2 * at + 1] = best[1:3], best[3], best[4]
+    return splits
+
+
+def test_binned_tree_against_all_splits(spark, tmp_path):
+    r = np.random.default_rng(8)
+    rows = [(float(a) if a < 9 else None, float(b), 2.5, int(a + b + r.normal() > 6), "t") for a, b in r.integers(0, 10, (400, 2))]
+    rows += [(1.0, 2.0, 2.5, None, "t")]
+    df = spark.createDataFrame(rows, "a double, b double, flat double, y int, text string").repartition(4)
+    tree = fit_binned_tree(df, "y", ["flat", "a", "b"], max_depth=3, bins=4)
+    assert tree.width["flat"] == 0 and tree.low["a"] == 0
+    binned = [{f: 0 if f == "flat" else NULL_BIN if v is None else min(3, int((v - tree.low[f]) / tree.width[f])) for f, v in zip(("a", "b", "flat"), x)} for *x, y, _ in rows if y is not None]
+    plain = list(zip(binned, [x[3] for x in rows if x[3] is not None]))
+    assert tree.splits == plain_tree(plain, tree.features, tree.low, tree.width, 4, 3) and len(tree.splits) >= 5
+    assert sum(n for n, _ in tree.leaves.values()) == 400
+    scored = tree.transform(df).collect()
+    right = [x["prediction"] == x["y"] for x in scored if x["y"] is not None]
+    assert np.mean(right) > 0.8 and all(0 <= x["score"] <= 1 for x in scored)
+    path = str(tmp_path / "tree")
+    tree.save(spark, path)
+    assert BinnedTree.load(spark, path) == tree
+
+
+def test_binned_tree_of_little(spark):
+    df = spark.createDataFrame([(1.0, 1)], "a double, y int")
+    tree = fit_binned_tree(df, "y", ["a"])
+    assert tree.splits == {} and tree.transform(df).first()["score"] == 1.0
+    none = fit_binned_tree(df.limit(0), "y", ["a"])
+    assert none.leaves == {} and none.transform(df).first()["score"] is None
+    rows = spark.createDataFrame([(float(i), i % 2) for i in range(20)], "a double, y int")
+    assert all(n >= 5 for n, _ in fit_binned_tree(rows, "y", ["a"], min_rows=5).leaves.values())
+
+
+def test_split_on_a_text_key(spark):
+    df = spark.createDataFrame([(f"k{i % 500}", i) for i in range(2000)] + [(None, -1)], "k string, i int")
+    train, test = M.split(df, "k", 0.8)
+    a, b = ({x["k"] for x in d.collect()} for d in (train, test))
+    assert not a & b and len(a | b) == 500 and 360 < len(a) < 440 and train.count() + test.count() == 2000
+    assert {x["k"] for x in M.split(df.repartition(7).where(F.col("i") > 900), "k", 0.8)[0].collect()} <= a
