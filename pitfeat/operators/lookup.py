@@ -19,7 +19,8 @@ As-of plan (``strategy="union"``, the default; SURVEY 4.3.3 made skew-proof):
    calendar days. Finer times (``bucket`` given, or ``"auto"`` with timestamps)
    cut keys into (key, time bucket) groups; a point without a row in its bucket
    takes the last row of the latest earlier bucket, found by a window over one
-   row per (key, bucket), so one key with a huge history spreads over many tasks;
+   row per (key, bucket), so one key with a huge history spreads over many tasks,
+   and a bucket with very many rows of one key is cut further at quantiles of its times;
 3. the spine rows are re-attached by an equi-join on (key, time), which AQE's
    skew join can split when one point is hot; duplicate spine rows survive.
 
@@ -29,7 +30,8 @@ window pass, one join back), however many right tables there are.
 ``strategy="broadcast"`` packs each right key's rows into an array, broadcasts
 it after checking its row count, and picks the latest qualifying element with
 ``array_max(filter(..))``: no shuffle of the spine at all. Beyond the limit it
-falls back to the union plan.
+falls back to the union plan. ``strategy="packed"``, for streaming spines, has no
+window over the spine: two equi joins against chunks of each key's versions.
 
 For a few requests, ``prefilter=True`` first cuts every right table to the
 spine's keys with a semi-join, so serving does not shuffle whole feature tables
@@ -45,9 +47,12 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import granule
+from ..functions.scalar import epoch_seconds
+from .buckets import HOT_ROWS, time_buckets
 
 DEFAULT_BUCKET = _dt.timedelta(days=1)
+#: Versions in a chunk, and chunks in a directory row, of the windowless as-of join.
+CHUNK_ROWS = 1_000
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_PER_KEY = 1_000
 DEFAULT_SMALL_SPINE = 100_000
@@ -178,10 +183,13 @@ def lookup_interval(spine: DataFrame, right: DataFrame, lookup_key, right_key, s
     ``build_scd2`` produces; ``quality.validate_versions`` lists overlaps). Its
     name states that contract. Zero-length versions never match.
 
-    ``strategy="join"`` is the literal equi-join with the range as a residual
-    condition: every version overlapping ``t`` matches (a spine row may
-    repeat). It compares each spine row with all versions of its key, so keep
-    it for keys with few versions.
+    ``strategy="join"`` is the literal range join: every version that holds
+    ``t`` matches (a spine row may repeat where versions overlap). Versions are dealt
+    by length into levels of spans (1 second, doubling), each into the one or two spans
+    of its level that it touches; a spine row looks into one span per level that the right
+    table has, so an equi-join on (key, level, span) leaves only versions whose length
+    reaches about as far as the span, and none is compared with all of its key's.
+    Open versions end with the last time of the spine.
     """
     lk, rk, feats = _ls(lookup_key), _ls(right_key), _ls(features)
     _check(spine, lk + [spine_time], "spine")
@@ -198,14 +206,41 @@ def lookup_interval(spine: DataFrame, right: DataFrame, lookup_key, right_key, s
                           *[F.when(ok, F.col(n)).alias(n) for n in names])
     if strategy != "join":
         raise ValueError("strategy must be 'asof_nonoverlapping' or 'join'")
-    r = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rk)],
-                     F.col(valid_from).alias("__vf"), F.col(valid_to).alias("__vt"),
+    return _interval_join(spine, right, lk, rk, spine_time, valid_from, valid_to, feats, names)
+
+
+#: Levels of spans: level n has spans of 2 ** n seconds; the last holds all longer versions in one span.
+LEVELS = 34
+
+
+def _interval_join(spine: DataFrame, right: DataFrame, lk: list[str], rk: list[str], spine_time: str,
+                   valid_from: str, valid_to: str, feats: list[str], names: list[str]) -> DataFrame:
+    """All versions with ``valid_from <= t < valid_to`` per spine row, by spans of time."""
+    types, rtypes = dict(spine.dtypes), dict(right.dtypes)
+    r = right.select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(rk)], F.col(valid_from).alias("__vf"), F.col(valid_to).alias("__vt"),
                      *[F.col(f).alias(n) for f, n in zip(feats, names)])
-    t = spine[spine_time]
-    cond = _and([spine[k] == r[f"__rk{i}"] for i, k in enumerate(lk)]
-                + [r["__vf"] <= t, r["__vt"].isNull() | (t < r["__vt"])])
-    return spine.join(r, cond, "left").select(*[spine[c] for c in spine.columns],
-                                              *[r[n] for n in names])
+    r = r.where(_and([F.col(f"__rk{i}").isNotNull() for i in range(len(rk))]) & F.col("__vf").isNotNull()
+                & (F.col("__vt").isNull() | (F.col("__vf") < F.col("__vt"))))
+    start, end = (epoch_seconds(c, rtypes[n]) for c, n in (("__vf", valid_from), ("__vt", valid_to)))
+    length = F.log2((end - start + 1).cast("double"))  # of the seconds it may touch
+    level = F.when(F.col("__vt").isNull(), F.lit(LEVELS)).otherwise(F.least(F.ceil(length), F.lit(LEVELS))).cast("int")
+    r = r.withColumn("__level", level)
+    size = F.expr("shiftleft(1L, __level)")
+    span = lambda x: F.when(F.col("__level") == LEVELS, F.lit(0)).otherwise(F.floor(x / size)).cast("bigint")
+    r = r.withColumn("__span", F.explode(F.array_distinct(F.array(span(start), F.coalesce(span(end), F.lit(0).cast("bigint"))))))
+    used = r.select(F.collect_set("__level")).scalar()  # LEVELS + 1 numbers at most
+    ks = [f"__k{i}" for i in range(len(lk))]
+    points = spine.select(*[F.col(k).alias(kk) for k, kk in zip(lk, ks)], F.col(spine_time).alias("__t"))
+    points = points.where(_and([F.col(c).isNotNull() for c in ks + ["__t"]])).distinct()
+    look = points.withColumn("__used", used).withColumn("__look", F.explode("__used"))
+    look = look.withColumn("__place", F.when(F.col("__look") == LEVELS, F.lit(0)).otherwise(
+        F.floor(epoch_seconds("__t", types[spine_time]) / F.expr("shiftleft(1L, __look)"))).cast("bigint"))
+    held = _and([F.col(kk) == F.col(f"__rk{i}") for i, kk in enumerate(ks)]
+                + [F.col("__look") == F.col("__level"), F.col("__place") == F.col("__span"),
+                   F.col("__vf") <= F.col("__t"), F.col("__vt").isNull() | (F.col("__t") < F.col("__vt"))])
+    got = look.join(r, held).select(*ks, "__t", *names)
+    same = _and([spine[k] == got[kk] for k, kk in zip(lk, ks)] + [spine[spine_time] == got["__t"]])
+    return spine.join(got, same, "left").select(*[spine[c] for c in spine.columns], *[got[n] for n in names])
 
 
 # --------------------------------------------------------------------------
@@ -254,12 +289,16 @@ def _value_struct(r: AsOfRight, idx: int) -> Column:
 def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine_time: str,
                 strategy: str = "union", bucket: _dt.timedelta | str | None = "auto",
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                max_per_key: int = DEFAULT_MAX_PER_KEY, prefilter=False) -> DataFrame:
+                max_per_key: int = DEFAULT_MAX_PER_KEY, prefilter=False,
+                hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Latest right row with ``time <= spine_time`` per spine row, for each right table.
 
     ``strategy="broadcast"`` is taken only when every right table has at most
     ``max_broadcast_rows`` rows and at most ``max_per_key`` rows per key (each
-    spine row scans its key's array); otherwise the union plan runs.
+    spine row scans its key's array); otherwise the union plan runs. There a
+    (key, time bucket) of more than ``hot_rows`` rows is cut at quantiles of its
+    times (``operators.buckets``). ``strategy="packed"`` also takes a streaming spine
+    (``_asof_chunks``).
     """
     lk = _ls(lookup_key)
     _check(spine, lk + [spine_time], "spine")
@@ -277,7 +316,7 @@ def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine
         # no window: also valid when the spine is a stream (stream-static join)
         out = spine
         for i, r in enumerate(rights):
-            out = _asof_packed(out, r, lk, spine_time, i, broadcast=False)
+            out = _asof_chunks(out, r, lk, spine_time, i, hot_rows=hot_rows)
         return out
     if strategy == "broadcast":
         if all(_fits(r.df, max_broadcast_rows, r.key, max_per_key) for r in rights):
@@ -287,10 +326,10 @@ def lookup_asof(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine
             return out
         strategy = "packed" if spine.isStreaming else "union"
         if strategy == "packed":
-            return lookup_asof(spine, rights, lk, spine_time, strategy="packed")
+            return lookup_asof(spine, rights, lk, spine_time, strategy="packed", hot_rows=hot_rows)
     if strategy != "union":
         raise ValueError("strategy must be 'union', 'broadcast' or 'packed'")
-    return _asof_union(spine, list(rights), lk, spine_time, bucket, prefilter)
+    return _asof_union(spine, list(rights), lk, spine_time, bucket, prefilter, hot_rows)
 
 
 def _fits(df: DataFrame, max_rows: int, key: Sequence[str] | None = None,
@@ -305,32 +344,74 @@ def _fits(df: DataFrame, max_rows: int, key: Sequence[str] | None = None,
     return True
 
 
-def _asof_packed(spine: DataFrame, r: AsOfRight, lk: list[str], spine_time: str, i: int,
-                 broadcast: bool = True) -> DataFrame:
-    """Join each spine row to its key's packed rows; keep the latest at or before t."""
+def _latest_per_time(r: AsOfRight, i: int) -> DataFrame:
+    """``__rk0..``, ``__t`` and ``__v``: the tie-broken latest row per (key, time)."""
     v = _value_struct(r, i)
     keyed = r.df.where(_and([F.col(k).isNotNull() for k in r.key] + [F.col(r.time).isNotNull()]))
+    return keyed.groupBy(*[F.col(k).alias(f"__rk{j}") for j, k in enumerate(r.key)], F.col(r.time).alias("__t")).agg(F.max(v).alias("__v"))
+
+
+def _asof_packed(spine: DataFrame, r: AsOfRight, lk: list[str], spine_time: str, i: int) -> DataFrame:
+    """Broadcast each key's rows as one array; keep the latest at or before t.
+
+    For right tables whose rows, in all and per key, have been counted (``_fits``).
+    """
     rks = [f"__rk{j}" for j in range(len(r.key))]
-    # first the tie-broken latest row per (key, time): each key's array then holds
-    # one entry per distinct time (per calendar day for DATE tables)
-    per_time = keyed.groupBy(*[F.col(k).alias(rk) for k, rk in zip(r.key, rks)], F.col(r.time).alias("__t")) \
-        .agg(F.max(v).alias("__v"))
-    packed = per_time.groupBy(*rks).agg(F.collect_list("__v").alias("__arr"))
+    packed = _latest_per_time(r, i).groupBy(*rks).agg(F.collect_list("__v").alias("__arr"))
     t = spine[spine_time]
     cond = _and([spine[k] == packed[f"__rk{j}"] for j, k in enumerate(lk)])
-    j = spine.join(F.broadcast(packed) if broadcast else packed, cond, "left")
+    j = spine.join(F.broadcast(packed), cond, "left")
     pick = F.array_max(F.filter(F.col("__arr"), (lambda x: x["t"] < t) if r.strict else (lambda x: x["t"] <= t)))
     return j.select(*[spine[c] for c in spine.columns],
                     *[pick["f"][n].alias(n) for n in r.names()])
 
 
+def _asof_chunks(spine: DataFrame, r: AsOfRight, lk: list[str], spine_time: str, i: int,
+                 hot_rows: int | None = HOT_ROWS, chunk: int | None = None, fan: int | None = None) -> DataFrame:
+    """As-of join without a window over the spine, so also for a streaming one.
+
+    Each key's versions are numbered in time order (inside bounded time buckets, plus
+    the buckets before) and cut into chunks of ``chunk``; chunks are listed in directory
+    rows of ``fan`` first times each. A spine row joins the directory row whose
+    time range holds it, finds its chunk there, joins that chunk and picks: two equi
+    joins, at most one match each, and no array longer than ``chunk`` or ``fan``,
+    however long a key's history is.
+    """
+    chunk, fan = chunk or CHUNK_ROWS, fan or CHUNK_ROWS
+    rks = [f"__rk{j}" for j in range(len(r.key))]
+    rows = time_buckets(_latest_per_time(r, i), rks, "__t", DEFAULT_BUCKET, hot_rows)
+    sums = rows.groupBy(*[F.col(k).alias(f"__s{k}") for k in (*rks, "__b")]).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(*[f"__s{k}" for k in rks]).orderBy("__s__b").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    rows = rows.join(sums, _and([F.col(k) == F.col(f"__s{k}") for k in (*rks, "__b")]))
+    inside = Window.partitionBy(*rks, "__b").orderBy("__t")
+    number = F.col("__before") + F.row_number().over(inside) - 1
+    rows = rows.select(*rks, "__t", "__v", F.floor(number / F.lit(chunk)).cast("bigint").alias("__c"))
+    chunks = rows.groupBy(*rks, "__c").agg(F.collect_list("__v").alias("__arr"), F.min("__t").alias("__lo"))
+    listed = chunks.groupBy(*rks, F.floor(F.col("__c") / F.lit(fan)).alias("__d")).agg(
+        F.collect_list(F.struct(F.col("__lo").alias("lo"), F.col("__c").alias("c"))).alias("__dir"), F.min("__lo").alias("__from"))
+    listed = listed.select(*[F.col(k).alias(f"__d{k}") for k in rks], "__dir", "__from",
+                           F.lead("__from").over(Window.partitionBy(*rks).orderBy("__d")).alias("__to"))
+    t = spine[spine_time]
+    reached = (lambda x: x < t) if r.strict else (lambda x: x <= t)
+    at = _and([spine[k] == listed[f"__d{rk}"] for k, rk in zip(lk, rks)]
+              + [reached(listed["__from"]), listed["__to"].isNull() | ~reached(listed["__to"])])
+    place = F.array_max(F.filter(F.col("__dir"), lambda x: reached(x["lo"])))["c"]
+    found = spine.join(listed, at, "left").select(*[spine[c] for c in spine.columns], place.alias("__at"))
+    chunks = chunks.select(*[F.col(k).alias(f"__c{k}") for k in rks], F.col("__c").alias("__cc"), "__arr")
+    same = _and([found[k] == chunks[f"__c{rk}"] for k, rk in zip(lk, rks)] + [found["__at"] == chunks["__cc"]])
+    t = found[spine_time]
+    pick = F.array_max(F.filter(F.col("__arr"), (lambda x: x["t"] < t) if r.strict else (lambda x: x["t"] <= t)))
+    return found.join(chunks, same, "left").select(*[found[c] for c in spine.columns], *[pick["f"][n].alias(n) for n in r.names()])
+
+
 def _time_type(df: DataFrame, col: str) -> str:
     return dict(df.dtypes)[col]
 
 
 def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_time: str,
-                bucket, prefilter=False) -> DataFrame:
-    got = asof_point_features(spine, rights, lk, spine_time, bucket, prefilter)
+                bucket, prefilter=False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    got = asof_point_features(spine, rights, lk, spine_time, bucket, prefilter, hot_rows)
     ks = [f"__k{i}" for i in range(len(lk))]
     cond = _and([spine[k] == got[kk] for k, kk in zip(lk, ks)] + [spine[spine_time] == got["__t"]])
     j = spine.join(got, cond, "left")
@@ -338,7 +419,7 @@ def _asof_union(spine: DataFrame, rights: list[AsOfRight], lk: list[str], spine_
 
 
 def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_key, spine_time: str,
-                        bucket="auto", prefilter=False) -> DataFrame:
+                        bucket="auto", prefilter=False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """The as-of features at every distinct (key, time) point of ``spine``,
     before any re-attach: columns ``__k0..``, ``__t`` and the feature names.
     With ``prefilter=True`` the right tables are first cut to the spine's keys
@@ -381,7 +462,7 @@ def asof_point_features(spine: DataFrame, rights: Sequence[AsOfRight], lookup_ke
 
     group = list(ks)
     if bucket is not None:
-        rows = rows.withColumn("__b", granule(F.col("__t"), bucket))
+        rows = time_buckets(rows, ks, "__t", bucket, hot_rows)
         group.append("__b")
     w = Window.partitionBy(*group).orderBy("__t", "__o")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)

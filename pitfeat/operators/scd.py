@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import granule
+from .buckets import HOT_ROWS, time_buckets
 
 DEFAULT_BUCKET = _dt.timedelta(days=1)
 
@@ -20,7 +20,7 @@ def _ls(v) -> list[str]:
 def build_scd2(changes: DataFrame, key, at: str, attrs: Sequence[str],
                order_by: Sequence[str] = (), bucket: _dt.timedelta = DEFAULT_BUCKET,
                valid_from: str = "valid_from", valid_to: str = "valid_to",
-               current: str = "is_current") -> DataFrame:
+               current: str = "is_current", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Chain a change log into versions: ``valid_to`` is the next change's time.
 
     Each change opens a version ``[at, next at)``; the last one per key is open
@@ -29,21 +29,22 @@ def build_scd2(changes: DataFrame, key, at: str, attrs: Sequence[str],
     yields a zero-length version, which interval lookups never match.
 
     Plan: ``lead`` within (key, time bucket) groups, so one key with a huge
-    history is cut into many tasks; the last change of a bucket takes the first
+    history is cut into many tasks (a bucket of more than ``hot_rows`` changes at
+    quantiles of its times, ``operators.buckets``); the last change of a bucket takes the first
     change of the next non-empty bucket, found on a per-(key, bucket) aggregate
     (one row per bucket) with a second, tiny window.
     """
     keys = _ls(key)
     rows = changes.select(*keys, at, *[c for c in order_by if c not in keys and c != at],
                           *[a for a in attrs if a not in keys and a != at and a not in order_by])
-    j = next_time(rows, keys, at, order_by, bucket)
+    j = next_time(rows, keys, at, order_by, bucket, hot_rows)
     vt = F.col("__next")
     return j.select(*keys, *[a for a in attrs if a not in keys], F.col(at).alias(valid_from),
                     vt.alias(valid_to), vt.isNull().cast("bigint").alias(current))
 
 
 def next_time(df: DataFrame, key, at: str, order_by: Sequence[str] = (),
-              bucket: _dt.timedelta = DEFAULT_BUCKET) -> DataFrame:
+              bucket: _dt.timedelta = DEFAULT_BUCKET, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """``df`` (rows with a key and a time) plus ``__next``: the time of the next
     row of the same key in (time, ``order_by``) order, NULL for the last.
 
@@ -57,7 +58,7 @@ def next_time(df: DataFrame, key, at: str, order_by: Sequence[str] = (),
     rows = df.where(F.col(at).isNotNull())
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
-    rows = rows.withColumn("__b", granule(F.col(at), bucket))
+    rows = time_buckets(rows, keys, at, bucket, hot_rows)
     w = Window.partitionBy(*keys, "__b").orderBy(F.col(at), *ob)
     inner = rows.withColumn("__next_in", F.lead(at).over(w))
     firsts = rows.groupBy(*keys, "__b").agg(F.min(at).alias("__first"))

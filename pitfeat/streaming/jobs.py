@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalar import instant_to_ntz, ntz_to_instant
-from ..operators.lookup import (DEFAULT_BROADCAST_ROWS, DEFAULT_MAX_PER_KEY, AsOfRight, _asof_packed,
-                                _fits)
+from ..operators.lookup import (DEFAULT_BROADCAST_ROWS, DEFAULT_MAX_PER_KEY, AsOfRight, _asof_chunks,
+                                _asof_packed, _fits)
 from ..operators.scd import latest_snapshot
 
 
@@ -114,25 +114,28 @@ def enrich_stream(stream: DataFrame, rights: Sequence[AsOfRight], lookup_key, ti
                   broadcast: bool | str = False) -> DataFrame:
     """As-of features for each streamed request, from static tables.
 
-    Each static table is reduced to its latest row per (key, time), packed per
-    key and joined to the stream on the key; the latest row at or before the
-    request time is picked with ``array_max(filter(..))``. A packed side is
-    broadcast (the stream is then never shuffled) only where the caller asks for
-    it with ``broadcast="auto"`` and it passes the size check (at most 2 M rows
-    and 1,000 per key, a job); by default Spark chooses the join.
+    Each static table is reduced to its latest row per (key, time) and cut into
+    chunks of bounded length per key; a request finds its chunk in a directory of
+    first times and picks the latest row at or before its time there: two
+    equi joins, no array over a key's whole history (``lookup._asof_chunks``). One
+    packed array per key is broadcast instead (the stream is then never
+    shuffled) only where the caller asks for it with ``broadcast="auto"`` and the
+    table passes the size check (at most 2 M rows and 1,000 per key, a job).
     """
     lk = _ls(lookup_key)
     out = stream
     for i, r in enumerate(rights):
-        b = _fits(r.df, DEFAULT_BROADCAST_ROWS, r.key, DEFAULT_MAX_PER_KEY) if broadcast else False
-        out = _asof_packed(out, r, lk, time, i, broadcast=b)
+        if broadcast and _fits(r.df, DEFAULT_BROADCAST_ROWS, r.key, DEFAULT_MAX_PER_KEY):
+            out = _asof_packed(out, r, lk, time, i)
+        else:
+            out = _asof_chunks(out, r, lk, time, i)
     return out
 
 
 def enrich_with_spec(stream: DataFrame, spec, tables, model=None) -> DataFrame:
     """Apply a whole ``FeatureSpec`` to a request stream: exact lookups become
-    stream-static LEFT joins, as-of lookups the packed plan (broadcast when the
-    static side passes the size check), functions Column expressions; features
+    stream-static LEFT joins, as-of lookups the chunked plan of
+    ``enrich_stream``, functions Column expressions; features
     the request already carries are kept (override). With ``model`` (a
     ``plans.client.PackagedModel``) each request is also scored in the stream."""
     from ..plans.training import apply_spec
