@@ -6,6 +6,11 @@ one row per (key, granule) instead of over raw facts:
 * ``partials``: ordinary aggregates per (key, granule), map-side combined;
 * ``merge``: a window aggregate of those partials over the frame.
 
+Sums and counts of whole numbers (money as its unscaled long) are invertible: a
+frame's value is the running value at its end less the one before its start, two
+frames that only grow, so the cost of a row does not depend on the window's length.
+Sketches, minima and maxima, and sums of floating numbers, slide.
+
 Every merge yields the answer the raw-row aggregate would give over the same
 frame (sum, count, min and max are exact; avg is ``double(sum) / count`` of the
 exact decimal sum, unrounded).
@@ -36,6 +41,12 @@ class AggFunction:
     # True when ``merge`` takes ``scale``: the source may then be a decimal
     # carried as its unscaled long (exact, and faster in sliding frames)
     scaled: bool = False
+    # (column name, upto, before[, scale]) -> merged value as a difference of two
+    # running frames, for partials that are whole numbers; None where none exists
+    differ: Callable[..., Column] | None = None
+    # True when ``differ`` needs the column itself to be a whole number (an
+    # unscaled decimal or an integer), not only its counts
+    whole: bool = False
 
 
 def _sum_p(c: Column) -> Column:
@@ -93,14 +104,37 @@ def _merge_hll(col: str, w: WindowSpec, scale: int = 0) -> Column:
     return F.coalesce(est, F.lit(0).cast("bigint"))
 
 
+def _running(f: Callable[[str], Column], partial: str, upto: WindowSpec, before: WindowSpec) -> Column:
+    zero = F.lit(0).cast("bigint")
+    return F.coalesce(f(partial).over(upto), zero) - F.coalesce(f(partial).over(before), zero)
+
+
+def _differ_sum(col: str, upto: WindowSpec, before: WindowSpec, scale: int = 0) -> Column:
+    p = pname("sum", col)  # NULL where the granule has no value
+    return F.when(_running(F.count, p, upto, before) > 0, _unscale(_running(F.sum, p, upto, before), scale))
+
+
+def _differ_count(col: str, upto: WindowSpec, before: WindowSpec, scale: int = 0) -> Column:
+    return _running(F.sum, pname("count", col), upto, before)
+
+
+def _differ_avg(col: str, upto: WindowSpec, before: WindowSpec, scale: int = 0) -> Column:
+    n = _running(F.sum, pname("count", col), upto, before).cast("double")
+    return F.when(n > 0, _unscale(_running(F.sum, pname("sum", col), upto, before), scale).cast("double") / n)
+
+
+def _differ_active(col: str, upto: WindowSpec, before: WindowSpec, scale: int = 0) -> Column:
+    return _running(F.sum, pname("active", col), upto, before)
+
+
 REGISTRY: dict[str, AggFunction] = {
-    "sum": AggFunction("sum", {"sum": _sum_p}, _merge_sum, scaled=True),
-    "count": AggFunction("count", {"count": _count_p}, _merge_count, 0, "bigint", scaled=True),
-    "avg": AggFunction("avg", {"sum": _sum_p, "count": _count_p}, _merge_avg, scaled=True),
+    "sum": AggFunction("sum", {"sum": _sum_p}, _merge_sum, scaled=True, differ=_differ_sum, whole=True),
+    "count": AggFunction("count", {"count": _count_p}, _merge_count, 0, "bigint", scaled=True, differ=_differ_count),
+    "avg": AggFunction("avg", {"sum": _sum_p, "count": _count_p}, _merge_avg, scaled=True, differ=_differ_avg, whole=True),
     "min": AggFunction("min", {"min": F.min}, _merge_min, scaled=True),
     "max": AggFunction("max", {"max": F.max}, _merge_max, scaled=True),
     "active_days": AggFunction("active_days", {"active": _active_p}, _merge_active, 0, "bigint",
-                               scaled=True),
+                               scaled=True, differ=_differ_active),
     "approx_count_distinct": AggFunction(
         "approx_count_distinct", {"hll": _hll_p}, _merge_hll, 0, "bigint", scaled=True),
 }

@@ -31,6 +31,7 @@ from ..functions import aggregates as aggreg
 from ..functions.scalar import granule, granule_start
 from ..specs import DAY as DAY_TD
 from ..specs import Agg, AggregateSpec, Lookback
+from .dyadic import distinct_counts
 
 G, B, PT, FT = "__g", "__b", "__pt", "__ft"
 
@@ -128,13 +129,27 @@ def _with_halo(rows: DataFrame, spec: AggregateSpec, width: int) -> DataFrame:
     return rows.withColumn(B, F.explode(F.sequence(_home(width), reach)))
 
 
+#: Granules from which a window's distinct counts are unions of dyadic blocks of sketches.
+LONG_SKETCH = 64
+#: Granules from which a window's sums and counts are differences of running values.
+LONG_WINDOW = 32
+
+
 def _frame_features(spec: AggregateSpec, base, scales: dict[str, int]) -> list[Column]:
-    """Every aggregate as a RANGE frame over ``base``; one Window node holds them all."""
+    """Every aggregate as a RANGE frame over ``base``; one Window node holds them all.
+
+    Invertible aggregates over at least LONG_WINDOW granules are differences of two growing
+    frames, which Spark keeps up row by row; others slide over their frame's rows.
+    """
     feats = []
     for a in spec.aggs:
         lo, hi = a.window.frame(spec.granularity)
         fn = aggreg.get(a.fn)
-        v = _merge(a, spec, base.rangeBetween(lo, hi), scales).cast(fn.result_type)
+        if fn.differ and hi - lo + 1 >= LONG_WINDOW and (a.column in scales or not fn.whole):
+            upto, before = (base.rangeBetween(Window.unboundedPreceding, e) for e in (hi, lo - 1))
+            v = fn.differ(a.column, upto, before, scales.get(a.column, 0)).cast(fn.result_type)
+        else:
+            v = _merge(a, spec, base.rangeBetween(lo, hi), scales).cast(fn.result_type)
         if a.default is not None:
             v = F.coalesce(v, F.lit(a.default).cast(fn.result_type))
         feats.append(v.alias(a.output_name(spec.granularity)))
@@ -143,7 +158,20 @@ def _frame_features(spec: AggregateSpec, base, scales: dict[str, int]) -> list[C
 
 def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None,
               scales: dict[str, int] | None = None) -> DataFrame:
-    """Evaluate all aggregates at rows flagged ``__pt``; keys, ``__g``, features."""
+    """Evaluate all aggregates at rows flagged ``__pt``; keys, ``__g``, features.
+
+    Approximate distinct counts over at least LONG_SKETCH granules take dyadic blocks of
+    sketches (``operators.dyadic``); all else shares one Window node.
+    """
+    tiled = [a for a in spec.aggs if aggreg.get(a.fn).name == "approx_count_distinct"
+             and a.window.frame(spec.granularity)[1] - a.window.frame(spec.granularity)[0] + 1 >= LONG_SKETCH]
+    if tiled:
+        found = distinct_counts(rows, spec, tiled, F.col(PT) == 1, F.col(FT) == 1)
+        rest = [a for a in spec.aggs if a not in tiled]
+        if not rest:
+            return found
+        others = AggregateSpec(spec.key, spec.time, rest, spec.start, spec.end, spec.granularity, spec.source)
+        return _evaluate(rows, others, bucket_width, scales).join(found, [*spec.key, G])
     width = bucket_width or default_bucket_width(spec)
     x = _with_halo(rows, spec, width)
     base = Window.partitionBy(*spec.key, B).orderBy(F.col(G))
@@ -316,6 +344,44 @@ def grid_bounds(facts: DataFrame, spec: AggregateSpec, entities: DataFrame | Non
     return out.where(F.col("__s") <= F.col("__e"))
 
 
+def refresh_grid(grid: DataFrame, facts: DataFrame, late: DataFrame, spec: AggregateSpec,
+                 bucket_width: int | None = None) -> DataFrame:
+    """A grid brought up to date with ``late`` facts, without rebuilding it.
+
+    ``grid`` is what ``mode="grid"`` gave over the facts before; ``facts`` holds all
+    facts, the late ones included. A fact can change only the cells of its key whose
+    windows hold its granule. These cells, new keys' whole grids and the granules beyond the
+    old grid's end are evaluated over the facts of the keys touched (a semi-join);
+    every other cell is kept as it is. Give the grid's first bound in ``spec.start``; an
+    open end is the latest fact's granule.
+    """
+    time_type = dict(facts.dtypes)[spec.time]
+    out_type = dict(grid.dtypes)[spec.time]
+    keys = list(spec.key)
+    kept = [*keys, spec.time, *spec.names]
+    old = grid.select(*kept).withColumn(G, _gran(grid, spec.time, spec).cast("bigint"))
+    frames = [a.window.frame(spec.granularity) for a in spec.aggs]
+    first, last = min(-hi for _, hi in frames), max(-lo for lo, _ in frames)
+    bounds = grid_bounds(facts, spec)
+    had = old.groupBy(*keys).agg(F.max(G).alias("__last"))
+    # a late fact's cells, inside its key's grid
+    new = _clean_facts(late, spec).select(*keys, _gran(late, spec.time, spec).cast("bigint").alias(G)).distinct()
+    cells = new.join(bounds, keys).select(*keys, F.greatest(F.col(G) + first, F.col("__s")).alias("a"), F.least(F.col(G) + last, F.col("__e")).alias("b"))
+    # cells that the old grid lacks: after its end, or all of a key's
+    more = bounds.join(had, keys, "left").select(*keys, F.coalesce(F.col("__last") + 1, F.col("__s")).alias("a"), F.col("__e").alias("b"))
+    runs = cells.unionByName(more).where(F.col("a") <= F.col("b"))
+    cells = runs.select(*keys, F.explode(F.sequence("a", "b")).alias(G)).distinct()
+    points = cells.select(*keys, granule_start(G, spec.granularity, time_type).alias(spec.time))
+    touched = cells.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)]).distinct()
+    own = facts.join(touched, _and([F.col(k) == F.col(f"__t{i}") for i, k in enumerate(keys)]), "left_semi")
+    fresh = point_features(own, spec, points, keys, spec.time, bucket_width)
+    fresh = fresh.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)],
+                         granule_start(G, spec.granularity, time_type).cast(out_type).alias(spec.time), *spec.names)
+    gone = cells.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)], F.col(G).alias("__cg"))
+    stays = old.join(gone, _and([F.col(k) == F.col(f"__c{i}") for i, k in enumerate(keys)] + [F.col(G) == F.col("__cg")]), "left_anti")
+    return stays.select(*kept).unionByName(fresh)
+
+
 def grid_points(facts: DataFrame, spec: AggregateSpec,
                 entities: DataFrame | None = None,
                 start_col: str | None = None, end_col: str | None = None) -> DataFrame:
