@@ -1,11 +1,13 @@
-"""Reshaping helpers: flatten arrays of structs (U1, P2), request structs."""
+"""Reshaping helpers: flatten arrays of structs (U1, P2), table functions (U1), request structs."""
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 
 def flatten_array(df: DataFrame, column: str, keep: Sequence[str] = (), outer: bool = False) -> DataFrame:
@@ -27,3 +29,22 @@ def request_struct(df: DataFrame, fields: Sequence[str] | None = None, name: str
 
 def unpack_struct(df: DataFrame, name: str = "request") -> DataFrame:
     return df.select(f"{name}.*")
+
+
+def register_row_function(spark: SparkSession, name: str, rows: Callable[..., list[tuple]], schema: Callable[..., StructType]) -> None:
+    """Register a Python table function that turns each row's arguments into rows.
+
+    ``rows(*values)`` returns a row's output rows; ``schema(*arguments)`` gives their type
+    (a ``StructType``) at analysis time, from the arguments' types and constant values,
+    so one function serves several shapes. SQL calls it per row:
+    ``FROM t, LATERAL name(t.a, 3)``; arguments cross to Python in Arrow batches.
+    """
+    class RowFunction:
+        @staticmethod
+        def analyze(*arguments: AnalyzeArgument) -> AnalyzeResult:
+            return AnalyzeResult(schema(*arguments))
+
+        def eval(self, *values):
+            yield from rows(*values)
+
+    spark.udtf.register(name, F.udtf(RowFunction, useArrow=True))

@@ -7,6 +7,9 @@ frames over a day number.
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import factorial
+
 # -- shared fixture CTEs (FIXTURES.md part 2) --------------------------------
 TXN_ORDERS = """txn_orders AS (
   SELECT o_orderkey AS transaction_id, o_custkey AS account_id,
@@ -406,3 +409,155 @@ ORACLES["lookup_interval_join"] = ORACLES["lookup_interval"]
 FRAUD_STRICT = [c.replace("r.date <= s.observation_date", "r.date < s.observation_date") for c in FRAUD]
 ORACLES["training_set_strict"] = with_(*FRAUD_STRICT) + """SELECT primary_account_number, amount, "14_day_total",
   "7_day_total", "7_day_transaction_count", merchant_distance_from_home, CAST(label AS DOUBLE) AS label FROM f4"""
+
+# -- models --------------------------------------------------------------------
+
+
+def tree_value(nodes, known: frozenset, names, at: int = 0) -> str:
+    """A tree's value with only some features known: splits on the others average their children by cover."""
+    f, t, left, right, value, cover = nodes[at]
+    if left < 0:
+        return f"CAST({value!r} AS DOUBLE)"
+    a, b = tree_value(nodes, known, names, left), tree_value(nodes, known, names, right)
+    if f in known:
+        return f"CASE WHEN {names[f]} <= {t!r} THEN {a} ELSE {b} END"
+    return f"({nodes[left][5] / cover!r} * {a} + {nodes[right][5] / cover!r} * {b})"
+
+
+def shapley_sql(trees, weights, names, feature: int) -> str:
+    """The Shapley value by its definition: gains over all coalitions of the other features."""
+    others, n = [i for i in range(len(names)) if i != feature], len(names)
+    terms = []
+    for nodes, w in zip(trees, weights):
+        for size in range(n):
+            share = w * factorial(size) * factorial(n - size - 1) / factorial(n)
+            for coalition in combinations(others, size):
+                with_, without = (tree_value(nodes, frozenset(c), names) for c in ((*coalition, feature), coalition))
+                terms.append(f"{share!r} * ({with_} - {without})")
+    return " + ".join(terms)
+
+
+def shap_oracle() -> str:
+    from .workloads import CHECK_TREES, CHECK_WEIGHTS
+    names = ("l_quantity", "l_extendedprice", "l_discount")
+    cols = [f"round({shapley_sql(CHECK_TREES, CHECK_WEIGHTS, names, i)}, 9) + 0.0 AS shap_{n}" for i, n in enumerate(("quantity", "price", "discount"))]
+    margin = " + ".join(f"{w!r} * {tree_value(t, frozenset(range(3)), names)}" for t, w in zip(CHECK_TREES, CHECK_WEIGHTS))
+    return f"SELECT l_orderkey, l_linenumber, {', '.join(cols)}, round({margin}, 9) + 0.0 AS margin FROM lineitem"
+
+
+ORACLES["tree_shap"] = shap_oracle()
+
+
+def binned_tree_ctes(train: str, inputs, bins: int = 32) -> list[str]:
+    """CTEs that fit a tree of two levels on the CTE ``train`` (label, inputs): the split of node 1, 2 and 3, and leaves' shares."""
+    q = [f'"{f}"' for f in inputs]
+    ends = ", ".join(f"min(CAST({f} AS DOUBLE)) AS a{i}, max(CAST({f} AS DOUBLE)) AS b{i}" for i, f in enumerate(q))
+    out = [f"ends AS (SELECT {ends} FROM {train} WHERE label IS NOT NULL)",
+           "binned AS (SELECT CAST(label AS BIGINT) AS y, " + ", ".join(f"{binned_sql(f, i, bins)} AS f{i}" for i, f in enumerate(q))
+           + f" FROM {train} CROSS JOIN ends WHERE label IS NOT NULL)"]
+
+    def best(name: str, rows: str) -> str:
+        hist = " UNION ALL ".join(f"SELECT {i} AS f, f{i} AS bin, count(*) AS n, sum(y) AS p FROM {rows} GROUP BY f{i}" for i in range(len(q)))
+        purity = lambda p, n: f"(CAST({p} AS DOUBLE) * {p} + CAST({n} - {p} AS DOUBLE) * ({n} - {p})) / {n}"
+        return f"""{name} AS (
+  SELECT f, bin FROM (
+    SELECT *, {purity('pl', 'nl')} + {purity('(p - pl)', '(n - nl)')} AS purity, {purity('p', 'n')} AS own FROM (
+      SELECT f, bin, sum(n) OVER (PARTITION BY f ORDER BY bin) AS nl, sum(p) OVER (PARTITION BY f ORDER BY bin) AS pl,
+             sum(n) OVER (PARTITION BY f) AS n, sum(p) OVER (PARTITION BY f) AS p FROM ({hist}))
+    WHERE nl < n)
+  WHERE purity > own ORDER BY purity DESC, f, bin LIMIT 1)"""
+
+    def goes_left(split: str) -> str:
+        return "CASE (SELECT f FROM " + split + ") " + " ".join(f"WHEN {i} THEN f{i}" for i in range(len(q))) + f" END <= (SELECT bin FROM {split})"
+
+    out += [best("split1", "binned"), f"level2 AS (SELECT *, CASE WHEN {goes_left('split1')} THEN 2 ELSE 3 END AS node FROM binned)",
+            best("split2", "(SELECT * FROM level2 WHERE node = 2)"), best("split3", "(SELECT * FROM level2 WHERE node = 3)")]
+    leaf = (f"CASE WHEN {goes_left('split1')} THEN CASE WHEN (SELECT count(*) FROM split2) = 0 THEN 2 WHEN {goes_left('split2')} THEN 4 ELSE 5 END "
+            f"ELSE CASE WHEN (SELECT count(*) FROM split3) = 0 THEN 3 WHEN {goes_left('split3')} THEN 6 ELSE 7 END END")
+    out.append(f"leaves AS (SELECT {leaf} AS leaf, CAST(sum(y) AS DOUBLE) / count(*) AS score FROM binned GROUP BY 1)")
+    return [*out, leaf]
+
+
+def binned_sql(column: str, i: int, bins: int) -> str:
+    x = f"CAST({column} AS DOUBLE)"
+    return (f"CASE WHEN {column} IS NULL THEN -1 WHEN b{i} = a{i} THEN 0 "
+            f"ELSE CAST(greatest(0, least(floor(({x} - a{i}) / ((b{i} - a{i}) / {bins})), {bins - 1})) AS INTEGER) END")
+
+
+def binned_oracle(requests: list[str], name: str) -> str:
+    """Rows of the CTE ``name`` with the score of the tree that is fitted on the training set."""
+    from .workloads import TREE_INPUTS
+    *ctes, leaf = binned_tree_ctes("train", TREE_INPUTS)
+    cols = ", ".join(f'{binned_sql(chr(34) + f + chr(34), i, 32)} AS f{i}' for i, f in enumerate(TREE_INPUTS))
+    drop = ", ".join(f"f{i}" for i in range(len(TREE_INPUTS)))
+    ends = ", ".join(f"a{i}, b{i}" for i in range(len(TREE_INPUTS)))
+    return ("WITH train AS (" + ORACLES["training_set"] + "),\n" + ",\n".join([*ctes, *requests])
+            + f",\nasked AS (SELECT *, {cols} FROM {name} CROSS JOIN ends),\nplaced AS (SELECT *, {leaf} AS leaf FROM asked)\n"
+            + f"SELECT p.* EXCLUDE ({drop}, {ends}, leaf), s.score, CAST(s.score > 0.5 AS DOUBLE) AS prediction "
+            + "FROM placed p JOIN leaves s ON p.leaf = s.leaf")
+
+
+ORACLES["score_binned_supplied"] = binned_oracle(["requested AS (" + ORACLES["inference_set"] + ")"], "requested")
+ORACLES["score_binned_batch"] = binned_oracle(
+    ["requested AS (" + with_(*FRAUD[:4], REQUESTS, *FRAUD[4:6], asof_rollups("requests", "f1"), *FRAUD[7:]) + "SELECT * FROM f4)"], "requested")
+
+ORACLES["split_hash_text"] = """SELECT c_custkey, c_name,
+  CASE WHEN CAST('0x' || substr(md5('0|' || c_name), 1, 13) AS BIGINT) % 10000 < 8000 THEN 'train' ELSE 'test' END AS split
+FROM customer"""
+
+# -- hot keys, long windows, overlapping versions --------------------------------
+ORACLES["build_scd2_hot"] = """SELECT CAST(1 AS BIGINT) AS account_id, event_id AS change_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS zip, ts AS valid_from,
+  lead(ts) OVER (ORDER BY ts, event_id) AS valid_to,
+  CAST(lead(ts) OVER (ORDER BY ts, event_id) IS NULL AS BIGINT) AS is_current
+FROM events WHERE event_type = 'signup'"""
+ORACLES["enrich_batch_hot"] = """SELECT * EXCLUDE (rn) FROM (
+  SELECT p.event_id AS transaction_id, p.user_id % 3 AS account_id, p.ts, CAST(p.value AS DOUBLE) AS amount, c.zip,
+         row_number() OVER (PARTITION BY p.event_id ORDER BY c.ts DESC NULLS LAST, c.event_id DESC) AS rn
+  FROM events p LEFT JOIN (SELECT event_id, user_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS zip FROM events WHERE event_type = 'signup') c
+    ON c.user_id % 3 = p.user_id % 3 AND c.ts <= p.ts
+  WHERE p.event_type = 'purchase') WHERE rn = 1"""
+ORACLES["enrich_chunks"] = ORACLES["enrich_batch_hot"]
+ORACLES["lookup_interval_overlapping"] = with_(TXN_LINES, """orders_open AS (
+  SELECT account_id, transaction_id // 10 AS order_id, min(txn_date) AS placed, max(ship_date) AS closed
+  FROM txn_lines GROUP BY account_id, transaction_id // 10)""") + """SELECT l.transaction_id, l.account_id, l.ship_date, CAST(o.order_id AS BIGINT) AS order_id
+FROM txn_lines l LEFT JOIN orders_open o ON l.account_id = o.account_id AND o.placed <= l.ship_date AND l.ship_date < o.closed"""
+ORACLES["window_long"] = with_(TXN_ORDERS, """d AS (
+  SELECT account_id, txn_date, datediff('day', DATE '1970-01-01', txn_date) AS g, SUM(amount) AS s, count(amount) AS n,
+         MAX(CASE WHEN amount > 0 THEN 1 ELSE 0 END) AS a
+  FROM txn_orders GROUP BY account_id, txn_date)""") + """SELECT account_id, txn_date,
+  CAST(SUM(s) OVER y AS DOUBLE) AS amount_sum_365d, CAST(SUM(s) OVER y AS DOUBLE) / CAST(SUM(n) OVER y AS DOUBLE) AS amount_avg_365d,
+  CAST(SUM(n) OVER q AS BIGINT) AS amount_count_90d, CAST(SUM(s) OVER o AS DOUBLE) AS amount_sum_90d_offset_30d,
+  CAST(COALESCE(SUM(a) OVER b, 0) AS BIGINT) AS active_365_before
+FROM d WINDOW y AS (PARTITION BY account_id ORDER BY g RANGE BETWEEN 364 PRECEDING AND CURRENT ROW),
+  q AS (PARTITION BY account_id ORDER BY g RANGE BETWEEN 89 PRECEDING AND CURRENT ROW),
+  o AS (PARTITION BY account_id ORDER BY g RANGE BETWEEN 119 PRECEDING AND 30 PRECEDING),
+  b AS (PARTITION BY account_id ORDER BY g RANGE BETWEEN 365 PRECEDING AND 1 PRECEDING)"""
+
+LINE_DAYS = """line_days AS (SELECT DISTINCT merchant_id, datediff('day', DATE '1970-01-01', txn_date) AS g, txn_date, account_id FROM txn_lines),
+line_points AS (SELECT DISTINCT merchant_id AS m, g AS p, txn_date FROM line_days),
+line_sums AS (SELECT merchant_id, datediff('day', DATE '1970-01-01', txn_date) AS g, sum(amount) AS s FROM txn_lines GROUP BY ALL),
+line_windows AS (SELECT merchant_id, g, CAST(SUM(s) OVER (PARTITION BY merchant_id ORDER BY g RANGE BETWEEN 364 PRECEDING AND CURRENT ROW) AS DOUBLE) AS amount_sum FROM line_sums)"""
+ORACLES["window_distinct_checked"] = with_(TXN_LINES, LINE_DAYS) + """SELECT p.m AS merchant_id, p.txn_date,
+  count(DISTINCT d.account_id) AS x0, count(DISTINCT CASE WHEN d.g BETWEEN p.p - 96 AND p.p - 7 THEN d.account_id END) AS x1,
+  true AS near_0, true AS near_1, any_value(w.amount_sum) AS amount_sum
+FROM line_points p JOIN line_days d ON d.merchant_id = p.m AND d.g BETWEEN p.p - 364 AND p.p
+JOIN line_windows w ON w.merchant_id = p.m AND w.g = p.p GROUP BY p.m, p.txn_date"""
+ORACLES["grid_refresh"] = ORACLES["aggregate_grid"]
+ORACLES["expand_versions"] = with_(ACCOUNTS) + "SELECT account_id, account_name, CAST(version AS INTEGER) AS version, zone, valid_from, valid_to, is_current FROM accounts"
+MERCHANT_STATES = MERCHANTS + """,
+moved AS (SELECT merchant_id, merchant_name, merchant_zone + CASE WHEN merchant_id % 5 = 0 THEN 100 ELSE 0 END AS merchant_zone FROM merchants),
+s0 AS (SELECT * FROM merchants WHERE merchant_id % 11 <> 1), s1 AS (SELECT * FROM moved WHERE merchant_id % 7 <> 0),
+s2 AS (SELECT * FROM moved WHERE merchant_id % 14 <> 0)"""
+
+
+def changes_sql(old: str, new: str, number: int) -> str:
+    return f"""SELECT n.merchant_id, n.merchant_name, n.merchant_zone, 'upsert' AS change, CAST({number} AS BIGINT) AS change_number
+FROM {new} n LEFT JOIN {old} o ON n.merchant_id = o.merchant_id
+WHERE o.merchant_id IS NULL OR o.merchant_name <> n.merchant_name OR o.merchant_zone <> n.merchant_zone
+UNION ALL SELECT merchant_id, NULL, NULL, 'delete', {number} FROM {old} WHERE merchant_id NOT IN (SELECT merchant_id FROM {new})"""
+
+
+ORACLES["published_changes"] = with_(MERCHANT_STATES) + """SELECT *, 'upsert' AS change, CAST(0 AS BIGINT) AS change_number FROM s0
+UNION ALL """ + changes_sql("s0", "s1", 1) + "\nUNION ALL " + changes_sql("s1", "s2", 2)
+ORACLES["published_snapshot"] = with_(MERCHANT_STATES) + "SELECT * FROM s2"
+ORACLES["stream_rolling_ring"] = ORACLES["stream_rolling"]

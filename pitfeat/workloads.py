@@ -12,6 +12,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .functions.scalar import register_distance, split_bucket, years_365
 from .operators import lookup as L
@@ -20,13 +21,17 @@ from .operators import reshape as X
 from .operators import rolling as R
 from .operators import scd as S
 from .plans import ml as M
+from .plans import shap as SH
 from .plans import training as T
+from .plans.binned import BinnedTree, fit_binned_tree
 from .session import materialize, scratch_path
 from .sources import catalog as C
 from .sources.tables import Tables
 from .specs import (Agg, AggregateSpec, FeatureAggregation, FeatureFunction, FeatureLookup, FeatureSpec,
                     Lookback, TableSpec, expand_search_space)
+from .streaming import changes as CH
 from .streaming import jobs as ST
+from .streaming import ring as RI
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -585,6 +590,203 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                max_iter=300, step_size=0.1, seed=123), 5)
 
 
+# ---------------------------------------------------------------------------
+# models whose values SQL can check
+# ---------------------------------------------------------------------------
+
+#: Fixed values of a check: two small trees over lineitem's numbers (quantity, price, discount).
+#: Nodes: feature (0, 1, 2), threshold, left, right (-1: a leaf), value, cover.
+CHECK_TREES = (
+    ((0, 25.0, 1, 2, 0.0, 100.0), (1, 30000.0, 3, 4, 0.0, 60.0), (2, 0.05, 5, 6, 0.0, 40.0),
+     (-1, 0.0, -1, -1, 0.5, 45.0), (-1, 0.0, -1, -1, -0.25, 15.0), (-1, 0.0, -1, -1, 0.125, 10.0), (-1, 0.0, -1, -1, 1.0, 30.0)),
+    ((2, 0.03, 1, 2, 0.0, 80.0), (2, 0.01, 3, 4, 0.0, 32.0), (0, 40.0, 5, 6, 0.0, 48.0),
+     (-1, 0.0, -1, -1, -1.0, 8.0), (-1, 0.0, -1, -1, 0.75, 24.0), (-1, 0.0, -1, -1, 0.25, 36.0), (-1, 0.0, -1, -1, -0.5, 12.0)),
+)
+CHECK_WEIGHTS = (1.0, 0.5)
+
+
+def check_trees() -> list[SH.Tree]:
+    return [SH.Tree(*zip(*[(f, t, left, right, v, c) for f, t, left, right, v, c in nodes])) for nodes in CHECK_TREES]
+
+
+@query
+def tree_shap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shapley values of a fixed ensemble for every lineitem row (M3): one per feature, and the margin."""
+    x = Tables(spark, sf_dir).raw("lineitem").select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount")])
+    out = SH.shap_values(x, ["l_quantity", "l_extendedprice", "l_discount"], check_trees(), CHECK_WEIGHTS)
+    cols = [(F.round(F.col(SH.SHAP)[i], 9) + F.lit(0.0)).alias(f"shap_{n}") for i, n in enumerate(("quantity", "price", "discount"))]
+    return out.select("l_orderkey", "l_linenumber", *cols, (F.round(SH.MARGIN, 9) + F.lit(0.0)).alias("margin"))
+
+
+#: Inputs of the checked tree, in the order in which ties are broken.
+TREE_INPUTS = ("amount", "14_day_total", "7_day_total", "7_day_transaction_count", "merchant_distance_from_home")
+
+
+def checked_tree(spark: SparkSession, sf_dir: str) -> BinnedTree:
+    """The tree fitted on the training set, saved and loaded again."""
+    tree = fit_binned_tree(training_set(spark, sf_dir), "label", TREE_INPUTS, max_depth=2, bins=32)
+    path = scratch_path(spark, "binned-tree")
+    tree.save(spark, path)
+    return BinnedTree.load(spark, path)
+
+
+@query
+def score_binned_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gini tree fitted by histograms, saved, loaded; a day's requests get features looked up, then its scores."""
+    t = Tables(spark, sf_dir)
+    spec = FeatureSpec("fraud_features", fraud_features(spark))
+    looked_up = T.apply_spec(spec, request_spine(t), feature_tables(t), override=True)
+    return checked_tree(spark, sf_dir).transform(looked_up)
+
+
+@query
+def score_binned_supplied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same tree over the inference set, which carries every feature."""
+    return checked_tree(spark, sf_dir).transform(inference_set(spark, sf_dir))
+
+
+@query
+def split_hash_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """80/20 split of customers on their name, a text key (M2)."""
+    c = Tables(spark, sf_dir).raw("customer").select("c_custkey", "c_name")
+    train, test = M.split(c, "c_name", 0.8, seed=SPLIT_SEED)
+    return train.withColumn("split", F.lit("train")).union(test.withColumn("split", F.lit("test")))
+
+
+# ---------------------------------------------------------------------------
+# hot keys, long windows, overlapping versions
+# ---------------------------------------------------------------------------
+
+
+@query
+def build_scd2_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signup changes chained as if of one account, day buckets of over 20 changes cut at quantiles of their times."""
+    ch = Tables(spark, sf_dir).profile_changes().withColumn("account_id", F.lit(1).cast("bigint"))
+    return S.build_scd2(ch, "account_id", "changed_at", ["change_id", "zip"], order_by=["change_id"], hot_rows=20)
+
+
+@query
+def enrich_batch_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases looked up as of their time among the changes of 3 accounts, hot buckets cut at quantiles."""
+    t = Tables(spark, sf_dir)
+    scd = t.profile_changes().withColumn("account_id", F.pmod("account_id", F.lit(3)))
+    req = _requests(t.raw("events").where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("transaction_id"), F.pmod(F.col("user_id"), F.lit(3)).alias("account_id"), "ts", F.col("value").alias("amount")))
+    right = L.AsOfRight(scd, ["account_id"], "changed_at", ["zip"], order_by=[F.col("change_id")])
+    return L.lookup_asof(req, [right], "account_id", "ts", hot_rows=50)
+
+
+@query
+def enrich_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lookup by the streams' plan: chunks of 1,000 versions a key behind a directory (R2)."""
+    t = Tables(spark, sf_dir)
+    scd = t.profile_changes().withColumn("account_id", F.pmod("account_id", F.lit(3)))
+    req = _requests(t.raw("events").where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("transaction_id"), F.pmod(F.col("user_id"), F.lit(3)).alias("account_id"), "ts", F.col("value").alias("amount")))
+    right = L.AsOfRight(scd, ["account_id"], "changed_at", ["zip"], order_by=[F.col("change_id")])
+    return L.lookup_asof(req, [right], "account_id", "ts", strategy="packed", hot_rows=50)
+
+
+@query
+def lookup_interval_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of an account under way (order date to its last line's shipping) at each ship date: versions overlap."""
+    t = Tables(spark, sf_dir)
+    lines = t.txn_lines()
+    orders = lines.groupBy("account_id", F.floor(F.col("transaction_id") / 10).alias("order_id")).agg(
+        F.min("txn_date").alias("placed"), F.max("ship_date").alias("closed"))
+    spine = lines.select("transaction_id", "account_id", "ship_date")
+    return L.lookup_interval(spine, orders, "account_id", "account_id", "ship_date", "placed", "closed", ["order_id"], strategy="join")
+
+
+@query
+def window_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """365- and 90-day windows as differences of running values, one shifted, one without the day itself."""
+    aggs = [Agg("amount", "sum", Lookback(365)), Agg("amount", "avg", Lookback(365)), Agg("amount", "count", Lookback(90)),
+            Agg("amount", "sum", Lookback(90, offset=-30)), Agg("amount", "active_days", Lookback(365, closed="left"), name="active_365_before")]
+    return R.aggregate_features(Tables(spark, sf_dir).txn_orders(), AggregateSpec("account_id", "txn_date", aggs), mode="facts")
+
+
+@query
+def window_distinct_365(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate distinct accounts of a merchant in 365 and 90 days, at every day it sells (A5): dyadic sketches."""
+    aggs = [Agg("account_id", "approx_count_distinct", Lookback(365)), Agg("account_id", "approx_count_distinct", Lookback(90, offset=-7)),
+            Agg("amount", "sum", Lookback(365))]
+    return R.aggregate_features(Tables(spark, sf_dir).txn_lines(), AggregateSpec("merchant_id", "txn_date", aggs), mode="facts")
+
+
+def distinct_365_close(approximate: DataFrame, t: Tables) -> DataFrame:
+    """How far the estimates are from the exact counts, as shares of rows: what SQL can hold an estimate to."""
+    names = ("account_id_approx_count_distinct_365d", "account_id_approx_count_distinct_90d_offset_7d")
+    days = t.txn_lines().select("merchant_id", F.datediff("txn_date", F.lit("1970-01-01").cast("date")).alias("g"), "account_id").distinct()
+    points = days.select(F.col("merchant_id").alias("m"), F.col("g").alias("p")).distinct()
+    both = points.join(days, (F.col("m") == F.col("merchant_id")) & F.col("g").between(F.col("p") - 364, F.col("p")))
+    inner = F.col("g").between(F.col("p") - 96, F.col("p") - 7)
+    exact = both.groupBy("m", "p").agg(F.count_distinct("account_id").alias("x0"), F.count_distinct(F.when(inner, F.col("account_id"))).alias("x1"))
+    j = approximate.withColumn("g", F.datediff("txn_date", F.lit("1970-01-01").cast("date"))).join(
+        exact, (F.col("merchant_id") == F.col("m")) & (F.col("g") == F.col("p")))
+    near = lambda n, i: (F.abs(F.col(n) - F.col(f"x{i}")) <= F.greatest(F.lit(2.0), 0.08 * F.col(f"x{i}"))).alias(f"near_{i}")
+    return j.select("merchant_id", "txn_date", "x0", "x1", near(names[0], 0), near(names[1], 1), F.col("amount_sum_365d").alias("amount_sum"))
+
+
+@query
+def window_distinct_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The estimates of ``window_distinct_365`` beside exact counts, within 8 percent or 2 (A5)."""
+    return distinct_365_close(window_distinct_365(spark, sf_dir), Tables(spark, sf_dir))
+
+
+@query
+def grid_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid of ``aggregate_grid`` without a twentieth of the events and the last week, brought up to date with them."""
+    facts = Tables(spark, sf_dir).txn_events()
+    late = (F.pmod("transaction_id", F.lit(20)) == 0) | (F.col("txn_date") > F.lit("2024-01-23").cast("date"))
+    spec = AggregateSpec("account_id", "txn_date", [
+        Agg("amount", "avg", Lookback(30)),
+        Agg("amount", "sum", Lookback(5, offset=_dt.timedelta(days=-2)))], start=GRID_START, end=None)
+    grid = materialize(R.aggregate_features(facts.where(~late), spec, mode="grid"), name="grid")
+    return R.refresh_grid(grid, facts, facts.where(late), spec)
+
+
+@query
+def expand_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An account's versions by a Python table function, called laterally per customer."""
+    def versions(key, nation, count):
+        starts = [_dt.date(1995, 1, 1) + _dt.timedelta(days=v * 700 + key % 97 if v else 0) for v in range(count)]
+        return [(v, (nation + 7 * v) % 25, start, end) for v, (start, end) in enumerate(zip(starts, [*starts[1:], None]))]
+
+    X.register_row_function(spark, "account_versions", versions,
+                            lambda key, nation, count: StructType().add("version", "integer").add("zone", nation.dataType).add("valid_from", "date").add("valid_to", "date"))
+    Tables(spark, sf_dir).raw("customer").createOrReplaceTempView("__customers")
+    return spark.sql("""SELECT c.c_custkey AS account_id, c.c_name AS account_name, v.version, v.zone, v.valid_from, v.valid_to,
+                               CAST(v.valid_to IS NULL AS BIGINT) AS is_current
+                        FROM __customers c, LATERAL account_versions(c.c_custkey, c.c_nationkey, CAST(c.c_custkey % 3 + 1 AS INT)) v""")
+
+
+def merchant_states(t: Tables) -> list[DataFrame]:
+    """Three states of the merchants: some close, some move, one that closed opens again."""
+    m = t.merchants()
+    moved = m.withColumn("merchant_zone", F.when(F.col("merchant_id") % 5 == 0, F.col("merchant_zone") + 100).otherwise(F.col("merchant_zone")))
+    return [m.where(F.col("merchant_id") % 11 != 1), moved.where(F.col("merchant_id") % 7 != 0), moved.where(F.col("merchant_id") % 14 != 0)]
+
+
+@query
+def published_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three states published as changes, the second one twice; the feed with its tombstones."""
+    path = scratch_path(spark, "merchant-changes")
+    for number, state in enumerate(merchant_states(Tables(spark, sf_dir))):
+        for _ in range(2 if number == 1 else 1):
+            CH.publish_snapshot(spark, state, "merchant_id", path, number)
+    return CH.read_changes(spark, path).withColumn(CH.NUMBER, F.col(CH.NUMBER).cast("bigint"))
+
+
+@query
+def published_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that these changes add up to: closed merchants are gone."""
+    path = scratch_path(spark, "merchant-snapshot")
+    for number, state in enumerate(merchant_states(Tables(spark, sf_dir))):
+        CH.publish_snapshot(spark, state, "merchant_id", path, number)
+    return CH.read_snapshot(spark, path, "merchant_id")
+
+
 # ---------------------------------------------------------------------------
 # streaming (run over all available input, then read the sink back)
 # ---------------------------------------------------------------------------
@@ -685,3 +887,13 @@ def stream_rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream-rolling")
     ST.run_updates(agg, out, scratch_path(spark, "stream-rolling-ckpt"))
     return ST.read_published(spark, out, ["account_id", "window_start", "window_end"])
+
+
+@query
+def stream_rolling_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of ``stream_rolling`` from one ring of daily partials per user."""
+    agg = RI.stream_rolling_ring(_purchase_stream(spark, sf_dir), "account_id", "ts", "amount", days=7, watermark="1 day")
+    out = scratch_path(spark, "stream-ring")
+    with RI.with_rocksdb(spark):
+        ST.run_updates(agg, out, scratch_path(spark, "stream-ring-ckpt"))
+    return ST.read_published(spark, out, ["account_id", "window_start", "window_end"])
