@@ -448,16 +448,16 @@ def shap_oracle() -> str:
 ORACLES["tree_shap"] = shap_oracle()
 
 
-def binned_tree_ctes(train: str, inputs, bins: int = 32) -> list[str]:
+def binned_tree_ctes(train: str, inputs, bins: int = 32, weight: str = "1") -> list[str]:
     """CTEs that fit a tree of two levels on the CTE ``train`` (label, inputs): the split of node 1, 2 and 3, and leaves' shares."""
     q = [f'"{f}"' for f in inputs]
     ends = ", ".join(f"min(CAST({f} AS DOUBLE)) AS a{i}, max(CAST({f} AS DOUBLE)) AS b{i}" for i, f in enumerate(q))
     out = [f"ends AS (SELECT {ends} FROM {train} WHERE label IS NOT NULL)",
-           "binned AS (SELECT CAST(label AS BIGINT) AS y, " + ", ".join(f"{binned_sql(f, i, bins)} AS f{i}" for i, f in enumerate(q))
+           f"binned AS (SELECT CAST(label AS BIGINT) * {weight} AS y, {weight} AS w, " + ", ".join(f"{binned_sql(f, i, bins)} AS f{i}" for i, f in enumerate(q))
            + f" FROM {train} CROSS JOIN ends WHERE label IS NOT NULL)"]
 
     def best(name: str, rows: str) -> str:
-        hist = " UNION ALL ".join(f"SELECT {i} AS f, f{i} AS bin, count(*) AS n, sum(y) AS p FROM {rows} GROUP BY f{i}" for i in range(len(q)))
+        hist = " UNION ALL ".join(f"SELECT {i} AS f, f{i} AS bin, sum(w) AS n, sum(y) AS p FROM {rows} GROUP BY f{i}" for i in range(len(q)))
         purity = lambda p, n: f"(CAST({p} AS DOUBLE) * {p} + CAST({n} - {p} AS DOUBLE) * ({n} - {p})) / {n}"
         return f"""{name} AS (
   SELECT f, bin FROM (
@@ -474,7 +474,7 @@ def binned_tree_ctes(train: str, inputs, bins: int = 32) -> list[str]:
             best("split2", "(SELECT * FROM level2 WHERE node = 2)"), best("split3", "(SELECT * FROM level2 WHERE node = 3)")]
     leaf = (f"CASE WHEN {goes_left('split1')} THEN CASE WHEN (SELECT count(*) FROM split2) = 0 THEN 2 WHEN {goes_left('split2')} THEN 4 ELSE 5 END "
             f"ELSE CASE WHEN (SELECT count(*) FROM split3) = 0 THEN 3 WHEN {goes_left('split3')} THEN 6 ELSE 7 END END")
-    out.append(f"leaves AS (SELECT {leaf} AS leaf, CAST(sum(y) AS DOUBLE) / count(*) AS score FROM binned GROUP BY 1)")
+    out.append(f"leaves AS (SELECT {leaf} AS leaf, CAST(sum(y) AS DOUBLE) / sum(w) AS score FROM binned GROUP BY 1)")
     return [*out, leaf]
 
 
@@ -484,10 +484,10 @@ def binned_sql(column: str, i: int, bins: int) -> str:
             f"ELSE CAST(greatest(0, least(floor(({x} - a{i}) / ((b{i} - a{i}) / {bins})), {bins - 1})) AS INTEGER) END")
 
 
-def binned_oracle(requests: list[str], name: str) -> str:
+def binned_oracle(requests: list[str], name: str, weight: str = "1") -> str:
     """Rows of the CTE ``name`` with the score of the tree that is fitted on the training set."""
     from .workloads import TREE_INPUTS
-    *ctes, leaf = binned_tree_ctes("train", TREE_INPUTS)
+    *ctes, leaf = binned_tree_ctes("train", TREE_INPUTS, weight=weight)
     cols = ", ".join(f'{binned_sql(chr(34) + f + chr(34), i, 32)} AS f{i}' for i, f in enumerate(TREE_INPUTS))
     drop = ", ".join(f"f{i}" for i in range(len(TREE_INPUTS)))
     ends = ", ".join(f"a{i}, b{i}" for i in range(len(TREE_INPUTS)))
@@ -561,3 +561,14 @@ ORACLES["published_changes"] = with_(MERCHANT_STATES) + """SELECT *, 'upsert' AS
 UNION ALL """ + changes_sql("s0", "s1", 1) + "\nUNION ALL " + changes_sql("s1", "s2", 2)
 ORACLES["published_snapshot"] = with_(MERCHANT_STATES) + "SELECT * FROM s2"
 ORACLES["stream_rolling_ring"] = ORACLES["stream_rolling"]
+ORACLES["catalog_tables"] = with_(MERCHANTS) + """SELECT 'merchants' AS table_name, 'merchant_id,merchant_name,merchant_zone' AS columns,
+  CAST(merchant_id AS BIGINT) AS id, merchant_name AS name FROM merchants
+UNION ALL SELECT 'zones', 'n_nationkey,n_name', CAST(n_nationkey AS BIGINT), n_name FROM nation"""
+ORACLES["local_zones"] = with_(MERCHANTS) + """SELECT *, CASE merchant_zone WHEN 0 THEN 'north' WHEN 1 THEN 'south' END AS zone_name FROM merchants"""
+ORACLES["registered_function"] = with_(TXN_EVENTS, """d AS (
+  SELECT account_id, txn_date, datediff('day', DATE '1970-01-01', txn_date) AS g, min(amount) AS lo, max(amount) AS hi
+  FROM txn_events WHERE account_id IS NOT NULL AND txn_date IS NOT NULL GROUP BY account_id, txn_date)""") + """SELECT account_id, txn_date,
+  CAST(max(hi) OVER w AS DOUBLE) - CAST(min(lo) OVER w AS DOUBLE) AS amount_spread_30d, CAST(max(hi) OVER w AS DOUBLE) AS amount_max_30d
+FROM d WINDOW w AS (PARTITION BY account_id ORDER BY g RANGE BETWEEN 29 PRECEDING AND CURRENT ROW)"""
+ORACLES["weighted_tree"] = ("SELECT primary_account_number, amount, label, score FROM ("
+                            + binned_oracle(["requested AS (" + ORACLES["training_set"] + ")"], "requested", "(CASE WHEN label = 1 THEN 5 ELSE 1 END)") + ")")

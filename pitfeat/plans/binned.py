@@ -78,20 +78,22 @@ def _purity(positive: Column, rows: Column) -> Column:
 
 
 def fit_binned_tree(df: DataFrame, label: str, features: Sequence[str], max_depth: int = 5, bins: int = 32,
-                    min_rows: int = 1) -> BinnedTree:
+                    min_rows: int = 1, weight_col: str | None = None) -> BinnedTree:
     """A gini tree of ``max_depth`` levels on a 0/1 label (rows with a NULL label are left out).
 
     A node is split while both children hold at least ``min_rows`` rows and
-    purity grows.
+    purity grows. ``weight_col`` (whole numbers) counts a row so many times (M4);
+    NULL counts it once, ``min_rows`` counts weights.
     """
+    weight = F.lit(1).cast("bigint") if weight_col is None else F.coalesce(F.col(weight_col).cast("bigint"), F.lit(1))
     features = list(features)
-    data = materialize(df.where(F.col(label).isNotNull()).select(F.col(label).cast("long").alias("__y"), *[F.col(f).cast("double").alias(f) for f in features]),
+    data = materialize(df.where(F.col(label).isNotNull()).select((F.col(label).cast("long") * weight).alias("__y"), weight.alias("__n"), *[F.col(f).cast("double").alias(f) for f in features]),
                        name="binned-train")
     ends = data.agg(*[F.min(f).alias(f"a{i}") for i, f in enumerate(features)], *[F.max(f).alias(f"b{i}") for i, f in enumerate(features)]).first()
     low = {f: float(ends[f"a{i}"] or 0.0) for i, f in enumerate(features)}
     width = {f: (float(ends[f"b{i}"] or 0.0) - low[f]) / bins for i, f in enumerate(features)}
     tree = BinnedTree(features, low, width, bins)
-    binned = data.select("__y", *[tree.bin(f).alias(f) for f in features])
+    binned = data.select("__y", "__n", *[tree.bin(f).alias(f) for f in features])
     open_nodes = [1]
     for _ in range(max_depth):
         if not open_nodes:
@@ -100,7 +102,7 @@ def fit_binned_tree(df: DataFrame, label: str, features: Sequence[str], max_dept
         for r in best.collect():  # a row an open node at most
             tree.splits[r["node"]] = (features[r["feature"]], int(r["bin"]))
         open_nodes = [c for n in open_nodes if n in tree.splits for c in (2 * n, 2 * n + 1)]
-    counted = binned.groupBy(_walk(tree.splits).alias("node")).agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("p"))
+    counted = binned.groupBy(_walk(tree.splits).alias("node")).agg(F.sum("__n").alias("n"), F.sum("__y").alias("p"))
     tree.leaves = {r["node"]: (r["n"], r["p"]) for r in counted.collect()}
     return tree
 
@@ -116,8 +118,8 @@ def _walk(splits: dict[int, tuple[str, int]], at: int = 1) -> Column:
 def _best_splits(binned: DataFrame, node: Column, features: Sequence[str], open_nodes: Sequence[int], min_rows: int) -> DataFrame:
     """node, feature (its number) and bin of the best split of each open node."""
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f).alias("bin")) for i, f in enumerate(features)]))
-    rows = binned.select(node.alias("node"), "__y", each.alias("s")).where(F.col("node").isin(list(open_nodes)))
-    counts = rows.groupBy("node", "s.feature", "s.bin").agg(F.count(F.lit(1)).alias("n"), F.sum("__y").alias("p"))
+    rows = binned.select(node.alias("node"), "__y", "__n", each.alias("s")).where(F.col("node").isin(list(open_nodes)))
+    counts = rows.groupBy("node", "s.feature", "s.bin").agg(F.sum("__n").alias("n"), F.sum("__y").alias("p"))
     own = Window.partitionBy("node", "feature")
     upto = own.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     sums = counts.select("node", "feature", "bin", F.sum("n").over(upto).alias("nl"), F.sum("p").over(upto).alias("pl"),

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .functions import aggregates as AG
 from .functions.scalar import register_distance, split_bucket, years_365
 from .operators import lookup as L
 from .operators import quality as Q
@@ -706,6 +707,49 @@ def window_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.aggregate_features(Tables(spark, sf_dir).txn_orders(), AggregateSpec("account_id", "txn_date", aggs), mode="facts")
 
 
+@query
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables saved by name in a schema of their own, one over an earlier one of other columns, listed and read."""
+    t = Tables(spark, sf_dir)
+    schema = "pitfeat_" + scratch_path(spark, "s").rsplit("-", 1)[1]
+    C.ensure_schema(spark, schema, use=False)
+    C.save_table(t.accounts_scd2(), f"{schema}.merchants")
+    C.save_table(t.merchants(), f"{schema}.merchants")
+    C.save_table(t.raw("nation").select("n_nationkey", "n_name"), f"{schema}.zones")
+    out = None
+    for name in sorted(C.list_tables(spark, schema)):
+        table = spark.table(f"{schema}.{name}")
+        one = table.select(F.lit(name).alias("table_name"), F.lit(",".join(table.columns)).alias("columns"),
+                           F.col(table.columns[0]).cast("bigint").alias("id"), F.col(table.columns[1]).alias("name"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query
+def local_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merchants joined with a few local rows of a declared schema (S2): the names of three zones."""
+    names = C.local_frame(spark, [(0, "north"), (1, "south"), (2, None)], "zone bigint, zone_name string")
+    m = Tables(spark, sf_dir).merchants()
+    return L.lookup_exact(m, names, "merchant_zone", "zone", ["zone_name"])
+
+
+@query
+def registered_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A windowed function given as an object (A6): the spread of amounts, from mergeable least and greatest values."""
+    spread = AG.AggFunction("spread", {"min": F.min, "max": F.max}, lambda col, w, scale=0: AG._merge_max(col, w, scale) - AG._merge_min(col, w, scale), scaled=True)
+    AG.register(spread)
+    spec = AggregateSpec("account_id", "txn_date", [Agg("amount", spread.name, Lookback(30)), Agg("amount", AG.get(AG.REGISTRY["max"]).name, Lookback(30))])
+    return R.aggregate_features(Tables(spark, sf_dir).txn_events(), spec, mode="facts")
+
+
+@query
+def weighted_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checked tree with each positive label counted 5 times (M4): the leaf shares of the training set."""
+    ts = training_set(spark, sf_dir).withColumn("weight", F.when(F.col("label") == 1, F.lit(5)).otherwise(F.lit(1)))
+    tree = fit_binned_tree(ts, "label", TREE_INPUTS, max_depth=2, bins=32, weight_col="weight")
+    return tree.transform(ts.drop("weight")).select("primary_account_number", "amount", "label", "score")
+
+
 @query
 def window_distinct_365(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate distinct accounts of a merchant in 365 and 90 days, at every day it sells (A5): dyadic sketches."""
