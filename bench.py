@@ -1,10 +1,12 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs after one warm-up, default 5), BENCH_EVENT_LOG=1 to
+BENCH_RUNS (timed runs, default 5, after warm-ups until two runs in a row
+differ by under 15 percent, three at most), BENCH_EVENT_LOG=1 to
 write Spark's event log (stage and task times) to a fresh /tmp folder. Each run executes the
-whole plan into the no-op sink (no collect); the median is reported, with the
-rows read and written and the number of shuffle exchanges planned.
+whole plan into the no-op sink (no collect); the median of plan building and run
+together is reported, with both parts apart, the rows read and written and the
+number of shuffle exchanges planned.
 """
 
 from __future__ import annotations
@@ -77,18 +79,25 @@ def main() -> None:
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     times, details = {}, {}
     for name, tables in HEADLINE.items():
-        samples = []
-        df = None
-        for i in range(runs + 1):
+        df, warm = None, []
+
+        def once():
+            nonlocal df
             t0 = time.perf_counter()  # building the plan counts
             df = QUERIES[name](spark, sf_dir)
+            t1 = time.perf_counter()
             df.write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i:
-                samples.append(dt)
+            return t1 - t0, time.perf_counter() - t1
+
+        while len(warm) < 2 or len(warm) < 3 and abs(warm[-1] - warm[-2]) > 0.15 * warm[-1]:
+            warm.append(sum(once()))
+        parts_of = [once() for _ in range(runs)]
+        samples = [a + b for a, b in parts_of]
         times[name] = round(statistics.median(samples), 3)
         details[name] = {"rows_in": rows_in(sf_dir, tables), "rows_out": QUERIES[name](spark, sf_dir).count(),
                          "planned_exchanges": exchanges(df), **final_plan_stats(QUERIES[name](spark, sf_dir)),
+                         "plan_build_sec": round(statistics.median(a for a, _ in parts_of), 3),
+                         "run_sec": round(statistics.median(b for _, b in parts_of), 3),
                          "runs": [round(s, 3) for s in samples]}
     print(json.dumps({"metric": "median_query_seconds_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf.group(1)) if sf else None,
