@@ -46,7 +46,7 @@ CHARS = 24  # of a word; a longer run becomes several
 AFTER, BEFORE = "\x1e", "\x1f"  # parts the letter before (after) a piece of a run from it
 BUCKETS = 1 << 15
 BLOCK = 32
-KEEP = 400_000  # words in a task's cache
+KEEP = 200_000  # words in a task's cache
 
 
 def split(text: str | None) -> list[str]:
