@@ -163,6 +163,31 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(y, -30, 30)))
 
 
+def gradient(p: dict[str, np.ndarray], z: np.ndarray, start: np.ndarray, bag: np.ndarray, labels: np.ndarray,
+             weights: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Weighted mean log loss of bags of passages ``z`` (bag of each, first of each bag) and its gradient."""
+    h = np.tanh(z @ p["W"] + p["b"])
+    tv, su = np.tanh(h @ p["V"]), 1 / (1 + np.exp(-(h @ p["U"])))
+    logit = (tv * su) @ p["w"]
+    a = np.exp(logit - np.maximum.reduceat(logit, start)[bag])
+    a /= np.add.reduceat(a, start)[bag]
+    pooled = np.add.reduceat(a[:, None] * h, start)
+    y = 1 / (1 + np.exp(-np.clip(pooled @ p["c"] + p["d"], -30, 30)))
+    loss = float(-(weights * (labels * np.log(y) + (1 - labels) * np.log(1 - y))).mean())
+    dy = (y - labels) * weights / len(labels)
+    g = {"c": pooled.T @ dy, "d": dy.sum()}
+    dpool = dy[:, None] * p["c"]
+    da = (h * dpool[bag]).sum(axis=1)
+    dlogit = a * (da - np.add.reduceat(a * da, start)[bag])
+    g["w"] = (tv * su).T @ dlogit
+    dg = dlogit[:, None] * p["w"]
+    dtv, dsu = dg * su * (1 - tv ** 2), dg * tv * su * (1 - su)
+    g["V"], g["U"] = h.T @ dtv, h.T @ dsu
+    dh = (a[:, None] * dpool[bag] + dtv @ p["V"].T + dsu @ p["U"].T) * (1 - h ** 2)
+    g["W"], g["b"] = z.T @ dh, dh.sum(axis=0)
+    return loss, g
+
+
 def fit(texts: list[str | None], labels: np.ndarray, weights: np.ndarray, hidden: int = 24, gates: int = 12,
         epochs: int = 25, batch: int = 64, rate: float = 0.01, decay: float = 1e-4, seed: int = 5) -> Model:
     """Adam on the weighted log loss; gradients through head, attention and encoder."""
@@ -182,25 +207,8 @@ def fit(texts: list[str | None], labels: np.ndarray, weights: np.ndarray, hidden
             rows = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in docs])
             start = np.concatenate([[0], np.cumsum(bounds[docs + 1] - bounds[docs])[:-1]])
             bag = np.repeat(np.arange(len(docs)), bounds[docs + 1] - bounds[docs])
-            z = x[rows]
-            h = np.tanh(z @ p["W"] + p["b"])
-            tv, su = np.tanh(h @ p["V"]), 1 / (1 + np.exp(-(h @ p["U"])))
-            logit = (tv * su) @ p["w"]
-            a = np.exp(logit - np.maximum.reduceat(logit, start)[bag])
-            a /= np.add.reduceat(a, start)[bag]
-            pooled = np.add.reduceat(a[:, None] * h, start)
-            y = 1 / (1 + np.exp(-np.clip(pooled @ p["c"] + p["d"], -30, 30)))
-            dy = (y - labels[docs]) * weights[docs] / len(docs)
-            g = {"c": pooled.T @ dy, "d": dy.sum()}
-            dpool = dy[:, None] * p["c"]
-            da = (h * dpool[bag]).sum(axis=1)
-            dlogit = a * (da - np.add.reduceat(a * da, start)[bag])
-            g["w"] = (tv * su).T @ dlogit
-            dg = dlogit[:, None] * p["w"]
-            dtv, dsu = dg * su * (1 - tv ** 2), dg * tv * su * (1 - su)
-            g["V"], g["U"] = h.T @ dtv, h.T @ dsu
-            dh = (a[:, None] * dpool[bag] + dtv @ p["V"].T + dsu @ p["U"].T) * (1 - h ** 2)
-            g["W"], g["b"] = z.T @ dh + decay * p["W"], dh.sum(axis=0)
+            _, g = gradient(p, x[rows], start, bag, labels[docs], weights[docs])
+            g["W"] = g["W"] + decay * p["W"]
             step += 1
             for k in p:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
