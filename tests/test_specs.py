@@ -28,11 +28,10 @@ def test_search_space_expansion_order():
         {"column": "amount", "window": [5, 10], "offset": [5, 10], "function": ["avg", "sum"]},
     ]
     names = [a.output_name() for a in expand_search_space(space)]
-    assert names == [
-        "amount_avg_15d", "amount_sum_15d", "amount_avg_30d", "amount_sum_30d",
-        "amount_avg_5d_offset_5d", "amount_sum_5d_offset_5d", "amount_avg_5d_offset_10d",
-        "amount_sum_5d_offset_10d", "amount_avg_10d_offset_5d", "amount_sum_10d_offset_5d",
-        "amount_avg_10d_offset_10d", "amount_sum_10d_offset_10d"]
+    # the naming rule: column_function_window, then the offset; functions vary fastest, then offsets, then windows
+    rule = [f"amount_{f}_{w}d" for w in (15, 30) for f in ("avg", "sum")]
+    rule += [f"amount_{f}_{w}d_offset_{o}d" for w in (5, 10) for o in (5, 10) for f in ("avg", "sum")]
+    assert names == rule and len(names) == 12
 
 
 def test_aggregate_spec_validation():
