@@ -31,13 +31,21 @@ def unpack_struct(df: DataFrame, name: str = "request") -> DataFrame:
     return df.select(f"{name}.*")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over all cores: a scan's tasks follow its bytes, while per-row
+    Python work follows its rows, so a small file of many rows would keep one core busy."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def register_row_function(spark: SparkSession, name: str, rows: Callable[..., list[tuple]], schema: Callable[..., StructType]) -> None:
     """Register a Python table function that turns each row's arguments into rows.
 
     ``rows(*values)`` returns a row's output rows; ``schema(*arguments)`` gives their type
     (a ``StructType``) at analysis time, from the arguments' types and constant values,
     so one function serves several shapes. SQL calls it per row:
-    ``FROM t, LATERAL name(t.a, 3)``; arguments cross to Python in Arrow batches.
+    ``FROM t, LATERAL name(t.a, 3)``; arguments cross to Python in pickled batches. (With
+    ``useArrow`` Spark makes an Arrow table of every call's few rows, which costs
+    more than the call.)
     """
     class RowFunction:
         @staticmethod
@@ -47,4 +55,4 @@ def register_row_function(spark: SparkSession, name: str, rows: Callable[..., li
         def eval(self, *values):
             yield from rows(*values)
 
-    spark.udtf.register(name, F.udtf(RowFunction, useArrow=True))
+    spark.udtf.register(name, F.udtf(RowFunction, useArrow=False))

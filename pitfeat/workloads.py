@@ -802,7 +802,8 @@ def expand_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     X.register_row_function(spark, "account_versions", versions,
                             lambda key, nation, count: StructType().add("version", "integer").add("zone", nation.dataType).add("valid_from", "date").add("valid_to", "date"))
-    Tables(spark, sf_dir).raw("customer").createOrReplaceTempView("__customers")
+    customers = Tables(spark, sf_dir).raw("customer").select("c_custkey", "c_name", "c_nationkey")
+    X.spread(customers, "c_custkey").createOrReplaceTempView("__customers")
     return spark.sql("""SELECT c.c_custkey AS account_id, c.c_name AS account_name, v.version, v.zone, v.valid_from, v.valid_to,
                                CAST(v.valid_to IS NULL AS BIGINT) AS is_current
                         FROM __customers c, LATERAL account_versions(c.c_custkey, c.c_nationkey, CAST(c.c_custkey % 3 + 1 AS INT)) v""")
