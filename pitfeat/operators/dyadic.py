@@ -1,24 +1,27 @@
-"""Sliding approximate distinct counts over long windows by dyadic sketches (A5).
+"""Sliding approximate distinct counts over long windows by aligned blocks of sketches (A5).
 
 A frame of L granules over HLL sketches unions up to L of them per row. Here the
-granules' sketches are unioned once into aligned blocks of 1, 2, 4, .. granules
-(one aggregate over (key, level, block), map-side combined), and a frame takes the at
-most 2 log2(L) blocks that tile it: an equi-join on (key, level, block) and one union per
-(key, granule, frame). Work per point grows with log L, and no group is larger than
-that; a key's blocks spread over all tasks, so a hot key does too.
+granules' sketches are unioned once into aligned blocks of STEP, STEP ** 2, .. granules
+(one aggregate over (key, level, block), map-side combined), which lie in the same
+(key, time bucket) group as the granules. A frame is then a few RANGE frames of the
+window node that evaluates all else: its whole blocks of the highest level, and at both of
+its ends the blocks of each lower level, at most 2 (STEP - 1) a level. They may overlap,
+since a union counts nothing twice, but hold nothing from outside the frame. Work per point
+grows with log L, and no sketch that was unioned for a point is shuffled or written.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import aggregates as aggreg
-from ..specs import Agg, AggregateSpec
 
-G = "__g"
+G, FT, LEVEL = "__g", "__ft", "__level"
+#: Granules of a block of level 1, and blocks of a level in one of the next.
+STEP = 8
 
 
 def _block(level: int, number: Column) -> Column:
@@ -41,38 +44,41 @@ def blocks(low: Column, high: Column, levels: int) -> Column:
     return F.flatten(F.array(*[F.coalesce(f, nothing) for f in found]))
 
 
-def distinct_counts(rows: DataFrame, spec: AggregateSpec, aggs: Sequence[Agg], point: Column, facts: Column) -> DataFrame:
-    """(keys, ``__g``, one column per agg) at the rows where ``point`` holds, from the sketches of those where ``facts`` holds.
+def levels_of(span: int) -> int:
+    """The highest level whose blocks are no longer than ``span`` granules."""
+    n = 0
+    while STEP ** (n + 1) <= span:
+        n += 1
+    return n
 
-    ``rows`` has one row per (key, granule) with the sketch columns of ``aggregates``.
+
+def with_blocks(rows: DataFrame, keys: Sequence[str], columns: Sequence[str], span: int) -> DataFrame:
+    """``rows`` (one per key and granule) at level 0, and each level's blocks, at their last granule.
+
+    A block has the union of its rows' sketches, is no evaluation point and has no other partial.
     """
-    keys = list(spec.key)
-    frames = [a.window.frame(spec.granularity) for a in aggs]
-    levels = max(hi - lo + 1 for lo, hi in frames).bit_length() - 1
-    points = rows.where(point).select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(keys)], F.col(G).cast("bigint").alias("__pg"))
-    pk = [f"__p{i}" for i in range(len(keys))]
-    columns = sorted({a.column for a in aggs})
-    sketches = {c: aggreg.pname("hll", c) for c in columns}
-    each = F.explode(F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda k: F.struct(
-        k.alias("level"), F.floor(F.col(G) / F.pow(F.lit(2.0), k)).cast("bigint").alias("block"))))
-    tiles = rows.where(facts).select(*keys, each.alias("__e"), *sketches.values()).select(*keys, "__e.level", "__e.block", *sketches.values())
-    tiles = tiles.groupBy(*keys, "level", "block").agg(*[F.hll_union_agg(s).alias(s) for s in sketches.values()])
-    asked = None
-    for n, (lo, hi) in enumerate(frames):
-        one = points.select(*pk, "__pg", F.lit(n).alias("__n"), F.explode(blocks(F.col("__pg") + lo, F.col("__pg") + hi, levels)).alias("__b"))
-        asked = one if asked is None else asked.unionByName(one)
-    asked = asked.select(*pk, "__pg", "__n", F.col("__b.level").alias("__l"), F.col("__b.block").alias("__k"))
-    same = (F.col("__l") == F.col("level")) & (F.col("__k") == F.col("block"))
-    for p, k in zip(pk, keys):
-        same = same & (F.col(p) == F.col(k))
-    union = [F.hll_sketch_estimate(F.hll_union_agg(F.when(F.col("__n") == n, F.col(sketches[a.column])))).alias(f"__d{n}") for n, a in enumerate(aggs)]
-    found = asked.join(tiles, same).groupBy(*[F.col(p).alias(f"__f{i}") for i, p in enumerate(pk)], F.col("__pg").alias("__fg")).agg(*union)
-    back = F.col("__pg") == F.col("__fg")
-    for i, p in enumerate(pk):
-        back = back & (F.col(p) == F.col(f"__f{i}"))
-    out = points.join(found, back, "left")
-    values = []
-    for n, a in enumerate(aggs):
-        v = F.coalesce(F.col(f"__d{n}"), F.lit(0)).cast("bigint")  # an empty window counts 0
-        values.append(v.alias(a.output_name(spec.granularity)))
-    return out.select(*[F.col(p).alias(k) for p, k in zip(pk, keys)], F.col("__pg").alias(G), *values)
+    here = F.struct(F.lit(0).alias("level"), F.col(G).cast("bigint").alias("g"))
+    above = [F.struct(F.lit(k).alias("level"), ((F.floor(F.col(G) / F.lit(STEP ** k)) + 1) * STEP ** k - 1).cast("bigint").alias("g"))
+             for k in range(1, levels_of(span) + 1)]
+    places = F.when(F.col(FT) == 1, F.array(here, *above)).otherwise(F.array(here))
+    sketches = {aggreg.pname("hll", c) for c in columns}
+    rest = [c for c in rows.columns if c not in {*keys, G, *sketches}]
+    own = F.col("__e.level") == 0
+    x = rows.withColumn("__e", F.explode(places)).select(
+        *keys, F.col("__e.level").alias(LEVEL), F.col("__e.g").alias(G), *sketches,
+        *[F.when(own | F.lit(c == FT), F.col(c)).alias(c) for c in rest])
+    # level 0 has one row a group: its other columns pass as they are
+    return x.groupBy(*keys, LEVEL, G).agg(*[F.hll_union_agg(c).alias(c) for c in sorted(sketches)], *[F.first(c).alias(c) for c in rest])
+
+
+def distinct_count(column: str, place: WindowSpec, low: int, high: int, zone: int) -> Column:
+    """The count over granules low .. high around a row; ``place`` orders level n by granule + n * ``zone``."""
+    top = levels_of(high - low + 1)
+    ends = [(top, low + STEP ** top - 1, high)]  # by the last granules of blocks inside the frame
+    for k in range(top):
+        size, above = STEP ** k, STEP ** (k + 1)
+        ends += [(k, low + size - 1, low + above - 2), (k, high - above + size + 1, high)]
+    parts = [F.hll_union_agg(aggreg.pname("hll", column)).over(place.rangeBetween(k * zone + a, k * zone + b)) for k, a, b in ends]
+    whole = F.reduce(F.array(*parts), F.lit(None).cast("binary"),
+                     lambda u, s: F.when(u.isNull(), s).when(s.isNull(), u).otherwise(F.hll_union(u, s)))
+    return F.coalesce(F.hll_sketch_estimate(whole), F.lit(0)).cast("bigint")  # an empty window counts 0

@@ -31,7 +31,7 @@ from ..functions import aggregates as aggreg
 from ..functions.scalar import granule, granule_start
 from ..specs import DAY as DAY_TD
 from ..specs import Agg, AggregateSpec, Lookback
-from .dyadic import distinct_counts
+from .dyadic import LEVEL, distinct_count, with_blocks
 
 G, B, PT, FT = "__g", "__b", "__pt", "__ft"
 
@@ -129,14 +129,20 @@ def _with_halo(rows: DataFrame, spec: AggregateSpec, width: int) -> DataFrame:
     return rows.withColumn(B, F.explode(F.sequence(_home(width), reach)))
 
 
-#: Granules from which a window's distinct counts are unions of dyadic blocks of sketches.
+#: Granules from which a window's distinct counts are unions of aligned blocks of sketches.
 LONG_SKETCH = 64
 #: Granules from which a window's sums and counts are differences of running values.
 LONG_WINDOW = 32
 
 
-def _frame_features(spec: AggregateSpec, base, scales: dict[str, int]) -> list[Column]:
+def _by_blocks(a: Agg, spec: AggregateSpec) -> bool:
+    lo, hi = a.window.frame(spec.granularity)
+    return aggreg.get(a.fn).name == "approx_count_distinct" and hi - lo + 1 >= LONG_SKETCH
+
+
+def _frame_features(spec: AggregateSpec, base, scales: dict[str, int], zone: int = 0) -> list[Column]:
     """Every aggregate as a RANGE frame over ``base``; one Window node holds them all.
+    With a ``zone``, ``base`` orders blocks of sketches as ``dyadic.distinct_count`` says.
 
     Invertible aggregates over at least LONG_WINDOW granules are differences of two growing
     frames, which Spark keeps up row by row; others slide over their frame's rows.
@@ -145,7 +151,9 @@ def _frame_features(spec: AggregateSpec, base, scales: dict[str, int]) -> list[C
     for a in spec.aggs:
         lo, hi = a.window.frame(spec.granularity)
         fn = aggreg.get(a.fn)
-        if fn.differ and hi - lo + 1 >= LONG_WINDOW and (a.column in scales or not fn.whole):
+        if zone and _by_blocks(a, spec):
+            v = distinct_count(a.column, base, lo, hi, zone).cast(fn.result_type)
+        elif fn.differ and hi - lo + 1 >= LONG_WINDOW and (a.column in scales or not fn.whole):
             upto, before = (base.rangeBetween(Window.unboundedPreceding, e) for e in (hi, lo - 1))
             v = fn.differ(a.column, upto, before, scales.get(a.column, 0)).cast(fn.result_type)
         else:
@@ -160,22 +168,20 @@ def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None,
               scales: dict[str, int] | None = None) -> DataFrame:
     """Evaluate all aggregates at rows flagged ``__pt``; keys, ``__g``, features.
 
-    Approximate distinct counts over at least LONG_SKETCH granules take dyadic blocks of
-    sketches (``operators.dyadic``); all else shares one Window node.
+    Approximate distinct counts over at least LONG_SKETCH granules take aligned blocks of
+    sketches (``operators.dyadic``), rows of their own in the same groups; one Window node holds all.
     """
-    tiled = [a for a in spec.aggs if aggreg.get(a.fn).name == "approx_count_distinct"
-             and a.window.frame(spec.granularity)[1] - a.window.frame(spec.granularity)[0] + 1 >= LONG_SKETCH]
-    if tiled:
-        found = distinct_counts(rows, spec, tiled, F.col(PT) == 1, F.col(FT) == 1)
-        rest = [a for a in spec.aggs if a not in tiled]
-        if not rest:
-            return found
-        others = AggregateSpec(spec.key, spec.time, rest, spec.start, spec.end, spec.granularity, spec.source)
-        return _evaluate(rows, others, bucket_width, scales).join(found, [*spec.key, G])
     width = bucket_width or default_bucket_width(spec)
+    tiled = [a for a in spec.aggs if _by_blocks(a, spec)]
+    place, zone = F.col(G), 0
+    if tiled:
+        spans = [hi - lo + 1 for lo, hi in (a.window.frame(spec.granularity) for a in tiled)]
+        rows = with_blocks(rows, spec.key, [a.column for a in tiled], max(spans))
+        zone = 2 * (width + spec.max_span + 1)  # no frame reaches from one level into another
+        place = F.col(G) + F.col(LEVEL).cast("bigint") * F.lit(zone)
     x = _with_halo(rows, spec, width)
-    base = Window.partitionBy(*spec.key, B).orderBy(F.col(G))
-    out = x.select(*spec.key, G, B, PT, *_frame_features(spec, base, scales or {}))
+    base = Window.partitionBy(*spec.key, B).orderBy(place)
+    out = x.select(*spec.key, G, B, PT, *_frame_features(spec, base, scales or {}, zone))
     return out.where((F.col(PT) == 1) & (F.col(B) == _home(width))).drop(B, PT)
 
 

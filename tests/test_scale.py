@@ -20,3 +20,12 @@ def test_row_function_runs_on_all_cores_without_a_table_per_row(spark):
     out = QUERIES["expand_versions"](spark, SF_SMALL)
     assert "ArrowEvalPythonUDTF" not in plan(out) and "BatchEvalPythonUDTF" in plan(out)
     assert spark.read.parquet(f"{SF_SMALL}/customer.parquet").rdd.getNumPartitions() < out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def joins(df) -> list[str]:
+    return [line.split("Join", 1)[1] for line in plan(df).splitlines() if "Join " in line]
+
+
+def test_long_sketch_windows_join_no_sketches(spark):
+    """Only lines and orders are joined: the windows' sketches stay in the tasks that union them."""
+    assert len(joins(QUERIES["window_distinct_365"](spark, SF_SMALL))) == 1
