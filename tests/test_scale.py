@@ -29,3 +29,9 @@ def joins(df) -> list[str]:
 def test_long_sketch_windows_join_no_sketches(spark):
     """Only lines and orders are joined: the windows' sketches stay in the tasks that union them."""
     assert len(joins(QUERIES["window_distinct_365"](spark, SF_SMALL))) == 1
+
+
+def test_exact_distinct_counts_join_no_ranges(spark):
+    """Points are not paired with the days of their windows: every join is on equal keys alone."""
+    conditions = joins(QUERIES["window_distinct_checked"](spark, SF_SMALL))
+    assert conditions and not any(sign in c for c in conditions for sign in (">", "<"))
