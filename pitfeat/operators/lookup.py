@@ -185,10 +185,11 @@ def lookup_interval(spine: DataFrame, right: DataFrame, lookup_key, right_key, s
 
     ``strategy="join"`` is the literal range join: every version that holds
     ``t`` matches (a spine row may repeat where versions overlap). Versions are dealt
-    by length into levels of spans (1 second, doubling), each into the one or two spans
+    by length into levels of spans (1 second, 16, 256, ..), each into the one or two spans
     of its level that it touches; a spine row looks into one span per level that the right
     table has, so an equi-join on (key, level, span) leaves only versions whose length
-    reaches about as far as the span, and none is compared with all of its key's.
+    is at least a sixteenth of the span, and none is compared with all of its key's. (Spans
+    that double would leave fewer, but send each spine row to four times the levels.)
     Open versions end with the last time of the spine.
     """
     lk, rk, feats = _ls(lookup_key), _ls(right_key), _ls(features)
@@ -209,8 +210,8 @@ def lookup_interval(spine: DataFrame, right: DataFrame, lookup_key, right_key, s
     return _interval_join(spine, right, lk, rk, spine_time, valid_from, valid_to, feats, names)
 
 
-#: Levels of spans: level n has spans of 2 ** n seconds; the last holds all longer versions in one span.
-LEVELS = 34
+#: Levels of spans: level n has spans of 2 ** n seconds, n a multiple of STRIDE; the last holds all longer versions in one span.
+LEVELS, STRIDE = 36, 4
 
 
 def _interval_join(spine: DataFrame, right: DataFrame, lk: list[str], rk: list[str], spine_time: str,
@@ -223,12 +224,12 @@ def _interval_join(spine: DataFrame, right: DataFrame, lk: list[str], rk: list[s
                 & (F.col("__vt").isNull() | (F.col("__vf") < F.col("__vt"))))
     start, end = (epoch_seconds(c, rtypes[n]) for c, n in (("__vf", valid_from), ("__vt", valid_to)))
     length = F.log2((end - start + 1).cast("double"))  # of the seconds it may touch
-    level = F.when(F.col("__vt").isNull(), F.lit(LEVELS)).otherwise(F.least(F.ceil(length), F.lit(LEVELS))).cast("int")
+    level = F.when(F.col("__vt").isNull(), F.lit(LEVELS)).otherwise(F.least(F.ceil(length / STRIDE) * STRIDE, F.lit(LEVELS))).cast("int")
     r = r.withColumn("__level", level)
     size = F.expr("shiftleft(1L, __level)")
     span = lambda x: F.when(F.col("__level") == LEVELS, F.lit(0)).otherwise(F.floor(x / size)).cast("bigint")
     r = r.withColumn("__span", F.explode(F.array_distinct(F.array(span(start), F.coalesce(span(end), F.lit(0).cast("bigint"))))))
-    used = r.select(F.collect_set("__level")).scalar()  # LEVELS + 1 numbers at most
+    used = r.select(F.collect_set("__level")).scalar()  # LEVELS / STRIDE + 1 numbers at most
     ks = [f"__k{i}" for i in range(len(lk))]
     points = spine.select(*[F.col(k).alias(kk) for k, kk in zip(lk, ks)], F.col(spine_time).alias("__t"))
     points = points.where(_and([F.col(c).isNotNull() for c in ks + ["__t"]])).distinct()

@@ -35,3 +35,36 @@ def test_exact_distinct_counts_join_no_ranges(spark):
     """Points are not paired with the days of their windows: every join is on equal keys alone."""
     conditions = joins(QUERIES["window_distinct_checked"](spark, SF_SMALL))
     assert conditions and not any(sign in c for c in conditions for sign in (">", "<"))
+
+
+def generated(spark, df) -> int:
+    """Rows that the plan's explodes made, collected without AQE."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = df.select("*")
+        df.collect()
+        nodes, total = [df._jdf.queryExecution().executedPlan()], 0
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName() == "Generate":
+                total += node.metrics().apply("numOutputRows").value()
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+        return total
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_interval_join_sends_a_row_to_few_levels(spark):
+    """Versions of 1 s to 68 years: a spine row goes to 10 levels at most, and finds what the plain join finds."""
+    from pitfeat.operators import lookup as L
+
+    start = 1_600_000_000
+    versions = spark.createDataFrame([(1, start + 7 * n, start + 7 * n + (1 << n), n) for n in range(32)] + [(1, start, None, 99)], "k long, a long, b long, v int")
+    versions = versions.selectExpr("k", "timestamp_seconds(a) AS a", "timestamp_seconds(b) AS b", "v")
+    spine = spark.createDataFrame([(1, start + s) for s in [*range(-50, 300, 3), 1 << 20, 1 << 30, 1 << 31]], "k long, t long").selectExpr("k", "timestamp_seconds(t) AS t")
+    out = L.lookup_interval(spine, versions, "k", "k", "t", "a", "b", ["v"], strategy="join")
+    want = spine.alias("s").join(versions.alias("r"), F.expr("s.k = r.k AND a <= t AND (b IS NULL OR t < b)"), "left").select("s.k", "t", "v")
+    assert counted(out) == counted(want)
+    assert generated(spark, out) <= 10 * spine.count() + 2 * versions.count()
