@@ -29,6 +29,7 @@ from pyspark.sql.types import DecimalType
 
 from ..functions import aggregates as aggreg
 from ..functions.scalar import granule, granule_start
+from ..session import materialize
 from ..specs import DAY as DAY_TD
 from ..specs import Agg, AggregateSpec, Lookback
 from .dyadic import LEVEL, distinct_count, with_blocks
@@ -196,6 +197,9 @@ def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
     then holds until the next point of its bucket, so the dense rows are made
     by a narrow ``explode`` after the window. The shuffles carry
     O(facts x frame edges + keys x buckets) rows instead of keys x granules.
+
+    ``bounds`` (keys, ``__s``, ``__e``) may have several disjoint runs of granules per
+    key: each has its own points, and what lies between them is left out.
     """
     width = bucket_width or default_bucket_width(spec)
     frames = [a.window.frame(spec.granularity) for a in spec.aggs]
@@ -215,10 +219,10 @@ def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
 
     x = _with_halo(rows, spec, width)
     base = Window.partitionBy(*spec.key, B).orderBy(F.col(G))
-    whole = Window.partitionBy(*spec.key, B)
+    so_far = base.rowsBetween(Window.unboundedPreceding, 0)  # a run has a point of its own in each of its buckets
     names = spec.names
     ev = x.select(*spec.key, G, B, PT, *_frame_features(spec, base, scales or {}),
-                  F.max("__s").over(whole).alias("__s"), F.max("__e").over(whole).alias("__e"))
+                  *[F.last(c, ignorenulls=True).over(so_far).alias(c) for c in ("__s", "__e")])
     pts = ev.where((F.col(PT) == 1) & (F.col(B) == _home(width)) & F.col("__s").isNotNull())
     nxt = F.lead(G).over(base)
     pts = pts.select(*spec.key, G, B, "__s", "__e", *names, nxt.alias("__n"))
@@ -375,17 +379,27 @@ def refresh_grid(grid: DataFrame, facts: DataFrame, late: DataFrame, spec: Aggre
     cells = new.join(bounds, keys).select(*keys, F.greatest(F.col(G) + first, F.col("__s")).alias("a"), F.least(F.col(G) + last, F.col("__e")).alias("b"))
     # cells that the old grid lacks: after its end, or all of a key's
     more = bounds.join(had, keys, "left").select(*keys, F.coalesce(F.col("__last") + 1, F.col("__s")).alias("a"), F.col("__e").alias("b"))
-    runs = cells.unionByName(more).where(F.col("a") <= F.col("b"))
-    cells = runs.select(*keys, F.explode(F.sequence("a", "b")).alias(G)).distinct()
-    points = cells.select(*keys, granule_start(G, spec.granularity, time_type).alias(spec.time))
-    touched = cells.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)]).distinct()
+    # written once, a few rows a key: read three times below, and a task there holds none of the sorts that made them
+    runs = materialize(_disjoint(cells.unionByName(more).where(F.col("a") <= F.col("b")), keys), name="grid-runs")
+    touched = runs.select(*[F.col(k).alias(f"__t{i}") for i, k in enumerate(keys)]).distinct()
     own = facts.join(touched, _and([F.col(k) == F.col(f"__t{i}") for i, k in enumerate(keys)]), "left_semi")
-    fresh = point_features(own, spec, points, keys, spec.time, bucket_width)
-    fresh = fresh.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)],
-                         granule_start(G, spec.granularity, time_type).cast(out_type).alias(spec.time), *spec.names)
-    gone = cells.select(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)], F.col(G).alias("__cg"))
-    stays = old.join(gone, _and([F.col(k) == F.col(f"__c{i}") for i, k in enumerate(keys)] + [F.col(G) == F.col("__cg")]), "left_anti")
-    return stays.select(*kept).unionByName(fresh)
+    scales = _decimal_scales(facts, spec)
+    fresh = _grid_by_runs(_unscaled(own, scales), spec, runs, bucket_width, scales)
+    fresh = _finish(fresh, spec, _output_casts(spec), time_type).withColumn(spec.time, F.col(spec.time).cast(out_type))
+    # the cells stay runs here too: one row per key, whose few runs its old cells are held against
+    gone = runs.groupBy(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)]).agg(F.collect_list(F.struct("__s", "__e")).alias("__runs"))
+    stays = old.join(gone, _and([F.col(k) == F.col(f"__c{i}") for i, k in enumerate(keys)]), "left").where(
+        F.col("__runs").isNull() | ~F.exists("__runs", lambda r: F.col(G).between(r["__s"], r["__e"])))
+    return stays.select(*kept).unionByName(fresh.select(*kept))
+
+
+def _disjoint(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Runs of granules ``a`` .. ``b`` merged where they overlap or touch: (keys, ``__s``, ``__e``), no granule twice."""
+    w = Window.partitionBy(*keys).orderBy("a", "b")
+    reach = F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    apart = runs.withColumn("__new", F.when(F.col("a") <= reach + 1, 0).otherwise(1))
+    numbered = apart.withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*keys, "__run").agg(F.min("a").alias("__s"), F.max("b").alias("__e")).drop("__run")
 
 
 def grid_points(facts: DataFrame, spec: AggregateSpec,
