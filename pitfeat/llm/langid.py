@@ -154,23 +154,24 @@ class Model:
     weights: np.ndarray
     transition: np.ndarray
     lexicon: dict[str, int]
+    met: np.ndarray  # [feature, language]: the fit met it in a word of the language
     cache: dict = field(default_factory=dict)
 
     def __getstate__(self):
         return {**self.__dict__, "cache": {}}
 
     def rows(self, words: list[list[str]]) -> np.ndarray:
-        """Of all words, one after the other: scores, number of features met in the fit, and number of features."""
+        """Of all words, one after the other: scores, numbers of features that the fit met in each language, and number of features."""
         seen = self.cache
         if not seen or len(seen["at"]) > KEEP:
-            seen.update(at={}, rows=np.empty((0, len(self.langs) + 2), np.float32))
+            seen.update(at={}, rows=np.empty((0, 2 * len(self.langs) + 1), np.float32))
         new = list(set().union(*words).difference(seen["at"]))
         if new:
-            parts, met = [seen["rows"]], (self.weights != 0).any(axis=1)
+            parts = [seen["rows"]]
             for i in range(0, len(new), 10_000):
                 f = word_features(new[i:i + 10_000], self.lexicon)
                 there = f > 0
-                parts.append(np.column_stack([self.weights[f].sum(axis=1), (met[f] & there).sum(axis=1), there.sum(axis=1)]).astype(np.float32))
+                parts.append(np.column_stack([self.weights[f].sum(axis=1), (self.met[f] & there[:, :, None]).sum(axis=1), there.sum(axis=1)]).astype(np.float32))
             n = len(seen["at"])
             seen["at"].update(zip(new, range(n, n + len(new)), strict=True))
             seen["rows"] = np.concatenate(parts)
@@ -181,14 +182,22 @@ class Model:
         """Scores of all words, one after the other."""
         return self.rows(words)[:, :len(self.langs)].astype(np.float64)
 
-    def familiar(self, texts: list[str | None]) -> np.ndarray:
-        """Share of each text's features (n-grams, affixes, words) that the fit has met; 0 without letters."""
+    def identify(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """Each text's language, as ``label`` gives it, and its evidence: the share of its features (n-grams,
+        affixes, words) that the fit has met in the languages which the field gives their words; 0 without letters."""
         words = [split(t) for t in texts] if self.langs else [[] for _ in texts]
-        n = np.array([len(w) for w in words], np.int64)
-        met = self.rows(words)[:, -2:].astype(np.float64)
-        sums = np.zeros((len(texts), 2))
-        np.add.at(sums, np.repeat(np.arange(len(texts)), n), met)
-        return sums[:, 0] / np.maximum(sums[:, 1], 1)
+        lengths = np.array([len(w) for w in words], np.int64)
+        langs, evidence, k = ["und"] * len(texts), np.zeros(len(texts)), len(self.langs)
+        some = np.flatnonzero(lengths)
+        if len(some):
+            rows = self.rows([words[i] for i in some]).astype(np.float64)
+            m = marginals(rows[:, :k], lengths[some], self.transition)
+            begin = np.concatenate([[0], np.cumsum(lengths[some])])[:-1]
+            for i, n in zip(some, np.add.reduceat(m, begin, axis=0).argmax(axis=1), strict=True):
+                langs[i] = self.langs[n]
+            met = (m * rows[:, k:2 * k]).sum(axis=1)
+            evidence[some] = np.add.reduceat(met, begin) / np.add.reduceat(rows[:, -1], begin)
+        return langs, evidence
 
     def label(self, texts: list[str | None], spans: bool = False) -> list[tuple]:
         """(language, score[, runs of words (language, first, last)]) of each text."""
@@ -222,7 +231,7 @@ def fit(rows: list[tuple[str, str]], stretch: int = 8, parts: int = 4, sequences
             by[lang].append(w)
     langs = sorted(by)
     if not langs:
-        return Model([], np.zeros((1, 0), np.float32), np.zeros((0, 0)), {})
+        return Model([], np.zeros((1, 0), np.float32), np.zeros((0, 0)), {}, np.zeros((1, 0), bool))
     k = len(langs)
     counts = [Counter(w for doc in by[x] for w in doc) for x in langs]
     lexicon = {}
@@ -248,6 +257,9 @@ def fit(rows: list[tuple[str, str]], stretch: int = 8, parts: int = 4, sequences
         tags.append(np.array(labels))
     feats = np.concatenate([word_features(list(vocab)[i:i + 10_000], lexicon) for i in range(0, len(vocab), 10_000)])
     size = BUCKETS + k
+    met = np.zeros((size, k), bool)
+    for words, labels in zip(seq, tags, strict=True):
+        met[feats[words], labels[:, None]] = True
     weights, transition = np.zeros((size, k)), np.zeros((k, k))
     g2, t2 = np.full((size, k), 1e-2), np.full((k, k), 1e-2)
     for _ in range(epochs):
@@ -277,7 +289,7 @@ def fit(rows: list[tuple[str, str]], stretch: int = 8, parts: int = 4, sequences
             t2 += gt ** 2
             weights -= rate * g / np.sqrt(g2)
             transition -= rate * gt / np.sqrt(t2)
-    return Model(langs, weights.astype(np.float32), transition, lexicon)
+    return Model(langs, weights.astype(np.float32), transition, lexicon, met)
 
 
 def _pairs(e: np.ndarray, m: np.ndarray, lengths: np.ndarray, transition: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -362,17 +374,18 @@ def slices(batch: pa.RecordBatch, texts: pa.Array, size: int = 1_000_000, rows:
 
 def worker_model(model: Model) -> Model:
     """The model a Python worker already has, with its cache of words, if it is the same."""
-    key = hash((tuple(model.langs), model.weights.tobytes(), model.transition.tobytes()))
+    key = hash((tuple(model.langs), model.weights.tobytes(), model.transition.tobytes(), model.met.tobytes()))
     return worker_tables(("langid", key), lambda: model)
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.94) -> DataFrame:
-    """The documents in languages the model has met, with their own columns.
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.8) -> DataFrame:
+    """The documents in whose words the field identifies languages it has met, with their own columns.
 
-    A document stays if at least ``least`` of its features (n-grams, affixes, words)
-    occurred in the fit, whatever the languages and their number: code-switched
-    texts of known languages stay, other languages and scripts, and chance letters, go.
-    Documents without a letter go too.
+    Every document is labelled by the field, word by word. It stays if it has a language and
+    at least ``least`` of its features (n-grams, affixes, words) occurred in the fit in
+    the languages that its words get: code-switched texts of known languages stay; other
+    languages and scripts, and chance letters, go, as their features are met in one language or
+    another, but not together in the one of the words around them. Documents without a letter go too.
     """
     text = place(docs.columns, "text")
 
@@ -381,6 +394,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.94) -> DataF
         for batch in batches:
             for some in slices(batch, batch.column(0).field(text)):
                 row = some.column(0)
-                yield pa.RecordBatch.from_struct_array(row.filter(pa.array(own.familiar(row.field(text).to_pylist()) >= least)))
+                langs, evidence = own.identify(row.field(text).to_pylist())
+                yield pa.RecordBatch.from_struct_array(row.filter(pa.array((np.array(langs) != "und") & (evidence >= least))))
 
     return docs.select(F.struct("*").alias("__row")).mapInArrow(run, docs.schema)
