@@ -10,6 +10,9 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from paths import SF_SMALL
+
+from pitfeat import workloads as W
 from pitfeat.plans import ml as M
 from pitfeat.plans import shap as SH
 from pitfeat.plans.binned import NULL_BIN, BinnedTree, fit_binned_tree
@@ -72,6 +75,43 @@ def test_shap_equals_enumeration_of_coalitions(depth):
             assert np.isclose(got.sum(), m - sum(w * t.expected for t, w in zip(trees, weights)))
 
 
+def test_shap_of_unbounded_values_and_long_paths():
+    """A value below every number goes left; paths of more than eight features, and trees of a single leaf, have tables too."""
+    r = np.random.default_rng(11)
+    n = 10
+    chain = {"feature": [], "threshold": [], "left": [], "right": [], "value": [], "cover": []}
+    for i in range(n):  # node 2i splits feature i, its left child is a leaf
+        for name, v in zip(chain, ((i, 0.0, 2 * i + 1, 2 * i + 2, 0.0, 100.0 - 8 * i), (-1, 0.0, -1, -1, float(i + 1), 8.0))):
+            chain[name].append(v)
+    for name, v in zip(chain, (-1, 0.0, -1, -1, -3.0, 100.0 - 8 * n)):
+        chain[name].append(v)
+    trees = [SH.Tree(*(tuple(v) for v in chain.values())), random_tree(r, n, 4), SH.Tree((-1,), (0.0,), (-1,), (-1,), (2.5,), (100.0,))]
+    x = r.normal(size=(3, n))
+    x[0, :] = -np.inf
+    x[1, 0], x[2, :9] = np.inf, 1.0
+    weights = [1.0, -0.5, 2.0]
+    values, margin = SH.shap_batch(x, trees, weights)
+    for row, got, m in zip(x, values, margin):
+        assert np.allclose(got, sum(w * enumerated(t, row, n) for t, w in zip(trees, weights)))
+        assert np.isclose(m, sum(w * known_value(t, row, set(range(n))) for t, w in zip(trees, weights)))
+
+
+def test_selection_reads_a_set_that_is_made_once(spark, monkeypatch):
+    """Both sides of the split read files, not the joins and windows of the training set each."""
+    seen = []
+
+    def select(train, test, *args, **kw):
+        seen.extend((train, test))
+        return spark.createDataFrame([("f", 1.0, None, True, 1, 0.5)], "feature string, importance double, eliminated_at int, selected boolean, rank int, eval_auc double")
+
+    monkeypatch.setattr(M, "select_features", select)
+    W.QUERIES["select_features"](spark, SF_SMALL)
+    plans = [d._jdf.queryExecution().executedPlan().toString() for d in seen]
+    assert len(plans) == 2 and all("Scan parquet" in p and "Join" not in p and "Window" not in p for p in plans)
+    whole = W.QUERIES["training_set_defaults"](spark, SF_SMALL)
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, seen[0].collect() + seen[1].collect()))
+
+
 @pytest.fixture(scope="module")
 def numbers(spark):
     r = np.random.default_rng(3)
