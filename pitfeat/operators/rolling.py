@@ -217,7 +217,8 @@ def _grid_by_runs(facts: DataFrame, spec: AggregateSpec, bounds: DataFrame,
     anchors = bounds.select(*spec.key, F.explode(starts).alias(G), "__s", "__e")
     rows = daily_partials(facts, spec, points=changes.unionByName(anchors), point_cols=("__s", "__e"))
 
-    x = _with_halo(rows, spec, width)
+    # a point becomes many dense rows, so tasks are not merged by the bytes of points: that left cores idle or a last small wave
+    x = _with_halo(rows, spec, width).repartition(int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")), *spec.key, B)
     base = Window.partitionBy(*spec.key, B).orderBy(F.col(G))
     so_far = base.rowsBetween(Window.unboundedPreceding, 0)  # a run has a point of its own in each of its buckets
     names = spec.names

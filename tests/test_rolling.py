@@ -5,6 +5,7 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from pitfeat.operators import rolling as R
 from pitfeat.specs import Agg, AggregateSpec, Lookback
@@ -376,3 +377,13 @@ def test_hourly_grid_equals_spine(spark):
     for r in R.aggregate_features(f, spec, spine=pts).collect():
         g = grid[(r["k"], r["ts"].replace(minute=0))]
         assert (g["v_sum_3h"], g["v_count_2h_offset_1h"]) == (r["v_sum_3h"], r["v_count_2h_offset_1h"])
+
+
+def test_few_points_of_a_grid_are_not_merged_into_few_tasks(spark):
+    """The tasks that make a grid's many rows are as many as the session's shuffle partitions, however small its points are."""
+    facts = spark.createDataFrame([(k, dt.date(2020, 1, 1 + k % 20), 1.0) for k in range(200)], "k bigint, d date, amount double")
+    spec = AggregateSpec("k", "d", [Agg("amount", "sum", Lookback(7))], start=dt.date(2020, 1, 1), end=dt.date(2021, 12, 31))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    grid = R.aggregate_features(facts, spec, mode="grid")
+    tasks = grid.select(F.spark_partition_id().alias("t")).groupBy("t").count().collect()
+    assert n > 1 and len(tasks) == n and sum(r["count"] for r in tasks) == 200 * 731
