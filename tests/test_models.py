@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from paths import SF_SMALL
 
 from pitfeat import workloads as W
+from pitfeat.plans import boost as BO
 from pitfeat.plans import ml as M
 from pitfeat.plans import shap as SH
 from pitfeat.plans.binned import NULL_BIN, BinnedTree, fit_binned_tree
@@ -217,3 +218,79 @@ def test_split_on_a_text_key(spark):
     a, b = ({x["k"] for x in d.collect()} for d in (train, test))
     assert not a & b and len(a | b) == 500 and 360 < len(a) < 440 and train.count() + test.count() == 2000
     assert {x["k"] for x in M.split(df.repartition(7).where(F.col("i") > 900), "k", 0.8)[0].collect()} <= a
+
+
+def grid(spark, n=900):
+    """Few distinct values a feature: thresholds lie between all of them, in both trainers."""
+    r = np.random.default_rng(5)
+    x = r.integers(0, (3, 9, 20, 28), (n, 4)).astype(float)
+    y = ((x[:, 1] > 4) ^ (x[:, 2] + x[:, 0] > 11) ^ (r.random(n) < 0.1)).astype(float)
+    return spark.createDataFrame([(*map(float, v), float(t)) for v, t in zip(x, y)], "a double, b double, c double, d double, y double")
+
+
+def test_boosted_trees_equal_sparks(spark):
+    df = grid(spark, 3000).repartition(5).cache()
+    names = list("abcd")
+    model = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="v"), GBTClassifier(labelCol="y", featuresCol="v", maxIter=6, maxDepth=3, stepSize=0.1, seed=1)]).fit(df)
+    trees, weights = SH.trees_of(model.stages[-1])
+    own = BO.fit_boosted(df, "y", names, max_iter=6, step_size=0.1, max_depth=3)
+    assert list(own.weights) == weights and np.allclose(own.importances, model.stages[-1].featureImportances.toArray(), atol=1e-6)
+
+    def ordered(t):
+        """Nodes from the root, left before right."""
+        out, stack = [], [0]
+        while stack:
+            at = stack.pop()
+            inner = t.left[at] >= 0
+            out.append((t.feature[at] if inner else -1, t.threshold[at] if inner else 0.0, t.cover[at], pytest.approx(t.value[at], abs=1e-6)))
+            stack += [t.right[at], t.left[at]] if inner else []
+        return out
+
+    for mine, sparks in zip(own.trees, trees, strict=True):
+        assert ordered(mine) == ordered(sparks)
+
+
+def test_boosted_trees_do_not_depend_on_partitions(numbers, monkeypatch):
+    monkeypatch.setattr(BO, "_ROWS", 150)
+    monkeypatch.setattr(BO, "_KEEP", 1)
+    monkeypatch.setattr(BO, "_RENEW", 2)
+    names = list("abcde")
+    one = BO.fit_boosted(numbers.coalesce(1), "y", names, max_iter=5, max_depth=3)
+    monkeypatch.setattr(BO, "_DIRECT", 1)
+    assert one == BO.fit_boosted(numbers.repartition(7).orderBy("c"), "y", names, max_iter=5, max_depth=3)
+    monkeypatch.setattr(BO, "_KEEP", 3)
+    assert one == BO.fit_boosted(numbers, "y", names, max_iter=5, max_depth=3)
+    assert all(len(c) == 31 for c in BO.thresholds(numbers, names))
+    rows = [[r[n] for n in names] for r in numbers.collect()]
+    for t in one.trees:  # every node's cover is the rows that reach it
+        reached = [0] * len(t.left)
+        for x in rows:
+            at = 0
+            while True:
+                reached[at] += 1
+                if t.left[at] < 0:
+                    break
+                at = t.left[at] if x[t.feature[at]] <= t.threshold[at] else t.right[at]
+        assert tuple(reached) == t.cover
+
+
+def test_a_round_of_boosting_is_one_stage_a_level(numbers):
+    """No shuffle within the rounds: jobs of one stage, as many as levels."""
+    sc = numbers.sparkSession.sparkContext
+    seen = []
+    for rounds in (2, 5):
+        sc.setJobGroup(f"boost-{rounds}", "")
+        BO.fit_boosted(numbers, "y", list("abcde"), max_iter=rounds, max_depth=3)
+        jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(f"boost-{rounds}")]
+        seen.append((len(jobs), sum(len(j.stageIds) for j in jobs if j)))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert seen[1][0] - seen[0][0] == 3 * 3
+
+
+def test_boosted_trees_of_little(spark):
+    with pytest.raises(ValueError):
+        BO.fit_boosted(spark.createDataFrame([(1.0, 2.0)], "a double, y double"), "y", ["a"])
+    flat = BO.fit_boosted(spark.createDataFrame([(1.0, 1.0), (1.0, 0.0), (1.0, 1.0)], "a double, y double"), "y", ["a"], max_iter=3)
+    assert [len(t.left) for t in flat.trees] == [1, 1, 1] and flat.trees[0].value[0] == pytest.approx(1 / 3)
+    far = BO.fit_boosted(spark.createDataFrame([(-np.inf, 0.0), (0.0, 0.0), (5.0, 1.0), (np.inf, 1.0)], "a double, y double"), "y", ["a"], max_iter=2)
+    assert far.trees[0].left[0] == 1 and far.trees[0].cover[1] == 2
