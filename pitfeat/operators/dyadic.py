@@ -2,8 +2,8 @@
 
 A frame of L granules over HLL sketches unions up to L of them per row. Here the
 granules' sketches are unioned once into aligned blocks of STEP, STEP ** 2, .. granules
-(one aggregate over (key, level, block), map-side combined), which lie in the same
-(key, time bucket) group as the granules. A frame is then a few RANGE frames of the
+(one aggregate over (key, time bucket, level, block), within the tasks that have the groups), which
+lie in the same (key, time bucket) group as the granules. A frame is then a few RANGE frames of the
 window node that evaluates all else: its whole blocks of the highest level, and at both of
 its ends the blocks of each lower level, at most 2 (STEP - 1) a level. They may overlap,
 since a union counts nothing twice, but hold nothing from outside the frame. Work per point

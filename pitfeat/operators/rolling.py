@@ -174,13 +174,14 @@ def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None,
     """
     width = bucket_width or default_bucket_width(spec)
     tiled = [a for a in spec.aggs if _by_blocks(a, spec)]
-    place, zone = F.col(G), 0
+    x, place, zone = _with_halo(rows, spec, width), F.col(G), 0
     if tiled:
         spans = [hi - lo + 1 for lo, hi in (a.window.frame(spec.granularity) for a in tiled)]
-        rows = with_blocks(rows, spec.key, [a.column for a in tiled], max(spans))
+        # the groups are dealt out before blocks are made of their rows, so blocks are not shuffled; one that lacks rows
+        # from before the halo or after the bucket lies in no frame of the bucket's points
+        x = with_blocks(x.repartition(*spec.key, B), [*spec.key, B], [a.column for a in tiled], max(spans))
         zone = 2 * (width + spec.max_span + 1)  # no frame reaches from one level into another
         place = F.col(G) + F.col(LEVEL).cast("bigint") * F.lit(zone)
-    x = _with_halo(rows, spec, width)
     base = Window.partitionBy(*spec.key, B).orderBy(place)
     out = x.select(*spec.key, G, B, PT, *_frame_features(spec, base, scales or {}, zone))
     return out.where((F.col(PT) == 1) & (F.col(B) == _home(width))).drop(B, PT)

@@ -761,21 +761,31 @@ def window_distinct_365(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.aggregate_features(Tables(spark, sf_dir).txn_lines(), AggregateSpec("merchant_id", "txn_date", aggs), mode="facts")
 
 
+#: Days of a time bucket in which exact distinct counts are taken; the 364 days before it are dealt to it too.
+DISTINCT_BUCKET = 4 * 365
+
+
 def distinct_365_close(approximate: DataFrame, t: Tables) -> DataFrame:
     """How far the estimates are from the exact counts, as shares of rows: what SQL can hold an estimate to."""
     names = ("account_id_approx_count_distinct_365d", "account_id_approx_count_distinct_90d_offset_7d")
-    days = t.txn_lines().select("merchant_id", F.datediff("txn_date", F.lit("1970-01-01").cast("date")).alias("g"), "account_id").distinct()
+    day = F.datediff("txn_date", F.lit("1970-01-01").cast("date"))
+    # Lines are dealt once, to their merchant's time bucket and to the next one if windows reach back to them from there;
+    # all else happens within a bucket.
+    width, home = DISTINCT_BUCKET, F.floor(F.col("g") / DISTINCT_BUCKET)
+    lines = t.txn_lines().select("merchant_id", day.alias("g"), "account_id").where(F.col("merchant_id").isNotNull())
+    dealt = lines.withColumn("b", F.explode(F.sequence(home, F.floor((F.col("g") + 364) / width)))).repartition("merchant_id", "b")
     # A day of an account is the last one in the windows of the points from then on, until the account's next day
     # or until it has left them: one count more from its first point, one less after its last, summed up over time.
-    later = F.lead("g").over(Window.partitionBy("merchant_id", "account_id").orderBy("g"))
-    spans = days.where(F.col("account_id").isNotNull()).withColumn("next", later)
+    later = F.lead("g").over(Window.partitionBy("merchant_id", "b", "account_id").orderBy("g"))
+    spans = dealt.distinct().withColumn("next", later)
     steps = [(1, 0, F.col("g"), 1), (1, 0, F.least(F.col("g") + 365, "next"), -1), (0, 1, F.col("g") + 7, 1), (0, 1, F.least(F.col("g") + 97, F.col("next") + 7), -1)]
-    changes = spans.select("merchant_id", F.explode(F.array(*[
-        F.struct(g.alias("g"), F.lit(by * a).alias("d0"), F.lit(by * b).alias("d1")) for a, b, g, by in steps])).alias("s")).select("merchant_id", "s.*")
-    points = days.select("merchant_id", "g", F.lit(0).alias("d0"), F.lit(0).alias("d1"), F.lit(True).alias("point"))
-    daily = changes.withColumn("point", F.lit(False)).unionByName(points).groupBy("merchant_id", "g").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1"), F.max("point").alias("point"))
-    so_far = Window.partitionBy("merchant_id").orderBy("g").rowsBetween(Window.unboundedPreceding, 0)
-    exact = daily.select(F.col("merchant_id").alias("m"), F.col("g").alias("p"), "point", F.sum("d0").over(so_far).alias("x0"), F.sum("d1").over(so_far).alias("x1")).where("point").drop("point")
+    step = lambda g, d0, d1, point: F.struct(g.alias("g"), F.lit(d0).alias("d0"), F.lit(d1).alias("d1"), F.lit(point).alias("point"))
+    counted = F.array(*[step(g, by * a, by * b, i == 0) for i, (a, b, g, by) in enumerate(steps)])
+    changes = spans.select("merchant_id", "b", F.explode(F.when(F.col("account_id").isNotNull(), counted).otherwise(F.array(step(F.col("g"), 0, 0, True)))).alias("s"))
+    daily = changes.select("merchant_id", "b", "s.*").groupBy("merchant_id", "b", "g").agg(F.sum("d0").alias("d0"), F.sum("d1").alias("d1"), F.max("point").alias("point"))
+    so_far = Window.partitionBy("merchant_id", "b").orderBy("g").rowsBetween(Window.unboundedPreceding, 0)
+    exact = daily.select(F.col("merchant_id").alias("m"), F.col("g").alias("p"), "point", (F.col("b") == home).alias("home"),
+                         F.sum("d0").over(so_far).alias("x0"), F.sum("d1").over(so_far).alias("x1")).where("point and home").drop("point", "home")
     j = approximate.withColumn("g", F.datediff("txn_date", F.lit("1970-01-01").cast("date"))).join(
         exact, (F.col("merchant_id") == F.col("m")) & (F.col("g") == F.col("p")))
     near = lambda n, i: (F.abs(F.col(n) - F.col(f"x{i}")) <= F.greatest(F.lit(2.0), 0.08 * F.col(f"x{i}"))).alias(f"near_{i}")

@@ -5,6 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from paths import SF_SMALL
+from pitfeat import workloads as W
 from pitfeat.workloads import QUERIES
 
 
@@ -37,6 +38,26 @@ def test_exact_distinct_counts_join_no_ranges(spark):
     assert conditions and not any(sign in c for c in conditions for sign in (">", "<"))
 
 
+def exchanges(df) -> int:
+    return sum("Exchange hashpartitioning" in line for line in plan(df).splitlines())
+
+
+def test_distinct_counts_are_dealt_out_once(spark):
+    """Beside what joins lines and orders: granules and their groups are shuffled, with the exact counts also lines by bucket
+    and both sides of the last join. No blocks, steps or running sums are."""
+    small = [exchanges(QUERIES[q](spark, SF_SMALL)) for q in ("window_distinct_365", "window_distinct_checked")]
+    assert small[0] <= 2 and small[1] <= 5
+
+
+def test_exact_distinct_counts_at_bucket_edges(spark, monkeypatch):
+    """Buckets shorter than the windows give the counts that one bucket for all days gives."""
+    found = []
+    for width in (100_000, 200):
+        monkeypatch.setattr(W, "DISTINCT_BUCKET", width)
+        found.append(sorted(map(tuple, QUERIES["window_distinct_checked"](spark, SF_SMALL).collect())))
+    assert found[0] and found[0] == found[1] and any(row[2] != row[3] for row in found[0])
+
+
 def generated(spark, df) -> int:
     """Rows that the plan's explodes made, collected without AQE."""
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
