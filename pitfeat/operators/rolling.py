@@ -178,8 +178,9 @@ def _evaluate(rows: DataFrame, spec: AggregateSpec, bucket_width: int | None,
     if tiled:
         spans = [hi - lo + 1 for lo, hi in (a.window.frame(spec.granularity) for a in tiled)]
         # the groups are dealt out before blocks are made of their rows, so blocks are not shuffled; one that lacks rows
-        # from before the halo or after the bucket lies in no frame of the bucket's points
-        x = with_blocks(x.repartition(*spec.key, B), [*spec.key, B], [a.column for a in tiled], max(spans))
+        # from before the halo or after the bucket lies in no frame of the bucket's points. All shuffle partitions are
+        # kept, since rows grow in a task to several times the bytes that they are merged by
+        x = with_blocks(x.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *spec.key, B), [*spec.key, B], [a.column for a in tiled], max(spans))
         zone = 2 * (width + spec.max_span + 1)  # no frame reaches from one level into another
         place = F.col(G) + F.col(LEVEL).cast("bigint") * F.lit(zone)
     base = Window.partitionBy(*spec.key, B).orderBy(place)

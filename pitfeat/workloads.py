@@ -770,10 +770,11 @@ def distinct_365_close(approximate: DataFrame, t: Tables) -> DataFrame:
     names = ("account_id_approx_count_distinct_365d", "account_id_approx_count_distinct_90d_offset_7d")
     day = F.datediff("txn_date", F.lit("1970-01-01").cast("date"))
     # Lines are dealt once, to their merchant's time bucket and to the next one if windows reach back to them from there;
-    # all else happens within a bucket.
+    # all else happens within a bucket. All shuffle partitions are kept, since a line becomes four steps there.
     width, home = DISTINCT_BUCKET, F.floor(F.col("g") / DISTINCT_BUCKET)
     lines = t.txn_lines().select("merchant_id", day.alias("g"), "account_id").where(F.col("merchant_id").isNotNull())
-    dealt = lines.withColumn("b", F.explode(F.sequence(home, F.floor((F.col("g") + 364) / width)))).repartition("merchant_id", "b")
+    dealt = lines.withColumn("b", F.explode(F.sequence(home, F.floor((F.col("g") + 364) / width)))) \
+        .repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "merchant_id", "b")
     # A day of an account is the last one in the windows of the points from then on, until the account's next day
     # or until it has left them: one count more from its first point, one less after its last, summed up over time.
     later = F.lead("g").over(Window.partitionBy("merchant_id", "b", "account_id").orderBy("g"))
