@@ -275,6 +275,7 @@ def test_boosted_trees_do_not_depend_on_partitions(numbers, monkeypatch):
 
 
 def test_a_round_of_boosting_is_one_job_a_level(numbers):
+    numbers.count()  # the cache is made before jobs are counted
     sc = numbers.sparkSession.sparkContext
     jobs = []
     for rounds in (2, 5):
